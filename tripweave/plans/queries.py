@@ -347,7 +347,7 @@ def dead_letters(spark, sf_dir):
 def day_batches(spark, sf_dir):
     """The counters of a feed that takes one day of events per batch."""
     decoded = decoded_messages(spark, sf_dir).withColumn(
-        "batch_id", F.dayofmonth("ts").cast("bigint")
+        "batch_id", F.dayofmonth("sent_at").cast("bigint")
     )
     return feed.batch_metrics(decoded, ["batch_id"])
 

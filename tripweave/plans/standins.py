@@ -111,7 +111,7 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id",
         "label",
         "embedding",
-        F.explode(F.sequence(F.lit(0), F.size("embedding") / 2 - 1)).alias("point"),
+        F.explode(F.sequence(F.lit(0), F.expr("size(embedding) div 2 - 1").cast("int"))).alias("point"),
     )
     x = F.get("embedding", F.col("point") * 2).cast("double")
     y = F.get("embedding", F.col("point") * 2 + 1).cast("double")
@@ -165,4 +165,4 @@ def as_messages(events: DataFrame) -> DataFrame:
         F.when(F.col("value") < 1, F.lit("")).otherwise("}"),
     )
     value = F.when(k == 29, F.lit("")).otherwise(text)
-    return events.select("event_id", "ts", value.alias("value"))
+    return events.select("event_id", F.col("ts").alias("sent_at"), value.alias("value"))
