@@ -1,0 +1,29 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tripweave.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[4]",
+        spark_sql_shuffle_partitions="4",
+        spark_ui_enabled="false",
+        spark_ui_showConsoleProgress="false",
+        spark_checkpoint_dir=tempfile.mkdtemp(prefix="tripweave-tests-"),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder():
+    return tempfile.mkdtemp(prefix="tripweave-tests-")

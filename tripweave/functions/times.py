@@ -76,6 +76,12 @@ def period_from_name(name: Column) -> tuple[Column, Column]:
     return year, month
 
 
+def period_number(name: Column) -> Column:
+    """yyyymm of a file name, from a single match; null when the name holds none."""
+    found = F.regexp_extract(name, PERIOD_PATTERN, 0)
+    return F.replace(found, F.lit("-"), F.lit("")).try_cast("int")
+
+
 def period_label(name: Column) -> Column:
     """`YYYY-MM`, or the name without its ending."""
     found = F.regexp_extract(name, PERIOD_PATTERN, 0)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripweave.functions.times import from_micros
 from tripweave.schema import (
     DROPOFF,
     DROPOFF_ZONE,
@@ -33,20 +34,27 @@ def conform(
 ) -> DataFrame:
     """Select `target` in its order: renamed, cast, and null where a column is missing.
 
-    A value its type cannot hold becomes null. `keep` names columns to carry along.
+    A value its type cannot hold becomes null, and a whole number that should be
+    a time counts microseconds. `keep` names columns to carry along.
     """
+    stored = dict(df.dtypes)
     columns = []
     for field in target.fields:
         source = source_column(field.name, df.columns, aliases)
         value = F.lit(None) if source is None else F.col(f"`{source}`")
+        if stored.get(source) == "bigint" and field.dataType == T.TimestampNTZType():
+            value = from_micros(value)
         columns.append(value.try_cast(field.dataType).alias(field.name))
     return df.select(*columns, *[F.col(name) for name in keep])
 
 
-def in_month(ts: Column, year: Column, month: Column) -> Column:
-    """The time falls into the labelled month; true for a row with no label."""
-    inside = (F.year(ts) == year) & (F.month(ts) == month)
-    return year.isNull() | month.isNull() | inside
+def in_month(ts: Column, period: Column) -> Column:
+    """The time falls into the month given as yyyymm; true where there is none.
+
+    Names the period once, as it is usually drawn from a file name for every row.
+    """
+    actual = F.year(ts) * 100 + F.month(ts)
+    return F.coalesce(period, actual) == actual
 
 
 def has_real_zones(*zones: Column, sentinels: list[int] = SENTINEL_ZONES) -> Column:
@@ -66,13 +74,13 @@ def clean_rule(
     dropoff: str = DROPOFF,
     pickup_zone: str = PICKUP_ZONE,
     dropoff_zone: str = DROPOFF_ZONE,
-    period: tuple[Column, Column] | None = None,
+    period: Column | None = None,
     sentinels: list[int] = SENTINEL_ZONES,
 ) -> Column:
     """In the labelled month, between real zones, and not ending before it starts."""
     rule = has_valid_times(F.col(pickup), F.col(dropoff))
     rule = rule & has_real_zones(F.col(pickup_zone), F.col(dropoff_zone), sentinels=sentinels)
-    return rule if period is None else rule & in_month(F.col(pickup), *period)
+    return rule if period is None else rule & in_month(F.col(pickup), period)
 
 
 def clean(
@@ -81,7 +89,7 @@ def clean(
     dropoff: str = DROPOFF,
     pickup_zone: str = PICKUP_ZONE,
     dropoff_zone: str = DROPOFF_ZONE,
-    period: tuple[Column, Column] | None = None,
+    period: Column | None = None,
     sentinels: list[int] = SENTINEL_ZONES,
 ) -> DataFrame:
     """The rows that meet every rule; a rule that comes out null drops its row."""

@@ -150,13 +150,21 @@ def first_event(trips: DataFrame) -> DataFrame:
     )
 
 
-def replay_schedule(events: DataFrame, start_us: Column | int, speed: float) -> DataFrame:
-    """Add `replay_offset_us`: wall-clock time after the start at which an event is due."""
+def replay_schedule(
+    events: DataFrame, start_us: Column | int, speed: float, slice_us: int | None = None
+) -> DataFrame:
+    """Add `replay_offset_us`: wall-clock time after the start at which an event is due.
+
+    With `slice_us` also `replay_slice`, the number of the interval it falls into.
+    """
     offset = (F.col("event_time_us") - F.lit(start_us)) / F.lit(float(speed))
-    return events.withColumn("replay_offset_us", F.floor(offset))
+    scheduled = events.withColumn("replay_offset_us", F.floor(offset))
+    if slice_us is None:
+        return scheduled
+    return scheduled.withColumn("replay_slice", whole_div(F.col("replay_offset_us"), slice_us))
 
 
-def event_payload(events: DataFrame) -> DataFrame:
+def event_payload(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Events as keyed JSON text (key, value), with the fields of their kind."""
     doubles = {f.name for f in TRIP_SCHEMA.fields if f.dataType.simpleString() == "double"}
 
@@ -175,7 +183,7 @@ def event_payload(events: DataFrame) -> DataFrame:
         .when(F.col("event") == "IN_TRANSIT", body(IN_TRANSIT_FIELDS))
         .otherwise(body(DROPOFF_FIELDS))
     )
-    return events.select(message_key(F.col(TRIP_ID)).alias("key"), value.alias("value"))
+    return events.select(*keep, message_key(F.col(TRIP_ID)).alias("key"), value.alias("value"))
 
 
 def timestamp_sample(df: DataFrame, column: str, by: list[str], order: list[str]) -> DataFrame:

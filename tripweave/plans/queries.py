@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.functions.geo import lcc_inverse
-from tripweave.functions.times import normalize_epoch_us, period_from_name
+from tripweave.functions.times import normalize_epoch_us, period_from_name, period_number
 from tripweave.operators import clean as cl
 from tripweave.operators import counts, drift, events, zones
 from tripweave.operators.identify import add_trip_id
@@ -92,7 +92,7 @@ def file_status(spark, sf_dir):
 
 
 def table_schemas(spark, sf_dir):
-    return fl.file_schemas(fl.list_files(spark, sf_dir))
+    return fl.file_schemas(fl.read_footers(fl.list_files(spark, sf_dir)))
 
 
 def column_presence(spark, sf_dir):
@@ -160,7 +160,7 @@ def conform_schema(spark, sf_dir):
 
 def clean_month_match(spark, sf_dir):
     trips = st.trip_rows(spark, sf_dir)
-    return trips.where(cl.in_month(F.col("pickup"), *period_from_name(F.col("name"))))
+    return trips.where(cl.in_month(F.col("pickup"), period_number(F.col("name"))))
 
 
 def clean_sentinel(spark, sf_dir):
@@ -175,7 +175,7 @@ def clean_valid_time(spark, sf_dir):
 
 def clean_all(spark, sf_dir):
     trips = st.trip_rows(spark, sf_dir)
-    period = period_from_name(F.col("name"))
+    period = period_number(F.col("name"))
     return cl.clean(trips, "pickup", "dropoff", "pu", "do", period, st.SENTINELS)
 
 

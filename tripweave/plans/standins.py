@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.functions.times import to_micros
-from tripweave.session import apply_settings
+from tripweave.session import apply_settings, spread
 
 SENTINELS = [23, 24]
 
@@ -70,7 +70,8 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Values below 20 give a drop-off before the pickup, 20 itself one of no length.
     """
     duration = "ts + (cast(round(value * 100) as bigint) - 2000) * interval '0.1' second"
-    return table(spark, sf_dir, "events").select(
+    events = spread(table(spark, sf_dir, "events"), "event_id")
+    return events.select(
         F.col("event_id").alias("trip_id"),
         F.col("user_id").alias("VendorID"),
         event_k().alias("PULocationID"),

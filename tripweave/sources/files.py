@@ -73,61 +73,73 @@ def status_counts(files: DataFrame) -> DataFrame:
     return files.groupBy("status").agg(F.count("*").alias("n_files"))
 
 
-def read_footers(files: DataFrame) -> DataFrame:
+def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
     """One row per file and column, with the file's row count, from footers alone.
 
     `type` is the type the file was written with. A file without columns yields
-    one row with a null column. Empty files are left out.
+    one row with a null column, and one that cannot be read, if those are to be
+    skipped, also a null row count. Empty files are left out.
     """
 
     def footers(batches):
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
 
+        def open_file(path):
+            if path.startswith("file:/"):
+                path = "/" + path[len("file:/") :].lstrip("/")
+            if ":/" in path:
+                system, path = fs.FileSystem.from_uri(path)
+            else:
+                system = fs.LocalFileSystem()
+            return system.open_input_file(path)
+
         for batch in batches:
             rows = []
             for path in batch["path"]:
-                uri = "file:///" + path[6:].lstrip("/") if path.startswith("file:/") else path
-                system, inner = (
-                    fs.FileSystem.from_uri(uri) if ":" in uri else (fs.LocalFileSystem(), uri)
-                )
-                with system.open_input_file(inner) as handle:
-                    parquet = pq.ParquetFile(handle)
-                    n_rows = parquet.metadata.num_rows
-                    schema = parquet.schema_arrow
-                    if len(schema) == 0:
-                        rows.append((path, n_rows, None, None, None))
-                    for pos, field in enumerate(schema):
-                        rows.append((path, n_rows, pos, field.name, str(field.type)))
+                try:
+                    with open_file(path) as handle:
+                        parquet = pq.ParquetFile(handle)
+                        n_rows, schema = parquet.metadata.num_rows, parquet.schema_arrow
+                except pa.ArrowInvalid:
+                    if not skip_unreadable:
+                        raise
+                    n_rows, schema = None, []
+                if len(schema) == 0:
+                    rows.append((path, n_rows, None, None, None))
+                for pos, field in enumerate(schema):
+                    rows.append((path, n_rows, pos, field.name, str(field.type)))
             frame = pd.DataFrame(rows, columns=["path", "n_rows", "pos", "column", "type"])
-            yield frame.astype({"pos": "Int32"})
+            yield frame.astype({"n_rows": "Int64", "pos": "Int32"})
 
-    spark = files.sparkSession
-    spread = files.where(F.col("length") > 0).select("path")
-    spread = spread.repartition(max(spark.sparkContext.defaultParallelism, 1), "path")
-    return spread.mapInPandas(footers, FOOTER_SCHEMA)
+    slots = files.sparkSession.sparkContext.defaultParallelism
+    spread_out = files.where(F.col("length") > 0).select("path").repartition(slots, "path")
+    return spread_out.mapInPandas(footers, FOOTER_SCHEMA)
 
 
-def file_schemas(files: DataFrame) -> DataFrame:
+def file_schemas(footers: DataFrame) -> DataFrame:
     """(path, label, pos, column, type) of every column of every file."""
     name = F.element_at(F.split("path", "/"), -1)
-    return (
-        read_footers(files)
-        .where(F.col("column").isNotNull())
-        .select("path", period_label(name).alias("label"), "pos", "column", "type")
+    return footers.where(F.col("column").isNotNull()).select(
+        "path", period_label(name).alias("label"), "pos", "column", "type"
     )
 
 
-def file_counts(files: DataFrame) -> DataFrame:
-    """Rows of each labelled file, taken from its footer: year, month, file, row_count."""
-    counts = (
-        read_footers(files)
-        .groupBy("path")
-        .agg(F.max("n_rows").alias("row_count"))
-    )
+def file_counts(footers: DataFrame) -> DataFrame:
+    """Rows of each labelled file: year, month, file, row_count."""
+    counts = footers.groupBy("path").agg(F.max("n_rows").alias("row_count"))
     return (
         with_period(counts)
         .where(F.col("year").isNotNull())
         .select("year", "month", F.col("path").alias("file"), "row_count")
     )
+
+
+def missing_columns(footers: DataFrame, required: list[str]) -> DataFrame:
+    """Files that lack one of the columns a job needs, with what they lack."""
+    present = footers.groupBy("path").agg(F.collect_set("column").alias("_present"))
+    needed = F.array(*[F.lit(name) for name in required])
+    lacking = present.select("path", F.array_except(needed, "_present").alias("missing"))
+    return lacking.where(F.size("missing") > 0)

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.operators.clean import conform, source_column
+from tripweave.functions.times import from_micros, whole_div
+from tripweave.operators.clean import conform
 from tripweave.schema import PICKUP, SOURCE_FILE, SOURCE_ROW, TRIP_ALIASES, TRIP_SCHEMA
-from tripweave.sources.files import file_schemas
 
 # File column types and the Spark types they are read as.
 READ_TYPES = {
@@ -29,9 +30,6 @@ READ_TYPES = {
     "string": T.StringType(),
     "large_string": T.StringType(),
     "date32[day]": T.DateType(),
-    "timestamp[ms]": T.TimestampNTZType(),
-    "timestamp[us]": T.TimestampNTZType(),
-    "timestamp[ns]": T.LongType(),
 }
 
 
@@ -39,63 +37,79 @@ def read_type(name: str) -> T.DataType | None:
     """How to read a file column; None for one with no values or of an unknown type."""
     dictionary = re.match(r"dictionary<values=(\w+)", name)
     name = dictionary.group(1) if dictionary else name
-    if name.startswith("timestamp[") and "tz=" in name:
-        return T.TimestampType()
+    if is_nanos(name):
+        return T.LongType()
+    if name.startswith("timestamp["):
+        return T.TimestampType() if "tz=" in name else T.TimestampNTZType()
     return READ_TYPES.get(name)
 
 
-def schema_groups(
-    files: DataFrame,
-    target: T.StructType = TRIP_SCHEMA,
-    aliases: dict[str, list[str]] = TRIP_ALIASES,
-) -> list[tuple[T.StructType, list[str]]]:
-    """Files that store the wanted columns alike, as (read schema, paths).
+def is_nanos(name: str) -> bool:
+    return name.startswith("timestamp[ns")
+
 
-    The driver gets the listing it already holds for planning, one row per file.
+def layouts(footers: DataFrame, columns: list[str]) -> dict[tuple, list[str]]:
+    """Files by how they store the wanted columns: ((column, type), ...) -> paths.
+
+    The driver gets one row per file, as it does when it lists files for a scan.
     """
-    wanted = {name for f in target.fields for name in [f.name, *aliases.get(f.name, [])]}
-    stored = file_schemas(files)
-    pair = F.when(F.col("column").isin(sorted(wanted)), F.struct("column", "type"))
-    layouts = stored.groupBy("path").agg(F.array_sort(F.collect_set(pair)).alias("layout"))
+    pair = F.when(F.col("column").isin(columns), F.struct("column", "type"))
+    per_file = footers.groupBy("path").agg(F.array_sort(F.collect_set(pair)).alias("layout"))
     groups: dict[tuple, list[str]] = {}
-    for row in layouts.orderBy("path").toLocalIterator():
-        layout = tuple((c.column, c.type) for c in row.layout)
-        groups.setdefault(layout, []).append(row.path)
-    result = []
-    for layout, paths in groups.items():
-        types = dict(layout)
-        fields = []
-        for field in target.fields:
-            source = source_column(field.name, list(types), aliases)
-            kind = read_type(types[source]) if source else None
-            if kind is not None:
-                fields.append(T.StructField(source, kind))
-        result.append((T.StructType(fields), paths))
-    return result
+    for row in per_file.orderBy("path").toLocalIterator():
+        groups.setdefault(tuple((c.column, c.type) for c in row.layout), []).append(row.path)
+    return groups
+
+
+def read_layout(
+    spark: SparkSession, layout: tuple, paths: list[str], skip_unreadable: bool = False
+) -> DataFrame:
+    """Files of one layout, with the file and row each row came from."""
+    fields = [T.StructField(c, read_type(t)) for c, t in layout if read_type(t) is not None]
+    # A path is also a pattern, so its special signs are escaped.
+    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+    raw = (
+        spark.read.schema(T.StructType(fields))
+        .option("ignoreCorruptFiles", skip_unreadable)
+        .parquet(*literal)
+    )
+    extra = {
+        SOURCE_FILE: F.col("_metadata.file_path"),
+        SOURCE_ROW: F.col("_metadata.row_index"),
+    }
+    for column, kind in layout:
+        if is_nanos(kind):
+            extra[column] = from_micros(whole_div(F.col(column), 1000))
+        elif read_type(kind) is None:
+            extra[column] = F.lit(None)
+    return raw.withColumns(extra)
+
+
+def read_files(
+    footers: DataFrame,
+    columns: list[str],
+    shape: Callable[[DataFrame], DataFrame],
+    skip_unreadable: bool = False,
+) -> DataFrame:
+    """All rows of files whose schemas differ, each layout brought to one shape first."""
+    spark = footers.sparkSession
+    groups = layouts(footers, columns)
+    if not groups:
+        raise ValueError("no files to read")
+    parts = [shape(read_layout(spark, k, paths, skip_unreadable)) for k, paths in groups.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_trips(
-    files: DataFrame,
+    footers: DataFrame,
     target: T.StructType = TRIP_SCHEMA,
     aliases: dict[str, list[str]] = TRIP_ALIASES,
 ) -> DataFrame:
-    """All rows of the files in the target schema, with the file and row they came from."""
-    spark = files.sparkSession
-    parts = []
-    for schema, paths in schema_groups(files, target, aliases):
-        # A path may be a pattern, so its special signs are taken literally.
-        raw = spark.read.schema(schema).parquet(*[re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths])
-        tagged = raw.withColumns(
-            {
-                SOURCE_FILE: F.col("_metadata.file_path"),
-                SOURCE_ROW: F.col("_metadata.row_index"),
-            }
-        )
-        parts.append(conform(tagged, target, aliases, keep=(SOURCE_FILE, SOURCE_ROW)))
-    if not parts:
-        fields = [T.StructField(SOURCE_FILE, T.StringType()), T.StructField(SOURCE_ROW, T.LongType())]
-        return spark.createDataFrame([], T.StructType(target.fields + fields))
-    return reduce(DataFrame.unionByName, parts)
+    """All rows in the target schema, with the file and row they came from."""
+    wanted = [name for f in target.fields for name in [f.name, *aliases.get(f.name, [])]]
+    return read_files(
+        footers, wanted, lambda raw: conform(raw, target, aliases, (SOURCE_FILE, SOURCE_ROW))
+    )
 
 
 def write_by_month(df: DataFrame, path: str, ts: str = PICKUP) -> None:
