@@ -43,27 +43,47 @@ Sink = Callable[[DataFrame, int], None]
 def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the event's 21 fields and `problem`, which is null for a good message.
 
-    Fields are read as text first, so that a number in quotes or a fraction where
-    a whole number belongs is converted and not lost. Unknown fields are ignored.
+    A message that does not fit the types is read again as text, so that a number
+    in quotes or a fraction where a whole number belongs is converted and not
+    lost. Unknown fields are ignored.
     """
-    names = [f.name for f in EVENT_SCHEMA.fields]
-    text_schema = ", ".join(f"`{n}` string" for n in [*names, CORRUPT])
+    kinds = {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA.fields}
+    numbers = [n for n, kind in kinds.items() if kind != "string"]
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.withColumn("_raw", F.from_json(value, text_schema, options))
-
-    typed, bad_fields = [], []
-    for field in EVENT_SCHEMA.fields:
-        raw = F.col(f"_raw.{field.name}")
-        kind = field.dataType.simpleString()
-        converted = typed_value(raw, kind)
-        typed.append(converted.alias(field.name))
-        if kind != "string":
-            unreadable = raw.isNotNull() & (F.trim(raw) != "") & converted.isNull()
-            bad_fields.append(F.when(unreadable, field.name))
-    wrong = F.concat_ws(",", *bad_fields)
-    problem = F.when(F.col("_raw").isNull() | F.col(f"_raw.{CORRUPT}").isNotNull(), "not JSON")
-    problem = problem.when(wrong != "", F.concat(F.lit("wrong type: "), wrong))
-    return parsed.select(*df.columns, *typed, problem.alias("problem"))
+
+    def parse(all_text: bool) -> Column:
+        fields = [f"`{n}` {'string' if all_text else k}" for n, k in kinds.items()]
+        return F.from_json(value, ", ".join([*fields, f"{CORRUPT} string"]), options)
+
+    def unparsed(column: str) -> Column:
+        return F.col(column).isNull() | F.col(f"{column}.{CORRUPT}").isNotNull()
+
+    fits = ~unparsed("_typed")
+    again = F.col("_text").isNotNull()
+    converted = F.struct(*[typed_value(F.col(f"_text.{n}"), k).alias(n) for n, k in kinds.items()])
+    wrong = [
+        F.when((F.trim(F.col(f"_text.{n}")) != "") & F.col(f"_read.{n}").isNull(), n)
+        for n in numbers
+    ]
+    # One step after the other: as a single expression this outgrows compiled code.
+    parsed = (
+        df.withColumn("_typed", parse(all_text=False))
+        .withColumn("_text", F.when(~fits, parse(all_text=True)))
+        .withColumn("_read", F.when(again, converted))
+        .withColumn("_wrong", F.when(again, F.concat_ws(",", *wrong)))
+    )
+    problem = (
+        F.when(fits, F.lit(None))
+        .when(unparsed("_text"), "not JSON")
+        .when(F.col("_wrong") != "", F.concat(F.lit("wrong type: "), F.col("_wrong")))
+    )
+    fields = [
+        F.when(fits, F.col(f"_typed.{n}")).otherwise(F.col(f"_read.{n}")).alias(n) for n in kinds
+    ]
+    # A filter is not moved below a generator, so a message is parsed once even
+    # when only the good or only the bad ones are wanted.
+    decoded = F.struct(*fields, problem.alias("problem"))
+    return parsed.select(*df.columns, F.inline(F.array(decoded)))
 
 
 def typed_value(raw: Column, kind: str) -> Column:
