@@ -10,6 +10,9 @@ from tripweave.session import store
 # A group up to this size is sorted by one task.
 GROUP_ROWS = 10_000_000
 
+# Rows a task should get when a large input is shuffled for numbering.
+TASK_ROWS = 2_000_000
+
 # Bits below the partition number in monotonically_increasing_id().
 LOCAL_BITS = 33
 
@@ -17,10 +20,18 @@ LOCAL_BITS = 33
 BLOCK = 10_000
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the biggest group, from counts combined before the shuffle."""
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows of the biggest group, rows in all), from counts combined before the shuffle."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("rows"))
-    return sizes.agg(F.max("rows")).first()[0] or 0
+    row = sizes.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
+    return row.largest or 0, row.total or 0
+
+
+def partitions_for(df: DataFrame, rows: int) -> int | None:
+    """How many partitions a shuffle of `rows` rows needs, or None if the session's will do."""
+    needed = -(-rows // TASK_ROWS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return needed if needed > usual else None
 
 
 def number_rows(
@@ -32,23 +43,33 @@ def number_rows(
 ) -> DataFrame:
     """Add the 1-based position of each row in its group as `name`.
 
-    One shuffle and a window while every group fits a task. If one does not, all
-    rows are spread by range over keys and order together, so that a large group
-    falls into many partitions, and local positions are shifted by what precedes.
-    `order` should be total: rows equal in all of it can only be kept together.
+    Counts the groups first. One shuffle and a window while every group fits a
+    task. If one does not, all rows are spread by range over keys and order
+    together, so that a large group falls into many partitions, and local
+    positions are shifted by what precedes. `order` should be total: rows equal
+    in all of it can only be kept together.
     """
-    if largest_group(df, keys) <= group_rows:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    return number_rows_by_range(df, keys, order, name)
+    largest, total = group_sizes(df, keys)
+    if largest > group_rows:
+        return number_rows_by_range(df, keys, order, name, partitions_for(df, total))
+    enough = partitions_for(df, total)
+    if enough is not None and keys:
+        df = df.repartition(enough, *keys)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
 
 def number_rows_by_range(
-    df: DataFrame, keys: list[str], order: list[Column], name: str
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    name: str,
+    partitions: int | None = None,
 ) -> DataFrame:
     full_order = [F.col(k).asc_nulls_last() for k in keys] + order
+    ranges = [partitions, *full_order] if partitions else full_order
     placed = store(
-        df.repartitionByRange(*full_order)
+        df.repartitionByRange(*ranges)
         .sortWithinPartitions(*full_order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", LOCAL_BITS)),

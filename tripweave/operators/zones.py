@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions.geo import lcc_inverse
 from tripweave.operators.joins import is_small, lookup
-from tripweave.operators.numbering import largest_group, number_rows
+from tripweave.operators.numbering import group_sizes, number_rows
 from tripweave.schema import (
     DEFAULT_LATITUDE,
     DEFAULT_LONGITUDE,
@@ -54,7 +54,8 @@ def zone_medians(
     """
     points = zone_points(vertices, include_unknown, sentinels)
     keys = ["shape_seq", "LocationID"]
-    if largest_group(points, keys) <= group_rows:
+    largest, _ = group_sizes(points, keys)
+    if largest <= group_rows:
         medians = points.groupBy(*keys).agg(
             F.median("lon").alias("longitude"), F.median("lat").alias("latitude")
         )

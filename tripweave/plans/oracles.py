@@ -307,6 +307,14 @@ SELECT CAST(trip_id AS VARCHAR) AS key, event, trip_id, {ISO} AS ts,
   {when_dropoff("round(trip_distance, 6)", "trip_distance")}
 FROM positions"""
 
+CONFORMED = """
+SELECT o_totalprice AS price, o_orderkey,
+  CASE WHEN o_orderstatus <> 'F' AND o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END
+    AS o_custkey,
+  CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+  o_orderdate, CAST(NULL AS DOUBLE) AS surcharge
+FROM orders"""
+
 CLEAN = f"WITH {TRIPS} SELECT {TRIP_COLUMNS} FROM trips WHERE "
 
 ORACLES: dict[str, str] = {
@@ -320,7 +328,7 @@ ORACLES: dict[str, str] = {
     "list_files": f"""SELECT label || '.parquet' AS name, label, CAST(NULL AS INTEGER) AS year,
         CAST(NULL AS INTEGER) AS month, true AS has_bytes FROM ({TABLE_ROWS})""",
     "file_row_counts": f"SELECT label || '.parquet' AS name, row_count FROM ({TABLE_ROWS})",
-    "period_from_file_name": f"WITH {ORDER_FILES} SELECT o_orderkey, path, year, month FROM periods",
+    "period_from_name": f"WITH {ORDER_FILES} SELECT o_orderkey, path, year, month FROM periods",
     "period_range": f"""WITH {ORDER_FILES} SELECT o_orderkey, path AS name,
         year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS label FROM periods
         WHERE make_date(year, month, 1) BETWEEN DATE '1996-03-01' AND DATE '1998-11-01'""",
@@ -336,12 +344,15 @@ ORACLES: dict[str, str] = {
     "schema_diff": f"WITH {COLUMNS} SELECT * FROM diff WHERE missing_cols <> '' OR extra_cols <> ''",
     "schema_mismatches": f"""WITH {COLUMNS} SELECT count(*) AS n_mismatches FROM diff
         WHERE missing_cols <> '' OR extra_cols <> ''""",
+    "source_guard": f"""WITH {COLUMNS}, needed AS (SELECT unnest(['doc_id', 'text', 'label']) AS "column")
+        SELECT file, string_agg("column", '|' ORDER BY "column") AS missing
+        FROM (SELECT DISTINCT file FROM columns) f CROSS JOIN needed
+        WHERE NOT EXISTS (SELECT 1 FROM columns c
+                          WHERE c.file = f.file AND c."column" = needed."column")
+        GROUP BY file""",
     "preview": "SELECT * FROM nation LIMIT 5",
-    "conform_schema": """SELECT o_totalprice AS price, o_orderkey,
-          CASE WHEN o_orderstatus <> 'F' AND o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END
-            AS o_custkey,
-          CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
-          o_orderdate, CAST(NULL AS DOUBLE) AS surcharge FROM orders""",
+    "conform_schema": CONFORMED,
+    "read_layouts": CONFORMED,
     "clean_month_match": CLEAN + "in_label",
     "clean_sentinel": CLEAN + "real_zones",
     "clean_valid_time": CLEAN + "valid_time",
@@ -365,6 +376,11 @@ ORACLES: dict[str, str] = {
         FROM orders""",
     "trip_ids_by_file": EVENT_IDS,
     "trip_ids_split": EVENT_IDS,
+    "zone_file": """SELECT CAST(c_nationkey AS BIGINT) AS "LocationID", c_acctbal AS longitude,
+          c_custkey + CASE WHEN c_mktsegment = 'FURNITURE' THEN CAST(0.5 AS DOUBLE) ELSE 0 END
+            AS latitude
+        FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')
+        QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) = 1""",
     "zone_last_wins": """SELECT CAST(label AS BIGINT) AS "LocationID",
           CAST(embedding[1] AS DOUBLE) AS longitude, CAST(embedding[2] AS DOUBLE) AS latitude
         FROM embeddings
@@ -407,6 +423,19 @@ ORACLES: dict[str, str] = {
     "event_messages": f"""WITH {POSITIONS}
         SELECT CAST(trip_id AS VARCHAR) AS key, 21 AS n_fields, event, trip_id, {ISO} AS ts,
           round(lat, 6) AS lat, round(lon, 6) AS lon FROM positions""",
+    "clean_to_events": f"""WITH {TRIPS}, identified AS (
+          SELECT CAST(strftime(pickup, '%y%m%d') AS BIGINT) * 1000000000 + row_number() OVER (
+              PARTITION BY name, CAST(pickup AS DATE) ORDER BY pickup, l_orderkey, l_linenumber,
+              l_partkey, l_extendedprice, dropoff) AS trip_id,
+            epoch_us(pickup) AS pickup_us, epoch_us(dropoff) AS dropoff_us
+          FROM trips WHERE in_label AND real_zones AND valid_time),
+        counted AS (SELECT *, CASE WHEN dropoff_us > pickup_us
+            THEN (dropoff_us - pickup_us - 1) // 86400000000 ELSE 0 END AS ticks FROM identified),
+        unfolded AS (SELECT *, unnest(range(ticks + 2)) AS event_seq FROM counted)
+        SELECT trip_id, event_seq, CASE WHEN event_seq = 0 THEN 'PICKUP'
+            WHEN event_seq = ticks + 1 THEN 'DROPOFF' ELSE 'IN_TRANSIT' END AS event,
+          CASE WHEN event_seq = ticks + 1 THEN dropoff_us
+            ELSE pickup_us + event_seq * 86400000000 END AS event_time_us FROM unfolded""",
     "decode_events": f"""WITH {MESSAGES} SELECT event_id, event, trip_id, "PULocationID", fare_amount
         FROM messages WHERE problem IS NULL""",
     "dead_letters": f"WITH {MESSAGES} SELECT value, problem FROM messages WHERE problem IS NOT NULL",

@@ -14,9 +14,11 @@ from tripweave.operators import clean as cl
 from tripweave.operators import counts, drift, events, zones
 from tripweave.operators.identify import add_trip_id
 from tripweave.plans import standins as st
-from tripweave.schema import EVENT_SCHEMA
+from tripweave.schema import EVENT_SCHEMA, SOURCE_FILE, SOURCE_ROW
 from tripweave.session import new_folder
 from tripweave.sources import files as fl
+from tripweave.sources.tables import parse_zones
+from tripweave.sources.trips import read_trips
 from tripweave.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +118,16 @@ def schema_mismatches(spark, sf_dir):
     return drift.mismatch_count(table_schemas(spark, sf_dir))
 
 
+def source_guard(spark, sf_dir):
+    """Tables that lack one of the columns a job would need."""
+    footers = fl.read_footers(fl.list_files(spark, sf_dir))
+    lacking = fl.missing_columns(footers, ["doc_id", "text", "label"])
+    return lacking.select(
+        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.array_join(F.array_sort("missing"), "|").alias("missing"),
+    )
+
+
 def preview(spark, sf_dir):
     return st.table(spark, sf_dir, "nation").limit(5)
 
@@ -135,7 +147,7 @@ CONFORMED = T.StructType(
 CONFORMED_ALIASES = {"price": ["o_totalprice"]}
 
 
-def conform_schema(spark, sf_dir):
+def order_eras(spark, sf_dir):
     """Two eras of one table: other types, another name, a missing and an extra column."""
     orders = st.table(spark, sf_dir, "orders")
     old = orders.where(F.col("o_orderstatus") == "F").select(
@@ -154,8 +166,22 @@ def conform_schema(spark, sf_dir):
         "o_orderpriority",
         "o_orderdate",
     )
-    parts = [cl.conform(part, CONFORMED, CONFORMED_ALIASES) for part in (old, new)]
-    return parts[0].unionByName(parts[1])
+    return old, new
+
+
+def conform_schema(spark, sf_dir):
+    old, new = order_eras(spark, sf_dir)
+    conformed = cl.conform(old, CONFORMED, CONFORMED_ALIASES)
+    return conformed.unionByName(cl.conform(new, CONFORMED, CONFORMED_ALIASES))
+
+
+def read_layouts(spark, sf_dir):
+    """The same two eras, written as files and read back by their layouts."""
+    folder = new_folder(spark, "eras")
+    for name, era in zip(("old", "new"), order_eras(spark, sf_dir), strict=True):
+        era.write.parquet(f"{folder}/{name}")
+    footers = fl.read_footers(fl.list_files(spark, folder))
+    return read_trips(footers, CONFORMED, CONFORMED_ALIASES).drop(SOURCE_FILE, SOURCE_ROW)
 
 
 def clean_month_match(spark, sf_dir):
@@ -224,6 +250,11 @@ def trip_ids_split(spark, sf_dir):
 # --- zones ------------------------------------------------------------------
 
 
+def zone_file(spark, sf_dir):
+    lines = parse_zones(st.zone_lines(spark, sf_dir))
+    return zones.last_per_zone(lines, ["c_custkey"])
+
+
 def zone_last_wins(spark, sf_dir):
     return zones.last_per_zone(st.embedding_zones(spark, sf_dir), ["vec_id"])
 
@@ -327,6 +358,18 @@ def event_messages(spark, sf_dir):
     )
 
 
+DAY_US = 86_400_000_000
+
+
+def clean_to_events(spark, sf_dir):
+    """Order lines as trips: cleaned, identified per file, and unfolded day by day."""
+    ties = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "dropoff"]
+    identified = add_trip_id(clean_all(spark, sf_dir), "pickup", ["name"], ties)
+    typed = events.with_defaults(identified, "pickup", "dropoff")
+    timeline = events.expand_events(typed.select("trip_id", "pickup_us", "dropoff_us"), DAY_US)
+    return timeline.select("trip_id", "event_seq", "event", "event_time_us")
+
+
 # --- feed -------------------------------------------------------------------
 
 DECODED = ["event", "trip_id", "PULocationID", "fare_amount"]
@@ -399,16 +442,17 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         monthly_counts, monthly_stats, yearly_totals, grand_total, covered_range,
-        list_files, file_row_counts, period_from_file_name, period_range, file_status,
-        column_presence, schema_baseline, schema_diff, schema_mismatches, preview,
-        conform_schema, clean_month_match, clean_sentinel, clean_valid_time, clean_all,
+        list_files, file_row_counts, period_range, file_status,
+        column_presence, schema_baseline, schema_diff, schema_mismatches, source_guard, preview,
+        conform_schema, read_layouts, clean_month_match, clean_sentinel, clean_valid_time, clean_all,
         clean_job_summary, epoch_normalise, timestamp_range_check, timestamp_sample,
         trip_ids, trip_ids_by_file, trip_ids_split,
-        zone_last_wins, zone_lookup_default, zone_lookup_salted, zone_medians,
+        zone_file, zone_last_wins, zone_lookup_default, zone_lookup_salted, zone_medians,
         zone_medians_split, reproject,
         typed_defaults, event_timeline, event_order, event_counts, first_event,
-        event_positions, replay_schedule, event_payloads, event_messages,
+        event_positions, replay_schedule, event_payloads, event_messages, clean_to_events,
         decode_events, dead_letters, feed_metrics, feed_history, feed_stream,
         feed_stream_metrics,
     )
 }
+QUERIES["period_from_name"] = period_from_file_name

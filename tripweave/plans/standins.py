@@ -85,6 +85,21 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of a zone file per customer, well or badly written by market segment."""
+    customers = table(spark, sf_dir, "customer")
+    zone, account = F.col("c_nationkey").cast("string"), F.col("c_acctbal").cast("string")
+    number, segment = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
+    line = (
+        F.when(segment == "BUILDING", F.concat_ws(",", zone, account))
+        .when(segment == "MACHINERY", F.concat_ws(",", zone, F.lit("east"), number))
+        .when(segment == "FURNITURE", F.concat(F.lit('"'), zone, F.lit('", '), account,
+                                               F.lit(' ,"'), number, F.lit('.5x"')))
+        .otherwise(F.concat_ws(",", zone, account, number, segment))
+    )
+    return customers.select("c_custkey", line.alias("value"))
+
+
 def nation_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A coordinate per nation; event keys above 24 find none."""
     nation = table(spark, sf_dir, "nation")
@@ -144,7 +159,7 @@ def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_messages(table(spark, sf_dir, "events"))
+    return as_messages(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def as_messages(events: DataFrame) -> DataFrame:
