@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.geo import interpolate
+from tripweave.functions.numbers import fixed_decimals
 from tripweave.functions.text import message_key
 from tripweave.functions.times import (
     epoch_micros,
@@ -30,7 +31,6 @@ DROPOFF_FIELDS = [
     "trip_distance", "RatecodeID", "payment_type", "extra", "mta_tax", "tip_amount",
     "tolls_amount", "improvement_surcharge", "congestion_surcharge", "Airport_fee", "ts",
 ]
-DECIMALS = 6
 
 
 def require_columns(df: DataFrame, *names: str) -> None:
@@ -171,9 +171,7 @@ def event_payload(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     def field(name: str) -> Column:
         if name == "ts":
             return iso_utc(F.col("event_time_us")).alias("ts")
-        if name in doubles or name in ("lat", "lon"):
-            return F.round(name, DECIMALS).alias(name)
-        return F.col(name)
+        return fixed_decimals(F.col(name)).alias(name) if name in doubles else F.col(name)
 
     def body(fields: list[str]) -> Column:
         return F.to_json(F.struct(*[field(n) for n in fields]), {"ignoreNullFields": "false"})
@@ -183,7 +181,8 @@ def event_payload(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .when(F.col("event") == "IN_TRANSIT", body(IN_TRANSIT_FIELDS))
         .otherwise(body(DROPOFF_FIELDS))
     )
-    return events.select(*keep, message_key(F.col(TRIP_ID)).alias("key"), value.alias("value"))
+    located = events.withColumns({c: fixed_decimals(F.col(c)) for c in ("lat", "lon")})
+    return located.select(*keep, message_key(F.col(TRIP_ID)).alias("key"), value.alias("value"))
 
 
 def timestamp_sample(df: DataFrame, column: str, by: list[str], order: list[str]) -> DataFrame:

@@ -288,12 +288,16 @@ def when_pickup(expression: str, name: str) -> str:
     return f"CASE WHEN event = 'PICKUP' THEN {expression} END AS \"{name}\""
 
 
+def fixed(expression: str) -> str:
+    return f"CAST(printf('%.6f', {expression}) AS DOUBLE)"
+
+
 NO_MONEY = "CAST(0 AS DOUBLE)"
 NO_CODE = "CAST(0 AS BIGINT)"
 
 PAYLOADS = f"""WITH {POSITIONS}
 SELECT CAST(trip_id AS VARCHAR) AS key, event, trip_id, {ISO} AS ts,
-  round(lat, 6) AS lat, round(lon, 6) AS lon,
+  {fixed("lat")} AS lat, {fixed("lon")} AS lon,
   {when_pickup("pu", "PULocationID")}, {when_dropoff('"do"', "DOLocationID")},
   {when_pickup("user_id", "VendorID")},
   {when_pickup("length(event_type)", "passenger_count")},
@@ -302,9 +306,9 @@ SELECT CAST(trip_id AS VARCHAR) AS key, event, trip_id, {ISO} AS ts,
   {when_dropoff(NO_MONEY, "tip_amount")}, {when_dropoff(NO_MONEY, "tolls_amount")},
   {when_dropoff(NO_MONEY, "improvement_surcharge")},
   {when_dropoff(NO_MONEY, "congestion_surcharge")}, {when_dropoff(NO_MONEY, "Airport_fee")},
-  {when_dropoff("round(value, 6)", "fare_amount")},
-  {when_dropoff("round(value + CAST(2.5 AS DOUBLE), 6)", "total_amount")},
-  {when_dropoff("round(trip_distance, 6)", "trip_distance")}
+  {when_dropoff(fixed("value"), "fare_amount")},
+  {when_dropoff(fixed("value + CAST(2.5 AS DOUBLE)"), "total_amount")},
+  {when_dropoff(fixed("trip_distance"), "trip_distance")}
 FROM positions"""
 
 CONFORMED = """
@@ -422,7 +426,7 @@ ORACLES: dict[str, str] = {
     "event_payloads": PAYLOADS,
     "event_messages": f"""WITH {POSITIONS}
         SELECT CAST(trip_id AS VARCHAR) AS key, 21 AS n_fields, event, trip_id, {ISO} AS ts,
-          round(lat, 6) AS lat, round(lon, 6) AS lon FROM positions""",
+          {fixed("lat")} AS lat, {fixed("lon")} AS lon FROM positions""",
     "clean_to_events": f"""WITH {TRIPS}, identified AS (
           SELECT CAST(strftime(pickup, '%y%m%d') AS BIGINT) * 1000000000 + row_number() OVER (
               PARTITION BY name, CAST(pickup AS DATE) ORDER BY pickup, l_orderkey, l_linenumber,
