@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ GROUP_ROWS = 10_000_000
 # Rows a task should get when a large input is shuffled for numbering.
 TASK_ROWS = 2_000_000
 
+# Group pieces up to this number, about 100 bytes each, are copied to every executor.
+BROADCAST_PIECES = 500_000
+
 # Bits below the partition number in monotonically_increasing_id().
 LOCAL_BITS = 33
 
@@ -20,11 +25,17 @@ LOCAL_BITS = 33
 BLOCK = 10_000
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows of the biggest group, rows in all), from counts combined before the shuffle."""
+class GroupSizes(NamedTuple):
+    largest: int
+    total: int
+    groups: int
+
+
+def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
+    """Rows of the biggest group, rows in all and groups, counted before any row is moved."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("rows"))
-    row = sizes.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
-    return row.largest or 0, row.total or 0
+    row = sizes.agg(F.max("rows"), F.sum("rows"), F.count("*")).first()
+    return GroupSizes(row[0] or 0, row[1] or 0, row[2])
 
 
 def partitions_for(df: DataFrame, rows: int) -> int | None:
@@ -49,10 +60,10 @@ def number_rows(
     positions are shifted by what precedes. `order` should be total: rows equal
     in all of it can only be kept together.
     """
-    largest, total = group_sizes(df, keys)
-    if largest > group_rows:
-        return number_rows_by_range(df, keys, order, name, partitions_for(df, total))
-    enough = partitions_for(df, total)
+    sizes = group_sizes(df, keys)
+    enough = partitions_for(df, sizes.total)
+    if sizes.largest > group_rows:
+        return number_rows_by_range(df, keys, order, name, sizes.groups, enough)
     if enough is not None and keys:
         df = df.repartition(enough, *keys)
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -64,12 +75,15 @@ def number_rows_by_range(
     keys: list[str],
     order: list[Column],
     name: str,
+    groups: int,
     partitions: int | None = None,
 ) -> DataFrame:
+    """Number rows that are spread by range; `groups` says how many groups there are."""
     full_order = [F.col(k).asc_nulls_last() for k in keys] + order
-    ranges = [partitions, *full_order] if partitions else full_order
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = store(
-        df.repartitionByRange(*ranges)
+        df.repartitionByRange(partitions, *full_order)
         .sortWithinPartitions(*full_order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", LOCAL_BITS)),
@@ -89,6 +103,8 @@ def number_rows_by_range(
         F.col("_part").alias("_key_part"),
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
+    if groups + partitions <= BROADCAST_PIECES:
+        pieces = F.broadcast(pieces)
     match = placed["_part"] == pieces["_key_part"]
     for key in keys:
         match = match & placed[key].eqNullSafe(pieces[f"_key_{key}"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.geo import lcc_inverse
-from tripweave.operators.joins import is_small, lookup
+from tripweave.operators.joins import BROADCAST_ROWS, is_small, lookup
 from tripweave.operators.numbering import group_sizes, number_rows
 from tripweave.schema import (
     DEFAULT_LATITUDE,
@@ -54,14 +54,15 @@ def zone_medians(
     """
     points = zone_points(vertices, include_unknown, sentinels)
     keys = ["shape_seq", "LocationID"]
-    largest, _ = group_sizes(points, keys)
-    if largest <= group_rows:
+    sizes = group_sizes(points, keys)
+    if sizes.largest <= group_rows:
         medians = points.groupBy(*keys).agg(
             F.median("lon").alias("longitude"), F.median("lat").alias("latitude")
         )
     else:
-        lon = middle_value(points, keys, "lon", "longitude", group_rows)
-        lat = middle_value(points, keys, "lat", "latitude", group_rows)
+        few = sizes.groups <= BROADCAST_ROWS
+        lon = middle_value(points, keys, "lon", "longitude", group_rows, few)
+        lat = middle_value(points, keys, "lat", "latitude", group_rows, few)
         medians = lon.join(lat, keys)
     return medians.orderBy("LocationID", "shape_seq").select(
         "LocationID", "longitude", "latitude", "shape_seq"
@@ -69,11 +70,16 @@ def zone_medians(
 
 
 def middle_value(
-    df: DataFrame, keys: list[str], value: str, name: str, group_rows: int
+    df: DataFrame, keys: list[str], value: str, name: str, group_rows: int, few_groups: bool
 ) -> DataFrame:
     """The median by position: the middle row, or the mean of the two middle rows."""
-    numbered = number_rows(df.select(*keys, value), keys, [F.col(value).asc()], "_seq", group_rows)
+    # A running number tells equal values apart, so that many of them can be split up.
+    values = df.select(*keys, value).withColumn("_tie", F.monotonically_increasing_id())
+    order = [F.col(value).asc(), F.col("_tie").asc()]
+    numbered = number_rows(values, keys, order, "_seq", group_rows)
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    if few_groups:
+        sizes = F.broadcast(sizes)
     low = F.expr("(_rows + 1) div 2")
     high = F.expr("_rows div 2 + 1")
     middle = numbered.join(sizes, keys).where(F.col("_seq").between(low, high))
