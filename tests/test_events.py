@@ -110,7 +110,7 @@ def test_required_columns(spark):
 
 
 def located(spark):
-    return events.with_defaults(raw_trip(spark)).withColumns(
+    return events.wire_amounts(events.with_defaults(raw_trip(spark))).withColumns(
         {"pu_lat": F.lit(40.0), "pu_lon": F.lit(-74.0),
          "do_lat": F.lit(41.0), "do_lon": F.lit(-73.0)}
     )

@@ -33,6 +33,9 @@ DROPOFF_FIELDS = [
 ]
 
 
+AMOUNTS = [f.name for f in TRIP_SCHEMA.fields if f.dataType.simpleString() == "double"]
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
@@ -164,25 +167,33 @@ def replay_schedule(
     return scheduled.withColumn("replay_slice", whole_div(F.col("replay_offset_us"), slice_us))
 
 
+def wire_amounts(trips: DataFrame) -> DataFrame:
+    """Trips with their amounts rounded for the wire; once per trip, not once per event."""
+    return trips.withColumns({name: fixed_decimals(F.col(name)) for name in AMOUNTS})
+
+
 def event_payload(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Events as keyed JSON text (key, value), with the fields of their kind."""
-    doubles = {f.name for f in TRIP_SCHEMA.fields if f.dataType.simpleString() == "double"}
+    """Events as keyed JSON text (key, value), with the fields of their kind.
 
-    def field(name: str) -> Column:
-        if name == "ts":
-            return iso_utc(F.col("event_time_us")).alias("ts")
-        return fixed_decimals(F.col(name)).alias(name) if name in doubles else F.col(name)
+    Amounts are written as they are; `wire_amounts` rounds them on the trips.
+    """
 
     def body(fields: list[str]) -> Column:
-        return F.to_json(F.struct(*[field(n) for n in fields]), {"ignoreNullFields": "false"})
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
     value = (
         F.when(F.col("event") == "PICKUP", body(PICKUP_FIELDS))
         .when(F.col("event") == "IN_TRANSIT", body(IN_TRANSIT_FIELDS))
         .otherwise(body(DROPOFF_FIELDS))
     )
-    located = events.withColumns({c: fixed_decimals(F.col(c)) for c in ("lat", "lon")})
-    return located.select(*keep, message_key(F.col(TRIP_ID)).alias("key"), value.alias("value"))
+    written = events.withColumns(
+        {
+            "lat": fixed_decimals(F.col("lat")),
+            "lon": fixed_decimals(F.col("lon")),
+            "ts": iso_utc(F.col("event_time_us")),
+        }
+    )
+    return written.select(*keep, message_key(F.col(TRIP_ID)).alias("key"), value.alias("value"))
 
 
 def timestamp_sample(df: DataFrame, column: str, by: list[str], order: list[str]) -> DataFrame:

@@ -100,7 +100,7 @@ def expand_job(
     off for readers that go by `replay_offset_us` or by key.
     """
     trips = read_identified(spark, source, start, end)
-    located = zones.locate_trips(trips, read_zones(spark, zone_file))
+    located = zones.locate_trips(events.wire_amounts(trips), read_zones(spark, zone_file))
     timeline = events.with_positions(events.expand_events(located, step_us))
     first = events.first_event(trips).select("first_event_us").scalar()
     scheduled = events.replay_schedule(timeline, first, speed, slice_us)

@@ -299,7 +299,8 @@ def typed_legs(spark, sf_dir):
 
 
 def located_events(spark, sf_dir):
-    located = zones.locate_trips(typed_legs(spark, sf_dir), st.nation_zones(spark, sf_dir))
+    trips = events.wire_amounts(typed_legs(spark, sf_dir))
+    located = zones.locate_trips(trips, st.nation_zones(spark, sf_dir))
     return events.with_positions(events.expand_events(located))
 
 

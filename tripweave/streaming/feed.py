@@ -48,7 +48,6 @@ def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
     lost. Unknown fields are ignored.
     """
     kinds = {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA.fields}
-    numbers = [n for n, kind in kinds.items() if kind != "string"]
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
     def parse(all_text: bool) -> Column:
@@ -59,18 +58,23 @@ def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
         return F.col(column).isNull() | F.col(f"{column}.{CORRUPT}").isNotNull()
 
     fits = ~unparsed("_typed")
-    again = F.col("_text").isNotNull()
-    converted = F.struct(*[typed_value(F.col(f"_text.{n}"), k).alias(n) for n, k in kinds.items()])
-    wrong = [
-        F.when((F.trim(F.col(f"_text.{n}")) != "") & F.col(f"_read.{n}").isNull(), n)
-        for n in numbers
-    ]
-    # One step after the other: as a single expression this outgrows compiled code.
-    parsed = (
-        df.withColumn("_typed", parse(all_text=False))
-        .withColumn("_text", F.when(~fits, parse(all_text=True)))
-        .withColumn("_read", F.when(again, converted))
-        .withColumn("_wrong", F.when(again, F.concat_ws(",", *wrong)))
+    parsed = df.withColumn("_typed", parse(all_text=False)).withColumn(
+        "_text", F.when(~fits, parse(all_text=True))
+    )
+    # Few messages get here, so the second reading works on lists: that keeps the
+    # compiled code of the usual way small.
+    second, wrong = {n: F.col(f"_text.{n}") for n in kinds}, []
+    for kind, to_number in (("bigint", whole_number), ("double", decimal_number)):
+        names = [n for n, k in kinds.items() if k == kind]
+        texts = F.array(*[F.col(f"_text.{n}") for n in names])
+        numbers = F.when(F.col("_text").isNotNull(), F.transform(texts, to_number))
+        parsed = parsed.withColumn(f"_{kind}", numbers)
+        second.update({n: F.get(f"_{kind}", F.lit(i)) for i, n in enumerate(names)})
+        lost = F.zip_with(texts, f"_{kind}", lambda t, x: (F.trim(t) != "") & x.isNull())
+        labels = F.array(*[F.lit(n) for n in names])
+        wrong.append(F.zip_with(labels, lost, lambda n, is_lost: F.when(is_lost, n)))
+    parsed = parsed.withColumn(
+        "_wrong", F.when(F.col("_text").isNotNull(), F.concat_ws(",", *wrong))
     )
     problem = (
         F.when(fits, F.lit(None))
@@ -78,7 +82,8 @@ def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
         .when(F.col("_wrong") != "", F.concat(F.lit("wrong type: "), F.col("_wrong")))
     )
     fields = [
-        F.when(fits, F.col(f"_typed.{n}")).otherwise(F.col(f"_read.{n}")).alias(n) for n in kinds
+        F.when(fits, F.col(f"_typed.{n}")).otherwise(again).alias(n)
+        for n, again in second.items()
     ]
     # A filter is not moved below a generator, so a message is parsed once even
     # when only the good or only the bad ones are wanted.
@@ -86,10 +91,12 @@ def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
     return parsed.select(*df.columns, F.inline(F.array(decoded)))
 
 
-def typed_value(raw: Column, kind: str) -> Column:
-    if kind == "bigint":
-        return F.coalesce(raw.try_cast("bigint"), raw.try_cast("double").try_cast("bigint"))
-    return raw.try_cast(kind)
+def whole_number(text: Column) -> Column:
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
+def decimal_number(text: Column) -> Column:
+    return text.try_cast("double")
 
 
 def good_events(decoded: DataFrame) -> DataFrame:
