@@ -168,8 +168,14 @@ def replay_schedule(
 
 
 def wire_amounts(trips: DataFrame) -> DataFrame:
-    """Trips with their amounts rounded for the wire; once per trip, not once per event."""
-    return trips.withColumns({name: fixed_decimals(F.col(name)) for name in AMOUNTS})
+    """Trips with their amounts rounded for the wire; once per trip, not once per event.
+
+    Rounds them as a list: ten separate expressions would outgrow the size up to
+    which the code around them is compiled.
+    """
+    rounded = trips.withColumn("_amounts", F.transform(F.array(*AMOUNTS), fixed_decimals))
+    amounts = {name: F.get("_amounts", F.lit(i)) for i, name in enumerate(AMOUNTS)}
+    return rounded.withColumns(amounts).drop("_amounts")
 
 
 def event_payload(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -54,7 +54,7 @@ def clean_job(
     files = fl.with_status(fl.list_files(spark, source), start, end)
     footers = store(fl.read_footers(files.where(F.col("status") == "processed")), "footers")
     trips = read_trips(footers)
-    name = F.element_at(F.split(SOURCE_FILE, "/"), -1)
+    name = F.substring_index(SOURCE_FILE, "/", -1)
     write_by_month(clean(trips, period=period_number(name)), target)
     return fl.status_counts(files)
 

@@ -67,7 +67,7 @@ def list_files(spark, sf_dir):
 
 def file_row_counts(spark, sf_dir):
     footers = fl.read_footers(fl.list_files(spark, sf_dir))
-    name = F.element_at(F.split("path", "/"), -1)
+    name = F.substring_index("path", "/", -1)
     return footers.groupBy(name.alias("name")).agg(F.max("n_rows").alias("row_count"))
 
 
@@ -108,7 +108,7 @@ def schema_baseline(spark, sf_dir):
 def schema_diff(spark, sf_dir):
     differing = drift.schema_diff(table_schemas(spark, sf_dir))
     return differing.select(
-        F.element_at(F.split("file", "/"), -1).alias("file"),
+        F.substring_index("file", "/", -1).alias("file"),
         F.array_join("missing_cols", "|").alias("missing_cols"),
         F.array_join("extra_cols", "|").alias("extra_cols"),
     )
@@ -123,7 +123,7 @@ def source_guard(spark, sf_dir):
     footers = fl.read_footers(fl.list_files(spark, sf_dir))
     lacking = fl.missing_columns(footers, ["doc_id", "text", "label"])
     return lacking.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.substring_index("path", "/", -1).alias("file"),
         F.array_join(F.array_sort("missing"), "|").alias("missing"),
     )
 

@@ -15,8 +15,6 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A task writes a few months side by side; only beyond that it sorts by month.
-    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # A nanosecond column is read as a plain count and scaled by the epoch rule.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }

@@ -42,7 +42,7 @@ def plain_path(uri: str) -> str:
 def with_period(files: DataFrame) -> DataFrame:
     """Add the file name, its label and its (year, month)."""
     year, month = period_from_name(F.col("name"))
-    return files.withColumn("name", F.element_at(F.split("path", "/"), -1)).withColumns(
+    return files.withColumn("name", F.substring_index("path", "/", -1)).withColumns(
         {"label": period_label(F.col("name")), "year": year, "month": month}
     )
 
@@ -121,7 +121,7 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
 
 def file_schemas(footers: DataFrame) -> DataFrame:
     """(path, label, pos, column, type) of every column of every file."""
-    name = F.element_at(F.split("path", "/"), -1)
+    name = F.substring_index("path", "/", -1)
     return footers.where(F.col("column").isNotNull()).select(
         "path", period_label(name).alias("label"), "pos", "column", "type"
     )
