@@ -34,9 +34,14 @@ def test_ticks_lie_strictly_before_dropoff(spark, duration_us, ticks):
     assert times == [0] + [30 * SECOND * k for k in range(1, ticks + 1)] + [duration_us]
 
 
-def test_a_long_trip_unfolds_over_many_chunks(spark):
-    n = 3 * events.CHUNK + 17
-    out = events.expand_events(timed(spark, [n * STEP_US + 1, SECOND]))
+CHUNK = 64
+
+
+@pytest.mark.parametrize("long_trip", [None, 0, 2, 10_000])
+def test_a_long_trip_unfolds_over_many_chunks(spark, long_trip):
+    n = 3 * CHUNK + 17
+    trips = timed(spark, [n * STEP_US + 1, SECOND])
+    out = events.expand_events(trips, long_trip=long_trip, chunk=CHUNK)
     assert out.where("trip_id = 0").count() == n + 2
     seqs = out.where("trip_id = 0").agg(
         F.min("event_seq"), F.max("event_seq"), F.countDistinct("event_seq")
@@ -47,8 +52,8 @@ def test_a_long_trip_unfolds_over_many_chunks(spark):
 
 @pytest.mark.parametrize("extra", [-2, -1, 0, 1, 2])
 def test_chunk_edges(spark, extra):
-    n = events.CHUNK + extra
-    out = events.expand_events(timed(spark, [n * STEP_US + 1]))
+    n = CHUNK + extra
+    out = events.expand_events(timed(spark, [n * STEP_US + 1]), chunk=CHUNK)
     row = out.agg(F.count("*"), F.countDistinct("event_time_us"), F.max("event_seq")).first()
     assert tuple(row) == (n + 2, n + 2, n + 1)
 

@@ -144,8 +144,47 @@ def test_expand_leaves_out_files_without_ids(spark, folder):
     put(f"{folder}/ids", "trips_2020-03.parquet", columns)
     with open(f"{folder}/ids/trips_2020-04.parquet", "w") as handle:
         handle.write("not a parquet file at all")
-    trips = jobs.read_identified(spark, f"{folder}/ids", (2020, 1), (2024, 4)).collect()
+    footers = jobs.identified_footers(spark, f"{folder}/ids", (2020, 1), (2024, 4))
+    trips = jobs.read_identified(footers).collect()
     assert [(r.trip_id, r.dropoff_us - r.pickup_us) for r in trips] == [(7, 30_000_000)]
+    report = fl.ingested_rows(footers, jobs.EXPAND_NEEDS).orderBy("path").collect()
+    assert [(r.n_rows, r.missing, r.n_ingested) for r in report] == [
+        (1, [], 1), (1, ["trip_id"], 0), (None, jobs.EXPAND_NEEDS, 0)]
+    counted = jobs.expand_job(spark, f"{folder}/ids", write_zones(folder), f"{folder}/events",
+                              report=f"{folder}/report")
+    assert {r.event: r.n_events for r in counted.collect()}["sent"] == 2
+    assert spark.read.option("header", True).csv(f"{folder}/report").count() == 3
+
+
+def write_zones(folder):
+    with open(f"{folder}/zones.csv", "w") as handle:
+        handle.write("LocationID,longitude,latitude\n4,-73.0,40.0\n5,-74.0,41.0\n")
+    return f"{folder}/zones.csv"
+
+
+def test_times_are_checked_per_file(spark, folder):
+    put(f"{folder}/ids", "trips_2020-02.parquet", {
+        PICKUP: longs(0, 1_580_702_706), DROPOFF: times(None, "1999-01-01")})
+    put(f"{folder}/ids", "trips_2020-03.parquet", {"trip_id": longs(1)})
+    jobs.check_times_job(spark, f"{folder}/ids", f"{folder}/times", (2020, 1), (2020, 3))
+    rows = spark.read.option("header", True).csv(f"{folder}/times").collect()
+    got = {r.column: (r.raw, r.iso, r.in_range, r.n_rows, r.n_in_range) for r in rows}
+    assert got == {
+        PICKUP: ("1580702706", "2020-02-03T04:05:06Z", "true", "2", "1"),
+        DROPOFF: ("915148800000000", "1999-01-01T00:00:00Z", "false", "2", "0"),
+    }
+
+
+def test_a_trip_with_a_wrong_time_is_spread(spark, folder, monkeypatch):
+    monkeypatch.setattr(jobs.events, "LONG_TRIP", 1000)
+    put(f"{folder}/ids", "trips_2020-02.parquet", {
+        PICKUP: times("2020-02-03 10:00:00", "2020-02-03 10:00:00"),
+        DROPOFF: times("2020-02-03 10:10:00", "2020-03-03 10:10:00"),
+        "PULocationID": longs(4, 4), "DOLocationID": longs(5, 5), "trip_id": longs(1, 2)})
+    counted = jobs.expand_job(spark, f"{folder}/ids", write_zones(folder), f"{folder}/events")
+    sent = {r.event: r.n_events for r in counted.collect()}["sent"]
+    assert sent > 80_000
+    assert spark.read.parquet(f"{folder}/events").count() == sent
 
 
 def test_profile(spark, raw, folder):

@@ -19,7 +19,10 @@ from tripweave.functions.times import (
 from tripweave.schema import DROPOFF, PICKUP, STEP_US, TRIP_ID, TRIP_SCHEMA
 
 # Events that one row unfolds into at a time; keeps a trip of years out of memory.
-CHUNK = 4096
+CHUNK = 65_536
+
+# A trip with more events than this is unfolded by many tasks.
+LONG_TRIP = 10_000_000
 
 # Fields of each event kind on the wire, in order.
 PICKUP_FIELDS = [
@@ -69,33 +72,54 @@ def tick_count(pickup_us: Column, dropoff_us: Column, step_us: int = STEP_US) ->
     return F.when(duration > 0, whole_div(duration - 1, step_us)).otherwise(0)
 
 
+def has_long_trips(
+    trips: DataFrame,
+    step_us: int = STEP_US,
+    pickup_us: str = "pickup_us",
+    dropoff_us: str = "dropoff_us",
+) -> bool:
+    """Whether a wrong time, most likely, makes some trip very long; reads two columns."""
+    ticks = tick_count(F.col(pickup_us), F.col(dropoff_us), step_us)
+    return (trips.agg(F.max(ticks)).first()[0] or 0) > LONG_TRIP
+
+
 def expand_events(
     trips: DataFrame,
     step_us: int = STEP_US,
     pickup_us: str = "pickup_us",
     dropoff_us: str = "dropoff_us",
+    long_trip: int | None = None,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per event, with `event`, `event_time_us` and `event_seq` added.
 
     `event_seq` is 0 for the pickup, 1..n for the steps and n + 1 for the drop-off.
+    A trip unfolds where it is, without a shuffle. With `long_trip`, trips of
+    more steps are cut into chunks that go to different tasks, at the price of
+    reading the trips twice.
     """
-    final = F.col("_final")
-    first = F.col("_chunk") * CHUNK
-    chunked = trips.withColumn(
-        "_final", tick_count(F.col(pickup_us), F.col(dropoff_us), step_us) + 1
-    ).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), whole_div(final, CHUNK))))
-    events = chunked.withColumn(
-        "event_seq", F.explode(F.sequence(first, F.least(first + (CHUNK - 1), final)))
+    seq, final, start = F.col("event_seq"), F.col("_final"), F.col("_chunk") * chunk
+
+    def in_chunks(counted: DataFrame) -> DataFrame:
+        numbers = F.sequence(F.lit(0).cast("bigint"), whole_div(final, chunk))
+        return counted.withColumn("_chunk", F.explode(numbers))
+
+    def unfold(chunked: DataFrame) -> DataFrame:
+        numbers = F.sequence(start, F.least(start + (chunk - 1), final))
+        kind = F.when(seq == 0, "PICKUP").when(seq == final, "DROPOFF").otherwise("IN_TRANSIT")
+        time = F.when(seq == final, F.col(dropoff_us)).otherwise(F.col(pickup_us) + seq * step_us)
+        events = chunked.withColumn("event_seq", F.explode(numbers))
+        return events.withColumns({"event": kind, "event_time_us": time}).drop("_final", "_chunk")
+
+    ticks = tick_count(F.col(pickup_us), F.col(dropoff_us), step_us)
+    counted = trips.withColumn("_final", ticks + 1)
+    if long_trip is None:
+        return unfold(in_chunks(counted))
+    usual = unfold(in_chunks(counted.where(final <= long_trip + 1)))
+    spread_out = in_chunks(counted.where(final > long_trip + 1)).repartition(
+        "_chunk", pickup_us, dropoff_us
     )
-    seq = F.col("event_seq")
-    return events.withColumns(
-        {
-            "event": F.when(seq == 0, "PICKUP").when(seq == final, "DROPOFF").otherwise("IN_TRANSIT"),
-            "event_time_us": F.when(seq == final, F.col(dropoff_us)).otherwise(
-                F.col(pickup_us) + seq * step_us
-            ),
-        }
-    ).drop("_final", "_chunk")
+    return usual.unionByName(unfold(spread_out))
 
 
 def with_positions(events: DataFrame) -> DataFrame:

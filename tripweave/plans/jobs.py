@@ -4,6 +4,7 @@
     python -m tripweave.plans.jobs identify CLEANED IDENTIFIED
     python -m tripweave.plans.jobs locate  VERTICES ZONES_CSV
     python -m tripweave.plans.jobs expand  IDENTIFIED ZONES_CSV EVENTS
+    python -m tripweave.plans.jobs check-times IDENTIFIED REPORT
     python -m tripweave.plans.jobs profile FILES REPORTS
     python -m tripweave.plans.jobs feed    MESSAGES OUTPUT CHECKPOINT
 """
@@ -12,11 +13,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripweave.functions.times import period_number
+from tripweave.functions.times import epoch_micros, period_number
 from tripweave.operators import counts, drift, events, zones
 from tripweave.operators.clean import clean
 from tripweave.operators.identify import add_trip_id
@@ -38,6 +39,7 @@ from tripweave.sources.trips import read_files, read_trips, write_by_month
 from tripweave.streaming import feed
 
 # Fixed values of the event job.
+EXPAND_NEEDS = [PICKUP, DROPOFF, TRIP_ID]
 EXPAND_START = (2020, 1)
 EXPAND_END = (2024, 4)
 PLAYBACK_SPEED = 100.0
@@ -93,15 +95,22 @@ def expand_job(
     speed: float = PLAYBACK_SPEED,
     slice_us: int | None = None,
     ordered: bool = False,
+    report: str | None = None,
 ) -> DataFrame:
     """Unfold the trips of a period into events; returns events per kind.
 
     `ordered` sorts all events by time, which moves every one of them; leave it
-    off for readers that go by `replay_offset_us` or by key.
+    off for readers that go by `replay_offset_us` or by key. `report` names a
+    folder for the rows found in and taken from each file.
     """
-    trips = read_identified(spark, source, start, end)
+    footers = identified_footers(spark, source, start, end)
+    if report:
+        write_csv(fl.ingested_rows(footers, EXPAND_NEEDS).orderBy("path"), report)
+    trips = read_identified(footers)
+    long_trip = events.LONG_TRIP if events.has_long_trips(trips, step_us) else None
     located = zones.locate_trips(events.wire_amounts(trips), read_zones(spark, zone_file))
-    timeline = events.with_positions(events.expand_events(located, step_us))
+    unfolded = events.expand_events(located, step_us, long_trip=long_trip)
+    timeline = events.with_positions(unfolded)
     first = events.first_event(trips).select("first_event_us").scalar()
     scheduled = events.replay_schedule(timeline, first, speed, slice_us)
     times = [c for c in ("replay_offset_us", "replay_slice") if c in scheduled.columns]
@@ -114,13 +123,10 @@ def expand_job(
     return events.event_counts(trips, step_us)
 
 
-def read_identified(
+def identified_footers(
     spark: SparkSession, source: str, start: tuple[int, int], end: tuple[int, int]
 ) -> DataFrame:
-    """Typed trips of a period, from `year=`/`month=` folders or labelled files.
-
-    Files that lack an id or a time, or cannot be read, are left out.
-    """
+    """Footers of the files of a period, in `year=`/`month=` folders or labelled by name."""
     files = fl.list_files(spark, source)
     folder_year = F.regexp_extract("path", r"/year=(\d+)/month=\d+/", 1).try_cast("int")
     folder_month = F.regexp_extract("path", r"/year=\d+/month=(\d+)/", 1).try_cast("int")
@@ -130,14 +136,45 @@ def read_identified(
             "month": F.coalesce(folder_month, "month"),
         }
     )
-    footers = fl.read_footers(fl.in_period_range(files, start, end), skip_unreadable=True)
-    footers = store(footers, "footers")
-    unusable = fl.missing_columns(footers, [PICKUP, DROPOFF, TRIP_ID])
-    usable = footers.join(unusable, "path", "left_anti")
+    within = fl.in_period_range(files, start, end)
+    return store(fl.read_footers(within, skip_unreadable=True), "footers")
+
+
+def read_identified(footers: DataFrame) -> DataFrame:
+    """Typed trips; files that lack an id or a time, or cannot be read, are left out."""
+    usable = footers.join(fl.missing_columns(footers, EXPAND_NEEDS), "path", "left_anti")
     columns = [f.name for f in TRIP_SCHEMA.fields] + [TRIP_ID]
     return read_files(usable, columns, events.with_defaults, skip_unreadable=True)
 
 
+def check_times_job(
+    spark: SparkSession, source: str, target: str, start: tuple[int, int], end: tuple[int, int]
+) -> DataFrame:
+    """Report, per file and time column, a sample and how many times are plausible."""
+
+    def times(raw: DataFrame) -> DataFrame:
+        kinds = dict(raw.dtypes)
+        columns = [
+            F.struct(F.lit(name).alias("column"), raw_epoch(F.col(name), kinds[name]).alias("raw"))
+            for name in (PICKUP, DROPOFF)
+        ]
+        return raw.select(SOURCE_FILE, SOURCE_ROW, F.inline(F.array(*columns)))
+
+    footers = identified_footers(spark, source, start, end)
+    usable = footers.join(fl.missing_columns(footers, [PICKUP, DROPOFF]), "path", "left_anti")
+    rows = read_files(usable, [PICKUP, DROPOFF], times, skip_unreadable=True)
+    by = [SOURCE_FILE, "column"]
+    sample = events.timestamp_sample(rows, "raw", by, [SOURCE_ROW])
+    checked = sample.join(events.timestamp_check(rows, "raw", by), by).orderBy(*by)
+    write_csv(checked, target)
+    return checked
+
+
+def raw_epoch(column: Column, kind: str) -> Column:
+    """A whole number as it is stored, and any other time in microseconds."""
+    return column.cast("bigint") if kind in ("bigint", "int") else epoch_micros(column, kind)
+
+
 def profile_job(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Write the count and schema reports of a folder of files; returns a one-row summary."""
     footers = store(fl.read_footers(fl.list_files(spark, source)), "footers")
@@ -205,6 +242,10 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     sub.add_argument("--end", type=year_month, default=EXPAND_END)
     sub.add_argument("--speed", type=float, default=PLAYBACK_SPEED)
     sub.add_argument("--ordered", action="store_true")
+    sub.add_argument("--report")
+    sub = job("check-times", "source", "target")
+    sub.add_argument("--start", type=year_month, default=EXPAND_START)
+    sub.add_argument("--end", type=year_month, default=EXPAND_END)
     job("profile", "source", "target")
     sub = job("feed", "source", "output", "checkpoint")
     sub.add_argument("--servers")
@@ -219,6 +260,7 @@ def main(arguments: list[str] | None = None) -> None:
         "identify": identify_job,
         "locate": locate_job,
         "expand": expand_job,
+        "check-times": check_times_job,
         "profile": profile_job,
         "feed": feed_job,
     }[options.pop("job")]

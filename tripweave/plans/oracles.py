@@ -295,6 +295,9 @@ def fixed(expression: str) -> str:
 NO_MONEY = "CAST(0 AS DOUBLE)"
 NO_CODE = "CAST(0 AS BIGINT)"
 
+TIMELINE = f"""WITH {LEGS},{timeline("legs")}
+SELECT trip_id, event_seq, event, event_time_us FROM timeline"""
+
 PAYLOADS = f"""WITH {POSITIONS}
 SELECT CAST(trip_id AS VARCHAR) AS key, event, trip_id, {ISO} AS ts,
   {fixed("lat")} AS lat, {fixed("lon")} AS lon,
@@ -406,8 +409,8 @@ ORACLES: dict[str, str] = {
           '' AS store_and_fwd_flag, {NO_MONEY} AS tip_amount, {NO_MONEY} AS tolls_amount,
           value + CAST(2.5 AS DOUBLE) AS total_amount, trip_distance, {NO_MONEY} AS "Airport_fee",
           pickup_us, dropoff_us FROM legs""",
-    "event_timeline": f"""WITH {LEGS},{timeline("legs")}
-        SELECT trip_id, event_seq, event, event_time_us FROM timeline""",
+    "event_timeline": TIMELINE,
+    "event_timeline_split": TIMELINE,
     "event_order": f"""WITH {LEGS},{timeline("legs")}
         SELECT trip_id, event_seq, event, event_time_us FROM timeline
         ORDER BY event_time_us, trip_id, event_seq""",

@@ -317,6 +317,13 @@ def event_timeline(spark, sf_dir):
     return timeline.select("trip_id", "event_seq", "event", "event_time_us")
 
 
+def event_timeline_split(spark, sf_dir):
+    """The same timeline with every trip of more than ten steps cut into chunks."""
+    trips = narrow_legs(spark, sf_dir)
+    timeline = events.expand_events(trips, long_trip=10, chunk=4)
+    return timeline.select("trip_id", "event_seq", "event", "event_time_us")
+
+
 def event_order(spark, sf_dir):
     return events.in_time_order(event_timeline(spark, sf_dir))
 
@@ -450,7 +457,7 @@ QUERIES: dict[str, Query] = {
         trip_ids, trip_ids_by_file, trip_ids_split,
         zone_file, zone_last_wins, zone_lookup_default, zone_lookup_salted, zone_medians,
         zone_medians_split, reproject,
-        typed_defaults, event_timeline, event_order, event_counts, first_event,
+        typed_defaults, event_timeline, event_timeline_split, event_order, event_counts, first_event,
         event_positions, replay_schedule, event_payloads, event_messages, clean_to_events,
         decode_events, dead_letters, feed_metrics, feed_history, feed_stream,
         feed_stream_metrics,

@@ -137,9 +137,18 @@ def file_counts(footers: DataFrame) -> DataFrame:
     )
 
 
+def ingested_rows(footers: DataFrame, required: list[str]) -> DataFrame:
+    """Per file: its rows, the needed columns it lacks, and the rows a job will take from it."""
+    per_file = footers.groupBy("path").agg(
+        F.max("n_rows").alias("n_rows"), F.collect_set("column").alias("_present")
+    )
+    needed = F.array(*[F.lit(name) for name in required])
+    usable = F.size("missing") == 0
+    return per_file.select(
+        "path", "n_rows", F.array_except(needed, "_present").alias("missing")
+    ).withColumn("n_ingested", F.when(usable, F.col("n_rows")).otherwise(0))
+
+
 def missing_columns(footers: DataFrame, required: list[str]) -> DataFrame:
     """Files that lack one of the columns a job needs, with what they lack."""
-    present = footers.groupBy("path").agg(F.collect_set("column").alias("_present"))
-    needed = F.array(*[F.lit(name) for name in required])
-    lacking = present.select("path", F.array_except(needed, "_present").alias("missing"))
-    return lacking.where(F.size("missing") > 0)
+    return ingested_rows(footers, required).where(F.size("missing") > 0).select("path", "missing")
