@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripweave.session import store
 
 # A group up to this size is sorted by one task.
-GROUP_ROWS = 10_000_000
+GROUP_ROWS = 5_000_000
 
 # Rows a task should get when a large input is shuffled for numbering.
 TASK_ROWS = 2_000_000
