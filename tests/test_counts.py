@@ -1,7 +1,6 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from tripweave.operators import counts
 

@@ -97,6 +97,17 @@ def test_stream_equals_batch_and_goes_on_after_a_stop(spark, folder):
     assert (total.received, total.processed, total.failed, total.batches) == (14, 10, 4, 3)
 
 
+def test_operators_work_on_a_stream_itself(spark, folder):
+    drop_file(folder, "a.txt", GOOD + ["[1]"])
+    decoded_stream = feed.decode_events(feed.read_text_feed(spark, f"{folder}/in"))
+    query = (
+        feed.to_messages(feed.good_events(decoded_stream))
+        .writeStream.format("memory").queryName("published").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.table("published").count() == len(GOOD)
+
+
 def test_batch_run_again_is_counted_once(spark, folder):
     sink = feed.parquet_sink(f"{folder}/metrics")
     for _ in range(2):

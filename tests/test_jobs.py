@@ -226,6 +226,17 @@ def test_reading_nothing(spark, folder):
         read_trips(none)
 
 
+def test_odd_file_names(spark, folder):
+    names = ["a[1] 2020-02.parquet", "b{x,y}2020-02.parquet", "c+d%41é 2020-02.parquet"]
+    for i, name in enumerate(names):
+        put(f"{folder}/raw", name, {"VendorID": longs(i)})
+    files = fl.list_files(spark, f"{folder}/raw")
+    assert sorted(r["name"] for r in files.collect()) == sorted(names)
+    assert files.where("length > 0").count() == len(names)
+    trips = read_trips(fl.read_footers(files))
+    assert sorted(r.VendorID for r in trips.collect()) == [0, 1, 2]
+
+
 def test_preview(spark, raw):
     assert preview(spark, f"{raw}/2011/trips_2011-05.parquet").count() == 5
 

@@ -84,13 +84,8 @@ def period_range(spark, sf_dir):
 
 
 def file_status(spark, sf_dir):
-    """Orders as files; a price below 50,000 stands for a file without bytes."""
-    prices = st.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("key"),
-        F.when(F.col("o_totalprice") < 50_000, 0).otherwise(1).alias("length"),
-    )
-    named = st.order_files(spark, sf_dir).join(prices, F.col("o_orderkey") == F.col("key"))
-    return fl.status_counts(fl.with_status(fl.with_period(named), (1996, 1), (1999, 12)))
+    named = fl.with_period(st.order_files(spark, sf_dir))
+    return fl.status_counts(fl.with_status(named, (1996, 1), (1999, 12)))
 
 
 def table_schemas(spark, sf_dir):

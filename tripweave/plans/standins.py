@@ -21,7 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file name for each order, some with a month that does not exist and some without any."""
+    """A file for each order, some with a month that does not exist and some without any.
+
+    A price below 50,000 stands for a file without bytes.
+    """
     orders = table(spark, sf_dir, "orders")
     month = F.lpad((F.col("o_custkey") % 16).cast("string"), 2, "0")
     name = F.concat(
@@ -30,7 +33,8 @@ def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     urgent = F.col("o_orderpriority") == "1-URGENT"
     plain = F.concat(F.lit("order_"), F.col("o_orderkey"), F.lit(".parquet"))
     name = F.when(urgent, plain).otherwise(name)
-    return orders.select("o_orderkey", name.alias("path"))
+    length = F.when(F.col("o_totalprice") < 50_000, 0).otherwise(1)
+    return orders.select("o_orderkey", name.alias("path"), length.alias("length"))
 
 
 def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
