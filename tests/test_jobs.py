@@ -226,6 +226,29 @@ def test_reading_nothing(spark, folder):
         read_trips(none)
 
 
+def test_every_stored_type_is_read(spark, folder):
+    whole = ["int8", "int16", "int32", "int64", "uint8", "uint16", "uint32", "uint64"]
+    kinds = [getattr(pa, k)() for k in whole] + [pa.float32(), pa.float64(), pa.decimal128(25, 2)]
+    kinds += [pa.dictionary(pa.int32(), pa.int64())]
+    for i, kind in enumerate(kinds):
+        value = pa.array([7]).cast(pa.int64() if pa.types.is_dictionary(kind) else kind)
+        column = value.dictionary_encode() if pa.types.is_dictionary(kind) else value
+        put(f"{folder}/raw", f"n{i}.parquet", {"VendorID": column, "extra": column})
+    moment = at("2020-02-03 00:00:00")
+    stamps = [pa.timestamp(u) for u in ("s", "ms", "us", "ns")]
+    stamps += [pa.timestamp("us", "UTC"), pa.timestamp("ns", "UTC"), pa.date32(), pa.date64()]
+    for i, kind in enumerate(stamps):
+        column = pa.array([moment], pa.timestamp("us")).cast(kind)
+        put(f"{folder}/raw", f"t{i}.parquet", {PICKUP: column, DROPOFF: column})
+    footers = fl.read_footers(fl.list_files(spark, f"{folder}/raw"))
+    trips = read_trips(footers)
+    numbers = trips.where("VendorID is not null").collect()
+    assert [(r.VendorID, r.extra) for r in numbers] == [(7, 7.0)] * len(kinds)
+    moments = trips.where(f"{PICKUP} is not null").collect()
+    assert [r[PICKUP] for r in moments] == [moment] * len(stamps)
+    assert trips.count() == len(kinds) + len(stamps)
+
+
 def test_odd_file_names(spark, folder):
     names = ["a[1] 2020-02.parquet", "b{x,y}2020-02.parquet", "c+d%41é 2020-02.parquet"]
     for i, name in enumerate(names):

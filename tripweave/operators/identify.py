@@ -31,7 +31,7 @@ def add_trip_id(
 
     day = F.to_date(pickup)
     order = [F.col(pickup).asc()] + [F.col(c).asc_nulls_last() for c in tie_break]
-    numbered = number_rows(df.withColumn("_day", day), [*group, "_day"], order, "_seq", group_rows)
+    numbered = number_rows(df.withColumn("_day", day), ["_day", *group], order, "_seq", group_rows)
     sequence = checked_sequence(F.col("_seq"), max_seq)
     identified = F.when(F.col("_day").isNotNull(), trip_id(F.col("_day"), sequence))
     return numbered.withColumn(TRIP_ID, identified).drop("_day", "_seq")

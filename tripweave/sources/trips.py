@@ -30,6 +30,7 @@ READ_TYPES = {
     "string": T.StringType(),
     "large_string": T.StringType(),
     "date32[day]": T.DateType(),
+    "date64[ms]": T.DateType(),
 }
 
 
@@ -41,6 +42,9 @@ def read_type(name: str) -> T.DataType | None:
         return T.LongType()
     if name.startswith("timestamp["):
         return T.TimestampType() if "tz=" in name else T.TimestampNTZType()
+    decimal = re.match(r"decimal(?:32|64|128)\((\d+), (\d+)\)", name)
+    if decimal:
+        return T.DecimalType(int(decimal.group(1)), int(decimal.group(2)))
     return READ_TYPES.get(name)
 
 
