@@ -100,12 +100,16 @@ def raw_trip(spark, **changes):
 def test_defaults_replace_nulls_and_missing_columns(spark):
     trip = raw_trip(spark, fare_amount="cast(null as double)", PULocationID="cast(null as int)",
                     trip_id="cast(null as bigint)", passenger_count="'2'",
-                    RatecodeID="1.9D", payment_type="'card'",
+                    RatecodeID="-1.9D", payment_type="7S", VendorID="double('nan')",
+                    DOLocationID="date'1970-01-02'", extra="2", mta_tax="'1.5'",
+                    tip_amount="1.25BD", store_and_fwd_flag="5",
                     **{PICKUP: "cast(null as timestamp_ntz)"})
     row = events.with_defaults(trip).first()
     assert row.trip_id == 0 and row.fare_amount == 0.0 and row.PULocationID == 0
     assert row.store_and_fwd_flag == "" and row.mta_tax == 0.0 and row.pickup_us == 0
-    assert row.passenger_count == 2 and row.RatecodeID == 1 and row.payment_type == 0
+    assert (row.passenger_count, row.RatecodeID, row.payment_type, row.VendorID) == (0, -1, 7, 0)
+    assert (row.DOLocationID, row.extra, row.tip_amount) == (86_400_000_000, 2.0, 1.25)
+    assert row.tolls_amount == 0.0
     assert row.dropoff_us == 1_580_702_767 * SECOND
 
 

@@ -6,10 +6,12 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tripweave.operators import drift
 from tripweave.plans import jobs
 from tripweave.schema import DROPOFF, PICKUP, TRIP_SCHEMA
 from tripweave.sources import files as fl
 from tripweave.sources.trips import preview, read_trips
+from tripweave.streaming import feed
 
 
 def at(text):
@@ -156,6 +158,24 @@ def test_expand_leaves_out_files_without_ids(spark, folder):
     assert spark.read.option("header", True).csv(f"{folder}/report").count() == 3
 
 
+def test_written_events_are_fed(spark, folder):
+    put(f"{folder}/ids", "trips_2020-02.parquet", {
+        PICKUP: times("2020-02-03 10:00:00", "2020-02-03 11:00:00"),
+        DROPOFF: times("2020-02-03 10:10:00", "2020-02-03 11:00:31"), "fare_amount": [1.5, 2.5],
+        "PULocationID": longs(4, 4), "DOLocationID": longs(5, 5), "trip_id": longs(1, 2)})
+    jobs.expand_job(spark, f"{folder}/ids", write_zones(folder), f"{folder}/events")
+    feed.start_feed(
+        feed.read_event_feed(spark, f"{folder}/events", files_per_batch=1),
+        feed.parquet_sink(f"{folder}/sent"), f"{folder}/out", f"{folder}/checkpoint",
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    sent = spark.read.parquet(f"{folder}/sent").groupBy("key").count().collect()
+    assert {r["key"]: r["count"] for r in sent} == {"1": 21, "2": 3}
+    assert feed.read_dead_letters(spark, f"{folder}/out").count() == 0
+    total = feed.feed_metrics(feed.read_metrics(spark, f"{folder}/out")).first()
+    assert (total.received, total.success_rate) == (24, "100.00%")
+
+
 def write_zones(folder):
     with open(f"{folder}/zones.csv", "w") as handle:
         handle.write("LocationID,longitude,latitude\n4,-73.0,40.0\n5,-74.0,41.0\n")
@@ -208,6 +228,17 @@ def test_profile(spark, raw, folder):
     assert len(report("monthly_counts")) == 5 and len(report("monthly_stats")) == 5
 
 
+def test_first_file_goes_folder_by_folder(spark, folder):
+    put(f"{folder}/raw", "a-b/x.parquet", {"second": [1]})
+    put(f"{folder}/raw", "a/x.parquet", {"first": [1], "second": [1]})
+    put(f"{folder}/raw", "b.parquet", {"first": [2], "second": [2]})
+    schemas = fl.file_schemas(fl.read_footers(fl.list_files(spark, f"{folder}/raw")))
+    assert [r.column for r in drift.baseline(schemas).collect()] == ["first", "second"]
+    (row,) = drift.schema_diff(schemas).collect()
+    assert row.file.endswith("a-b/x.parquet")
+    assert (row.missing_cols, row.extra_cols) == (["first: int64"], [])
+
+
 def test_locate(spark, folder):
     rows = [(0, "7", 990000.0, 180000.0), (1, "264", 1.0, 1.0), (2, "3", 985000.0, 1.0)]
     spark.createDataFrame(rows, "shape_seq bigint, LocationID string, x double, y double") \

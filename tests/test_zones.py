@@ -111,7 +111,8 @@ def test_zone_file(spark, folder):
         "10,west,40.5\n"
         "\n"
         "12.7,-7e1,+40.\n"
-        "99999999999,-73.5,40.5\n",
+        "99999999999,-73.5,40.5\n"
+        "13,1e999,40.5\n",
     )
     out = read_zones(spark, path).orderBy("LocationID").collect()
     assert [tuple(r) for r in out] == [(4, -73.5, 40.5), (12, -70.0, 40.0), (56, -73.2, 40.2)]

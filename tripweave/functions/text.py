@@ -18,9 +18,10 @@ def leading_int(field: Column) -> Column:
 
 
 def leading_double(field: Column) -> Column:
-    """The decimal number a field starts with, else null."""
+    """The decimal number a field starts with, else null; null also beyond a double's range."""
     number = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)"
-    return F.regexp_extract(field, number, 1).try_cast("double")
+    value = F.regexp_extract(field, number, 1).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def message_key(trip_id: Column) -> Column:

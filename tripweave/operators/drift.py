@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,9 +32,14 @@ def column_summary(schemas: DataFrame, n_files: int | None = None) -> DataFrame:
     ).orderBy("column")
 
 
+def first_path(schemas: DataFrame) -> Column:
+    """The first file in path order, that is folder by folder."""
+    return schemas.agg(F.min_by("path", F.split("path", "/"))).scalar()
+
+
 def baseline(schemas: DataFrame) -> DataFrame:
     """Columns and types of the first file in path order."""
-    first = schemas.agg(F.min("path")).scalar()
+    first = first_path(schemas)
     return schemas.where(F.col("path") == first).orderBy("pos").select("column", "type")
 
 
@@ -42,8 +47,7 @@ def schema_diff(schemas: DataFrame) -> DataFrame:
     """Files whose (column, type) set differs from the baseline, with what is missing and extra."""
     pair = F.concat_ws(": ", "column", "type")
     per_file = schemas.groupBy("path").agg(F.array_sort(F.collect_set(pair)).alias("_pairs"))
-    first = schemas.agg(F.min("path")).scalar()
-    expected = per_file.where(F.col("path") == first).select("_pairs").scalar()
+    expected = per_file.where(F.col("path") == first_path(schemas)).select("_pairs").scalar()
     differing = per_file.select(
         F.col("path").alias("file"),
         F.array_except(expected, "_pairs").alias("missing_cols"),

@@ -45,23 +45,42 @@ def require_columns(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+TIME_TYPES = ("date", "timestamp", "timestamp_ntz")
+
+
+def value_or_default(column: Column, stored: str, kind: str) -> Column:
+    """A column as `kind`, or 0, 0.0 or "" where it is null or of an unrelated type.
+
+    Fractions are cut off, and a time read as a whole number counts microseconds.
+    Text is not read as a number.
+    """
+    default = F.lit({"string": "", "double": 0.0}.get(kind, 0)).cast(kind)
+    numeric = stored in NUMBER_TYPES or stored.startswith("decimal")
+    if kind == "string":
+        value = column if stored == "string" else default
+    elif kind == "bigint" and stored in TIME_TYPES:
+        value = epoch_micros(column, stored)
+    else:
+        value = column.try_cast(kind) if numeric else default
+    return F.coalesce(value, default)
+
+
 def with_defaults(trips: DataFrame, pickup: str = PICKUP, dropoff: str = DROPOFF) -> DataFrame:
     """Typed trips with nothing null: absent or unreadable values become 0, 0.0 or "".
 
     Times become `pickup_us` and `dropoff_us`, microseconds since 1970.
     """
     require_columns(trips, pickup, dropoff, TRIP_ID)
-    types = dict(trips.dtypes)
-    columns = [F.coalesce(F.col(TRIP_ID).try_cast("bigint"), F.lit(0)).alias(TRIP_ID)]
-    for field in TRIP_SCHEMA.fields:
-        if field.name in (PICKUP, DROPOFF):
-            continue
-        kind = field.dataType.simpleString()
-        default = "" if kind == "string" else 0.0 if kind == "double" else 0
-        value = F.col(field.name).try_cast(kind) if field.name in types else F.lit(None).cast(kind)
-        columns.append(F.coalesce(value, F.lit(default)).alias(field.name))
+    stored = dict(trips.dtypes)
+    kinds = {f.name: f.dataType.simpleString() for f in TRIP_SCHEMA.fields}
+    kinds = {TRIP_ID: "bigint"} | {n: k for n, k in kinds.items() if n not in (PICKUP, DROPOFF)}
+    columns = []
+    for name, kind in kinds.items():
+        column = F.col(name) if name in stored else F.lit(None)
+        columns.append(value_or_default(column, stored.get(name, "void"), kind).alias(name))
     for name, source in (("pickup_us", pickup), ("dropoff_us", dropoff)):
-        micros = epoch_micros(F.col(source), types[source])
+        micros = epoch_micros(F.col(source), stored[source])
         columns.append(F.coalesce(micros, F.lit(0).cast("bigint")).alias(name))
     return trips.select(*columns)
 

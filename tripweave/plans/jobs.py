@@ -32,7 +32,7 @@ from tripweave.schema import (
     TRIP_ID,
     TRIP_SCHEMA,
 )
-from tripweave.session import build_session, store
+from tripweave.session import build_session, spread, store
 from tripweave.sources import files as fl
 from tripweave.sources.tables import read_vertices, read_zones, write_csv
 from tripweave.sources.trips import read_files, read_trips, write_by_month
@@ -108,7 +108,8 @@ def expand_job(
         write_csv(fl.ingested_rows(footers, EXPAND_NEEDS).orderBy("path"), report)
     trips = read_identified(footers)
     long_trip = events.LONG_TRIP if events.has_long_trips(trips, step_us) else None
-    located = zones.locate_trips(events.wire_amounts(trips), read_zones(spark, zone_file))
+    amounts = events.wire_amounts(spread(trips))
+    located = zones.locate_trips(amounts, read_zones(spark, zone_file))
     unfolded = events.expand_events(located, step_us, long_trip=long_trip)
     timeline = events.with_positions(unfolded)
     first = events.first_event(trips).select("first_event_us").scalar()
@@ -206,10 +207,14 @@ def feed_job(
     output: str,
     checkpoint: str,
     servers: str | None = None,
+    event_files: bool = False,
     once: bool = False,
 ) -> StreamingQuery:
-    """Publish the messages that arrive as text files, to a topic or else to the console."""
-    stream = feed.read_text_feed(spark, source)
+    """Publish arriving messages, to a topic or else to the console.
+
+    They come as lines of text files or, with `event_files`, as files of the expand job.
+    """
+    stream = (feed.read_event_feed if event_files else feed.read_text_feed)(spark, source)
     sink = feed.kafka_sink(servers) if servers else feed.console_sink()
     trigger = {"availableNow": True} if once else None
     return feed.start_feed(stream, sink, output, checkpoint, trigger=trigger)
@@ -249,6 +254,7 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     job("profile", "source", "target")
     sub = job("feed", "source", "output", "checkpoint")
     sub.add_argument("--servers")
+    sub.add_argument("--event-files", action="store_true")
     sub.add_argument("--once", action="store_true")
     return parser.parse_args(arguments)
 

@@ -165,6 +165,14 @@ def read_text_feed(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.load(path)
 
 
+def read_event_feed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stream of messages from the event files the expand job writes."""
+    reader = spark.readStream.schema("value string")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
+
 def read_kafka_feed(
     spark: SparkSession, servers: str, topic: str = TOPIC, messages_per_batch: int | None = None
 ) -> DataFrame:
