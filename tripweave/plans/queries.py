@@ -411,7 +411,10 @@ def run_feed(spark, sf_dir):
     st.table(spark, sf_dir, "events")
     stored = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     stream = spark.readStream.schema(stored).option("pathGlobFilter", "events.parquet")
-    values = st.as_messages(stream.parquet(sf_dir)).select("value")
+    # One small file is one task; its rows are spread before they are decoded.
+    cores = spark.sparkContext.defaultParallelism
+    rows = stream.parquet(sf_dir).repartition(cores, "event_id")
+    values = st.as_messages(rows).select("value")
     output = new_folder(spark, "feed")
     query = feed.start_feed(
         values,

@@ -108,13 +108,14 @@ def dead_letters(decoded: DataFrame, value: str = "value") -> DataFrame:
     return decoded.where(F.col("problem").isNotNull()).select(value, "problem")
 
 
-def to_messages(events: DataFrame) -> DataFrame:
+def to_messages(events: DataFrame, keep: tuple[str | Column, ...] = ()) -> DataFrame:
     """(key, value): the trip id as text and all 21 fields as JSON, nulls included.
 
     Equal keys keep the events of a trip in one partition of a topic.
     """
     body = F.struct(*[F.col(f.name) for f in EVENT_SCHEMA.fields])
     return events.select(
+        *keep,
         message_key(F.col(TRIP_ID)).alias("key"),
         F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
     )
@@ -255,13 +256,17 @@ def start_feed(
     record = parquet_sink(f"{output}/metrics")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_events(batch, value).persist()
+        decoded = decode_events(batch, value)
+        original = F.when(F.col("problem").isNotNull(), F.col(value)).alias("original")
+        # Three outputs of one decoding; only what they need is kept meanwhile.
+        ready = to_messages(decoded, keep=("problem", original)).persist()
         try:
-            publish(to_messages(good_events(decoded)), batch_id)
-            set_aside(dead_letters(decoded, value), batch_id)
-            record(batch_metrics(decoded), batch_id)
+            publish(good_events(ready).select("key", "value"), batch_id)
+            broken = ready.select(F.col("original").alias(value), "problem")
+            set_aside(dead_letters(broken, value), batch_id)
+            record(batch_metrics(ready), batch_id)
         finally:
-            decoded.unpersist()
+            ready.unpersist()
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": TRIGGER})).start()
