@@ -58,6 +58,13 @@ def test_chunk_edges(spark, extra):
     assert tuple(row) == (n + 2, n + 2, n + 1)
 
 
+def test_times_further_apart_than_can_be_counted(spark):
+    rows = [(1, -(2**63), 2**63 - 1)]
+    trips = spark.createDataFrame(rows, "trip_id bigint, pickup_us bigint, dropoff_us bigint")
+    out = events.replay_schedule(events.expand_events(trips), -(2**63), 5.0).collect()
+    assert [(r.event, r.replay_offset_us) for r in out] == [("PICKUP", 0), ("DROPOFF", None)]
+
+
 def test_counts_match_the_unfolded_events(spark):
     trips = timed(spark, [d * 7 * SECOND for d in range(-5, 60)])
     unfolded = events.expand_events(trips).groupBy("event").count().collect()

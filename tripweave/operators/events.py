@@ -86,8 +86,11 @@ def with_defaults(trips: DataFrame, pickup: str = PICKUP, dropoff: str = DROPOFF
 
 
 def tick_count(pickup_us: Column, dropoff_us: Column, step_us: int = STEP_US) -> Column:
-    """How many steps after pickup lie strictly before drop-off."""
-    duration = dropoff_us - pickup_us
+    """How many steps after pickup lie strictly before drop-off.
+
+    None for times so wrong that they lie further apart than can be counted.
+    """
+    duration = F.try_subtract(dropoff_us, pickup_us)
     return F.when(duration > 0, whole_div(duration - 1, step_us)).otherwise(0)
 
 
@@ -203,7 +206,7 @@ def replay_schedule(
 
     With `slice_us` also `replay_slice`, the number of the interval it falls into.
     """
-    offset = (F.col("event_time_us") - F.lit(start_us)) / F.lit(float(speed))
+    offset = F.try_subtract(F.col("event_time_us"), F.lit(start_us)) / F.lit(float(speed))
     scheduled = events.withColumn("replay_offset_us", F.floor(offset))
     if slice_us is None:
         return scheduled

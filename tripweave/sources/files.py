@@ -82,6 +82,9 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
     """
 
     def footers(batches):
+        import re
+        from urllib.parse import quote
+
         import pandas as pd
         import pyarrow as pa
         import pyarrow.parquet as pq
@@ -90,11 +93,12 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
         def open_file(path):
             if path.startswith("file:/"):
                 path = "/" + path[len("file:/") :].lstrip("/")
-            if ":/" in path:
-                system, path = fs.FileSystem.from_uri(path)
-            else:
-                system = fs.LocalFileSystem()
-            return system.open_input_file(path)
+            if "://" not in path:
+                return fs.LocalFileSystem().open_input_file(path)
+            # Spark's names for the S3 scheme are not known outside it.
+            uri = quote(re.sub("^s3[an]:", "s3:", path), safe=":/@")
+            system, inner = fs.FileSystem.from_uri(uri)
+            return system.open_input_file(inner)
 
         for batch in batches:
             rows = []
