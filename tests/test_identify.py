@@ -83,7 +83,7 @@ def test_numbering_by_range_matches_a_window_with_null_keys(spark):
     )
     window = Window.partitionBy("k").orderBy("v")
     expected = df.withColumn("n", F.row_number().over(window).cast("bigint"))
-    out = number_rows_by_range(df, ["k"], [F.col("v").asc()], "n", 3)
+    out = number_rows_by_range(df, ["k"], [F.col("v").asc()], "n", groups=3, partitions=5)
     assert out.columns == expected.columns
     assert sorted(map(str, out.collect())) == sorted(map(str, expected.collect()))
 

@@ -38,11 +38,9 @@ def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
     return GroupSizes(row[0] or 0, row[1] or 0, row[2])
 
 
-def partitions_for(df: DataFrame, rows: int) -> int | None:
-    """How many partitions a shuffle of `rows` rows needs, or None if the session's will do."""
-    needed = -(-rows // TASK_ROWS)
-    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return needed if needed > usual else None
+def partitions_for(rows: int, at_least: int) -> int:
+    """How many partitions a shuffle of `rows` rows needs."""
+    return max(-(-rows // TASK_ROWS), at_least)
 
 
 def number_rows(
@@ -61,10 +59,13 @@ def number_rows(
     in all of it can only be kept together.
     """
     sizes = group_sizes(df, keys)
-    enough = partitions_for(df, sizes.total)
+    spark = df.sparkSession
     if sizes.largest > group_rows:
-        return number_rows_by_range(df, keys, order, name, sizes.groups, enough)
-    if enough is not None and keys:
+        partitions = partitions_for(sizes.total, spark.sparkContext.defaultParallelism)
+        return number_rows_by_range(df, keys, order, name, sizes.groups, partitions)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    enough = partitions_for(sizes.total, usual)
+    if enough > usual and keys:
         df = df.repartition(enough, *keys)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window).cast("bigint"))
@@ -76,12 +77,10 @@ def number_rows_by_range(
     order: list[Column],
     name: str,
     groups: int,
-    partitions: int | None = None,
+    partitions: int,
 ) -> DataFrame:
     """Number rows that are spread by range; `groups` says how many groups there are."""
     full_order = [F.col(k).asc_nulls_last() for k in keys] + order
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = store(
         df.repartitionByRange(partitions, *full_order)
         .sortWithinPartitions(*full_order)
