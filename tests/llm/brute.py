@@ -1,0 +1,70 @@
+"""Plain versions of the operators, for small inputs."""
+
+import hashlib
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text, lower=False):
+    found = WORD.findall(text or "")
+    if lower:
+        found = [re.sub("[A-Z]", lambda m: m[0].lower(), word) for word in found]
+    return found
+
+
+def cut_repeats(rows, window=20):
+    """{doc_id: (n_words, n_removed, kept)} of (doc_id, text) rows with distinct ids."""
+    first = {}
+    texts = {doc: words(text) for doc, text in rows}
+    order = sorted(texts, key=lambda d: (d is not None, d))
+    for doc in order:
+        for i in range(len(texts[doc]) - window + 1):
+            first.setdefault(tuple(texts[doc][i : i + window]), (doc, i))
+    out = {}
+    for doc, own in texts.items():
+        gone = set()
+        for i in range(len(own) - window + 1):
+            if first[tuple(own[i : i + window])] != (doc, i):
+                gone.update(range(i, i + window))
+        kept = " ".join(word for i, word in enumerate(own) if i not in gone)
+        out[doc] = (len(own), len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out
+
+
+def shingle_set(text, size):
+    own = words(text, lower=True)
+    if not own:
+        return frozenset()
+    if len(own) < size:
+        return frozenset([tuple(own)])
+    return frozenset(tuple(own[i : i + size]) for i in range(len(own) - size + 1))
+
+
+def near_groups(rows, size, percent):
+    """{doc_id: (n_shingles, component_id)} by comparing all pairs that share a shingle."""
+    sets = {doc: shingle_set(text, size) for doc, text in rows}
+    root = {doc: doc for doc in sets}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    holders = {}
+    for doc, own in sets.items():
+        for item in own:
+            holders.setdefault(item, []).append(doc)
+    tried = set()
+    for docs in holders.values():
+        for i, a in enumerate(docs):
+            for b in docs[i + 1 :]:
+                if (a, b) in tried:
+                    continue
+                tried.add((a, b))
+                common = len(sets[a] & sets[b])
+                if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                    low, high = sorted((find(a), find(b)))
+                    root[high] = low
+    return {doc: (len(own), find(doc)) for doc, own in sets.items()}

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tripweave.llm.near_duplicates import near_duplicates
 from tripweave.llm.packing import pack_documents
+from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.token_files import read_token_files, write_token_files
 from tripweave.llm.tokens import default_path
 from tripweave.session import new_folder
@@ -30,6 +32,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without its repeated windows of 20 words."""
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 85 % of their runs of three words."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written to files and read back."""
     path = new_folder(spark, "token-files")
@@ -39,6 +52,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_substrings": op3_substrings,
+    "op5_near_duplicates": op5_near_duplicates,
     "op9_token_files": op9_token_files,
 }
 
