@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tripweave.llm.tokens import END_ID, Encoder, text_groups, vocabulary
+from tripweave.llm.tokens import END_ID, encoder, text_groups, vocabulary
 from tripweave.session import store
 
 SEQUENCE = 1024
@@ -150,13 +150,13 @@ def pack_documents(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = TaskContext.get().partitionId()
-        encoder = Encoder(model)
+        own = encoder(model)
         packer = Packer(home, home << 32, size, windows, least_cut)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             doc_ids, at = batch.column(0).to_pylist(), 0
             for group in text_groups(batch.column(1).to_pylist()):
-                for ids in encoder.encode(group):
+                for ids in own.encode(group):
                     packer.add(doc_ids[at], 0, len(ids) // 4 + 1, ids + end)
                     at += 1
                 if packer.rows:

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tripweave.llm import simple8b
-from tripweave.llm.tokens import END_ID, Encoder, text_groups, vocabulary
+from tripweave.llm.tokens import END_ID, encoder, text_groups, vocabulary
 
 # Ids that a chunk of a file gathers before it is packed; a longer document makes a longer chunk.
 CHUNK_IDS = 1 << 20
@@ -41,14 +41,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        own = encoder(model)
         chunks = _Chunks(TaskContext.get().partitionId())
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids = batch.column(0).to_pylist()
             at = 0
             for group in text_groups(batch.column(1).to_pylist()):
-                for data in encoder.encode(group):
+                for data in own.encode(group):
                     yield from chunks.add(ids[at], data + end)
                     at += 1
         yield from chunks.flush()

@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 # Words whose ids a worker keeps, twice over: when so many are new, the older go.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 
 # Words that are encoded as one text.
 WORDS_A_LINE = 50
@@ -123,6 +123,17 @@ class Encoder:
         return out
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(model: str) -> Encoder:
+    """This worker's encoder of a tokenizer file's content; tasks that follow find its words known."""
+    if model not in _encoders:
+        _encoders.clear()
+        _encoders[model] = Encoder(model)
+    return _encoders[model]
+
+
 def text_groups(texts: list[str | None], size: int = 1 << 19):
     """Runs of texts of about `size` characters together, null as empty."""
     group, held = [], 0
