@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tripweave.llm.tokens import END_ID, encoder, text_groups, vocabulary
+from tripweave.llm.text import blocks
+from tripweave.llm.tokens import END_ID, encoder, vocabulary
 from tripweave.session import store
 
 SEQUENCE = 1024
@@ -154,11 +155,10 @@ def pack_documents(
         packer = Packer(home, home << 32, size, windows, least_cut)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            doc_ids, at = batch.column(0).to_pylist(), 0
-            for group in text_groups(batch.column(1).to_pylist()):
-                for ids in own.encode(group):
-                    packer.add(doc_ids[at], 0, len(ids) // 4 + 1, ids + end)
-                    at += 1
+            doc_ids = batch.column(0).to_pylist()
+            for block in blocks(batch.column(1)):
+                for row, ids in zip(block.rows, own.encode(block), strict=True):
+                    packer.add(doc_ids[row], 0, len(ids) // 4 + 1, ids + end)
                 if packer.rows:
                     yield packer.take()
         packer.close(last=False)

@@ -10,7 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tripweave.llm import simple8b
-from tripweave.llm.tokens import END_ID, encoder, text_groups, vocabulary
+from tripweave.llm.text import blocks
+from tripweave.llm.tokens import END_ID, encoder, vocabulary
 
 # Ids that a chunk of a file gathers before it is packed; a longer document makes a longer chunk.
 CHUNK_IDS = 1 << 20
@@ -46,11 +47,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            at = 0
-            for group in text_groups(batch.column(1).to_pylist()):
-                for data in own.encode(group):
-                    yield from chunks.add(ids[at], data + end)
-                    at += 1
+            for block in blocks(batch.column(1)):
+                for row, data in zip(block.rows, own.encode(block), strict=True):
+                    yield from chunks.add(ids[row], data + end)
         yield from chunks.flush()
 
     ordered.mapInArrow(encoded, CHUNKS).write.option("compression", "uncompressed").parquet(path)

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
-# Words whose ids a worker keeps, twice over: when so many are new, the older go.
-KEPT_WORDS = 400_000
+from tripweave.llm.text import Block, mix
 
-# Words that are encoded as one text.
+# Words whose ids a worker keeps; with more, it starts anew. Ids of them that it keeps.
+KEPT_WORDS = 1_200_000
+KEPT_IDS = 16_000_000
+
+# Words that are encoded as one text, and such texts at a time.
 WORDS_A_LINE = 50
+LINES = 200
 
 END_ID = 0
 
+# How a word is joined to what stands before it: nothing, a space, a line break.
+_BARE, _SPACED, _BROKEN = 0, 1, 2
+_JOINS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, 0x0A]] = True
+_OTHER_BLANK = np.zeros(256, bool)
+_OTHER_BLANK[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+_WIDE_LEAD = np.zeros(256, bool)
+_WIDE_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
 
 def vocabulary(path: str) -> str:
     """The tokenizer file's content: a bounded file, read once and shipped to the tasks."""
@@ -28,18 +42,36 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-# White space other than the space and the line break.
-_OTHER_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
-_OTHER_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
+class _Table:
+    """Rows by 64-bit key, looked up and entered many at a time."""
+
+    def __init__(self, rows: int):
+        self.size = 1 << int(2 * rows).bit_length()
+        self.keys = np.zeros(self.size, np.uint64)
+        self.rows = np.full(self.size, -1, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, or -1."""
+        out = np.full(len(keys), -1, np.int32)
+        left = np.arange(len(keys))
+        at = (keys & np.uint64(self.size - 1)).astype(np.int64)
+        while len(left):
+            rows = self.rows[at]
+            same = self.keys[at] == keys[left]
+            out[left[same]] = rows[same]
+            on = ~same & (rows >= 0)
+            left, at = left[on], (at[on] + 1) & (self.size - 1)
+        return out
 
-def evenly_spaced(text: str) -> bool:
-    """White space is single spaces and line breaks, none at the end."""
-    if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[-1:] in (" ", "\n"):
-        return False
-    if any(mark in text for mark in _OTHER_ASCII):
-        return False
-    return text.isascii() or not _OTHER_WIDE.search(text)
+    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        """Enter distinct keys that aren't there."""
+        at = (keys & np.uint64(self.size - 1)).astype(np.int64)
+        while len(keys):
+            free = np.flatnonzero(self.rows[at] < 0)
+            self.rows[at[free]] = rows[free]
+            self.keys[at[free]] = keys[free]
+            on = self.rows[at] != rows
+            keys, rows, at = keys[on], rows[on], (at[on] + 1) & (self.size - 1)
 
 
 class Encoder:
@@ -47,9 +79,9 @@ class Encoder:
 
     A byte-level vocabulary of this kind never joins across the place before
     a single space or around a single line break. Texts whose white space is
-    made of those alone are cut there and put together from their words' ids;
-    any other text goes through the tokenizer whole. Strings of special
-    tokens are ordinary text.
+    made of those alone are cut there and put together from their words' ids,
+    which are kept by a 64-bit hash; any other text goes through the tokenizer
+    whole. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, model: str, kept: int = KEPT_WORDS):
@@ -59,68 +91,103 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True
         self.kept = kept
-        self.words: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.firsts: dict[str, bytes] = {}
         line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_break = line_break[0] if len(line_break) == 1 else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table = _Table(self.kept)
+        self.starts = np.zeros(self.kept + 1, np.int64)
+        self.ids = np.zeros(1 << 20, np.uint32)
+        self.words = self.used = 0
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
+    def encode(self, block: Block) -> list[bytes]:
+        """The ids of each text of a block, as little-endian unsigned 32-bit integers."""
+        odd = self._unevenly_spaced(block)
+        before = block.data[block.begin - 1]
+        join = np.where(before == 0x20, _SPACED, _BROKEN)
+        join[block.begin == block.bounds[:-1][np.searchsorted(block.bounds, block.begin, side="right") - 1]] = _BARE
+        keys = mix(block.words ^ _JOINS[join])
+        use = np.repeat(~odd, block.counts)
+        rows = self.table.find(keys)
+        new = np.flatnonzero((rows < 0) & use)
+        if len(new):
+            distinct, first = np.unique(keys[new], return_index=True)
+            if self.words + len(distinct) > self.kept or self.used > KEPT_IDS:
+                self._forget()
+                distinct, first = np.unique(keys[use], return_index=True)
+                new = np.flatnonzero(use)
+            self._learn(block, distinct, new[first], join[new[first]])
+            rows = self.table.find(keys)
+        rows = np.where(use, rows, 0)
+        begin = self.starts[rows]
+        size = np.where(use, self.starts[rows + 1] - begin, 0)
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.ids[np.repeat(begin - ends + size, size) + np.arange(total)].astype("<u4").tobytes()
+        edges = 4 * np.concatenate([[0], ends])[block.first]
+        out = [data[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(odd):
+            out[i] = self.whole(block.data[block.bounds[i] : block.bounds[i + 1]].tobytes().decode())
+        return out
+
+    def _unevenly_spaced(self, block: Block) -> np.ndarray:
+        """Texts with white space other than single spaces and line breaks, or with any at the end."""
+        if self.line_break is None:
+            return np.ones(len(block.rows), bool)
+        data, bounds = block.data, block.bounds
+        blank = _BLANK[data]
+        bad = _OTHER_BLANK[data]
+        twice = blank[1:] & blank[:-1]
+        edges = bounds[1:-1]
+        edges = edges[(edges > 0) & (edges < len(data))]
+        twice[edges - 1] = False
+        bad[1:] |= twice
+        last = bounds[1:][bounds[1:] > bounds[:-1]] - 1
+        bad[last] |= blank[last]
+        lead = np.flatnonzero(_WIDE_LEAD[data])
+        if len(lead):
+            padded = np.concatenate([data, np.zeros(2, np.uint8)])
+            code = (padded[lead].astype(np.int32) << 16) | (padded[lead + 1].astype(np.int32) << 8) | padded[lead + 2]
+            pair = code >> 8
+            wide = (pair == 0xC285) | (pair == 0xC2A0) | (code == 0xE19A80) | (code == 0xE38080) | (code == 0xE2819F)
+            wide |= (code >= 0xE28080) & (code <= 0xE2808A) | (code == 0xE280A8) | (code == 0xE280A9) | (code == 0xE280AF)
+            bad[lead[wide]] = True
+        count = np.concatenate([[0], np.cumsum(bad)])
+        return count[bounds[1:]] > count[bounds[:-1]]
+
+    def _learn(self, block: Block, keys: np.ndarray, at: np.ndarray, joins: np.ndarray) -> None:
         """Encode words, some together, each followed by a line break, and note their ids."""
-        for at in range(0, len(words), 20 * WORDS_A_LINE):
-            part = words[at : at + 20 * WORDS_A_LINE]
-            spelt = [f"{before}{word}\n" for word in part]
-            lines = ["".join(spelt[i : i + WORDS_A_LINE]) for i in range(0, len(spelt), WORDS_A_LINE)]
+        data = block.data.tobytes()
+        spans = zip(block.begin[at].tolist(), block.end[at].tolist(), joins.tolist(), strict=True)
+        spelt = [(" " if join == _SPACED else "") + data[a:b].decode() + "\n" for a, b, join in spans]
+        size = WORDS_A_LINE * LINES
+        for i in range(0, len(spelt), size):
+            part = spelt[i : i + size]
+            lines = ["".join(part[j : j + WORDS_A_LINE]) for j in range(0, len(part), WORDS_A_LINE)]
             found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-            ids = np.concatenate([np.array(line.ids, "<u4") for line in found])
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(part, (np.flatnonzero(ids == self.line_break) * 4).tolist(), strict=True):
-                known[word] = data[begin:end]
-                begin = end + 4
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        if len(self.words) > self.kept:
-            self.words, self.older = {"": b""}, self.words
-        if len(self.firsts) > self.kept:
-            self.firsts = {}
-        cut, wanted, starts = [], set(), set()
-        get = self.words.get
-        for text in texts:
-            if self.line_break is None or not evenly_spaced(text):
-                cut.append(None)
-                continue
-            parts = text.replace("\n", " \n").split(" ")
-            first, parts[0] = parts[0], ""
-            starts.add(first)
-            found = list(map(get, parts))
-            if None in found:
-                wanted.update([word for word, ids in zip(parts, found) if ids is None])
-            cut.append((first, parts, found))
-        again = wanted.intersection(self.older)
-        self.words.update((word, self.older[word]) for word in again)
-        wanted -= again
-        lines = {word for word in wanted if word[0] == "\n"}
-        starts.update(word[1:] for word in lines)
-        self._learn(self.firsts, list(starts.difference(self.firsts)), "")
-        self._learn(self.words, list(wanted - lines), " ")
-        if lines:
-            break_id = np.array([self.line_break], "<u4").tobytes()
-            self.words.update((word, break_id + self.firsts[word[1:]]) for word in lines)
-        out = []
-        for text, known in zip(texts, cut, strict=True):
-            if known is None:
-                out.append(self.whole(text))
-                continue
-            first, parts, found = known
-            if None in found:
-                found = map(self.words.__getitem__, parts)
-            out.append(self.firsts[first] + b"".join(found))
-        return out
+            ids = np.concatenate([np.array(line.ids, np.uint32) for line in found])
+            # A word after a line break takes the break's id that ends the word before it.
+            stops = np.flatnonzero(ids == self.line_break)
+            starts = np.concatenate([[0], stops[:-1] + 1])
+            broken = joins[i : i + size] == _BROKEN
+            sizes = stops - starts + broken
+            ends = np.cumsum(sizes)
+            total = int(ends[-1])
+            source = np.repeat(starts - broken - ends + sizes, sizes) + np.arange(total)
+            taken = np.concatenate([[self.line_break], ids]).astype(np.uint32)[source + 1]
+            while self.used + total > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
+            self.ids[self.used : self.used + total] = taken
+            rows = np.arange(self.words, self.words + len(part))
+            self.starts[rows + 1] = self.used + ends
+            self.table.add(keys[i : i + size], rows.astype(np.int32))
+            self.words += len(part)
+            self.used += total
 
 
 _encoders: dict[str, Encoder] = {}
