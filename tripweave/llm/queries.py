@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tripweave.llm.contamination import find_contamination
+from tripweave.llm.language import fit_language_filters, held_out, predict_language
 from tripweave.llm.near_duplicates import near_duplicates
 from tripweave.llm.packing import pack_documents
 from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.token_files import read_token_files, write_token_files
 from tripweave.llm.tokens import default_path
+from tripweave.llm.toxicity import fit_toxicity, score_toxicity
 from tripweave.session import new_folder
 
 
@@ -18,6 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Score from which a document counts as toxic.
+TOXIC_SCORE = 0.3
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from three quarters of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    model = fit_toxicity(docs, labels)
+    scored = score_toxicity(docs.withColumn("held_out", held_out(F.col("doc_id"))), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 ids."""
     pieces = pack_documents(table(spark, sf_dir, "documents"), default_path())
@@ -43,6 +59,19 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    filters = fit_language_filters(docs.where(~held_out(F.col("doc_id"))))
+    plain = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return predict_language(plain, filters).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written to files and read back."""
     path = new_folder(spark, "token-files")
@@ -51,9 +80,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_substrings": op3_substrings,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_contamination": op6_contamination,
+    "op7_language": op7_language,
     "op9_token_files": op9_token_files,
 }
 
