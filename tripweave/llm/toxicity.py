@@ -22,6 +22,9 @@ TRAIN_DOCS = 20_000
 FEATURES = 2000
 LEAST_DOCS = 5
 
+# Chi-square from which a feature is taken to tell the kinds apart.
+LEAST_STRAY = 6.63
+
 # Letters of word beginnings that are features, beside whole words.
 BEGINNINGS = (4, 5, 6)
 
@@ -147,7 +150,8 @@ def fit_toxicity(
     seen = F.col("toxic") + F.col("clean")
     expected = seen * (toxic / total)
     strays = F.pow(F.col("toxic") - expected, 2) / (expected * (1 - toxic / total))
-    best = counted.where(seen >= LEAST_DOCS).orderBy(strays.desc(), "feature").limit(FEATURES).select("feature")
+    telling = (seen >= LEAST_DOCS) & (strays >= LEAST_STRAY)
+    best = counted.where(telling).orderBy(strays.desc(), "feature").limit(FEATURES).select("feature")
     features = np.sort(np.array([row.feature for row in best.collect()], np.int64).view(np.uint64))
     rows = (
         drawn.select("text", "toxic")
@@ -201,7 +205,7 @@ def _rows(features: np.ndarray, swapper: Swapper):
     return rows
 
 
-def _fit(features, labels, own, swapped, penalty: float, turns: int = 300, decay: float = 1e-4) -> ToxicityModel:
+def _fit(features, labels, own, swapped, penalty: float, turns: int = 400, decay: float = 1e-5) -> ToxicityModel:
     """Gradient steps (Adam) on log loss + penalty * (logit - counterfactual logit)^2."""
     n, width = len(labels), len(features)
     pairs = [i for i, other in enumerate(swapped) if other is not None]
