@@ -13,16 +13,19 @@ from tripweave.llm.components import components
 from tripweave.llm.text import blocks, mix
 from tripweave.session import store
 
-# A pair of similarity 0.8 shares no band of 24 with a chance of 4e-6, one of 0.85 of 2e-8.
-HASHES = 96
+# Minima of a sketch, and those of each band. A pair of similarity 0.8 shares no
+# band with a chance of 4e-6, one of 0.85 of 2e-8.
+HASHES = 512
+BANDS = 24
 BAND_ROWS = 4
 
 # Bits kept of each minimum, and longs that hold them all.
 BITS = 2
 LONGS = HASHES * BITS // 64
 
-# Candidates whose estimate is below the threshold by more than so many standard errors are dropped.
-SIGMAS = 6
+# Candidates whose estimate is below the threshold by more than so many standard
+# errors are dropped: of pairs at the threshold, one in 300,000.
+SIGMAS = 4.5
 
 # Documents that one task compares with the same leader.
 TOGETHER = 512
@@ -52,9 +55,8 @@ def low_bits(least: np.ndarray) -> np.ndarray:
 
 def band_keys(least: np.ndarray) -> np.ndarray:
     """One key per set and band, from all minima of the band."""
-    bands = HASHES // BAND_ROWS
-    keys = np.empty((least.shape[1], bands), np.uint64)
-    for band in range(bands):
+    keys = np.empty((least.shape[1], BANDS), np.uint64)
+    for band in range(BANDS):
         total = np.full(least.shape[1], band + 1, np.uint64)
         for row in least[band * BAND_ROWS : (band + 1) * BAND_ROWS]:
             total = mix(total ^ row)
@@ -94,10 +96,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     A row without doc_id has no links, a null component_id, and is kept.
 
     Equal sets are one class. Classes that share a band are compared with the
-    band's smallest class, by estimate and then on full sets; what these links
-    leave apart in a band is compared across, between components only. So the
-    work stays in proportion to the rows of a group of copies, and no pair of
-    different components in a band is left out.
+    band's smallest class, its leader: by estimate, and then on full sets, one
+    leader at a time and only while they lie in different components. What
+    that leaves apart in a band is compared across, between components only.
+    So the work stays in proportion to the rows of a group of copies, and no
+    pair of different components that shares a band is left out.
     """
     sketches = store(_sketches(docs, shingle), "sketches")
     named = sketches.where("doc_id is not null and digest is not null")
@@ -107,66 +110,84 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         ),
         "classes",
     )
-    bits = [F.col("bits")[i].alias(f"bits{i}") for i in range(LONGS)]
-    rows = classes.select(F.explode("bands").alias("band"), "node", *bits)
-    first = rows.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader < other")
-    shared = store(rows.join(first.select("band", "leader"), "band"), "bands")
-
-    least = _least_estimate(percent / 100)
-    own = classes.select("node", *bits)
-    led = own.select(F.col("node").alias("leader"), *[F.col(f"bits{i}").alias(f"led{i}") for i in range(LONGS)])
-    mine, theirs = ([F.col(f"{name}{i}") for i in range(LONGS)] for name in ("bits", "led"))
-    pairs = (
-        shared.where("node <> leader")
-        .drop("band")
-        .distinct()
-        .join(led, "leader")
-        .where(similarity(mine, theirs) >= least)
-        .select("node", "leader")
-        .distinct()
-    )
-    links = _confirmed(docs, pairs, shingle, percent)
-    joined = components(links)
-
-    placed = shared.join(joined, "node", "left").select(
-        "band", "node", "leader", *[f"bits{i}" for i in range(LONGS)], F.coalesce("component", "node").alias("part")
-    )
-    split = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"))
-    split = split.where("low < high and n > 2").select("band")
-    # A leader was compared with all of its band: it needs no more partners.
-    mixed = store(placed.join(split, "band").where("node <> leader"), "mixed")
-    if not mixed.isEmpty():
-        more = store(_across(mixed, least), "across")
-        if not more.isEmpty():
-            joined = components(links.union(_confirmed(docs, more, shingle, percent)))
+    shared = store(_shared_bands(classes, _least_estimate(percent / 100)), "bands")
+    sets = store(_sets(docs, shared.select("node").distinct(), shingle), "sets")
+
+    todo = store(shared.where("alike and node <> leader").select("node", "leader").distinct(), "todo")
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    parts = docs.sparkSession.createDataFrame([], "node long, component long")
+    while not todo.isEmpty():
+        pairs = store(todo.groupBy("node").agg(F.min("leader").alias("leader")), "pairs")
+        found = _confirmed(sets, pairs, percent)
+        links = links.union(found)
+        parts = components(links)
+        tried = pairs.select("node", F.col("leader").alias("tried"))
+        todo = _placed(todo.join(tried, "node").where("leader > tried").drop("tried"), parts)
+        todo = store(todo.where("part <> leader_part").select("node", "leader"), "todo")
+    more = store(_across(shared, classes, parts, _least_estimate(percent / 100)), "across")
+    if not more.isEmpty():
+        parts = components(links.union(_confirmed(sets, more, percent)))
 
     nodes = classes.select("digest", "node")
     found = sketches.where("doc_id is not null").select("doc_id", "n_shingles", "digest")
     found = (
         found.join(nodes, "digest", "left")
-        .join(joined, "node", "left")
+        .join(parts, "node", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id"))
     )
-    unnamed = sketches.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    unnamed = sketches.where("doc_id is null").select(
+        "doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")
+    )
     return found.unionByName(unnamed).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _across(mixed: DataFrame, least: float) -> DataFrame:
+def _bits(prefix: str) -> list[Column]:
+    return [F.col(prefix)[i] for i in range(LONGS)]
+
+
+def _shared_bands(classes: DataFrame, least: float) -> DataFrame:
+    """Bands of two classes and more: band, node, leader, and whether the two are alike by estimate."""
+    rows = classes.select(F.explode("bands").alias("band"), "node")
+    first = rows.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
+    shared = rows.join(first.select("band", "leader"), "band").join(classes.select("node", "bits"), "node")
+    leaders = shared.where("node = leader").select("band", F.col("bits").alias("led")).dropDuplicates(["band"])
+    alike = similarity(_bits("bits"), _bits("led")) >= least
+    return shared.join(leaders, "band").select("band", "node", "leader", alike.alias("alike"))
+
+
+def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Add the components that node and leader lie in so far: part, leader_part."""
+    own = parts.withColumnRenamed("component", "part")
+    led = parts.select(F.col("node").alias("leader"), F.col("component").alias("leader_part"))
+    return rows.join(own, "node", "left").join(led, "leader", "left").select(
+        *rows.columns, F.coalesce("part", "node").alias("part"), F.coalesce("leader_part", "leader").alias("leader_part")
+    )
+
+
+def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: float) -> DataFrame:
     """Pairs of a band that are alike by estimate and lie in different components.
 
-    One side are the rows outside the band's largest-numbered share: those
-    whose component isn't the one that the band's leader's links formed.
+    One side are the rows outside the band's largest part. A leader was
+    compared with all of its band and needs no more partners.
     """
-    parts = mixed.groupBy("band", "part").count()
-    most = parts.groupBy("band").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
-    few = mixed.join(most, "band").where("part <> main").drop("main", "leader")
-    few = few.select("band", *[F.col(name).alias(f"x_{name}") for name in few.columns if name != "band"])
-    alike = similarity(
-        [F.col(f"bits{i}") for i in range(LONGS)], [F.col(f"x_bits{i}") for i in range(LONGS)]
+    own = parts.withColumnRenamed("component", "part")
+    rows = shared.where("node <> leader").select("band", "node").join(own, "node", "left")
+    rows = rows.select("band", "node", F.coalesce("part", "node").alias("part"))
+    sizes = rows.groupBy("band", "part").count()
+    most = sizes.groupBy("band").agg(
+        F.max_by("part", F.struct("count", "part")).alias("main"), F.count("*").alias("n")
+    )
+    rows = rows.join(most.where("n > 1").select("band", "main"), "band")
+    mixed = store(rows.join(classes.select("node", "bits"), "node"), "mixed")
+    few = mixed.where("part <> main").select(
+        "band", F.col("node").alias("x_node"), F.col("part").alias("x_part"), F.col("bits").alias("x_bits")
     )
+    alike = similarity(_bits("bits"), _bits("x_bits")) >= least
+    # Two rows outside the largest part meet twice: once is enough.
+    once = (F.col("part") == F.col("main")) | (F.col("node") < F.col("x_node"))
     return (
         mixed.join(few, "band")
-        .where((F.col("part") != F.col("x_part")) & (alike >= least))
+        .where((F.col("part") != F.col("x_part")) & once & alike)
         .select(F.greatest("node", "x_node").alias("node"), F.least("node", "x_node").alias("leader"))
         .distinct()
     )
@@ -205,64 +226,48 @@ def _sketch(doc_ids: pa.Array, block, shingle: int) -> pa.RecordBatch:
     )
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """The full shingle sets of some documents: node, members (sorted 64-bit hashes)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(1), lower=True):
+                hashes, places = block.shingles(shingle, short=True)
+                sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(places[:-1], places[1:], strict=True)]
+                own = batch.column(0).slice(block.rows.start, len(block.rows))
+                yield pa.RecordBatch.from_arrays([own, pa.array(sets, pa.binary())], names=["node", "members"])
+
+    wanted = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
+    return wanted.mapInArrow(rows, "node long, members binary")
+
+
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of `pairs` (node, leader) that full sets confirm, as links a, b.
 
     Sets go to where their leader's is, in groups of `TOGETHER`; the leader's
     own set goes to each of its groups.
     """
-    pairs = store(pairs, "pairs")
     sizes = pairs.groupBy("leader").agg(F.count("*").alias("n"))
     shares = sizes.select("leader", F.expr(f"cast(ceil(n / {TOGETHER}) as int)").alias("shares"))
     members = pairs.join(shares, "leader").select(
-        "node", F.struct("leader", F.expr("pmod(hash(node), shares)").alias("share")).alias("group")
+        "node", "leader", F.expr("pmod(hash(node), shares)").alias("share"), F.lit(True).alias("is_member")
     )
     leaders = shares.select(
-        F.col("leader").alias("node"), "leader", F.explode(F.expr("sequence(0, shares - 1)")).alias("share")
-    ).select("node", F.struct("leader", "share").alias("group"))
-    wanted = (
-        members.union(leaders)
-        .groupBy("node", F.expr("group.share div 64").alias("part"))
-        .agg(F.collect_list("group").alias("groups"))
-        .select("node", "groups")
+        F.col("leader").alias("node"),
+        "leader",
+        F.explode(F.expr("sequence(0, shares - 1)")).alias("share"),
+        F.lit(False).alias("is_member"),
     )
-    sets = (
-        docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-        .join(wanted, "node")
-        .select("node", "text", "groups")
-        .mapInArrow(_set_rows(shingle), "leader long, share int, is_member boolean, node long, members binary")
+    gathered = (
+        members.union(leaders)
+        .join(sets, "node")
+        .select("leader", "share", "is_member", "node", "members")
+        .repartition("leader", "share")
+        .sortWithinPartitions("leader", "share", "is_member")
     )
-    gathered = sets.repartition("leader", "share").sortWithinPartitions("leader", "share", "is_member")
     return store(gathered.mapInArrow(_compared(percent), "a long, b long"), "confirmed")
 
 
-def _set_rows(shingle: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column(1), lower=True):
-                hashes, places = block.shingles(shingle, short=True)
-                leaders, shares, nodes, sets = [], [], [], []
-                for i, row in enumerate(block.rows):
-                    members = np.unique(hashes[places[i] : places[i + 1]]).tobytes()
-                    for group in batch.column(2)[row].as_py():
-                        leaders.append(group["leader"])
-                        shares.append(group["share"])
-                        nodes.append(batch.column(0)[row].as_py())
-                        sets.append(members)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(leaders, pa.int64()),
-                        pa.array(shares, pa.int32()),
-                        pa.array([a != b for a, b in zip(leaders, nodes, strict=True)], pa.bool_()),
-                        pa.array(nodes, pa.int64()),
-                        pa.array(sets, pa.binary()),
-                    ],
-                    names=["leader", "share", "is_member", "node", "members"],
-                )
-
-    return rows
-
-
 def _compared(percent: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, kept = None, []
