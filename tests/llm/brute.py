@@ -68,3 +68,33 @@ def near_groups(rows, size, percent):
                     low, high = sorted((find(a), find(b)))
                     root[high] = low
     return {doc: (len(own), find(doc)) for doc, own in sets.items()}
+
+
+def backoff_scores(rows, weight=0.4):
+    """{doc_id: (n_words, n_backed_off, log_score)} of rows with distinct ids."""
+    import math
+    from collections import Counter
+
+    texts = {doc: words(text, lower=True) for doc, text in rows}
+    single, both = Counter(), Counter()
+    for own in texts.values():
+        single.update(own)
+        both.update(zip(own, own[1:]))
+    total = sum(single.values())
+    out = {}
+    for doc, own in texts.items():
+        own1, own2 = Counter(own), Counter(zip(own, own[1:]))
+        rest = max(total - len(own), 1)
+        score, backed = 0.0, 0
+        for i, word in enumerate(own):
+            alone = max(single[word] - own1[word], 1) / rest
+            pair = (own[i - 1], word)
+            if i == 0:
+                score += math.log(alone)
+            elif both[pair] - own2[pair] > 0:
+                score += math.log((both[pair] - own2[pair]) / max(single[pair[0]] - own1[pair[0]], 1))
+            else:
+                score += math.log(weight * alone)
+                backed += 1
+        out[doc] = (len(own), backed, score)
+    return out

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tripweave.llm.columns import with_columns
 from tripweave.llm.letters import Letters
 from tripweave.llm.text import mix, run_hashes
 from tripweave.llm.tokens import text_groups
@@ -26,6 +27,8 @@ PASS_SHINGLES = 2_000_000
 
 _FACTORS = np.random.RandomState(13).randint(1, 1 << 62, HASHES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
+MARK = "holds a test item"
+
 HITS = "doc_id long, item_id long, n_common long, n_item long, first_word long, last_word long"
 
 
@@ -142,18 +145,43 @@ def find_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     aren't shuffled. The number of blocks grows with the items, the size of
     one doesn't.
     """
-    given = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").distinct()
-    words = given.agg(F.sum(F.length("text")), F.count("*")).first()
-    blocks = max(1, -(-int(words[0] or 0) // (PASS_SHINGLES * 5)))
     found = None
-    for i in range(blocks):
-        block = given.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
-        index = ItemIndex.of([row.item_id for row in block], [row.text for row in block])
+    for index in _indexes(items):
         hits = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_search(index), HITS)
         found = hits if found is None else found.unionByName(hits)
     return found.withColumn("containment", F.col("n_common") / F.col("n_item"))
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of `docs` that `find_contamination` finds no item in, with all their columns.
+
+    Documents are judged where they are read and don't move.
+    """
+    for index in _indexes(items):
+        docs = with_columns(docs, {MARK: "boolean"}, _holds(index)).where(~F.col(MARK)).drop(MARK)
+    return docs
+
+
+def _indexes(items: DataFrame) -> Iterator[ItemIndex]:
+    given = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").distinct()
+    letters = given.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-int(letters) // (PASS_SHINGLES * 5)))
+    for i in range(blocks):
+        block = given.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
+        yield ItemIndex.of([row.item_id for row in block], [row.text for row in block])
+
+
+def _holds(index: ItemIndex):
+    def holds(texts: pa.Array) -> list[pa.Array]:
+        marks = []
+        for group in text_groups(texts.to_pylist()):
+            found = {row[0] for row in index.find(*shingle_runs(group))}
+            marks += [i in found for i in range(len(group))]
+        return [pa.array(marks, pa.bool_())]
+
+    return holds
+
+
 def _search(index: ItemIndex):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripweave.llm.contamination import find_contamination
 from tripweave.llm.language import fit_language_filters, held_out, predict_language
+from tripweave.llm.language_model import score_documents
+from tripweave.llm.licenses import known_licenses, scan_licenses
 from tripweave.llm.near_duplicates import near_duplicates
+from tripweave.llm.neighbors import nearest
 from tripweave.llm.packing import pack_documents
 from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.token_files import read_token_files, write_token_files
@@ -54,6 +57,11 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share 85 % of their runs of three words."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
@@ -72,6 +80,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(plain, filters).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence texts and notices of all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents"), known_licenses(spark))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written to files and read back."""
     path = new_folder(spark, "token-files")
@@ -79,14 +92,24 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of all documents."""
+    scored = score_documents(table(spark, sf_dir, "documents"))
+    rounded = [F.round(name, 6).alias(name) for name in ("log_score", "mean_log_score")]
+    return scored.select("doc_id", "n_words", "n_backed_off", *rounded)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_substrings": op3_substrings,
+    "op4_neighbors": op4_neighbors,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_contamination": op6_contamination,
     "op7_language": op7_language,
+    "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
+    "op10_language_model": op10_language_model,
 }
 
 ORACLES: dict[str, str] = {}

@@ -140,3 +140,20 @@ def blocks(column: pa.Array, lower: bool = False, size: int = BLOCK_BYTES) -> It
             lower,
         )
         row = stop
+
+
+def count_words(column: pa.Array) -> int:
+    """Words of all documents of a text column."""
+    column = large_binary(column)
+    if not len(column):
+        return 0
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if offsets[-1] == offsets[0]:
+        return 0
+    inside = _IN_WORD[np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]]
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    edges = offsets[1:-1] - offsets[0]
+    edges = edges[edges < len(inside)]
+    opens[edges] = inside[edges]
+    return int(np.count_nonzero(opens))
