@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tripweave.llm.text import Block, blocks, mix, run_hashes
+from tripweave.session import store
 
 WINDOW = 20
 
@@ -71,8 +72,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     the same words also start earlier: in a document of smaller doc_id, or
     earlier in the same one. Windows are judged on the texts as given.
 
-    Adds n_words, n_removed and kept (in place of columns of these names), the remaining words joined by one space.
-    A null text has no words; a null doc_id counts as the smallest. Rows that
+    Adds n_words, n_removed and kept, the remaining words joined by one space,
+    in place of any columns of these names. A null text has no words; a null doc_id counts as the smallest. Rows that
     share a doc_id stand at the same place in the order: a window at the same
     position of two of them repeats neither. Windows are compared by 64-bit
     hashes of prefixes and 32-bit hashes of the words around them.
@@ -93,7 +94,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     anchors = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text"
     ).mapInArrow(_anchor_rows, ANCHORS)
-    often = anchors.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1")
+    # Stored, so that the join reads two plain shuffles, whose hot prefixes Spark can split.
+    often = store(anchors.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1"), "prefixes")
     places = (
         anchors.join(often, "prefix")
         .groupBy("doc")
