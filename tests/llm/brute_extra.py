@@ -1,0 +1,23 @@
+"""Plain containment search, for small inputs."""
+
+
+def shingles(text, size):
+    own = "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
+    if not own:
+        return frozenset()
+    if len(own) < size:
+        return frozenset([tuple(own)])
+    return frozenset(tuple(own[i : i + size]) for i in range(len(own) - size + 1))
+
+
+def contained(docs, items, size, percent):
+    """{(doc_id, item_id): common shingles} of all pairs that reach the percentage."""
+    sets = [(item, shingles(text, size)) for item, text in items]
+    out = {}
+    for doc, text in docs:
+        own = shingles(text, size)
+        for item, wanted in sets:
+            common = len(own & wanted)
+            if wanted and 100 * common >= percent * len(wanted):
+                out[doc, item] = common
+    return out

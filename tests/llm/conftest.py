@@ -1,0 +1,40 @@
+import random
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string, rest string"
+
+
+def sentence(rng, n, letters="abcdefgh"):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """(doc_id, text): nulls, empty, long, repeated and nearly repeated texts; ids are distinct."""
+    rng = random.Random(5)
+    base = [sentence(rng, n) for n in (3, 12, 60, 150, 400)]
+    passage = sentence(rng, 55)
+    rows = [(1, None), (2, ""), (3, " \n\t "), (4, "word"), (5, "two words"), (6, "Two  WORDS"), (7, "!!! 123 ???")]
+    for i, text in enumerate(base):
+        rows += [(10 + i, text), (20 + i, text), (30 + i, text.upper())]
+        words = text.split()
+        words[len(words) // 2] = "changed"
+        rows.append((40 + i, " ".join(words)))
+    rows += [(50 + i, f"{sentence(rng, 30)} {passage}\n{sentence(rng, 30)}") for i in range(6)]
+    rows += [(60, "same " * 500), (61, "a b " * 300), (62, f"{passage} {passage}"), (63, "x" * 5000)]
+    rows += [(70, sentence(rng, 30_000)), (71, "é ü ñ “q” 漢字 a b c"), (72, "tab\tand\r\nbreak\x0b end ")]
+    rows += [(None, base[3]), (-5, base[2])]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark, odd_rows):
+    """The odd texts with extra columns whose names clash with those the operators add."""
+    rows = [(doc, text, None, None, None, "s", None, "r") for doc, text in odd_rows]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -114,13 +114,13 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, reranked: floa
     length = sizes.n if sizes else 0
     sound = sound.where(F.size("embedding") == length)
     index = fit_index(sound)
-    if index is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = sound.where("is_query").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     passes = -(-queries.count() // PASS_QUERIES)
+    if index is None or not passes:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     path = new_folder(spark, "nearest")
-    for i in range(max(1, passes)):
-        block = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, passes))) == i).collect()
+    for i in range(passes):
+        block = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(passes)) == i).collect()
         found = sound.select("vec_id", "embedding").mapInArrow(_shards(index, block, k, reranked), FOUND)
         found.write.mode("append").parquet(path)
     best = spark.read.schema(FOUND).parquet(path).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
@@ -131,7 +131,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, reranked: floa
 
 def _shards(index: PermutationIndex, block: list, k: int, reranked: float):
     query_ids = np.array([row.vec_id for row in block], np.int64)
-    queries = np.array([row.embedding for row in block], np.float64).reshape(len(block), -1)
+    queries = np.array([row.embedding for row in block], np.float64)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(query_ids):
