@@ -12,6 +12,7 @@ from tripweave.llm.language_model import score_documents
 from tripweave.llm.licenses import known_licenses, scan_licenses
 from tripweave.llm.near_duplicates import near_duplicates
 from tripweave.llm.neighbors import nearest
+from tripweave.llm.oracles import ORACLES
 from tripweave.llm.packing import pack_documents
 from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.token_files import read_token_files, write_token_files
@@ -112,4 +113,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_model": op10_language_model,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
