@@ -2,8 +2,10 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Row
 
 from tripweave.schema import EVENT_SCHEMA
+from tripweave.plans import jobs
 from tripweave.streaming import feed
 
 FIELDS = [f.name for f in EVENT_SCHEMA.fields]
@@ -142,6 +144,37 @@ def test_retry_gives_up(monkeypatch):
     assert calls == [1, 1, 1]
 
 
-def test_console_sink(spark, capsys):
-    feed.console_sink()(spark.sql("select 'k1' key, 'some value' value"), 0)
-    assert "some value" in capsys.readouterr().out
+def test_console_preview_says_what_it_leaves_out(spark, capsys):
+    messages = spark.range(100).selectExpr("'k1' as key", "'some value' as value")
+    feed.console_preview(3)(messages, 7)
+    out = capsys.readouterr().out
+    assert out.count("some value") == 3 and "batch 7: 3 of 100 messages shown" in out
+
+
+def test_totals_are_reported_while_running(capsys):
+    totals = feed.FeedTotals(every=0.0)
+    totals.add(Row(received=4, processed=3, failed=1))
+    totals.add(Row(received=0, processed=0, failed=0))
+    assert "received 4, processed 3, failed 1, batches 2, success 75.00%" in capsys.readouterr().out
+
+
+def test_a_repeated_batch_is_counted_once(spark, folder):
+    for _ in range(2):
+        feed.record_metrics(spark, folder, 1002, Row(received=5, processed=4, failed=1))
+    feed.record_metrics(spark, folder, 3, Row(received=1, processed=1, failed=0))
+    total = feed.feed_metrics(feed.read_metrics(spark, folder)).first()
+    assert (total.received, total.batches) == (6, 2)
+    assert sorted(os.listdir(f"{folder}/metrics")) == ["group=0", "group=1"]
+
+
+@pytest.mark.parametrize("preview", [False, True])
+def test_feed_job_keeps_every_message_in_limited_batches(spark, folder, preview):
+    for name in "abc":
+        drop_file(folder, f"{name}.txt", GOOD * 20 + ["[1]"])
+    query = jobs.feed_job(
+        spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", once=True, batch_files=1, preview=preview
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(f"{folder}/out/messages").count() == 60 * len(GOOD)
+    total = feed.feed_metrics(feed.read_metrics(spark, f"{folder}/out")).first()
+    assert (total.batches, total.failed) == (3, 3)

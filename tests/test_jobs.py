@@ -151,11 +151,93 @@ def test_expand_leaves_out_files_without_ids(spark, folder):
     assert [(r.trip_id, r.dropoff_us - r.pickup_us) for r in trips] == [(7, 30_000_000)]
     report = fl.ingested_rows(footers, jobs.EXPAND_NEEDS).orderBy("path").collect()
     assert [(r.n_rows, r.missing, r.n_ingested) for r in report] == [
-        (1, [], 1), (1, ["trip_id"], 0), (None, jobs.EXPAND_NEEDS, 0)]
+        (1, [], None), (1, ["trip_id"], None), (None, jobs.EXPAND_NEEDS, None)]
     counted = jobs.expand_job(spark, f"{folder}/ids", write_zones(folder), f"{folder}/events",
                               report=f"{folder}/report")
     assert {r.event: r.n_events for r in counted.collect()}["sent"] == 2
-    assert spark.read.option("header", True).csv(f"{folder}/report").count() == 3
+    report = spark.read.option("header", True).csv(f"{folder}/report").orderBy("path").collect()
+    assert [(r.n_rows, r.n_ingested, r.n_lost) for r in report] == [("1", "1", "0"), ("1", "0", "1"), (None, "0", None)]
+
+
+def test_expand_counts_what_it_wrote(spark, folder):
+    """One row group cannot be decoded; a footer is cut off; a time overflows."""
+    n = 30_000
+    columns = {
+        PICKUP: pa.array([1_580_702_706_000_000 + i for i in range(n)], pa.timestamp("us")),
+        DROPOFF: pa.array([1_580_702_736_000_000 + i for i in range(n)], pa.timestamp("us")),
+        "PULocationID": longs(*[4] * n), "DOLocationID": longs(*[5] * n), "trip_id": longs(*range(n)),
+        "total_amount": pa.array([float(i) for i in range(n)]),
+    }
+    path = f"{folder}/ids/trips_2020-02.parquet"
+    os.makedirs(f"{folder}/ids")
+    pq.write_table(pa.table(columns), path, row_group_size=n // 3, compression="zstd", use_dictionary=False)
+    chunk = pq.ParquetFile(path).metadata.row_group(1).column(5)
+    with open(path, "r+b") as handle:
+        handle.seek(chunk.data_page_offset + 40)
+        handle.write(os.urandom(min(2000, chunk.total_compressed_size - 60)))
+    whole = open(path, "rb").read()
+    with open(f"{folder}/ids/trips_2020-03.parquet", "wb") as handle:
+        handle.write(whole[:-300] + b"\xff" * 292 + whole[-8:])
+    counted = jobs.expand_job(spark, f"{folder}/ids", write_zones(folder), f"{folder}/events",
+                              report=f"{folder}/report")
+    counts = {r.event: r.n_events for r in counted.collect()}
+    written = spark.read.parquet(f"{folder}/events")
+    assert counts["sent"] == written.count() and counts["PICKUP"] == written.where("event = 'PICKUP'").count()
+    assert 0 < counts["PICKUP"] < n
+    good, broken = spark.read.option("header", True).csv(f"{folder}/report").orderBy("path").collect()
+    assert int(good.n_ingested) == counts["PICKUP"] and int(good.n_lost) == n - counts["PICKUP"]
+    assert (broken.n_rows, broken.n_ingested) == (None, "0")
+
+
+def test_expand_reports_times_it_cannot_count(spark, folder):
+    put(f"{folder}/ids", "trips_2020-02.parquet", {
+        PICKUP: longs(-9_000_000_000_000_000_000), DROPOFF: longs(9_000_000_000_000_000_000),
+        "PULocationID": longs(4), "DOLocationID": longs(5), "trip_id": longs(7)})
+    trips = spark.createDataFrame([(-(2**62), 2**62), (0, 31_000_000)], "pickup_us long, dropoff_us long")
+    seen = jobs.events.trip_statistics(trips).first()
+    assert (seen.most_ticks, seen.first_event_us, seen.n_uncountable) == (1, -(2**62), 1)
+    rows = {r.event: r.n_events for r in jobs.written_counts(
+        spark.createDataFrame([("PICKUP",), ("DROPOFF",)], "event string"), 1).collect()}
+    assert rows == {"PICKUP": 1, "IN_TRANSIT": 0, "DROPOFF": 1, "sent": 2, "UNCOUNTABLE": 1}
+
+
+def test_identify_takes_files_as_they_come(spark, folder):
+    """An empty file, a column of one file only, a missing pickup, a zone of another width."""
+    root = f"{folder}/clean"
+    put(root, "trips_2020-02.parquet", {PICKUP: times("2020-02-03 10:00:00", None), "a": longs(1, 2)})
+    put(root, "trips_2020-03.parquet", {PICKUP: times("2020-03-03 10:00:00"), "tip_amount": [1.5]})
+    open(f"{root}/trips_2020-04.parquet", "w").close()
+    jobs.identify_job(spark, root, f"{folder}/ids")
+    rows = spark.read.option("mergeSchema", True).parquet(f"{folder}/ids").collect()
+    got = sorted((r.year, r.month, r.src_row, r.trip_id, r.a, r.tip_amount) for r in rows)
+    assert got == [(2020, 2, 0, 200203000000001, 1, None), (2020, 2, 1, None, 2, None),
+                   (2020, 3, 0, 200303000000001, None, 1.5)]
+    footers = jobs.identified_footers(spark, f"{folder}/ids", (2020, 2), (2020, 2))
+    assert sum(r.n for r in footers.groupBy("path").agg(F.max("n_rows").alias("n")).collect()) == 2
+
+
+def test_clean_with_nothing_in_the_period(spark, folder):
+    put(f"{folder}/raw", "trips_2009-01.parquet", {"a": [1]})
+    status = jobs.clean_job(spark, f"{folder}/raw", f"{folder}/clean").collect()
+    assert [tuple(r) for r in status] == [("skipped_out_of_range", 1)]
+
+
+def test_files_as_spark_writes_them(spark, folder):
+    """Timestamps of twelve bytes, both spellings of a column, times as other numbers."""
+    moment = "timestamp'2020-02-03 10:00:00'"
+    spark.sql(f"select {moment} as {PICKUP}, {moment} as {DROPOFF}, 1.5D as Airport_fee, 2.5D as airport_fee") \
+        .coalesce(1).write.parquet(f"{folder}/written")
+    (part,) = [f for f in os.listdir(f"{folder}/written") if f.endswith(".parquet")]
+    os.makedirs(f"{folder}/raw")
+    os.rename(f"{folder}/written/{part}", f"{folder}/raw/trips_2020-02.parquet")
+    put(f"{folder}/raw", "trips_2020-03.parquet", {PICKUP: pa.array([5], pa.int32()), DROPOFF: [1.5]})
+    footers = fl.read_footers(fl.list_files(spark, f"{folder}/raw"))
+    assert {r.physical for r in footers.where(f"column = '{PICKUP}'").collect()} == {"INT96", "INT32"}
+    first, second = read_trips(footers).orderBy(F.col("src_file")).collect()
+    assert str(first[PICKUP]) == "2020-02-03 10:00:00" and first.Airport_fee == 1.5
+    assert str(second[PICKUP]) == "1970-01-01 00:00:00.000005" and second[DROPOFF] is None
+    jobs.clean_job(spark, f"{folder}/raw", f"{folder}/clean")
+    assert spark.read.parquet(f"{folder}/clean").count() == 1
 
 
 def test_written_events_are_fed(spark, folder):
@@ -250,6 +332,19 @@ def test_locate(spark, folder):
     assert jobs.locate_job(spark, f"{folder}/vertices", f"{folder}/all", True) == 3
 
 
+def test_vertex_columns_go_by_name(spark, folder):
+    with open(f"{folder}/vertices.csv", "w") as handle:
+        handle.write("y,location_id,shape_seq,x,more\n180000,7,0,990000,a\nbad,7,0,990000,b\n180000,7,,990000,c\n")
+    rows = jobs.read_vertices(spark, f"{folder}/vertices.csv").collect()
+    assert [(r.shape_seq, r.location_id, r.x, r.y) for r in rows] == [
+        (0, "7", 990000.0, 180000.0), (0, "7", 990000.0, None), (None, "7", 990000.0, 180000.0)]
+    assert jobs.locate_job(spark, f"{folder}/vertices.csv", f"{folder}/zones") == 2
+    with open(f"{folder}/other.csv", "w") as handle:
+        handle.write("a,LocationID\n1,2\n")
+    with pytest.raises(ValueError, match="missing columns: shape_seq, x, y"):
+        jobs.read_vertices(spark, f"{folder}/other.csv")
+
+
 def test_reading_nothing(spark, folder):
     put(f"{folder}/raw", "other.parquet", {"a": [1]})
     none = fl.read_footers(fl.list_files(spark, f"{folder}/raw").where(F.lit(False)))

@@ -10,8 +10,9 @@ SCALE = 1e6
 # Splits a double into two parts whose products with SCALE are exact.
 SPLITTER = 134217729.0
 
-# Beyond this a scaled value has no fraction left to decide on.
-LARGEST = 4e9
+# Beyond this neighbouring doubles lie more than a millionth apart, so that every
+# value already is the nearest to its six decimals.
+LARGEST = 2.0**53 / SCALE
 
 
 def fixed_decimals(value: Column) -> Column:

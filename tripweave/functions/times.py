@@ -48,6 +48,7 @@ def normalize_epoch_us(value: Column) -> Column:
     def below(limit: int) -> Column:
         return (value > -limit) & (value < limit)
 
+    # The sizes at which one unit ends and the next begins.
     already = is_plausible(value) | value.between(-PLAUSIBLE_TO_US, -PLAUSIBLE_FROM_US)
     return (
         F.when(already, value)

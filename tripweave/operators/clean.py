@@ -34,20 +34,30 @@ def conform(
 ) -> DataFrame:
     """Select `target` in its order: renamed, cast, and null where a column is missing.
 
-    A value its type cannot hold becomes null, and a whole number that should be
-    a time counts microseconds. `keep` names columns to carry along.
+    A value its type cannot hold becomes null. Of what should be a time, a whole
+    number counts microseconds, and other numbers and truth values become null.
+    `keep` names columns to carry along.
     """
     stored = dict(df.dtypes)
     columns = []
     for field in target.fields:
         source = source_column(field.name, df.columns, aliases)
         value = F.lit(None) if source is None else F.col(f"`{source}`")
-        if stored.get(source) == "bigint" and field.dataType == T.TimestampNTZType():
-            value = from_micros(value)
+        if field.dataType == T.TimestampNTZType():
+            value = as_time(value, stored.get(source, "void"))
         columns.append(value.try_cast(field.dataType).alias(field.name))
     return df.select(*columns, *[F.col(name) for name in keep])
 
 
+def as_time(value: Column, stored: str) -> Column:
+    """What can be cast to a time: texts and times as they are, whole numbers as microseconds."""
+    if stored in ("tinyint", "smallint", "int", "bigint"):
+        return from_micros(value.cast("bigint"))
+    if stored in ("string", "void", "date", "timestamp", "timestamp_ntz"):
+        return value
+    return F.lit(None).cast("timestamp_ntz")
+
+
 def in_month(ts: Column, period: Column) -> Column:
     """The time falls into the month given as yyyymm; true where there is none.
 

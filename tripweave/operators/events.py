@@ -24,7 +24,7 @@ CHUNK = 65_536
 # A trip with more events than this is unfolded by many tasks.
 LONG_TRIP = 10_000_000
 
-# Fields of each event kind on the wire, in order.
+# The fields of each event kind on the wire, in order.
 PICKUP_FIELDS = [
     "event", "trip_id", "PULocationID", "lat", "lon", "VendorID", "passenger_count", "ts",
 ]
@@ -66,10 +66,13 @@ def value_or_default(column: Column, stored: str, kind: str) -> Column:
     return F.coalesce(value, default)
 
 
-def with_defaults(trips: DataFrame, pickup: str = PICKUP, dropoff: str = DROPOFF) -> DataFrame:
+def with_defaults(
+    trips: DataFrame, pickup: str = PICKUP, dropoff: str = DROPOFF, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Typed trips with nothing null: absent or unreadable values become 0, 0.0 or "".
 
-    Times become `pickup_us` and `dropoff_us`, microseconds since 1970.
+    Times become `pickup_us` and `dropoff_us`, microseconds since 1970. `keep`
+    names columns to carry along as they are.
     """
     require_columns(trips, pickup, dropoff, TRIP_ID)
     stored = dict(trips.dtypes)
@@ -82,18 +85,34 @@ def with_defaults(trips: DataFrame, pickup: str = PICKUP, dropoff: str = DROPOFF
     for name, source in (("pickup_us", pickup), ("dropoff_us", dropoff)):
         micros = epoch_micros(F.col(source), stored[source])
         columns.append(F.coalesce(micros, F.lit(0).cast("bigint")).alias(name))
-    return trips.select(*columns)
+    return trips.select(*columns, *keep)
 
 
 def tick_count(pickup_us: Column, dropoff_us: Column, step_us: int = STEP_US) -> Column:
     """How many steps after pickup lie strictly before drop-off.
 
-    None for times so wrong that they lie further apart than can be counted.
+    0 for times so wrong that they lie further apart than can be counted; see
+    `uncountable`.
     """
     duration = F.try_subtract(dropoff_us, pickup_us)
     return F.when(duration > 0, whole_div(duration - 1, step_us)).otherwise(0)
 
 
+def uncountable(pickup_us: Column, dropoff_us: Column) -> Column:
+    """The times lie further apart than a 64-bit number of microseconds can say."""
+    return (dropoff_us > pickup_us) & F.try_subtract(dropoff_us, pickup_us).isNull()
+
+
+def trip_statistics(trips: DataFrame, step_us: int = STEP_US) -> DataFrame:
+    """One row, from one narrow pass: most_ticks, first_event_us, n_uncountable."""
+    pickup_us, dropoff_us = F.col("pickup_us"), F.col("dropoff_us")
+    return trips.agg(
+        F.coalesce(F.max(tick_count(pickup_us, dropoff_us, step_us)), F.lit(0)).alias("most_ticks"),
+        F.min(F.least(pickup_us, dropoff_us)).alias("first_event_us"),
+        F.count_if(uncountable(pickup_us, dropoff_us)).alias("n_uncountable"),
+    )
+
+
 def has_long_trips(
     trips: DataFrame,
     step_us: int = STEP_US,

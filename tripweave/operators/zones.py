@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.geo import lcc_inverse
-from tripweave.operators.joins import BROADCAST_ROWS, is_small, lookup
+from tripweave.operators.joins import BROADCAST_ROWS, KEY_ROWS, is_small, lookup
 from tripweave.operators.numbering import group_sizes, number_rows
 from tripweave.schema import (
     DEFAULT_LATITUDE,
@@ -33,13 +36,18 @@ def find_location_column(df: DataFrame) -> str:
 def zone_points(
     vertices: DataFrame, include_unknown: bool = False, sentinels: list[int] = SENTINEL_ZONES
 ) -> DataFrame:
-    """Outline vertices as (shape_seq, LocationID, lon, lat); unusable ids are left out."""
+    """Outline vertices as (shape_seq, LocationID, lon, lat).
+
+    Unusable ids are left out, and so are vertices that lack a coordinate. A null
+    `shape_seq` is an outline like any other.
+    """
     location = F.col(find_location_column(vertices)).try_cast("bigint")
     lon, lat = lcc_inverse(F.col("x"), F.col("y"))
     named = vertices.withColumn("LocationID", location).where(F.col("LocationID").isNotNull())
     if not include_unknown:
         named = named.where(~F.col("LocationID").isin(sentinels))
-    return named.select("shape_seq", "LocationID", lon.alias("lon"), lat.alias("lat"))
+    points = named.select("shape_seq", "LocationID", lon.alias("lon"), lat.alias("lat"))
+    return points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
 
 
 def zone_medians(
@@ -63,7 +71,7 @@ def zone_medians(
         few = sizes.groups <= BROADCAST_ROWS
         lon = middle_value(points, keys, "lon", "longitude", group_rows, few)
         lat = middle_value(points, keys, "lat", "latitude", group_rows, few)
-        medians = lon.join(lat, keys)
+        medians = join_groups(lon, lat, keys)
     return medians.orderBy("LocationID", "shape_seq").select(
         "LocationID", "longitude", "latitude", "shape_seq"
     )
@@ -82,10 +90,17 @@ def middle_value(
         sizes = F.broadcast(sizes)
     low = F.expr("(_rows + 1) div 2")
     high = F.expr("_rows div 2 + 1")
-    middle = numbered.join(sizes, keys).where(F.col("_seq").between(low, high))
+    middle = join_groups(numbered, sizes, keys).where(F.col("_seq").between(low, high))
     return middle.groupBy(*keys).agg(F.avg(value).alias(name))
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which a null key equals a null key."""
+    other = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    match = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys))
+    return left.join(other, match).drop(*[f"_right_{key}" for key in keys])
+
+
 def last_per_zone(zones: DataFrame, order: list[str]) -> DataFrame:
     """The last row of each zone id along `order`, found by a combining aggregate."""
     columns = [c for c in zones.columns if c != "LocationID" and c not in order]
@@ -103,7 +118,12 @@ def or_fallback(zones: DataFrame) -> DataFrame:
 
 
 def with_coords(
-    trips: DataFrame, zones: DataFrame, key: str, prefix: str, small: bool | None = None
+    trips: DataFrame,
+    zones: DataFrame,
+    key: str,
+    prefix: str,
+    small: bool | None = None,
+    key_rows: int = KEY_ROWS,
 ) -> DataFrame:
     """Add `<prefix>_lat` and `<prefix>_lon` of a zone; an unknown zone gets the default."""
     small = is_small(zones) if small is None else small
@@ -112,7 +132,7 @@ def with_coords(
         F.col("latitude").alias("_lat"),
         F.col("longitude").alias("_lon"),
     )
-    joined = lookup(trips, found, key, "_zone", small)
+    joined = lookup(trips, found, key, "_zone", small, key_rows)
     return joined.withColumns(
         {
             f"{prefix}_lat": F.coalesce("_lat", F.lit(DEFAULT_LATITUDE)),

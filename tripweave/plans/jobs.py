@@ -35,7 +35,7 @@ from tripweave.schema import (
 from tripweave.session import build_session, spread, store
 from tripweave.sources import files as fl
 from tripweave.sources.tables import read_vertices, read_zones, write_csv
-from tripweave.sources.trips import read_files, read_trips, write_by_month
+from tripweave.sources.trips import read_as_stored, read_files, read_trips, write_by_month
 from tripweave.streaming import feed
 
 # Fixed values of the event job.
@@ -44,6 +44,9 @@ EXPAND_START = (2020, 1)
 EXPAND_END = (2024, 4)
 PLAYBACK_SPEED = 100.0
 
+# Rows of a job's result that are printed; the rest is counted, and in what the job wrote.
+SHOWN_ROWS = 200
+
 
 def clean_job(
     spark: SparkSession,
@@ -52,9 +55,14 @@ def clean_job(
     start: tuple[int, int] = CLEAN_START,
     end: tuple[int, int] = CLEAN_END,
 ) -> DataFrame:
-    """Conform and filter the monthly files of a period; returns files per status."""
+    """Conform and filter the monthly files of a period; returns files per status.
+
+    With no file in the period nothing is written.
+    """
     files = fl.with_status(fl.list_files(spark, source), start, end)
     footers = store(fl.read_footers(files.where(F.col("status") == "processed")), "footers")
+    if footers.isEmpty():
+        return fl.status_counts(files)
     trips = read_trips(footers)
     name = F.substring_index(SOURCE_FILE, "/", -1)
     write_by_month(clean(trips, period=period_number(name)), target)
@@ -62,15 +70,13 @@ def clean_job(
 
 
 def identify_job(spark: SparkSession, source: str, target: str) -> None:
-    """Give every trip its id; trips keep the order of the file they first came from."""
-    trips = spark.read.parquet(source)
-    if SOURCE_FILE not in trips.columns:
-        origin = {
-            SOURCE_FILE: F.col("_metadata.file_path"),
-            SOURCE_ROW: F.col("_metadata.row_index"),
-        }
-        trips = trips.withColumns(origin)
-    trips = trips.drop("year", "month")
+    """Give every trip its id; trips keep the order of the file they first came from.
+
+    Files are read as they are, each with its own columns; empty ones are left
+    out. A trip without a pickup keeps a null id and its file's month.
+    """
+    footers = store(fl.read_footers(fl.list_files(spark, source)), "footers")
+    trips = read_as_stored(footers).drop("year", "month")
     write_by_month(add_trip_id(trips), target)
 
 
@@ -97,31 +103,54 @@ def expand_job(
     ordered: bool = False,
     report: str | None = None,
 ) -> DataFrame:
-    """Unfold the trips of a period into events; returns events per kind.
+    """Unfold the trips of a period into events; returns the events written, per kind.
 
     `ordered` sorts all events by time, which moves every one of them; leave it
     off for readers that go by `replay_offset_us` or by key. `report` names a
-    folder for the rows found in and taken from each file.
+    folder for the rows that each file has, that were taken from it and that
+    were lost with unreadable parts of it. Both counts are of what was written.
+    A trip whose times lie too far apart to count steps between is reported
+    as UNCOUNTABLE; it has no events on the way.
     """
     footers = identified_footers(spark, source, start, end)
-    if report:
-        write_csv(fl.ingested_rows(footers, EXPAND_NEEDS).orderBy("path"), report)
     trips = read_identified(footers)
-    long_trip = events.LONG_TRIP if events.has_long_trips(trips, step_us) else None
+    seen = events.trip_statistics(trips, step_us).first()
+    long_trip = events.LONG_TRIP if seen.most_ticks > events.LONG_TRIP else None
     amounts = events.wire_amounts(spread(trips))
     located = zones.locate_trips(amounts, read_zones(spark, zone_file))
     unfolded = events.expand_events(located, step_us, long_trip=long_trip)
     timeline = events.with_positions(unfolded)
-    first = events.first_event(trips).select("first_event_us").scalar()
-    scheduled = events.replay_schedule(timeline, first, speed, slice_us)
+    scheduled = events.replay_schedule(timeline, seen.first_event_us, speed, slice_us)
     times = [c for c in ("replay_offset_us", "replay_slice") if c in scheduled.columns]
     messages = events.event_payload(
-        scheduled, keep=(TRIP_ID, "event", "event_seq", "event_time_us", *times)
+        scheduled, keep=(TRIP_ID, "event", "event_seq", "event_time_us", *times, SOURCE_FILE)
     )
     if ordered:
         messages = events.in_time_order(messages)
     messages.write.mode("overwrite").option("compression", "zstd").parquet(target)
-    return events.event_counts(trips, step_us)
+    written = spark.read.schema(messages.schema).parquet(target)
+    if report:
+        write_csv(fl.ingested_rows(footers, EXPAND_NEEDS, taken_rows(written)).orderBy("path"), report)
+    return written_counts(written, seen.n_uncountable)
+
+
+def taken_rows(written: DataFrame) -> DataFrame:
+    """Trips per source file among written events: path, n_taken."""
+    trips = written.where(F.col("event") == "PICKUP")
+    return trips.groupBy(F.col(SOURCE_FILE).alias("path")).agg(F.count("*").alias("n_taken"))
+
+
+def written_counts(written: DataFrame, n_uncountable: int = 0) -> DataFrame:
+    """Written events of each kind and, as `sent`, of all kinds; and trips that couldn't be counted."""
+    kinds = ("PICKUP", "IN_TRANSIT", "DROPOFF")
+    counted = written.agg(
+        *[F.count_if(F.col("event") == kind).alias(kind) for kind in kinds], F.count("*").alias("sent")
+    )
+    rows = [F.struct(F.lit(name).alias("event"), F.col(name).alias("n_events")) for name in (*kinds, "sent")]
+    if n_uncountable:
+        lost = F.lit(n_uncountable).cast("bigint")
+        rows.append(F.struct(F.lit("UNCOUNTABLE").alias("event"), lost.alias("n_events")))
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def identified_footers(
@@ -145,7 +174,12 @@ def read_identified(footers: DataFrame) -> DataFrame:
     """Typed trips; files that lack an id or a time, or cannot be read, are left out."""
     usable = footers.join(fl.missing_columns(footers, EXPAND_NEEDS), "path", "left_anti")
     columns = [f.name for f in TRIP_SCHEMA.fields] + [TRIP_ID]
-    return read_files(usable, columns, events.with_defaults, skip_unreadable=True)
+
+
+    def typed(raw: DataFrame) -> DataFrame:
+        return events.with_defaults(raw, keep=(SOURCE_FILE,))
+
+    return read_files(usable, columns, typed, skip_unreadable=True)
 
 
 def check_times_job(
@@ -209,13 +243,26 @@ def feed_job(
     servers: str | None = None,
     event_files: bool = False,
     once: bool = False,
+    from_topic: str | None = None,
+    batch_files: int = feed.BATCH_FILES,
+    batch_messages: int = feed.BATCH_MESSAGES,
+    preview: bool = False,
 ) -> StreamingQuery:
-    """Publish arriving messages, to a topic or else to the console.
+    """Publish arriving messages to a topic or else, as Parquet, to `output`/messages.
 
-    They come as lines of text files or, with `event_files`, as files of the expand job.
+    They come as lines of text files or, with `event_files`, as files of the
+    expand job; with `from_topic`, from that topic of the servers that `source`
+    names. A batch takes at most `batch_files` files or `batch_messages`
+    messages. `preview` also prints a few messages of each batch.
     """
-    stream = (feed.read_event_feed if event_files else feed.read_text_feed)(spark, source)
-    sink = feed.kafka_sink(servers) if servers else feed.console_sink()
+    if from_topic:
+        stream = feed.read_kafka_feed(spark, source, from_topic, batch_messages)
+    else:
+        read = feed.read_event_feed if event_files else feed.read_text_feed
+        stream = read(spark, source, batch_files)
+    sink = feed.kafka_sink(servers) if servers else feed.parquet_sink(f"{output}/messages")
+    if preview:
+        sink = feed.both_sinks(sink, feed.console_preview())
     trigger = {"availableNow": True} if once else None
     return feed.start_feed(stream, sink, output, checkpoint, trigger=trigger)
 
@@ -248,6 +295,8 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     sub.add_argument("--speed", type=float, default=PLAYBACK_SPEED)
     sub.add_argument("--ordered", action="store_true")
     sub.add_argument("--report")
+    sub.add_argument("--step-us", type=int, default=STEP_US)
+    sub.add_argument("--slice-us", type=int)
     sub = job("check-times", "source", "target")
     sub.add_argument("--start", type=year_month, default=EXPAND_START)
     sub.add_argument("--end", type=year_month, default=EXPAND_END)
@@ -256,6 +305,10 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     sub.add_argument("--servers")
     sub.add_argument("--event-files", action="store_true")
     sub.add_argument("--once", action="store_true")
+    sub.add_argument("--from-topic")
+    sub.add_argument("--batch-files", type=int, default=feed.BATCH_FILES)
+    sub.add_argument("--batch-messages", type=int, default=feed.BATCH_MESSAGES)
+    sub.add_argument("--preview", action="store_true")
     return parser.parse_args(arguments)
 
 
@@ -272,7 +325,10 @@ def main(arguments: list[str] | None = None) -> None:
     }[options.pop("job")]
     result = run(build_session(), **options)
     if isinstance(result, DataFrame):
-        result.show(truncate=False)
+        rows = result.count()
+        result.show(SHOWN_ROWS, truncate=False)
+        if rows > SHOWN_ROWS:
+            print(f"and {rows - SHOWN_ROWS} more of {rows} rows")
     elif isinstance(result, StreamingQuery):
         result.awaitTermination()
     elif result is not None:

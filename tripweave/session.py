@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,6 +14,8 @@ TIME_ZONE = "UTC"
 SETTINGS = {
     "spark.sql.session.timeZone": TIME_ZONE,
     "spark.sql.ansi.enabled": "true",
+    # Files may hold columns that differ by the case of a letter only.
+    "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A nanosecond column is read as a plain count and scaled by the epoch rule.
@@ -42,7 +45,7 @@ def work_folder(spark: SparkSession) -> str:
     folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tripweave-"))
     return spark.sparkContext.getCheckpointDir()

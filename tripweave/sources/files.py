@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions.times import month_index, period_from_name, period_label
 
-FOOTER_SCHEMA = "path string, n_rows bigint, pos int, column string, type string"
+FOOTER_SCHEMA = "path string, n_rows bigint, pos int, column string, type string, physical string"
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -76,9 +76,11 @@ def status_counts(files: DataFrame) -> DataFrame:
 def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
     """One row per file and column, with the file's row count, from footers alone.
 
-    `type` is the type the file was written with. A file without columns yields
-    one row with a null column, and one that cannot be read, if those are to be
-    skipped, also a null row count. Empty files are left out.
+    `type` is the type the file was written with, `physical` how it is stored
+    (null for a nested column). A file without columns yields one row with a
+    null column, and one whose footer cannot be decoded, if those are to be
+    skipped, also a null row count; one that isn't there or may not be read
+    always raises. Empty files are left out.
     """
 
     def footers(batches):
@@ -90,6 +92,8 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
+        systems = {}
+
         def open_file(path):
             if path.startswith("file:/"):
                 path = "/" + path[len("file:/") :].lstrip("/")
@@ -97,7 +101,15 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
                 return fs.LocalFileSystem().open_input_file(path)
             # Spark's names for the S3 scheme are not known outside it.
             uri = quote(re.sub("^s3[an]:", "s3:", path), safe=":/@")
-            system, inner = fs.FileSystem.from_uri(uri)
+            scheme, _, rest = uri.partition("://")
+            store = f"{scheme}://{rest.partition('/')[0]}"
+            if store not in systems:
+                systems[store] = fs.FileSystem.from_uri(uri)[0]
+            system = systems[store]
+            inner = path.partition("://")[2]
+            # Object stores name the bucket in the path, file systems with hosts don't.
+            if scheme not in ("s3", "gs", "gcs", "abfs", "abfss"):
+                inner = "/" + inner.partition("/")[2]
             return system.open_input_file(inner)
 
         for batch in batches:
@@ -107,15 +119,20 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
                     with open_file(path) as handle:
                         parquet = pq.ParquetFile(handle)
                         n_rows, schema = parquet.metadata.num_rows, parquet.schema_arrow
-                except pa.ArrowInvalid:
-                    if not skip_unreadable:
+                        leaves = [parquet.schema.column(i) for i in range(len(parquet.schema))]
+                        stored = {leaf.path: leaf.physical_type for leaf in leaves}
+                except (pa.ArrowException, OSError) as error:
+                    gone = isinstance(error, (FileNotFoundError, PermissionError))
+                    if gone or not skip_unreadable:
                         raise
-                    n_rows, schema = None, []
+                    n_rows, schema, stored = None, [], {}
                 if len(schema) == 0:
-                    rows.append((path, n_rows, None, None, None))
+                    rows.append((path, n_rows, None, None, None, None))
                 for pos, field in enumerate(schema):
-                    rows.append((path, n_rows, pos, field.name, str(field.type)))
-            frame = pd.DataFrame(rows, columns=["path", "n_rows", "pos", "column", "type"])
+                    kind = stored.get(field.name)
+                    rows.append((path, n_rows, pos, field.name, str(field.type), kind))
+            names = ["path", "n_rows", "pos", "column", "type", "physical"]
+            frame = pd.DataFrame(rows, columns=names)
             yield frame.astype({"n_rows": "Int64", "pos": "Int32"})
 
     slots = files.sparkSession.sparkContext.defaultParallelism
@@ -141,18 +158,38 @@ def file_counts(footers: DataFrame) -> DataFrame:
     )
 
 
-def ingested_rows(footers: DataFrame, required: list[str]) -> DataFrame:
-    """Per file: its rows, the needed columns it lacks, and the rows a job will take from it."""
+def ingested_rows(
+    footers: DataFrame, required: list[str], taken: DataFrame | None = None
+) -> DataFrame:
+    """Per file: its rows, the needed columns it lacks, the rows a job took and those it lost.
+
+    `taken` has path and n_taken, counted on what the job wrote; without it both
+    counts are null. The footer's row count is null for a file that has no readable
+    footer.
+    """
+    rows = per_file_columns(footers, required)
+    if taken is None:
+        unknown = F.lit(None).cast("bigint")
+        return rows.withColumns({"n_ingested": unknown, "n_lost": unknown})
+    counted = rows.join(taken, "path", "left")
+    n_ingested = F.coalesce("n_taken", F.lit(0).cast("bigint"))
+    return counted.withColumn("n_ingested", n_ingested).select(
+        *rows.columns, "n_ingested", (F.col("n_rows") - F.col("n_ingested")).alias("n_lost")
+    )
+
+
+def per_file_columns(footers: DataFrame, required: list[str]) -> DataFrame:
+    """Per file: path, n_rows, and the needed columns that it lacks."""
     per_file = footers.groupBy("path").agg(
         F.max("n_rows").alias("n_rows"), F.collect_set("column").alias("_present")
     )
     needed = F.array(*[F.lit(name) for name in required])
-    usable = F.size("missing") == 0
     return per_file.select(
         "path", "n_rows", F.array_except(needed, "_present").alias("missing")
-    ).withColumn("n_ingested", F.when(usable, F.col("n_rows")).otherwise(0))
+    )
 
 
 def missing_columns(footers: DataFrame, required: list[str]) -> DataFrame:
     """Files that lack one of the columns a job needs, with what they lack."""
-    return ingested_rows(footers, required).where(F.size("missing") > 0).select("path", "missing")
+    lacking = per_file_columns(footers, required)
+    return lacking.where(F.size("missing") > 0).select("path", "missing")

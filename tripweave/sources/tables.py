@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.functions.text import leading_double, leading_int, unquote
-from tripweave.operators.zones import last_per_zone, or_fallback
-
-VERTEX_SCHEMA = "shape_seq bigint, LocationID string, x double, y double"
+from tripweave.operators.zones import find_location_column, last_per_zone, or_fallback
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
@@ -40,10 +38,19 @@ def parse_zones(lines: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_vertices(spark: SparkSession, path: str) -> DataFrame:
-    """Outline vertices in planar feet, from CSV with a header or from Parquet."""
-    if path.endswith(".csv"):
-        return spark.read.schema(VERTEX_SCHEMA).option("header", True).csv(path)
-    return spark.read.parquet(path)
+    """Outline vertices in planar feet, from CSV with a header or from Parquet.
+
+    CSV columns are found by the names in the header, whatever their order; a
+    number that isn't one becomes null.
+    """
+    if not path.endswith(".csv"):
+        return spark.read.parquet(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    kinds = {"shape_seq": "bigint", find_location_column(raw): "string", "x": "double", "y": "double"}
+    missing = [name for name in kinds if name not in raw.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return raw.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in kinds.items()])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.functions.times import from_micros, whole_div
+from tripweave.functions.times import from_micros, period_from_name, whole_div
 from tripweave.operators.clean import conform
 from tripweave.schema import PICKUP, SOURCE_FILE, SOURCE_ROW, TRIP_ALIASES, TRIP_SCHEMA
 
@@ -38,6 +38,8 @@ def read_type(name: str) -> T.DataType | None:
     """How to read a file column; None for one with no values or of an unknown type."""
     dictionary = re.match(r"dictionary<values=(\w+)", name)
     name = dictionary.group(1) if dictionary else name
+    if name == INT96:
+        return T.TimestampType()
     if is_nanos(name):
         return T.LongType()
     if name.startswith("timestamp["):
@@ -48,6 +50,10 @@ def read_type(name: str) -> T.DataType | None:
     return READ_TYPES.get(name)
 
 
+# A timestamp of twelve bytes; files say so only in the physical type.
+INT96 = "int96"
+
+
 def is_nanos(name: str) -> bool:
     return name.startswith("timestamp[ns")
 
@@ -57,7 +63,8 @@ def layouts(footers: DataFrame, columns: list[str]) -> dict[tuple, list[str]]:
 
     The driver gets one row per file, as it does when it lists files for a scan.
     """
-    pair = F.when(F.col("column").isin(columns), F.struct("column", "type"))
+    kind = F.when(F.col("physical") == "INT96", INT96).otherwise(F.col("type")).alias("type")
+    pair = F.when(F.col("column").isin(columns), F.struct("column", kind))
     per_file = footers.groupBy("path").agg(F.array_sort(F.collect_set(pair)).alias("layout"))
     groups: dict[tuple, list[str]] = {}
     for row in per_file.orderBy("path").toLocalIterator():
@@ -66,9 +73,16 @@ def layouts(footers: DataFrame, columns: list[str]) -> dict[tuple, list[str]]:
 
 
 def read_layout(
-    spark: SparkSession, layout: tuple, paths: list[str], skip_unreadable: bool = False
+    spark: SparkSession,
+    layout: tuple,
+    paths: list[str],
+    skip_unreadable: bool = False,
+    keep: Collection[str] = (),
 ) -> DataFrame:
-    """Files of one layout, with the file and row each row came from."""
+    """Files of one layout, with the file and row each row came from.
+
+    `keep` names those of the two that are stored columns and stay as they are.
+    """
     fields = [T.StructField(c, read_type(t)) for c, t in layout if read_type(t) is not None]
     # A path is also a pattern, so its special signs are escaped.
     literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
@@ -81,6 +95,7 @@ def read_layout(
         SOURCE_FILE: F.col("_metadata.file_path"),
         SOURCE_ROW: F.col("_metadata.row_index"),
     }
+    extra = {name: value for name, value in extra.items() if name not in keep}
     for column, kind in layout:
         if is_nanos(kind):
             extra[column] = from_micros(whole_div(F.col(column), 1000))
@@ -104,6 +119,24 @@ def read_files(
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_as_stored(footers: DataFrame) -> DataFrame:
+    """All rows with every column that any file has, null where a file has none.
+
+    Rows that already say which file and row they first came from keep saying so.
+    """
+    found = footers.where(F.col("column").isNotNull()).select("column").distinct().collect()
+    columns = sorted(row.column for row in found)
+    spark = footers.sparkSession
+    groups = layouts(footers, columns)
+    if not groups:
+        raise ValueError("no files to read")
+    parts = []
+    for layout, paths in groups.items():
+        stored = {column for column, _ in layout}
+        parts.append(read_layout(spark, layout, paths, keep=stored & {SOURCE_FILE, SOURCE_ROW}))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_trips(
     footers: DataFrame,
     target: T.StructType = TRIP_SCHEMA,
@@ -117,12 +150,18 @@ def read_trips(
 
 
 def write_by_month(df: DataFrame, path: str, ts: str = PICKUP) -> None:
-    """Parquet with zstd in `year=`/`month=` folders.
+    """Parquet with zstd in `year=`/`month=` folders, by the month of the source file's name.
 
-    No shuffle: a task holds rows of few months, as each input file covers one.
+    Where that names none, by the time itself. No shuffle: a task holds rows of
+    few months, as each input file covers one.
     """
+    year, month = F.year(ts), F.month(ts)
+    if SOURCE_FILE in df.columns:
+        of_file = period_from_name(F.substring_index(SOURCE_FILE, "/", -1))
+        # Both from the name or neither.
+        year, month = (F.coalesce(own, part) for own, part in zip(of_file, (year, month), strict=True))
     (
-        df.withColumns({"year": F.year(ts), "month": F.month(ts)})
+        df.withColumns({"year": year, "month": month})
         .write.partitionBy("year", "month")
         .option("compression", "zstd")
         .mode("overwrite")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,6 +34,19 @@ FIRST_WAIT_SECONDS = 0.1
 LONGEST_WAIT_SECONDS = 2.0
 TRIGGER = "50 milliseconds"
 
+# What one batch takes at most, so that a backlog comes in many batches.
+BATCH_FILES = 100
+BATCH_MESSAGES = 1_000_000
+
+# Messages of a batch that a preview prints.
+PREVIEW_MESSAGES = 20
+
+# Time between reports of a running feed.
+REPORT_SECONDS = 10.0
+
+# Batches whose counters share a folder.
+BATCHES_A_FOLDER = 1000
+
 CORRUPT = "_corrupt"
 METRICS_SCHEMA = "batch_id bigint, received bigint, processed bigint, failed bigint"
 
@@ -209,15 +222,25 @@ def parquet_sink(path: str) -> Sink:
     return write
 
 
-def console_sink() -> Sink:
-    """Print messages, for a feed that has nowhere to publish to."""
+def console_preview(rows: int = PREVIEW_MESSAGES) -> Sink:
+    """Print a few messages of a batch and say how many it leaves out; publishes nothing."""
 
     def show(messages: DataFrame, batch_id: int) -> None:
-        messages.show(truncate=False)
+        messages.show(rows, truncate=False)
+        total = messages.count()
+        print(f"batch {batch_id}: {min(rows, total)} of {total} messages shown")
 
     return show
 
 
+def both_sinks(*sinks: Sink) -> Sink:
+    def send(messages: DataFrame, batch_id: int) -> None:
+        for sink in sinks:
+            sink(messages, batch_id)
+
+    return send
+
+
 def with_retry(sink: Sink, retries: int = RETRIES) -> Sink:
     """Send a whole batch again when sending fails, waiting longer each time.
 
@@ -245,15 +268,21 @@ def start_feed(
     checkpoint: str,
     value: str = "value",
     trigger: dict | None = None,
+    report_seconds: float = REPORT_SECONDS,
 ) -> StreamingQuery:
     """Run the feed: publish good messages, set broken ones aside, record the counts.
 
-    `output` receives `dead_letters/` and `metrics/`, one folder per batch, so a
-    batch that is run again after a failure is counted once.
+    `output` receives `dead_letters/`, a folder per batch that has any, and
+    `metrics/`, a folder per thousand batches with a file for each, so a batch
+    that is run again after a failure is counted once. The totals since the
+    feed was started are printed every `report_seconds`.
     """
     publish = with_retry(sink)
     set_aside = parquet_sink(f"{output}/dead_letters")
-    record = parquet_sink(f"{output}/metrics")
+    totals = FeedTotals(report_seconds)
+    # So that there is a folder to read while no message is broken.
+    empty = stream.sparkSession.createDataFrame([], f"`{value}` string, problem string")
+    set_aside(empty, -1)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         decoded = decode_events(batch, value)
@@ -262,9 +291,12 @@ def start_feed(
         ready = to_messages(decoded, keep=("problem", original)).persist()
         try:
             publish(good_events(ready).select("key", "value"), batch_id)
+            counted = batch_metrics(ready).first()
             broken = ready.select(F.col("original").alias(value), "problem")
-            set_aside(dead_letters(broken, value), batch_id)
-            record(batch_metrics(ready), batch_id)
+            if counted.failed:
+                set_aside(dead_letters(broken, value), batch_id)
+            record_metrics(batch.sparkSession, output, batch_id, counted)
+            totals.add(counted)
         finally:
             ready.unpersist()
 
@@ -272,8 +304,41 @@ def start_feed(
     return writer.trigger(**(trigger or {"processingTime": TRIGGER})).start()
 
 
+class FeedTotals:
+    """Counters of the batches that this process has finished, printed now and then."""
+
+    def __init__(self, every: float = REPORT_SECONDS):
+        self.every, self.last = every, time.monotonic()
+        self.received = self.processed = self.failed = self.batches = 0
+
+    def add(self, counted: Row) -> None:
+        self.received += counted.received
+        self.processed += counted.processed
+        self.failed += counted.failed
+        self.batches += 1
+        if time.monotonic() - self.last >= self.every:
+            self.last = time.monotonic()
+            print(self.text(), flush=True)
+
+    def text(self) -> str:
+        share = f"{self.processed * 100 / self.received:.2f}%" if self.received else "N/A"
+        return (
+            f"received {self.received}, processed {self.processed}, failed {self.failed}, "
+            f"batches {self.batches}, success {share}"
+        )
+
+
+def record_metrics(spark: SparkSession, output: str, batch_id: int, counted: Row) -> None:
+    """Append a batch's counters to its folder of a thousand; a repeated batch adds an equal row."""
+    row = (batch_id, counted.received, counted.processed, counted.failed)
+    folder = f"{output}/metrics/group={batch_id // BATCHES_A_FOLDER}"
+    spark.createDataFrame([row], METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
 def read_metrics(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.schema(METRICS_SCHEMA).parquet(f"{output}/metrics")
+    """One row per batch; of a batch that ran again, the row of either run."""
+    written = spark.read.schema(METRICS_SCHEMA).parquet(f"{output}/metrics")
+    return written.drop("group").dropDuplicates(["batch_id"])
 
 
 def read_dead_letters(spark: SparkSession, output: str, value: str = "value") -> DataFrame:
