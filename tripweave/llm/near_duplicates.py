@@ -178,16 +178,19 @@ def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: floa
         F.max_by("part", F.struct("count", "part")).alias("main"), F.count("*").alias("n")
     )
     rows = rows.join(most.where("n > 1").select("band", "main"), "band")
-    mixed = store(rows.join(classes.select("node", "bits"), "node"), "mixed")
+    mixed = store(rows.join(classes.select("node", "bits", "bands"), "node"), "mixed")
     few = mixed.where("part <> main").select(
-        "band", F.col("node").alias("x_node"), F.col("part").alias("x_part"), F.col("bits").alias("x_bits")
+        "band", *[F.col(name).alias(f"x_{name}") for name in ("node", "part", "bits", "bands")]
     )
     alike = similarity(_bits("bits"), _bits("x_bits")) >= least
     # Two rows outside the largest part meet twice: once is enough.
     once = (F.col("part") == F.col("main")) | (F.col("node") < F.col("x_node"))
+    # A pair is taken up in the first of the bands it shares only. If one of the two
+    # leads that band, they have been compared.
+    here = F.array_min(F.array_intersect("bands", "x_bands")) == F.col("band")
     return (
         mixed.join(few, "band")
-        .where((F.col("part") != F.col("x_part")) & once & alike)
+        .where((F.col("part") != F.col("x_part")) & once & alike & here)
         .select(F.greatest("node", "x_node").alias("node"), F.least("node", "x_node").alias("leader"))
         .distinct()
     )
