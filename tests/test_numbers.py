@@ -11,6 +11,8 @@ def test_rounding_equals_fixed_text(spark):
     values += [0.0000005, 0.00000025, 123456789.1234565, 3e9 + 0.5, -1e15, 1e300]
     values += [chance.uniform(-75, 75) for _ in range(5000)]
     values += [round(chance.uniform(-75, 75), 6) + 5e-7 for _ in range(5000)]
+    values += [chance.uniform(1e9, 1e10) for _ in range(20_000)]
+    values += [2.0**k + chance.uniform(0, 2.0**k) for k in range(28, 40) for _ in range(500)]
     values += [chance.randint(-(10**9), 10**9) / 2**7 for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = [r[0] for r in df.select(fixed_decimals(F.col("v"))).collect()]

@@ -67,6 +67,12 @@ def test_events_are_built_without_a_shuffle(fixed_plans, folder):
     assert "SortMergeJoin" not in plan(df)
 
 
+def test_statistics_take_one_narrow_pass(fixed_plans, folder):
+    df = events.trip_statistics(events.with_defaults(stored_legs(fixed_plans, folder)))
+    assert plan(df).count("FileScan") == 1
+    assert re.search(r"ReadSchema: struct<tpep_pickup\w+:timestamp_ntz,tpep_dropoff\w+:timestamp_ntz>", plan(df))
+
+
 def test_counting_events_does_not_unfold_them(fixed_plans, folder):
     df = events.event_counts(events.with_defaults(stored_legs(fixed_plans, folder)))
     text = plan(df)
@@ -84,7 +90,7 @@ def test_a_message_is_parsed_below_the_filter(fixed_plans):
 def test_hot_zone_is_spread_when_the_table_is_large(fixed_plans, folder):
     df = zones.with_coords(
         stored_legs(fixed_plans, folder), st.nation_zones(fixed_plans, SF_DIR),
-        "PULocationID", "pu", small=False,
+        "PULocationID", "pu", small=False, key_rows=5,
     ).select("trip_id", "pu_lat")
     assert "_salt" in plan(df)
 

@@ -202,19 +202,35 @@ lonlat AS (
   FROM l4
 )"""
 
-MESSAGES = """
+WHOLE_FIELDS = ["DOLocationID", "VendorID", "passenger_count", "RatecodeID", "payment_type"]
+DECIMAL_FIELDS = [
+    "lat", "lon", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
+    "congestion_surcharge", "Airport_fee", "total_amount", "trip_distance",
+]
+OTHER_FIELDS = ", ".join(
+    ["'t' || k AS ts"]
+    + [f'k + {i} AS "{n}"' for i, n in enumerate(WHOLE_FIELDS)]
+    + [f"CAST('{i}.' || k AS DOUBLE) AS \"{n}\"" for i, n in enumerate(DECIMAL_FIELDS)]
+)
+OTHER_TEXT = " || ".join(
+    [f"', \"{n}\": ' || (k + {i})" for i, n in enumerate(WHOLE_FIELDS)]
+    + [f"', \"{n}\": {i}.' || k" for i, n in enumerate(DECIMAL_FIELDS)]
+)
+WIRE_FIELDS = ", ".join(f'"{n}"' for n in ["ts", *WHOLE_FIELDS, *DECIMAL_FIELDS])
+
+MESSAGES = f"""
 numbered AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
 ),
 messages AS (
-  SELECT event_id, ts, event_type AS event, CASE WHEN k = 13 THEN NULL ELSE event_id END AS trip_id,
-    k AS "PULocationID", value AS fare_amount,
+  SELECT event_id, ts AS sent_at, event_type AS event, CASE WHEN k = 13 THEN NULL ELSE event_id END AS trip_id,
+    k AS "PULocationID", value AS fare_amount, {OTHER_FIELDS},
     CASE WHEN k = 29 THEN ''
-      ELSE '{"event": "' || event_type || '", "trip_id": '
+      ELSE '{{"ts": "t' || k || '"' || {OTHER_TEXT} || ', "event": "' || event_type || '", "trip_id": '
         || CASE k WHEN 13 THEN 'null' WHEN 17 THEN '"' || event_id || '"' WHEN 19 THEN '"none"'
                   WHEN 23 THEN event_id || '.9' ELSE CAST(event_id AS VARCHAR) END
         || ', "PULocationID": ' || k || ', "unused": [1], "fare_amount": ' || value
-        || CASE WHEN value < 1 THEN '' ELSE '}' END END AS value,
+        || CASE WHEN value < 1 THEN '' ELSE '}}' END END AS value,
     CASE WHEN k = 29 OR value < 1 THEN 'not JSON' WHEN k = 19 THEN 'wrong type: trip_id' END
       AS problem
   FROM numbered
@@ -224,7 +240,7 @@ BATCHES = (
     MESSAGES
     + """,
 batches AS (
-  SELECT CAST(day(ts) AS BIGINT) AS batch_id, count(*) AS received,
+  SELECT CAST(day(sent_at) AS BIGINT) AS batch_id, count(*) AS received,
          count(*) FILTER (problem IS NULL) AS processed,
          count(*) FILTER (problem IS NOT NULL) AS failed
   FROM messages GROUP BY 1
@@ -273,6 +289,21 @@ SELECT "LocationID",
   round(avg(lat) FILTER (lat_at IN ((n + 1) // 2, n // 2 + 1)), 6) AS latitude, shape_seq
 FROM ranked GROUP BY shape_seq, "LocationID\""""
 
+BROKEN_MEDIANS = f"""WITH {VERTICES},
+usable AS (
+  SELECT CASE WHEN shape_seq % 10 <> 0 THEN shape_seq END AS shape_seq, "LocationID", lon, lat FROM lonlat
+  WHERE point % 7 <> 3 AND point % 5 <> 2 AND shape_seq % 11 NOT IN (1, 2) AND "LocationID" NOT IN (8, 9)
+),
+ranked AS (
+  SELECT shape_seq, "LocationID", lon, lat, count(*) OVER s AS n,
+         row_number() OVER (s ORDER BY lon) AS lon_at, row_number() OVER (s ORDER BY lat) AS lat_at
+  FROM usable WINDOW s AS (PARTITION BY shape_seq, "LocationID")
+)
+SELECT "LocationID",
+  round(avg(lon) FILTER (lon_at IN ((n + 1) // 2, n // 2 + 1)), 6) AS longitude,
+  round(avg(lat) FILTER (lat_at IN ((n + 1) // 2, n // 2 + 1)), 6) AS latitude, shape_seq
+FROM ranked GROUP BY shape_seq, "LocationID\""""
+
 EVENT_IDS = """
 SELECT event_id, event_type, ts,
   CAST(strftime(ts, '%y%m%d') AS BIGINT) * 1000000000 + row_number() OVER (
@@ -365,7 +396,7 @@ ORACLES: dict[str, str] = {
     "clean_valid_time": CLEAN + "valid_time",
     "clean_all": CLEAN + "in_label AND real_zones AND valid_time",
     "clean_job_summary": f"""WITH {TRIPS} SELECT name, count(*) AS rows_in,
-        count(*) FILTER (real_zones AND valid_time) AS rows_kept FROM trips GROUP BY 1""",
+        count(*) FILTER (real_zones AND valid_time AND in_label) AS rows_kept FROM trips GROUP BY 1""",
     "epoch_normalise": f"WITH {EPOCHS} SELECT event_id, event_type, raw, normalized_us FROM normalized",
     "timestamp_range_check": f"""WITH {EPOCHS} SELECT event_type, count(*) AS n_rows,
         count(*) FILTER (in_range) AS n_in_range, count(*) FILTER (NOT in_range) AS n_out_of_range
@@ -427,9 +458,7 @@ ORACLES: dict[str, str] = {
           (event_time_us - (SELECT min(event_time_us) FROM timeline)) / CAST(5 AS DOUBLE)) AS BIGINT)
           AS replay_offset_us FROM timeline""",
     "event_payloads": PAYLOADS,
-    "event_messages": f"""WITH {POSITIONS}
-        SELECT CAST(trip_id AS VARCHAR) AS key, 21 AS n_fields, event, trip_id, {ISO} AS ts,
-          {fixed("lat")} AS lat, {fixed("lon")} AS lon FROM positions""",
+    "event_messages": f"SELECT *, 21 AS n_fields FROM ({PAYLOADS})",
     "clean_to_events": f"""WITH {TRIPS}, identified AS (
           SELECT CAST(strftime(pickup, '%y%m%d') AS BIGINT) * 1000000000 + row_number() OVER (
               PARTITION BY name, CAST(pickup AS DATE) ORDER BY pickup, l_orderkey, l_linenumber,
@@ -443,8 +472,8 @@ ORACLES: dict[str, str] = {
             WHEN event_seq = ticks + 1 THEN 'DROPOFF' ELSE 'IN_TRANSIT' END AS event,
           CASE WHEN event_seq = ticks + 1 THEN dropoff_us
             ELSE pickup_us + event_seq * 86400000000 END AS event_time_us FROM unfolded""",
-    "decode_events": f"""WITH {MESSAGES} SELECT event_id, event, trip_id, "PULocationID", fare_amount
-        FROM messages WHERE problem IS NULL""",
+    "decode_events": f"""WITH {MESSAGES} SELECT event_id, event, trip_id, "PULocationID", fare_amount,
+        {WIRE_FIELDS} FROM messages WHERE problem IS NULL""",
     "dead_letters": f"WITH {MESSAGES} SELECT value, problem FROM messages WHERE problem IS NOT NULL",
     "feed_metrics": f"""WITH {BATCHES}, totals AS (
           SELECT CAST(sum(received) AS BIGINT) AS received, CAST(sum(processed) AS BIGINT) AS processed,
@@ -459,9 +488,36 @@ ORACLES: dict[str, str] = {
         FROM history""",
     "feed_stream": f"""WITH {MESSAGES}
         SELECT coalesce(CAST(trip_id AS VARCHAR), 'null') AS key, event, trip_id, "PULocationID",
-          fare_amount FROM messages WHERE problem IS NULL""",
+          fare_amount, {WIRE_FIELDS} FROM messages WHERE problem IS NULL""",
     "feed_stream_metrics": f"""WITH {MESSAGES}, totals AS (
           SELECT count(*) AS received, count(*) FILTER (problem IS NULL) AS processed,
-                 count(*) FILTER (problem IS NOT NULL) AS failed FROM messages)
+                 count(*) FILTER (problem IS NOT NULL) AS failed, 1 AS batches FROM messages)
         SELECT *, {SUCCESS.format(processed="processed", received="received")} FROM totals""",
+    "ingested_rows": f"""WITH {COLUMNS}, sizes AS ({TABLE_ROWS}), needed AS (
+          SELECT unnest(['doc_id', 'text']) AS "column"),
+        lacking AS (
+          SELECT label, coalesce((SELECT string_agg(n."column", '|' ORDER BY n."column") FROM needed n
+            WHERE n."column" NOT IN (SELECT c."column" FROM columns c WHERE c.label = s.label)), '') AS missing
+          FROM sizes s)
+        SELECT label || '.parquet' AS file, row_count AS n_rows, missing,
+          CASE WHEN label = 'documents' THEN row_count ELSE 0 END AS n_ingested,
+          CASE WHEN label = 'documents' THEN 0 ELSE row_count END AS n_lost
+        FROM sizes JOIN lacking USING (label)""",
+    "month_folders": f"""WITH {TRIPS}
+        SELECT CAST(year(dropoff) AS INTEGER) AS year, CAST(month(dropoff) AS INTEGER) AS month,
+          count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM trips GROUP BY 1, 2""",
+    "sequence_limit": """WITH numbered AS (SELECT event_id, row_number() OVER (
+            PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts, event_id) AS seq FROM events)
+        SELECT event_id, seq, seq > 100 AS over_limit FROM numbered""",
+    "fallback_zones": """SELECT CAST(column0 AS BIGINT) AS "LocationID", CAST(column1 AS DOUBLE) AS longitude,
+          CAST(column2 AS DOUBLE) AS latitude
+        FROM (VALUES (142, -73.9841, 40.7711), (230, -73.9860, 40.7629), (100, -73.9934, 40.7505),
+                     (161, -73.9864, 40.7559)) AS z(column0, column1, column2)
+        WHERE EXISTS (SELECT 1 FROM customer)""",
+    "vertices_csv": f"""WITH {VERTICES} SELECT shape_seq, CAST("LocationID" AS VARCHAR) AS location_id,
+          round(x, 3) AS x, round(y, 3) AS y FROM vertices""",
+    "zone_lookup_hot": f"""WITH {LEGS},{ZONES}
+        SELECT trip_id, pu AS "PULocationID", pu_lat, pu_lon FROM located""",
+    "zone_medians_nulls": BROKEN_MEDIANS,
+    "zone_medians_nulls_split": BROKEN_MEDIANS,
 }

@@ -14,11 +14,12 @@ from tripweave.operators import clean as cl
 from tripweave.operators import counts, drift, events, zones
 from tripweave.operators.identify import add_trip_id
 from tripweave.plans import standins as st
-from tripweave.schema import EVENT_SCHEMA, SOURCE_FILE, SOURCE_ROW
-from tripweave.session import new_folder
+from tripweave.schema import EVENT_SCHEMA, MAX_SEQUENCE, SOURCE_FILE, SOURCE_ROW
+from tripweave.session import apply_settings, new_folder
 from tripweave.sources import files as fl
-from tripweave.sources.tables import parse_zones
-from tripweave.sources.trips import read_trips
+from tripweave.sources.tables import parse_zones, read_vertices, write_csv
+from tripweave.sources.trips import preview as first_rows
+from tripweave.sources.trips import read_trips, write_by_month
 from tripweave.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,7 +125,27 @@ def source_guard(spark, sf_dir):
 
 
 def preview(spark, sf_dir):
-    return st.table(spark, sf_dir, "nation").limit(5)
+    apply_settings(spark)
+    return first_rows(spark, f"{sf_dir}/nation.parquet")
+
+
+def ingested_rows(spark, sf_dir):
+    """Rows of each table file, what a job that needs `doc_id` and `text` took, and what it lost."""
+    footers = fl.read_footers(fl.list_files(spark, sf_dir))
+    taken = [
+        st.table(spark, sf_dir, name).agg(
+            F.first("_metadata.file_path").alias("path"), F.count("*").alias("n_taken")
+        )
+        for name in ("documents",)
+    ]
+    rows = fl.ingested_rows(footers, ["doc_id", "text"], taken[0])
+    return rows.select(
+        F.substring_index("path", "/", -1).alias("file"),
+        "n_rows",
+        F.array_join(F.array_sort("missing"), "|").alias("missing"),
+        "n_ingested",
+        "n_lost",
+    )
 
 
 # --- clean ------------------------------------------------------------------
@@ -202,7 +223,8 @@ def clean_all(spark, sf_dir):
 
 def clean_job_summary(spark, sf_dir):
     trips = st.trip_rows(spark, sf_dir)
-    rule = cl.clean_rule("pickup", "dropoff", "pu", "do", None, st.SENTINELS)
+    period = period_number(F.col("name"))
+    rule = cl.clean_rule("pickup", "dropoff", "pu", "do", period, st.SENTINELS)
     return cl.kept_counts(trips, rule, ["name"])
 
 
@@ -279,6 +301,69 @@ def zone_medians_split(spark, sf_dir):
     return rounded_medians(spark, sf_dir, group_rows=ALWAYS_SPLIT)
 
 
+def zone_medians_nulls(spark, sf_dir, **options):
+    """Outlines that lack points, numbers or usable ids."""
+    vertices = st.vertices(spark, sf_dir)
+    broken = vertices.withColumns(
+        {
+            "x": F.when(F.col("point") % 7 != 3, F.col("x")),
+            "y": F.when(F.col("point") % 5 != 2, F.col("y")),
+            "location_id": F.when(F.col("shape_seq") % 11 == 1, F.lit("abc"))
+            .when(F.col("shape_seq") % 11 == 2, F.lit(None))
+            .otherwise(F.col("location_id")),
+            "shape_seq": F.when(F.col("shape_seq") % 10 != 0, F.col("shape_seq")),
+        }
+    )
+    medians = zones.zone_medians(broken, sentinels=[8, 9], **options)
+    return medians.withColumns(
+        {"longitude": F.round("longitude", 6), "latitude": F.round("latitude", 6)}
+    )
+
+
+def zone_medians_nulls_split(spark, sf_dir):
+    return zone_medians_nulls(spark, sf_dir, group_rows=ALWAYS_SPLIT)
+
+
+def vertices_csv(spark, sf_dir):
+    """Vertices written as CSV, their columns in another order, and read back."""
+    path = f"{new_folder(spark, 'vertices')}.csv"
+    write_csv(st.vertices(spark, sf_dir).select("y", "location_id", "point", "x", "shape_seq"), path)
+    return read_vertices(spark, path).select(
+        "shape_seq", "location_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y")
+    )
+
+
+def fallback_zones(spark, sf_dir):
+    """Order lines of a zone file without usable lines: the four built-in zones."""
+    lines = st.zone_lines(spark, sf_dir).where(F.size(F.split("value", ",")) < 3)
+    return zones.or_fallback(zones.last_per_zone(parse_zones(lines), ["c_custkey"]))
+
+
+def sequence_limit(spark, sf_dir):
+    """Events beyond the hundredth of their kind and day, which a limit of 100 would stop at."""
+    numbered = identify_events(spark, sf_dir)
+    sequence = F.col("trip_id") % MAX_SEQUENCE
+    over = sequence.cast("bigint")
+    return numbered.select("event_id", over.alias("seq"), (over > 100).alias("over_limit"))
+
+
+def month_folders(spark, sf_dir):
+    """Order lines written in folders by the month of their file, and read back."""
+    trips = st.trip_rows(spark, sf_dir).withColumn(SOURCE_FILE, F.col("name"))
+    path = new_folder(spark, "months")
+    write_by_month(trips.select(SOURCE_FILE, "pickup", "l_orderkey"), path, "pickup")
+    return spark.read.parquet(path).groupBy("year", "month").agg(
+        F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("keys")
+    )
+
+
+def zone_lookup_hot(spark, sf_dir):
+    """The lookup beyond the broadcast size, with frequent zones spread."""
+    trips = st.legs(spark, sf_dir).select("trip_id", "PULocationID")
+    table = st.nation_zones(spark, sf_dir)
+    return zones.with_coords(trips, table, "PULocationID", "pu", False, key_rows=10)
+
+
 def reproject(spark, sf_dir):
     lon, lat = lcc_inverse(F.col("x"), F.col("y"))
     return st.vertices(spark, sf_dir).select(
@@ -357,7 +442,7 @@ def event_messages(spark, sf_dir):
     fields = F.from_json("value", EVENT_SCHEMA)
     keys = F.json_object_keys("value")
     return published.select("key", F.size(keys).alias("n_fields"), fields.alias("event")).select(
-        "key", "n_fields", "event.event", "event.trip_id", "event.ts", "event.lat", "event.lon"
+        "key", "n_fields", "event.*"
     )
 
 
@@ -375,7 +460,7 @@ def clean_to_events(spark, sf_dir):
 
 # --- feed -------------------------------------------------------------------
 
-DECODED = ["event", "trip_id", "PULocationID", "fare_amount"]
+DECODED = EVENT_SCHEMA.fieldNames()
 
 
 def decoded_messages(spark, sf_dir):
@@ -440,8 +525,7 @@ def feed_stream(spark, sf_dir):
 def feed_stream_metrics(spark, sf_dir):
     """Counters recorded by a streaming run over the events table."""
     output = run_feed(spark, sf_dir)
-    totals = feed.feed_metrics(feed.read_metrics(spark, output))
-    return totals.drop("batches")
+    return feed.feed_metrics(feed.read_metrics(spark, output))
 
 
 QUERIES: dict[str, Query] = {
@@ -450,6 +534,8 @@ QUERIES: dict[str, Query] = {
         monthly_counts, monthly_stats, yearly_totals, grand_total, covered_range,
         list_files, file_row_counts, period_range, file_status,
         column_presence, schema_baseline, schema_diff, schema_mismatches, source_guard, preview,
+        ingested_rows, month_folders, sequence_limit, fallback_zones, vertices_csv, zone_lookup_hot,
+        zone_medians_nulls, zone_medians_nulls_split,
         conform_schema, read_layouts, clean_month_match, clean_sentinel, clean_valid_time, clean_all,
         clean_job_summary, epoch_normalise, timestamp_range_check, timestamp_sample,
         trip_ids, trip_ids_by_file, trip_ids_split,

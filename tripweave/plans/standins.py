@@ -162,12 +162,23 @@ def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", "event_type", raw.alias("raw"))
 
 
+# The fields of a message beside those that some messages have wrong.
+WHOLE_FIELDS = ["DOLocationID", "VendorID", "passenger_count", "RatecodeID", "payment_type"]
+DECIMAL_FIELDS = [
+    "lat", "lon", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
+    "congestion_surcharge", "Airport_fee", "total_amount", "trip_distance",
+]
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_messages(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def as_messages(events: DataFrame) -> DataFrame:
-    """A JSON message per event, some broken, empty or with a value of the wrong type."""
+    """A JSON message per event with all fields, some broken, empty or with a value of the wrong type.
+
+    The n-th other whole number is n more than `k`, the n-th decimal n with `k` behind the point.
+    """
     k = event_k()
     number = F.col("event_id").cast("string")
     trip = (
@@ -177,8 +188,11 @@ def as_messages(events: DataFrame) -> DataFrame:
         .when(k == 23, F.concat(number, F.lit(".9")))
         .otherwise(number)
     )
+    others = [F.concat(F.lit(f', "{n}": '), (k + i).cast("string")) for i, n in enumerate(WHOLE_FIELDS)]
+    others += [F.concat(F.lit(f', "{n}": {i}.'), k.cast("string")) for i, n in enumerate(DECIMAL_FIELDS)]
     text = F.concat(
-        F.lit('{"event": "'), F.col("event_type"),
+        F.lit('{"ts": "t'), k.cast("string"), F.lit('"'), *others,
+        F.lit(', "event": "'), F.col("event_type"),
         F.lit('", "trip_id": '), trip,
         F.lit(', "PULocationID": '), k.cast("string"),
         F.lit(', "unused": [1], "fare_amount": '), F.col("value").cast("string"),
