@@ -27,6 +27,9 @@ LONGS = HASHES * BITS // 64
 # errors are dropped: of pairs at the threshold, one in 300,000.
 SIGMAS = 4.5
 
+# Turns in which each class is compared with its next leader, before all that is left at once.
+LEADER_ROUNDS = 2
+
 # Documents that one task compares with the same leader.
 TOGETHER = 512
 
@@ -96,8 +99,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     A row without doc_id has no links, a null component_id, and is kept.
 
     Equal sets are one class. Classes that share a band are compared with the
-    band's smallest class, its leader: by estimate, and then on full sets, one
-    leader at a time and only while they lie in different components. What
+    band's smallest class, its leader: by estimate, and then on full sets, first
+    one leader at a time, and only if they lie in different components. What
     that leaves apart in a band is compared across, between components only.
     So the work stays in proportion to the rows of a group of copies, and no
     pair of different components that shares a band is left out.
@@ -114,19 +117,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     sets = store(_sets(docs, shared.select("node").distinct(), shingle), "sets")
 
     todo = store(shared.where("alike and node <> leader").select("node", "leader").distinct(), "todo")
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
     parts = docs.sparkSession.createDataFrame([], "node long, component long")
-    while not todo.isEmpty():
+    for _ in range(LEADER_ROUNDS):
         pairs = store(todo.groupBy("node").agg(F.min("leader").alias("leader")), "pairs")
-        found = _confirmed(sets, pairs, percent)
-        links = links.union(found)
-        parts = components(links)
+        parts = _joined(parts, _confirmed(sets, pairs, percent))
         tried = pairs.select("node", F.col("leader").alias("tried"))
         todo = _placed(todo.join(tried, "node").where("leader > tried").drop("tried"), parts)
         todo = store(todo.where("part <> leader_part").select("node", "leader"), "todo")
-    more = store(_across(shared, classes, parts, _least_estimate(percent / 100)), "across")
-    if not more.isEmpty():
-        parts = components(links.union(_confirmed(sets, more, percent)))
+    across = _across(shared, classes, parts, _least_estimate(percent / 100))
+    more = store(across.union(todo).distinct(), "across")
+    parts = _joined(parts, _confirmed(sets, more, percent))
 
     nodes = classes.select("digest", "node")
     found = sketches.where("doc_id is not null").select("doc_id", "n_shingles", "digest")
@@ -141,6 +141,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return found.unionByName(unnamed).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components so far and further links, as components."""
+    if links.isEmpty():
+        return parts
+    return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
+
+
 def _bits(prefix: str) -> list[Column]:
     return [F.col(prefix)[i] for i in range(LONGS)]
 
