@@ -14,6 +14,7 @@ from tripweave.llm.near_duplicates import near_duplicates
 from tripweave.llm.packing import pack_documents
 from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.tokens import default_path
+from tripweave.llm.workers import find_library
 from tripweave.session import store
 
 # A text of which a smaller share of n-grams belongs to its likeliest language is in none.
@@ -22,6 +23,7 @@ LEAST_LANGUAGE = 0.1
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones show; texts without letters go."""
+    find_library(spark)
     filters = fit_language_filters(docs.where(~held_out(F.col("doc_id"))))
     known = predict_language(docs, filters).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE))
     return known.select(*docs.columns)
@@ -32,12 +34,14 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Five words a shingle and a similarity of 0.8. Rows without doc_id stay.
     """
+    find_library(spark)
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
     return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that occur earlier; texts with none stay as they are."""
+    find_library(spark)
     cut = remove_repeats(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     changed = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
@@ -46,11 +50,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    find_library(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 1024 ids: one row per piece of a document."""
+    find_library(spark)
     return pack_documents(docs, default_path())
 
 

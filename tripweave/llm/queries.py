@@ -18,11 +18,12 @@ from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.token_files import read_token_files, write_token_files
 from tripweave.llm.tokens import default_path
 from tripweave.llm.toxicity import fit_toxicity, score_toxicity
+from tripweave.llm.workers import find_library
 from tripweave.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return find_library(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # Score from which a document counts as toxic.
