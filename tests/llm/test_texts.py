@@ -149,8 +149,10 @@ def test_near_duplicates(odd_docs, odd_rows, size, percent):
     assert [(r.component_id, r.kept) for r in rows if r.doc_id is None] == [(None, True)]
 
 
-def test_near_duplicates_of_a_large_family(spark):
+@pytest.mark.parametrize("few", [4096, 3])
+def test_near_duplicates_of_a_large_family(spark, monkeypatch, few):
     """Texts that differ from one another in few words, some only through others."""
+    monkeypatch.setattr(near, "FEW", few)
     import random
 
     rng = random.Random(3)

@@ -27,14 +27,16 @@ LONGS = HASHES * BITS // 64
 # errors are dropped: of pairs at the threshold, one in 300,000.
 SIGMAS = 4.5
 
-# Turns in which each class is compared with its next leader, before all that is left at once.
-LEADER_ROUNDS = 2
-
 # Documents that one task compares with the same leader.
 TOGETHER = 512
 
+# Classes of a band, outside its largest part, that all others are compared with at a time.
+FEW = 4096
+
 _FACTORS = np.random.RandomState(11).randint(1, 1 << 62, HASHES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
+SHARE = ["group", "share"]
+PARTNERS = "group long, share int, node long, partners array<long>, is_member boolean"
 SKETCHES = "doc_id long, n_shingles long, digest binary, bits array<long>, bands array<long>"
 
 
@@ -99,9 +101,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     A row without doc_id has no links, a null component_id, and is kept.
 
     Equal sets are one class. Classes that share a band are compared with the
-    band's smallest class, its leader: by estimate, and then on full sets, first
-    one leader at a time, and only if they lie in different components. What
-    that leaves apart in a band is compared across, between components only.
+    band's smallest class, its leader, by estimate; each is compared with the
+    smallest of its leaders on full sets. What that leaves apart is compared
+    with further leaders and across bands, between components only.
     So the work stays in proportion to the rows of a group of copies, and no
     pair of different components that shares a band is left out.
     """
@@ -116,17 +118,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     shared = store(_shared_bands(classes, _least_estimate(percent / 100)), "bands")
     sets = store(_sets(docs, shared.select("node").distinct(), shingle), "sets")
 
-    todo = store(shared.where("alike and node <> leader").select("node", "leader").distinct(), "todo")
-    parts = docs.sparkSession.createDataFrame([], "node long, component long")
-    for _ in range(LEADER_ROUNDS):
-        pairs = store(todo.groupBy("node").agg(F.min("leader").alias("leader")), "pairs")
-        parts = _joined(parts, _confirmed(sets, pairs, percent))
-        tried = pairs.select("node", F.col("leader").alias("tried"))
-        todo = _placed(todo.join(tried, "node").where("leader > tried").drop("tried"), parts)
-        todo = store(todo.where("part <> leader_part").select("node", "leader"), "todo")
-    across = _across(shared, classes, parts, _least_estimate(percent / 100))
-    more = store(across.union(todo).distinct(), "across")
-    parts = _joined(parts, _confirmed(sets, more, percent))
+    led = shared.where("alike and node <> leader").select("node", "leader").distinct()
+    pairs = store(led.groupBy("node").agg(F.min("leader").alias("leader")), "pairs")
+    nothing = docs.sparkSession.createDataFrame([], "node long, component long")
+    parts = _joined(nothing, _confirmed(sets, *_by_leader(pairs), percent))
+    others = _placed(led, parts).where("part <> leader_part").select("node", "leader")
+    # Tried once, and in vain, if they are still apart.
+    others = store(others.join(pairs, ["node", "leader"], "left_anti"), "others")
+    across = store(_across(shared, classes, parts, _least_estimate(percent / 100)), "across")
+    by_band = across.where("is_member").drop("is_member"), across.where("not is_member").select(*SHARE, "node").distinct()
+    more = _confirmed(sets, *by_band, percent).union(_confirmed(sets, *_by_leader(others), percent))
+    parts = _joined(parts, more)
 
     nodes = classes.select("digest", "node")
     found = sketches.where("doc_id is not null").select("doc_id", "n_shingles", "digest")
@@ -172,34 +174,118 @@ def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: float) -> DataFrame:
-    """Pairs of a band that are alike by estimate and lie in different components.
-
-    One side are the rows outside the band's largest part. A leader was
-    compared with all of its band and needs no more partners.
+    """Classes of a band that are alike by estimate and lie in different components.
+
+    One side are the classes outside the band's largest part, in shares of
+    `FEW`; all of the band pass by each share, split themselves if they are
+    many. A class comes with the list of its partners in the share, so that
+    rows stay in proportion to the classes: group, share, node, partners,
+    is_member. Partners have a row of their own, without is_member. A leader
+    was compared with all of its band and needs no more partners.
     """
     own = parts.withColumnRenamed("component", "part")
     rows = shared.where("node <> leader").select("band", "node").join(own, "node", "left")
     rows = rows.select("band", "node", F.coalesce("part", "node").alias("part"))
     sizes = rows.groupBy("band", "part").count()
-    most = sizes.groupBy("band").agg(
-        F.max_by("part", F.struct("count", "part")).alias("main"), F.count("*").alias("n")
+    bands = sizes.groupBy("band").agg(
+        F.max_by("part", F.struct("count", "part")).alias("main"),
+        F.sum("count").alias("all"),
+        (F.sum("count") - F.max("count")).alias("few"),
     )
-    rows = rows.join(most.where("n > 1").select("band", "main"), "band")
-    mixed = store(rows.join(classes.select("node", "bits", "bands"), "node"), "mixed")
-    few = mixed.where("part <> main").select(
-        "band", *[F.col(name).alias(f"x_{name}") for name in ("node", "part", "bits", "bands")]
+    bands = bands.where("few > 0").select(
+        "band",
+        "main",
+        F.expr(f"cast(ceil(few / {FEW}) as int)").alias("shares"),
+        F.expr(f"cast(ceil(all / {4 * FEW}) as int)").alias("turns"),
     )
-    alike = similarity(_bits("bits"), _bits("x_bits")) >= least
-    # Two rows outside the largest part meet twice: once is enough.
-    once = (F.col("part") == F.col("main")) | (F.col("node") < F.col("x_node"))
-    # A pair is taken up in the first of the bands it shares only. If one of the two
-    # leads that band, they have been compared.
-    here = F.array_min(F.array_intersect("bands", "x_bands")) == F.col("band")
+    mixed = rows.join(bands, "band").join(classes.select("node", "bits", "bands"), "node")
+    share, turn = F.expr("pmod(hash(node), shares)"), F.expr("pmod(xxhash64(node), turns)").cast("int")
+    roles = F.array(F.lit(False), F.lit(True))
+    mixed = mixed.select("*", F.explode(roles).alias("is_member")).where("is_member or part <> main")
+    shares = F.when(F.col("is_member"), F.sequence(F.lit(0), F.col("shares") - 1)).otherwise(F.array(share))
+    turns = F.when(F.col("is_member"), F.array(turn)).otherwise(F.sequence(F.lit(0), F.col("turns") - 1))
+    mixed = mixed.withColumn("share", F.explode(shares)).withColumn("turn", F.explode(turns))
+    key = ["band", "share", "turn"]
     return (
-        mixed.join(few, "band")
-        .where((F.col("part") != F.col("x_part")) & once & alike & here)
-        .select(F.greatest("node", "x_node").alias("node"), F.least("node", "x_node").alias("leader"))
-        .distinct()
+        mixed.select(*key, "is_member", "node", "part", "main", "bits", "bands")
+        .repartition(*key)
+        .sortWithinPartitions(*key, "is_member")
+        .mapInArrow(_partners(least), PARTNERS)
+    )
+
+
+def _partners(least: float):
+    """Estimate each class of a sorted partition against its share's few."""
+
+    def matrix(column: pa.Array) -> np.ndarray:
+        return column.flatten().to_numpy().reshape(len(column), -1)
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, few = None, []
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            member = batch.column(3).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1) | (member[1:] != member[:-1])) + 1
+            for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(member)], strict=True):
+                if start == end:
+                    continue
+                part = batch.slice(start, end - start)
+                rows = [part.column(i).to_numpy() for i in (4, 5, 6)] + [matrix(part.column(i)) for i in (7, 8)]
+                if key != tuple(keys[start]):
+                    key, few = tuple(keys[start]), []
+                if not member[start]:
+                    few.append(rows)
+                    continue
+                if len(few) > 1:
+                    few = [[np.concatenate(column) for column in zip(*few, strict=True)]]
+                if few:
+                    yield _estimated(int(key[0]), int(key[1]), rows, few[0], least)
+
+    return partners
+
+
+def _estimated(band: int, share: int, rows: list, few: list, least: float) -> pa.RecordBatch:
+    node, part, main, bits, bands = rows
+    x_node, x_part, _, x_bits, x_bands = few
+    chance = 2.0**-BITS
+    most = int(HASHES * (1 - (least * (1 - chance) + chance)))
+    low = np.int64(0x5555555555555555)
+    nodes, lists, found = [], [], set()
+    # So many at a time that their comparison takes some 16 MB.
+    step = max(1, (1 << 21) // (LONGS * len(x_node)))
+    for i in range(0, len(node), step):
+        own = slice(i, i + step)
+        unequal = np.zeros((len(node[own]), len(x_node)), np.int32)
+        for word in range(LONGS):
+            differ = bits[own, word][:, None] ^ x_bits[:, word]
+            unequal += np.bitwise_count((differ | differ >> 1) & low)
+        # Two classes outside the largest part meet twice: once is enough.
+        once = (part[own] == main[own])[:, None] | (node[own][:, None] < x_node)
+        at, x = np.nonzero((unequal <= most) & (part[own][:, None] != x_part) & once)
+        # A pair is taken up in the first of the bands it shares only. If one of the
+        # two leads that band, they have been compared.
+        first = np.zeros(len(at), bool)
+        for j in range(0, len(at), 2048):
+            pair = slice(j, j + 2048)
+            mine, theirs = bands[own][at[pair]], x_bands[x[pair]]
+            common = (mine[:, :, None] == theirs[:, None, :]).any(axis=2)
+            first[pair] = np.where(common, mine, np.iinfo(np.int64).max).min(axis=1) == band
+        at, x = at[first], x[first]
+        for k in np.unique(at):
+            partners = x_node[x[at == k]]
+            nodes.append(int(node[own][k]))
+            lists.append(partners)
+            found.update(partners.tolist())
+    rows = nodes + sorted(found)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([band] * len(rows), pa.int64()),
+            pa.array([share] * len(rows), pa.int32()),
+            pa.array(rows, pa.int64()),
+            pa.array(lists + [[]] * len(found), pa.list_(pa.int64())),
+            pa.array([True] * len(nodes) + [False] * len(found), pa.bool_()),
+        ],
+        names=["group", "share", "node", "partners", "is_member"],
     )
 
 
@@ -251,47 +337,55 @@ def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return wanted.mapInArrow(rows, "node long, members binary")
 
 
-def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of `pairs` (node, leader) that full sets confirm, as links a, b.
-
-    Sets go to where their leader's is, in groups of `TOGETHER`; the leader's
-    own set goes to each of its groups.
-    """
+def _by_leader(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (node, leader) as members and leaders, in groups of `TOGETHER` members of one leader."""
     sizes = pairs.groupBy("leader").agg(F.count("*").alias("n"))
     shares = sizes.select("leader", F.expr(f"cast(ceil(n / {TOGETHER}) as int)").alias("shares"))
     members = pairs.join(shares, "leader").select(
-        "node", "leader", F.expr("pmod(hash(node), shares)").alias("share"), F.lit(True).alias("is_member")
+        F.col("leader").alias("group"),
+        F.expr("pmod(hash(node), shares)").alias("share"),
+        "node",
+        F.array("leader").alias("partners"),
     )
-    leaders = shares.select(
-        F.col("leader").alias("node"),
-        "leader",
-        F.explode(F.expr("sequence(0, shares - 1)")).alias("share"),
-        F.lit(False).alias("is_member"),
+    every = F.explode(F.expr("sequence(0, shares - 1)")).alias("share")
+    return members, shares.select(F.col("leader").alias("group"), every, F.col("leader").alias("node"))
+
+
+def _confirmed(sets: DataFrame, members: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """Those of the members' partners that full sets confirm, as links a, b.
+
+    `members` has group, share, node and partners; the partners' sets are
+    those of `leaders` (group, share, node), which wait in a task while the
+    members pass by.
+    """
+    rows = members.withColumn("is_member", F.lit(True)).unionByName(
+        leaders.withColumns({"partners": F.lit(None).cast("array<long>"), "is_member": F.lit(False)})
     )
     gathered = (
-        members.union(leaders)
-        .join(sets, "node")
-        .select("leader", "share", "is_member", "node", "members")
-        .repartition("leader", "share")
-        .sortWithinPartitions("leader", "share", "is_member")
+        rows.join(sets, "node")
+        .select(*SHARE, "is_member", "node", "partners", "members")
+        .repartition(*SHARE)
+        .sortWithinPartitions(*SHARE, "is_member")
     )
     return store(gathered.mapInArrow(_compared(percent), "a long, b long"), "confirmed")
 
 
 def _compared(percent: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, kept = None, []
+        group, kept = None, {}
         for batch in batches:
             found = []
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for leader, share, is_member, node, members in zip(*columns, batch.column(4), strict=True):
-                if (leader, share) != group:
-                    group, kept = (leader, share), []
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for key, share, is_member, node, partners, members in zip(*columns, batch.column(5), strict=True):
+                if (key, share) != group:
+                    group, kept = (key, share), {}
                 own = np.frombuffer(members.as_buffer(), np.uint64)
                 if not is_member:
-                    kept.append(own)
-                elif any(alike(own, other, percent) for other in kept):
-                    found.append((node, leader))
+                    kept.setdefault(node, []).append(own)
+                    continue
+                for partner in partners:
+                    if any(alike(own, other, percent) for other in kept[partner]):
+                        found.append((node, partner))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([pair[i] for pair in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
