@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tripweave.operators.identify import add_trip_id
 from tripweave.operators.numbering import number_rows_by_range, running_totals
 
-PATHS = [10_000_000, 0]
+PATHS = [10_000_000, 2, 0]
 
 
 def trips(spark, rows):
@@ -19,8 +19,8 @@ def id_map(df):
     return {(r.src_file, r.src_row): r.trip_id for r in df.collect()}
 
 
-@pytest.mark.parametrize("group_rows", PATHS)
-def test_ids_follow_pickup_then_file_order(spark, group_rows):
+@pytest.mark.parametrize("bucket_rows", PATHS)
+def test_ids_follow_pickup_then_file_order(spark, bucket_rows):
     df = trips(
         spark,
         [
@@ -32,7 +32,7 @@ def test_ids_follow_pickup_then_file_order(spark, group_rows):
             ("b", 0, "2020-02-03 07:00:00"),
         ],
     )
-    assert id_map(add_trip_id(df, "pickup", group_rows=group_rows)) == {
+    assert id_map(add_trip_id(df, "pickup", bucket_rows=bucket_rows)) == {
         ("a", 1): 200203000000001,
         ("a", 2): 200203000000002,
         ("a", 0): 200203000000003,
@@ -42,12 +42,12 @@ def test_ids_follow_pickup_then_file_order(spark, group_rows):
     }
 
 
-@pytest.mark.parametrize("group_rows", PATHS)
-def test_too_many_trips_in_a_day(spark, group_rows):
+@pytest.mark.parametrize("bucket_rows", PATHS)
+def test_too_many_trips_in_a_day(spark, bucket_rows):
     df = trips(spark, [("a", i, "2020-02-03 09:00:00") for i in range(3)])
-    assert add_trip_id(df, "pickup", max_seq=3, group_rows=group_rows).count() == 3
+    assert add_trip_id(df, "pickup", max_seq=3, bucket_rows=bucket_rows).count() == 3
     with pytest.raises(Exception, match="more trips in a day than 2"):
-        add_trip_id(df, "pickup", max_seq=2, group_rows=group_rows).collect()
+        add_trip_id(df, "pickup", max_seq=2, bucket_rows=bucket_rows).collect()
 
 
 def test_guards(spark):
@@ -68,8 +68,14 @@ def test_ids_are_unique_and_dense_with_one_hot_day(spark):
         rows.append(("f", i, f"2020-02-{day:02d} 10:00:{second:02d}"))
     df = trips(spark, rows).repartition(7)
     windowed = id_map(add_trip_id(df, "pickup"))
-    split = id_map(add_trip_id(df, "pickup", group_rows=500))
-    assert windowed == split
+    split = id_map(add_trip_id(df, "pickup", bucket_rows=500))
+    assert windowed == split == id_map(add_trip_id(df, "pickup", bucket_rows=37))
+    order = sorted((p, i) for _, i, p in rows)
+    place, expected = {}, {}
+    for p, i in order:
+        place[p[:10]] = place.get(p[:10], 0) + 1
+        expected["f", i] = int(p[2:4] + p[5:7] + p[8:10]) * 10**9 + place[p[:10]]
+    assert split == expected
     per_day = {}
     for value in split.values():
         per_day.setdefault(value // 10**9, []).append(value % 10**9)

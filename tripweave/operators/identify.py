@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.operators.numbering import GROUP_ROWS, number_rows
+from tripweave.operators.numbering import TASK_ROWS, number_in_buckets
 from tripweave.schema import MAX_SEQUENCE, PICKUP, SOURCE_FILE, SOURCE_ROW, TRIP_ID
 
 
@@ -15,12 +15,14 @@ def add_trip_id(
     group: list[str] | None = None,
     tie_break: list[str] | None = None,
     max_seq: int = MAX_SEQUENCE,
-    group_rows: int = GROUP_ROWS,
+    bucket_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Add `trip_id`: yymmdd * 1e9 + position in the day, in pickup order.
 
     Positions restart in every `group` (by default the source file). Equal pickups
-    follow `tie_break`. A row without a pickup gets no id.
+    follow `tie_break`. A row without a pickup gets no id. Trips are numbered hour
+    by hour, and busy hours in smaller pieces, so that no day or instant has to
+    fit one task.
     """
     group = [SOURCE_FILE] if group is None else group
     tie_break = [SOURCE_ROW] if tie_break is None else tie_break
@@ -29,9 +31,10 @@ def add_trip_id(
     if TRIP_ID in df.columns:
         raise ValueError(f"the rows already have {TRIP_ID}")
 
-    day = F.to_date(pickup)
-    order = [F.col(pickup).asc()] + [F.col(c).asc_nulls_last() for c in tie_break]
-    numbered = number_rows(df.withColumn("_day", day), ["_day", *group], order, "_seq", group_rows)
+    days = df.withColumn("_day", F.to_date(pickup))
+    instant = F.col(pickup).cast("timestamp_ntz")
+    hour = F.hour(instant)
+    numbered = number_in_buckets(days, [*group, "_day"], hour, instant, tie_break, "_seq", bucket_rows)
     sequence = checked_sequence(F.col("_seq"), max_seq)
     identified = F.when(F.col("_day").isNotNull(), trip_id(F.col("_day"), sequence))
     return numbered.withColumn(TRIP_ID, identified).drop("_day", "_seq")

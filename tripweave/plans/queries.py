@@ -261,7 +261,7 @@ def trip_ids_by_file(spark, sf_dir):
 
 
 def trip_ids_split(spark, sf_dir):
-    return identify_events(spark, sf_dir, group_rows=ALWAYS_SPLIT)
+    return identify_events(spark, sf_dir, bucket_rows=ALWAYS_SPLIT)
 
 
 # --- zones ------------------------------------------------------------------
