@@ -101,7 +101,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .groupBy("doc")
         .agg(F.collect_list(F.struct("place", (F.col("n") > TREE_ROWS).alias("long"))).alias("places"))
     )
-    suffixes = given.join(places, "doc").select("doc", "text", "places").mapInArrow(_suffix_rows, SUFFIXES)
+    # The same columns as in the join below, so that both read one exchange of the texts.
+    suffixes = given.join(places, "doc").select("doc", "text", "places", "rest").mapInArrow(_suffix_rows, SUFFIXES)
     repeats = (
         suffixes.repartition("prefix")
         .sortWithinPartitions("prefix")
@@ -198,18 +199,32 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # Only what starts later than the earliest is a repeat.
                 first = np.maximum.accumulate(np.where(known, 0, np.arange(len(order))))
                 later = (doc_of[owner][order] != doc_of[owner][order][first]) | (inside[order] != inside[order][first])
-                keys = windows[order].view(np.int64).copy()
-                spread = mix(windows[order] ^ mix(np.arange(len(order)).astype(np.uint64) + np.uint64(texts[0] & 0xFFFFFFFF)))
-                keys[known & later] = spread.view(np.int64)[known & later]
+                gone = known & later
+                first = order[~gone]
                 yield _suffix_batch(
-                    keys,
-                    known & later,
-                    doc_of[owner][order],
-                    texts[owner][order],
-                    inside[order],
-                    np.ones(len(order), np.int64),
+                    windows[first].view(np.int64),
+                    np.zeros(len(first), bool),
+                    doc_of[owner[first]],
+                    texts[owner[first]],
+                    inside[first],
+                    np.ones(len(first), np.int64),
                     None,
                 )
+                if gone.any():
+                    # One row for all windows of a prefix; it goes anywhere.
+                    repeats = np.zeros(len(found.place), np.int64)
+                    np.bitwise_or.at(repeats, at[order[gone]], 1 << (found.place[at] - starts)[order[gone]])
+                    hit = np.flatnonzero(repeats)
+                    spread = mix(texts[found.doc[hit]].view(np.uint64) + hit.astype(np.uint64))
+                    yield _suffix_batch(
+                        spread.view(np.int64),
+                        np.ones(len(hit), bool),
+                        doc_of[found.doc[hit]],
+                        texts[found.doc[hit]],
+                        inner[hit],
+                        repeats[hit],
+                        None,
+                    )
 
 
 def hash_of(block: Block, i: int) -> int:
