@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # Known licences, beyond which they are joined by a shuffle instead of a copy to each executor.
 BROADCAST_KNOWN = 100_000
 
+# Distinct outlines of known texts, beyond which units aren't tried against them first.
+KNOWN_OUTLINES = 10_000
+
 # Spellings that count as one, as words of a text in lower case without punctuation.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",
@@ -97,32 +100,35 @@ THIS SOFTWARE.
 """
 TEXTS = (("MIT", MIT), ("MIT", "MIT License\n" + MIT), ("ISC", ISC), ("ISC", "ISC License\n" + ISC))
 
-# A line that names who holds the copyright; "the above copyright notice" and the like don't count.
-_HOLDER = r"(?im)^[^\p{L}\p{N}\n]*(copyright\b[^\n]{0,20}?(\(c\)|©|[0-9]{4})|\(c\)\s*[0-9]{4}|©)[^\n]*$"
+# A line that names who holds the copyright, in lower case; "the above copyright
+# notice" and the like don't count.
+_HOLDER = r"(?m)^[^\p{L}\p{N}\n]*(copyright\b[^\n]{0,20}?(\(c\)|©|[0-9]{4})|\(c\)\s*[0-9]{4}|©)[^\n]*$"
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, words of letters and digits with one space between, without holders' lines.
+def plain_words(text: Column) -> Column:
+    """Lower case, words of letters and digits with one space between, without holders' lines."""
 
-    Equivalent spellings become one.
-    """
-    plain = F.regexp_replace(text, _HOLDER, " ")
-    plain = F.trim(F.regexp_replace(F.lower(plain), r"[^\p{L}\p{N}]+", " "))
-    stems = "|".join(sorted(SPELLINGS, key=len, reverse=True))
-    spelt = F.array_join(
-        F.transform(F.split(plain, " "), lambda word: F.coalesce(_spellings()[word], word)), " "
-    )
-    return F.when(plain.rlike(rf"\b({stems})\b"), spelt).otherwise(plain)
+    def without_holders(low: Column) -> Column:
+        may_hold = low.contains("copyright") | low.contains("(c)") | low.contains("©")
+        return F.when(may_hold, F.regexp_replace(low, _HOLDER, " ")).otherwise(low)
+
+    low = F.get(F.transform(F.array(F.lower(text)), without_holders), F.lit(0))
+    return F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
 
 
-def _spellings() -> Column:
-    return F.create_map(*[F.lit(word) for pair in SPELLINGS.items() for word in pair])
+def canonical(plain: Column) -> Column:
+    """Plain words with equivalent spellings as one."""
+    spellings = F.create_map(*[F.lit(word) for pair in SPELLINGS.items() for word in pair])
+    return F.array_join(F.transform(F.split(plain, " "), lambda word: F.coalesce(spellings[word], word)), " ")
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; null if nothing is left of it."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+def outline(plain: Column) -> Column:
+    """How a text begins and how many words it has, which no spelling changes."""
+
+    def of(words: Column) -> Column:
+        return F.concat(F.substring(words, 1, 2), F.size(F.split(words, " ")).cast("string"))
+
+    return F.get(F.transform(F.array(plain), of), F.lit(0))
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
@@ -156,14 +162,21 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
         F.struct(F.lit("line").alias("unit"), F.when(F.col("text").contains("\n"), lines).alias("texts")),
         F.struct(F.lit("sentence").alias("unit"), sentences.alias("texts")),
     )
-    units = (
-        docs.select("doc_id", F.explode(parts).alias("part"))
-        .select("doc_id", "part.unit", F.explode("part.texts").alias("text"))
-        .select("doc_id", "unit", digest(F.col("text")).alias("digest"))
-        .where("digest is not null")
+    units = docs.select("doc_id", F.explode(parts).alias("part")).select(
+        "doc_id", "part.unit", F.explode("part.texts").alias("text")
+    )
+    wanted = known.where("license_id is not null").select("license_id", plain_words(F.col("text")).alias("plain"))
+    wanted = wanted.where("plain <> ''").select(
+        "license_id", outline(F.col("plain")).alias("outline"), F.sha2(canonical(F.col("plain")), 256).alias("digest")
     )
-    wanted = known.where("license_id is not null").select("license_id", digest(F.col("text")).alias("digest"))
-    wanted = wanted.where("digest is not null").distinct()
+    wanted = wanted.distinct()
+    outlines = [row.outline for row in wanted.select("outline").distinct().limit(KNOWN_OUTLINES + 1).collect()]
+    plain = plain_words(F.col("text"))
+    # Only what begins like a known text and is as long is put into canonical form.
+    if len(outlines) <= KNOWN_OUTLINES:
+        units = units.where(outline(plain).isin(outlines))
+    units = units.select("doc_id", "unit", F.sha2(canonical(plain), 256).alias("digest"))
+    wanted = wanted.drop("outline")
     if wanted.limit(BROADCAST_KNOWN + 1).count() <= BROADCAST_KNOWN:
         wanted = F.broadcast(wanted)
     return units.join(wanted, "digest").groupBy("doc_id", "unit", "license_id").agg(F.count("*").alias("n_found"))
