@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Known licences, beyond which they are joined by a shuffle instead of a copy to each executor.
 BROADCAST_KNOWN = 100_000
 
-# Distinct outlines of known texts, beyond which units aren't tried against them first.
-KNOWN_OUTLINES = 10_000
-
 # Spellings that count as one, as words of a text in lower case without punctuation.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",
@@ -102,33 +104,40 @@ TEXTS = (("MIT", MIT), ("MIT", "MIT License\n" + MIT), ("ISC", ISC), ("ISC", "IS
 
 # A line that names who holds the copyright, in lower case; "the above copyright
 # notice" and the like don't count.
-_HOLDER = r"(?m)^[^\p{L}\p{N}\n]*(copyright\b[^\n]{0,20}?(\(c\)|©|[0-9]{4})|\(c\)\s*[0-9]{4}|©)[^\n]*$"
-
-
-def plain_words(text: Column) -> Column:
-    """Lower case, words of letters and digits with one space between, without holders' lines."""
+_HOLDER = re.compile(r"(?m)^(?:[^\w\n]|_)*(copyright\b[^\n]{0,20}?(\(c\)|©|[0-9]{4})|\(c\)\s*[0-9]{4}|©)[^\n]*$")
+_WORD = re.compile(r"[^\W_]+")
+_ENDS = re.compile(r"(?<=[.!?])\s+")
 
-    def without_holders(low: Column) -> Column:
-        may_hold = low.contains("copyright") | low.contains("(c)") | low.contains("©")
-        return F.when(may_hold, F.regexp_replace(low, _HOLDER, " ")).otherwise(low)
 
-    low = F.get(F.transform(F.array(F.lower(text)), without_holders), F.lit(0))
-    return F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
+def canonical_words(text: str) -> list[str]:
+    """Words of letters and digits in lower case, without holders' lines; equivalent spellings are one."""
+    low = text.lower()
+    if "copyright" in low or "(c)" in low or "©" in low:
+        low = _HOLDER.sub(" ", low)
+    return [SPELLINGS.get(word, word) for word in _WORD.findall(low)]
 
 
-def canonical(plain: Column) -> Column:
-    """Plain words with equivalent spellings as one."""
-    spellings = F.create_map(*[F.lit(word) for pair in SPELLINGS.items() for word in pair])
-    return F.array_join(F.transform(F.split(plain, " "), lambda word: F.coalesce(spellings[word], word)), " ")
+def digest(words: list[str]) -> bytes:
+    return hashlib.sha256(" ".join(words).encode()).digest()
 
 
-def outline(plain: Column) -> Column:
-    """How a text begins and how many words it has, which no spelling changes."""
+def units(text: str) -> Iterator[tuple[str, str]]:
+    """The whole text, its lines if there are several, and the sentences of lines that hold several."""
+    yield "text", text
+    lines = text.split("\n")
+    for line in lines:
+        if len(lines) > 1:
+            yield "line", line
+        sentences = _ENDS.split(line.strip(" "))
+        if len(sentences) > 1:
+            for sentence in sentences:
+                yield "sentence", sentence
 
-    def of(words: Column) -> Column:
-        return F.concat(F.substring(words, 1, 2), F.size(F.split(words, " ")).cast("string"))
 
-    return F.get(F.transform(F.array(plain), of), F.lit(0))
+def begins(text: str) -> str:
+    """The first two letters of a text's first word, which no spelling changes; of holders' lines none."""
+    found = _WORD.search(text)
+    return found[0][:2].lower() if found else ""
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
@@ -148,35 +157,49 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     match nothing; nor do known texts without an id. Rows that share a doc_id
     are counted together; a null doc_id is an id of its own.
     """
-    lines = F.transform(F.split("text", "\n"), lambda x: F.trim(x))
-    sentences = F.filter(
-        F.flatten(
-            F.transform(
-                F.filter(lines, lambda x: x.rlike(r"[.!?]\s")), lambda x: F.split(x, r"(?<=[.!?])\s+")
-            )
-        ),
-        lambda x: x != "",
-    )
-    parts = F.array(
-        F.struct(F.lit("text").alias("unit"), F.array("text").alias("texts")),
-        F.struct(F.lit("line").alias("unit"), F.when(F.col("text").contains("\n"), lines).alias("texts")),
-        F.struct(F.lit("sentence").alias("unit"), sentences.alias("texts")),
-    )
-    units = docs.select("doc_id", F.explode(parts).alias("part")).select(
-        "doc_id", "part.unit", F.explode("part.texts").alias("text")
-    )
-    wanted = known.where("license_id is not null").select("license_id", plain_words(F.col("text")).alias("plain"))
-    wanted = wanted.where("plain <> ''").select(
-        "license_id", outline(F.col("plain")).alias("outline"), F.sha2(canonical(F.col("plain")), 256).alias("digest")
-    )
-    wanted = wanted.distinct()
-    outlines = [row.outline for row in wanted.select("outline").distinct().limit(KNOWN_OUTLINES + 1).collect()]
-    plain = plain_words(F.col("text"))
-    # Only what begins like a known text and is as long is put into canonical form.
-    if len(outlines) <= KNOWN_OUTLINES:
-        units = units.where(outline(plain).isin(outlines))
-    units = units.select("doc_id", "unit", F.sha2(canonical(plain), 256).alias("digest"))
-    wanted = wanted.drop("outline")
+    wanted = known.where("license_id is not null and text is not null").select("license_id", "text")
+    wanted = wanted.mapInArrow(_known_rows, "license_id string, start string, digest binary").distinct()
+    starts = {row.start for row in wanted.select("start").distinct().collect()}
+    found = docs.select("doc_id", "text").where("text is not null")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = found.mapInArrow(_unit_rows(starts), f"doc_id {kind}, unit string, digest binary")
+    wanted = wanted.drop("start").distinct()
     if wanted.limit(BROADCAST_KNOWN + 1).count() <= BROADCAST_KNOWN:
         wanted = F.broadcast(wanted)
-    return units.join(wanted, "digest").groupBy("doc_id", "unit", "license_id").agg(F.count("*").alias("n_found"))
+    return found.join(wanted, "digest").groupBy("doc_id", "unit", "license_id").agg(F.count("*").alias("n_found"))
+
+
+def _known_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(name, canonical_words(text)) for name, text in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
+        rows = [(name, words[0][:2], digest(words)) for name, words in rows if words]
+        columns = list(zip(*rows, strict=True)) or [[]] * 3
+        kinds = (pa.string(), pa.string(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["license_id", "start", "digest"]
+        )
+
+
+def _unit_rows(starts: set[str]):
+    """Digests of units that begin like a known text; at most 1,296 beginnings of ASCII texts are told apart."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, names, digests = [], [], []
+            for i, text in enumerate(batch.column(1)):
+                for unit, part in units(text.as_py()):
+                    low = part[:0] if unit != "text" else part.lower()
+                    held = "copyright" in low or "(c)" in low or "©" in low
+                    if not held and begins(part) not in starts:
+                        continue
+                    words = canonical_words(part)
+                    if words:
+                        at.append(i)
+                        names.append(unit)
+                        digests.append(digest(words))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), pa.array(names, pa.string()), pa.array(digests, pa.binary())],
+                names=["doc_id", "unit", "digest"],
+            )
+
+    return rows
