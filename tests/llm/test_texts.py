@@ -55,6 +55,15 @@ def test_encoder_agrees_with_the_tokenizer(texts):
 test_encoder_agrees_with_the_tokenizer.encoder = Encoder(vocabulary(default_path()), kept=50)
 
 
+def test_encoder_takes_a_text_of_more_words_than_it_keeps():
+    encoder = Encoder(vocabulary(default_path()), kept=50)
+    many = " ".join(f"{i:x}{'\n' if i % 7 == 0 else ' '}id{i % 90}" for i in range(500))
+    texts = ["few words", many.replace("\n ", "\n"), "", "two  blanks", many[:400].strip(), "few words"]
+    for size in (10, 1 << 20):
+        got = [ids for block in blocks(pa.array(texts), size=size) for ids in encoder.encode(block)]
+        assert got == [encoder.whole(text) for text in texts]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 70_000) | st.just(0), max_size=300))
 def test_simple8b_gives_back_what_it_took(values):

@@ -113,27 +113,40 @@ class Encoder:
         join[block.begin == block.bounds[:-1][np.searchsorted(block.bounds, block.begin, side="right") - 1]] = _BARE
         keys = mix(block.words ^ _JOINS[join])
         use = np.repeat(~odd, block.counts)
-        rows = self.table.find(keys)
-        new = np.flatnonzero((rows < 0) & use)
+        at = np.flatnonzero(use)
+        ids, found = self._word_ids(block, keys, join, at)
+        size = np.zeros(len(keys), np.int64)
+        size[at] = found
+        ends = np.cumsum(size)
+        data = ids.astype("<u4").tobytes()
+        edges = 4 * np.concatenate([[0], ends])[block.first]
+        out = [data[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(odd):
+            out[i] = self.whole(block.data[block.bounds[i] : block.bounds[i + 1]].tobytes().decode())
+        return out
+
+    def _word_ids(self, block: Block, keys: np.ndarray, joins: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at `at`, one word after the other, and how many each has."""
+        rows = self.table.find(keys[at])
+        new = at[rows < 0]
         if len(new):
             distinct, first = np.unique(keys[new], return_index=True)
             if self.words + len(distinct) > self.kept or self.used > KEPT_IDS:
+                distinct, first = np.unique(keys[at], return_index=True)
+                if len(distinct) > self.kept:
+                    # One text may have more words than are kept: then part by part.
+                    parts = [at[i : i + self.kept] for i in range(0, len(at), self.kept)]
+                    ids, sizes = zip(*[self._word_ids(block, keys, joins, part) for part in parts], strict=True)
+                    return np.concatenate(ids), np.concatenate(sizes)
                 self._forget()
-                distinct, first = np.unique(keys[use], return_index=True)
-                new = np.flatnonzero(use)
-            self._learn(block, distinct, new[first], join[new[first]])
-            rows = self.table.find(keys)
-        rows = np.where(use, rows, 0)
+                new = at
+            self._learn(block, distinct, new[first], joins[new[first]])
+            rows = self.table.find(keys[at])
         begin = self.starts[rows]
-        size = np.where(use, self.starts[rows + 1] - begin, 0)
+        size = self.starts[rows + 1] - begin
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        data = self.ids[np.repeat(begin - ends + size, size) + np.arange(total)].astype("<u4").tobytes()
-        edges = 4 * np.concatenate([[0], ends])[block.first]
-        out = [data[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        for i in np.flatnonzero(odd):
-            out[i] = self.whole(block.data[block.bounds[i] : block.bounds[i + 1]].tobytes().decode())
-        return out
+        return self.ids[np.repeat(begin - ends + size, size) + np.arange(total)], size
 
     def _unevenly_spaced(self, block: Block) -> np.ndarray:
         """Texts with white space other than single spaces and line breaks, or with any at the end."""
