@@ -21,3 +21,37 @@ def contained(docs, items, size, percent):
             if wanted and 100 * common >= percent * len(wanted):
                 out[doc, item] = common
     return out
+
+
+def backoff_scores(texts, order, weight=0.4):
+    """{doc_id: (n_words, n_backed_off, log_score)} of {doc_id: words}, level by level."""
+    import math
+    from collections import Counter
+
+    def grams(own):
+        return Counter(tuple(own[i : i + n]) for n in range(1, order + 1) for i in range(len(own) - n + 1))
+
+    held = {doc: grams(own) for doc, own in texts.items()}
+    total = Counter()
+    for own in held.values():
+        total.update(own)
+    n_all = sum(map(len, texts.values()))
+    out = {}
+    for doc, own in texts.items():
+        score = backed = 0
+        for i in range(len(own)):
+            longest = min(i, order - 1)
+            for before in range(longest, -1, -1):
+                gram = tuple(own[i - before : i + 1])
+                here = total[gram] - held[doc][gram]
+                if not before:
+                    share = max(here, 1) / max(n_all - len(own), 1)
+                elif here > 0:
+                    share = here / max(total[gram[:-1]] - held[doc][gram[:-1]], 1)
+                else:
+                    continue
+                break
+            score += math.log(share) + (longest - before) * math.log(weight)
+            backed += before < longest
+        out[doc] = (len(own), backed, score)
+    return out

@@ -2,6 +2,7 @@ import hashlib
 import zlib
 
 import brute
+import brute_extra
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -205,6 +206,17 @@ def test_language_model(odd_docs, odd_rows, no_docs):
     assert score_documents(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("order", [1, 3, 5])
+def test_language_model_backs_off_level_by_level(spark, odd_docs, odd_rows, order):
+    texts = {doc: brute.words(text, lower=True) for doc, text in odd_rows}
+    want = brute_extra.backoff_scores(texts, order)
+    got = {r.doc_id: r for r in score_documents(odd_docs, order=order).collect()}
+    assert set(got) == set(want)
+    for doc, (n_words, n_backed_off, log_score) in want.items():
+        assert (got[doc].n_words, got[doc].n_backed_off) == (n_words, n_backed_off)
+        assert got[doc].log_score == pytest.approx(log_score, abs=1e-6)
+
+
 def test_counts_survive_packing():
     rng = np.random.RandomState(0)
     grams = np.unique(rng.randint(0, 1 << 62, 1000).astype(np.uint64))

@@ -13,22 +13,26 @@ from tripweave.llm.text import Block, blocks, count_words, run_hashes
 # Weight of a shorter n-gram.
 BACKOFF = 0.4
 
+# Words of the longest n-gram, unless the caller names another number.
+ORDER = 2
+
 COUNTS = "shard int, bucket int, grams binary, counts binary"
 SCORES = "doc_id long, n_words long, n_backed_off long, log_score double"
 
 
-def score_documents(docs: DataFrame, backoff: float = BACKOFF) -> DataFrame:
-    """How likely each document is by the bigrams of all others.
+def score_documents(docs: DataFrame, backoff: float = BACKOFF, order: int = ORDER) -> DataFrame:
+    """How likely each document is by the n-grams of all others, of up to `order` words.
 
     `docs` has doc_id and text. Words are runs of characters other than ASCII
-    white space, with A-Z in lower case. A word's score after another is
-    count(both) / count(first); if the pair isn't there, `backoff` *
-    count(word) / all words. A document's first word takes count(word) / all
-    words. Counts are those of the whole corpus less the document's own, as
+    white space, with A-Z in lower case. A word's score after the `order` - 1
+    words before it, or as many as its document has there, is count(all of
+    them) / count(those before); if they aren't there together, `backoff` *
+    its score after one word less, down to count(word) / all words, which a
+    document's first word takes at once. Counts are those of the whole corpus less the document's own, as
     every n-gram of it would be known otherwise; a word that only it has
     counts as one.
 
-    Returns doc_id, n_words, n_backed_off (words scored by backoff),
+    Returns doc_id, n_words, n_backed_off (words scored by backoff, once each),
     log_score (sum of natural logarithms) and mean_log_score. Null texts and
     those without words have no words, a sum of 0 and a null mean. Rows that
     share a doc_id are documents of their own; null ids stay.
@@ -40,6 +44,8 @@ def score_documents(docs: DataFrame, backoff: float = BACKOFF) -> DataFrame:
     n-grams take a row a shard at most. Hashes of a shard and part travel
     together, sorted, as differences.
     """
+    if order < 1:
+        raise ValueError("order must be 1 or more")
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(
@@ -47,12 +53,12 @@ def score_documents(docs: DataFrame, backoff: float = BACKOFF) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     ).repartition(n, "shard")
-    asked = given.groupBy("shard").applyInArrow(_ask(n), COUNTS)
+    asked = given.groupBy("shard").applyInArrow(_ask(n, order), COUNTS)
     told = asked.groupBy("bucket").applyInArrow(_total, COUNTS)
     scored = (
         given.groupBy("shard")
         .cogroup(told.groupBy("shard"))
-        .applyInArrow(_score(n, backoff, _corpus_words(docs)), SCORES)
+        .applyInArrow(_score(n, backoff, order, _corpus_words(docs)), SCORES)
     )
     mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
     return scored.withColumn("mean_log_score", mean)
@@ -66,17 +72,19 @@ def _corpus_words(docs: DataFrame) -> int:
     return docs.select("text").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def block_grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word, and of each word with the one before it in its document.
+def block_grams(block: Block, order: int) -> list[np.ndarray]:
+    """For each length up to `order`, a hash of the n-gram of its document that ends at each word.
 
-    The second is zero for the first word of a document.
+    It is zero for words with too few before them.
     """
-    pairs = np.zeros(len(block.words), np.uint64)
-    if len(block.words) > 1:
-        pairs[1:] = run_hashes(block.words, 2)
-        first = block.first[:-1][block.counts > 0]
-        pairs[first] = 0
-    return run_hashes(block.words, 1), pairs
+    place = np.arange(len(block.words)) - np.repeat(block.first[:-1], block.counts)
+    grams = []
+    for size in range(1, order + 1):
+        ending = np.zeros(len(block.words), np.uint64)
+        ending[size - 1 :] = run_hashes(block.words, size)
+        ending[place < size - 1] = 0
+        grams.append(ending)
+    return grams
 
 
 def _bucket(grams: np.ndarray, n: int) -> np.ndarray:
@@ -118,12 +126,12 @@ def _shard_blocks(table: pa.Table) -> Iterator[tuple[int, Block]]:
         at += batch.num_rows
 
 
-def _shard_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _shard_counts(table: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
     """A shard's distinct n-grams in order, and their counts."""
     kept = []
     for _, block in _shard_blocks(table):
-        words, pairs = block_grams(block)
-        kept.append(np.unique(np.concatenate([words, pairs[pairs != 0]]), return_counts=True))
+        grams = np.concatenate(block_grams(block, order))
+        kept.append(np.unique(grams[grams != 0], return_counts=True))
     if not kept:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     grams, counts = (np.concatenate(part) for part in zip(*kept, strict=True))
@@ -144,9 +152,9 @@ def _count_table(shards, buckets, grams: list[bytes], counts: list[bytes]) -> pa
     )
 
 
-def _ask(n: int):
+def _ask(n: int, order: int):
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        grams, counts = _shard_counts(table)
+        grams, counts = _shard_counts(table, order)
         edges = np.searchsorted(_bucket(grams, n), np.arange(n + 1))
         full = np.flatnonzero(np.diff(edges))
         spans = [slice(edges[i], edges[i + 1]) for i in full]
@@ -170,9 +178,9 @@ def _total(key: tuple, table: pa.Table) -> pa.Table:
     return _count_table(shards, [key[0].as_py()] * len(shards), [b""] * len(shards), [_pack_counts(p) for p in parts])
 
 
-def _score(n: int, backoff: float, corpus_words: int):
+def _score(n: int, backoff: float, order: int, corpus_words: int):
     def score(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
-        grams, _ = _shard_counts(docs)
+        grams, _ = _shard_counts(docs, order)
         edges = np.searchsorted(_bucket(grams, n), np.arange(n + 1))
         totals = np.zeros(len(grams), np.int64)
         for bucket, data in zip(told.column("bucket").to_pylist(), told.column("counts").to_pylist(), strict=True):
@@ -180,12 +188,12 @@ def _score(n: int, backoff: float, corpus_words: int):
             totals[span] = _unpack_counts(data, span.stop - span.start)
         out = []
         for at, block in _shard_blocks(docs):
-            words, pairs = block_grams(block)
-            word_row, pair_row = np.searchsorted(grams, words), np.searchsorted(grams, pairs)
+            found = [np.searchsorted(grams, ending) for ending in block_grams(block, order)]
             for i, row in enumerate(block.rows):
                 span = slice(block.first[i], block.first[i + 1])
                 ids = docs.column("doc_id")[at + row].as_py()
-                out.append((ids, *_document(totals, word_row[span], pair_row[span][1:], corpus_words, backoff)))
+                own = [rows_of[span][shorter:] for shorter, rows_of in enumerate(found)]
+                out.append((ids, *_document(totals, own, corpus_words, backoff)))
         columns = list(zip(*out, strict=True)) or [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         names = [field.split()[0] for field in SCORES.split(", ")]
@@ -194,21 +202,26 @@ def _score(n: int, backoff: float, corpus_words: int):
     return score
 
 
-def _document(totals, words, pairs, corpus_words: int, backoff: float) -> tuple[int, int, float]:
-    """Words, backed-off words and log score of one document, by counts without its own."""
-    if not len(words):
+def _document(totals, grams: list[np.ndarray], corpus_words: int, backoff: float) -> tuple[int, int, float]:
+    """Words, backed-off words and log score of one document, by counts without its own.
+
+    `grams` has the rows of the document's n-grams of each length, in order of their first words.
+    """
+    n = len(grams[0])
+    if not n:
         return 0, 0, 0.0
-    others = _less_own(totals, words)
-    rest = max(corpus_words - len(words), 1)
-    single = np.log(np.maximum(others, 1) / rest)
-    if len(words) == 1:
-        return 1, 0, float(single[0])
-    both = _less_own(totals, pairs)
-    known = both > 0
-    after = np.where(
-        known, np.log(np.maximum(both, 1) / np.maximum(others[:-1], 1)), np.log(backoff) + single[1:]
-    )
-    return len(words), int(np.count_nonzero(~known)), float(single[0] + after.sum())
+    before = _less_own(totals, grams[0])
+    score = np.log(np.maximum(before, 1) / max(corpus_words - n, 1))
+    backed_off = np.zeros(n, bool)
+    for shorter in range(1, min(len(grams), n)):
+        together = _less_own(totals, grams[shorter])
+        known = together > 0
+        score[shorter:] = np.where(
+            known, np.log(np.maximum(together, 1) / np.maximum(before[:-1], 1)), np.log(backoff) + score[shorter:]
+        )
+        backed_off[shorter:] = ~known
+        before = together
+    return n, int(np.count_nonzero(backed_off)), float(score[0] + score[1:].sum())
 
 
 def _less_own(totals: np.ndarray, rows: np.ndarray) -> np.ndarray:

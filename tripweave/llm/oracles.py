@@ -108,6 +108,52 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_words, coalesce(s.backed, 0)::BIG
 FROM docs d LEFT JOIN scored s ON s.doc_id = d.doc_id
 """
 
+TRIGRAM_MODEL = f"""
+WITH docs AS (SELECT doc_id, {LOWER_WORDS} AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM docs),
+grams AS (
+    SELECT doc_id, word, lag(word) OVER own AS prior, lag(word, 2) OVER own AS earlier
+    FROM words WINDOW own AS (PARTITION BY doc_id ORDER BY place)
+),
+total AS (SELECT count(*) AS n FROM words),
+one AS (SELECT word, count(*) AS n FROM words GROUP BY ALL),
+one_own AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY ALL),
+two AS (SELECT prior, word, count(*) AS n FROM grams WHERE prior IS NOT NULL GROUP BY ALL),
+two_own AS (SELECT doc_id, prior, word, count(*) AS n FROM grams WHERE prior IS NOT NULL GROUP BY ALL),
+three AS (SELECT earlier, prior, word, count(*) AS n FROM grams WHERE earlier IS NOT NULL GROUP BY ALL),
+three_own AS (SELECT doc_id, earlier, prior, word, count(*) AS n FROM grams WHERE earlier IS NOT NULL GROUP BY ALL),
+seen AS (
+    SELECT g.doc_id, g.prior, g.earlier, a.n - a_own.n AS c_word, b.n - b_own.n AS c_prior,
+           ab.n - ab_own.n AS c_two, cb.n - cb_own.n AS c_context, abc.n - abc_own.n AS c_three,
+           greatest(total.n - len(d.w), 1) AS rest
+    FROM grams g JOIN docs d ON d.doc_id = g.doc_id CROSS JOIN total
+    JOIN one a ON a.word = g.word JOIN one_own a_own ON a_own.doc_id = g.doc_id AND a_own.word = g.word
+    LEFT JOIN one b ON b.word = g.prior
+    LEFT JOIN one_own b_own ON b_own.doc_id = g.doc_id AND b_own.word = g.prior
+    LEFT JOIN two ab ON ab.prior = g.prior AND ab.word = g.word
+    LEFT JOIN two_own ab_own ON ab_own.doc_id = g.doc_id AND ab_own.prior = g.prior AND ab_own.word = g.word
+    LEFT JOIN two cb ON cb.prior = g.earlier AND cb.word = g.prior
+    LEFT JOIN two_own cb_own ON cb_own.doc_id = g.doc_id AND cb_own.prior = g.earlier AND cb_own.word = g.prior
+    LEFT JOIN three abc ON abc.earlier = g.earlier AND abc.prior = g.prior AND abc.word = g.word
+    LEFT JOIN three_own abc_own ON abc_own.doc_id = g.doc_id AND abc_own.earlier = g.earlier
+        AND abc_own.prior = g.prior AND abc_own.word = g.word
+),
+scored AS (
+    SELECT doc_id, count(*) AS n,
+           count(*) FILTER (WHERE CASE WHEN earlier IS NULL THEN c_two = 0 ELSE c_three = 0 END) AS backed,
+           sum(CASE
+               WHEN c_three > 0 THEN ln(c_three / greatest(c_context, 1))
+               ELSE CASE WHEN earlier IS NULL THEN 0 ELSE ln(0.4) END + CASE
+                   WHEN prior IS NULL THEN ln(greatest(c_word, 1) / rest)
+                   WHEN c_two > 0 THEN ln(c_two / greatest(c_prior, 1))
+                   ELSE ln(0.4) + ln(greatest(c_word, 1) / rest) END END) AS score
+    FROM seen GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_words, coalesce(s.backed, 0)::BIGINT AS n_backed_off,
+       round(coalesce(s.score, 0.0), 6) AS log_score, round(s.score / s.n, 6) AS mean_log_score
+FROM docs d LEFT JOIN scored s ON s.doc_id = d.doc_id
+"""
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -147,5 +193,6 @@ ORACLES: dict[str, str] = {
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op6_contamination": CONTAMINATION,
     "op8_licenses": LICENSES,
+    "op10_trigram_model": TRIGRAM_MODEL,
     "op10_language_model": LANGUAGE_MODEL,
 }

@@ -94,9 +94,22 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+# Words of the longest n-gram of op10_trigram_model.
+MODEL_ORDER = 3
+
+
+def op10_trigram_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of all documents by trigrams, bigrams and words."""
+    return _model_scores(spark, sf_dir, MODEL_ORDER)
+
+
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff scores of all documents."""
-    scored = score_documents(table(spark, sf_dir, "documents"))
+    """Stupid-backoff scores of all documents by bigrams and words, as its SQL has them."""
+    return _model_scores(spark, sf_dir, 2)
+
+
+def _model_scores(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"), order=order)
     rounded = [F.round(name, 6).alias(name) for name in ("log_score", "mean_log_score")]
     return scored.select("doc_id", "n_words", "n_backed_off", *rounded)
 
@@ -111,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language": op7_language,
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
+    "op10_trigram_model": op10_trigram_model,
     "op10_language_model": op10_language_model,
 }
 
