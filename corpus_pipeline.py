@@ -20,6 +20,9 @@ from tripweave.session import store
 # A text of which a smaller share of n-grams belongs to its likeliest language is in none.
 LEAST_LANGUAGE = 0.1
 
+# A row's key while groups are made.
+ROW = "_stage_row"
+
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones show; texts without letters go."""
@@ -30,13 +33,19 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates.
+    """One row of each group of near duplicates: that of the smallest id, of equal ids any one.
 
-    Five words a shingle and a similarity of 0.8. Rows without doc_id stay.
+    Five words a shingle and a similarity of 0.8. Rows are told apart by a
+    stored key, so repeated ids and rows without one are compared like all
+    others; a row without doc_id stays only where its group has no other.
     """
     find_library(spark)
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    keyed = store(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(keyed.select(F.col(ROW).alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(keyed.select(ROW, "doc_id"), ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
+    kept = groups.groupBy("component_id").agg(first).select(F.col("first").getField(ROW).alias(ROW))
+    return keyed.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

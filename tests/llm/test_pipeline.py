@@ -93,3 +93,17 @@ def test_odd_and_no_documents(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         assert staged(spark, docs)[-1].columns[0] == "doc_id"
+
+
+def test_near_duplicate_stage_keeps_one_row_of_repeated_and_null_ids(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (1, "the the of that"), (1, "the the of that"), (1, long), (1, long), (7, f"{long} more"), (None, long),
+        (None, "no id here"), (None, "no id here"), (None, "another without one"), (8, "alone"),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(*row, "en", "s", 4) for row in rows], schema).repartition(3)
+    after = corpus_pipeline.keep_one_of_each(spark, docs, SF)
+    assert after.columns == COLUMNS
+    got = sorted(((r.doc_id, r.text) for r in after.collect()), key=str)
+    assert got == sorted([(1, "the the of that"), (1, long), *rows[6:7], *rows[8:]], key=str)
