@@ -149,6 +149,35 @@ def test_substrings_of_repeated_rows_and_nothing(spark, no_docs):
     assert remove_repeats(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("tree_rows", [4096, 8, 2])
+def test_substrings_of_different_texts_without_ids(spark, monkeypatch, tree_rows):
+    """Texts of one id or none, with common passages at different places."""
+    import random
+
+    monkeypatch.setattr(substrings, "TREE_ROWS", tree_rows)
+    rng = random.Random(1)
+    passages = [[f"p{k}x{i}" for i in range(rng.randint(20, 30))] for k in range(4)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            words += [f"u{rng.randint(0, 10**9)}" for _ in range(rng.randint(0, 9))] + rng.choice(passages)
+        rows.append((rng.choice([None, 3, i]), " ".join(words)))
+    texts = [((doc is not None, doc or 0), text.split()) for doc, text in rows]
+    first = {}
+    for doc, own in texts:
+        for i in range(len(own) - 19):
+            key = tuple(own[i : i + 20])
+            first[key] = min(first.get(key, (doc, i)), (doc, i))
+    want = []
+    for (doc, text), (order, own) in zip(rows, texts):
+        gone = {i + k for i in range(len(own) - 19) if first[tuple(own[i : i + 20])] != (order, i) for k in range(20)}
+        want.append((doc, text, " ".join(word for i, word in enumerate(own) if i not in gone)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, r.text, r.kept) for r in remove_repeats(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
 def test_near_duplicates(odd_docs, odd_rows, size, percent):
     rows = near_duplicates(odd_docs, size, percent).collect()

@@ -24,7 +24,8 @@ TREE_ROWS = 4096
 NO_ID = -(1 << 63)
 
 ADDED = ("n_words", "n_removed", "kept")
-ANCHORS = "prefix long, doc long, place int"
+# Rows of one doc are told apart by text_hash throughout.
+ANCHORS = "prefix long, doc long, text_hash long, place int"
 SUFFIXES = "prefix long, known boolean, doc long, text_hash long, place int, offsets int, around binary"
 REPEATS = "doc long, text_hash long, place int, offsets int"
 
@@ -88,29 +89,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     extra = [field for field in docs.schema.fields if field.name not in ("doc_id", "text", *ADDED)]
     given = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64("text").alias("text_hash"),
         "text",
         F.struct(*[F.col(f"`{field.name}`") for field in extra] or [F.lit(True).alias("none")]).alias("rest"),
     )
     anchors = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text"
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), "text"
     ).mapInArrow(_anchor_rows, ANCHORS)
     # Stored, so that the join reads two plain shuffles, whose hot prefixes Spark can split.
     often = store(anchors.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1"), "prefixes")
     places = (
         anchors.join(often, "prefix")
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("place", (F.col("n") > TREE_ROWS).alias("long"))).alias("places"))
+        .groupBy("doc", "text_hash")
+        .agg(F.collect_set(F.struct("place", (F.col("n") > TREE_ROWS).alias("long"))).alias("places"))
     )
     # The same columns as in the join below, so that both read one exchange of the texts.
-    suffixes = given.join(places, "doc").select("doc", "text", "places", "rest").mapInArrow(_suffix_rows, SUFFIXES)
+    suffixes = given.join(places, ["doc", "text_hash"]).select("doc", "text_hash", "text", "places", "rest").mapInArrow(_suffix_rows, SUFFIXES)
     repeats = (
         suffixes.repartition("prefix")
         .sortWithinPartitions("prefix")
         .mapInArrow(_subtrees, REPEATS)
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("text_hash", "place", "offsets")).alias("repeats"))
+        .groupBy("doc", "text_hash")
+        .agg(F.collect_set(F.struct("place", "offsets")).alias("repeats"))
     )
-    joined = given.join(repeats, "doc", "left").select("doc", "text", "repeats", "rest")
+    joined = given.join(repeats, ["doc", "text_hash"], "left").select("doc", "text_hash", "text", "repeats", "rest")
     result = T.StructType([given.schema["doc"], given.schema["text"]])
     result.add("n_words", "long").add("n_removed", "long").add("kept", "string").add(given.schema["rest"])
     shown = [
@@ -127,17 +129,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs = batch.column(0).to_numpy()
-        for block in blocks(batch.column(1)):
+        docs, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for block in blocks(batch.column(2)):
             found = Anchors(block)
             if len(found.place):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(found.prefix),
                         pa.array(docs[block.rows.start + found.doc]),
+                        pa.array(texts[block.rows.start + found.doc]),
                         pa.array((found.place - block.first[found.doc]).astype(np.int32)),
                     ],
-                    names=["prefix", "doc", "place"],
+                    names=["prefix", "doc", "text_hash", "place"],
                 )
 
 
@@ -150,9 +153,9 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     repeats.
     """
     for batch in batches:
-        docs = batch.column(0).to_numpy()
-        lists = batch.column(2)
-        for block in blocks(batch.column(1)):
+        docs, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        lists = batch.column(3)
+        for block in blocks(batch.column(2)):
             found = Anchors(block)
             if not len(found.place):
                 continue
@@ -169,7 +172,7 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hit = places[order][at] == inner[part]
                 is_long = listed.field("long").to_numpy(zero_copy_only=False)[order][at]
                 length[part] = np.where(hit, is_long, -1)
-            texts = np.array([hash_of(block, i) for i in range(len(block.rows))], np.int64)
+            texts = hashes[block.rows.start :][: len(block.rows)]
             doc_of = docs[block.rows.start :][: len(block.rows)]
             short = np.flatnonzero(length == 0)
             if len(short):
@@ -227,14 +230,6 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     )
 
 
-def hash_of(block: Block, i: int) -> int:
-    """A hash of a document's words, to tell rows of one doc_id apart."""
-    words = block.words[block.first[i] : block.first[i + 1]]
-    with np.errstate(over="ignore"):
-        steps = np.arange(1, len(words) + 1).astype(np.uint64)
-        return int(mix(np.array([np.sum(mix(words ^ steps))], np.uint64)).view(np.int64)[0])
-
-
 def _around(block: Block, place: np.ndarray) -> np.ndarray:
     """32-bit hashes of the 12 words before and after each prefix; 0 beyond the block."""
     padded = np.zeros(len(block.words) + 2 * INNER, np.uint32)
@@ -337,18 +332,17 @@ def _repeats(rows: pa.Table) -> pa.RecordBatch:
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in blocks(batch.column(1)):
+        for block in blocks(batch.column(2)):
             part = batch.slice(block.rows.start, len(block.rows))
             counts, removed, texts = block.counts, [], []
             data = block.data.tobytes()
             for i in range(len(block.rows)):
                 span = slice(block.first[i], block.first[i + 1])
                 gone = np.zeros(counts[i] + 1, np.int32)
-                listed = part.column(2)[i].values
+                listed = part.column(3)[i].values
                 if listed is not None and len(listed):
-                    own = np.flatnonzero(listed.field("text_hash").to_numpy() == hash_of(block, i))
-                    place = listed.field("place").to_numpy()[own].astype(np.int64)
-                    offsets = listed.field("offsets").to_numpy()[own]
+                    place = listed.field("place").to_numpy().astype(np.int64)
+                    offsets = listed.field("offsets").to_numpy()
                     for offset in range(INNER + 1):
                         start = place[offsets >> offset & 1 == 1] - offset
                         np.add.at(gone, start, 1)
@@ -360,11 +354,11 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
-                    part.column(1),
+                    part.column(2),
                     pa.array(counts.astype(np.int64)),
                     pa.array(removed, pa.int64()),
                     pa.array(texts, pa.string()),
-                    part.column(3),
+                    part.column(4),
                 ],
                 names=["doc", "text", "n_words", "n_removed", "kept", "rest"],
             )
