@@ -1,4 +1,4 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees."""
+"""Removal of repeated passages, by grouping sampled suffixes on keys of 20 words."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ WINDOW = 20
 PREFIX = 8
 INNER = WINDOW - PREFIX
 
-# Suffixes with one short prefix that a task holds as one subtree; with more, the prefix is a whole window.
+# Suffixes with one short prefix that a task holds as one group; with more, the prefix is a whole window.
 TREE_ROWS = 4096
 
 # A row without doc_id sorts before all others.
@@ -33,8 +33,8 @@ REPEATS = "doc long, text_hash long, place int, offsets int"
 class Anchors:
     """Of each window of a block's documents, the least of its prefixes' hashes.
 
-    Equal windows choose the same prefix at the same offset, so a suffix tree
-    over the chosen suffixes alone meets every repeated window. `place` is a
+    Equal windows choose the same prefix at the same offset, so the
+    chosen suffixes alone show every repeated window. `place` is a
     chosen prefix's first word, `low` to `high` the first words of the windows
     that chose it, `doc` its document; all count within the block.
     """
@@ -83,8 +83,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     window (one in seven). Prefixes that occur once go no further. The others'
     suffixes are grouped by prefix: by 8 words, or, where so many suffixes
     share those that one task shouldn't hold them, by the window's 20 words,
-    of which each task sends the earliest only. Each group's subtree is
-    built in order of its leaves; inner nodes 20 words deep are the repeats.
+    of which each task sends the earliest only. Within a group, suffixes are
+    compared on keys of 20 words for each of the 13 offsets; no tree is built.
     """
     extra = [field for field in docs.schema.fields if field.name not in ("doc_id", "text", *ADDED)]
     given = docs.select(
@@ -261,7 +261,7 @@ def _suffix_batch(prefix, known, doc, text_hash, place, offsets, around) -> pa.R
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Build the subtree of each prefix of a sorted partition; only the last one waits for more rows."""
+    """Find the repeats of each prefix of a sorted partition; only the last one waits for more rows."""
     waiting: pa.Table | None = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
@@ -279,11 +279,10 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeats(rows: pa.Table) -> pa.RecordBatch:
-    """Leaves below inner nodes 20 words deep, but the earliest of each node.
+    """Windows of equal keys of 20 words, but the earliest of each key.
 
-    For each offset, the suffixes of the windows that begin there are put in
-    order of their words; neighbours that agree in all 20 words hang on one
-    inner node of that depth.
+    For each offset, the suffixes of the windows that begin there are put
+    together that agree in all 20 words.
     """
     prefix = rows.column("prefix").to_numpy()
     doc, place = rows.column("doc").to_numpy(), rows.column("place").to_numpy().astype(np.int64)
