@@ -1,0 +1,51 @@
+"""The filter audit by the letter: every order applied to every document."""
+
+import re
+from collections import Counter
+from itertools import permutations
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def failed(rows):
+    """(part, letters failed, good, toxic) of rows (doc_id, text, part); without labels."""
+    low = {}
+    for doc, text, _ in rows:
+        if doc is not None:
+            low[text or ""] = min(low.get(text or "", doc), doc)
+    for doc, text, part in rows:
+        text = text or ""
+        words = WORD.findall(text)
+        found = ""
+        if len(words) < 50:
+            found += "A"
+        if 100 * len(set(words)) < 65 * len(words):
+            found += "B"
+        if 100 * len(re.findall("[A-Z]", text)) > 5 * len(text):
+            found += "C"
+        if re.search(r"[#$%&*|]", text):
+            found += "D"
+        if doc is not None and low[text] < doc:
+            found += "E"
+        yield doc, part or "", found
+
+
+def audit(rows, labels):
+    good = {doc for doc, quality, _ in labels if quality == 1} - {None}
+    toxic = {doc for doc, _, is_toxic in labels if is_toxic == 1} - {None}
+    docs = [(part, found, doc in good, doc in toxic) for doc, part, found in failed(rows)]
+    result, shapley = {}, Counter()
+    for part in {doc[0] for doc in docs}:
+        own = [doc for doc in docs if doc[0] == part]
+        for order in permutations("ABCDE"):
+            left = own
+            for step, letter in enumerate(order, 1):
+                gone = [doc for doc in left if letter in doc[1]]
+                left = [doc for doc in left if letter not in doc[1]]
+                failing = [doc for doc in own if letter in doc[1]]
+                shapley[part, letter] += len(gone)
+                result[part, "".join(order), step] = [
+                    len(left), len(gone), len(failing) - len(gone), sum(doc[1] == letter for doc in own),
+                    sum(doc[2] for doc in gone), sum(doc[3] for doc in gone),
+                ]
+    return {key: (*value, shapley[key[0], key[1][key[2] - 1]]) for key, value in result.items()}

@@ -1,0 +1,64 @@
+"""The filter audit against every order applied by the letter."""
+
+import brute_audit
+import numpy as np
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tripweave.llm import filter_audit as fa
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def got(df):
+    names = fa.STEPS[3:]
+    rows = df.collect()
+    found = {(r.part, r.filter_order, r.step): tuple(r[n] for n in names) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=200))
+def test_positional_counts(words):
+    plain = [sum(w >> i & 1 for w in words) for i in range(32)]
+    assert fa.positional_counts(np.array(words, np.uint32)).tolist() == plain
+
+
+def test_survival_words():
+    for fails in range(32):
+        assert [int(fa.SURVIVAL[fails]) >> s & 1 for s in range(32)] == [int(not s & fails) for s in range(32)]
+
+
+def rows_of(odd_rows):
+    rows = [(doc, text, [None, "", "a", "b"][i % 4]) for i, (doc, text) in enumerate(odd_rows)]
+    rows += [(10, "$ signs", "b"), (10, "$ signs", "b"), (9, "$ signs", "a"), (None, "$ signs", "b"), (None, None, None)]
+    rows += [(100 + i, "COPY of Words " * 30, "c d") for i in range(40)]
+    rows += [(200 + i, " ".join(f"w{j}" for j in range(40 + i)), "c d") for i in range(20)]
+    return rows
+
+
+def test_audit_of_odd_rows(spark, odd_rows):
+    rows = rows_of(odd_rows)
+    labels = [(i, i % 2, i % 3 // 2) for i in range(0, 220, 2)] + [(None, 1, 1), (4, 1, None), (4, 0, 1), (9999, 1, 1)]
+    docs = spark.createDataFrame([(*row, 1, "x") for row in rows], "doc_id long, text string, source string, fails int, part string")
+    found = fa.audit_filters(docs.repartition(5), spark.createDataFrame(labels, LABELS).withColumn("part", F.lit(1)))
+    assert found.columns == fa.STEPS
+    assert got(found) == brute_audit.audit(rows, labels)
+
+
+def test_audit_without_documents_or_labels(spark, no_docs):
+    none = spark.createDataFrame([], LABELS)
+    assert fa.audit_filters(no_docs, none).collect() == []
+    rows = [(1, None, None), (2, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert got(fa.audit_filters(docs, none)) == brute_audit.audit(rows, [])
+
+
+def test_each_part_has_600_rows_and_survivors_add_up(spark):
+    rows = [(i, " ".join(f"w{i}{j}" for j in range(i)), "s") for i in range(100)]
+    found = got(fa.audit_filters(spark.createDataFrame(rows, "doc_id long, text string, source string"), spark.createDataFrame([], LABELS)))
+    assert len(found) == 600
+    for (_, order, step), row in found.items():
+        before = found["s", order, step - 1][0] if step > 1 else len(rows)
+        assert row[0] + row[1] == before

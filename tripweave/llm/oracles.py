@@ -154,6 +154,47 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_words, coalesce(s.backed, 0)::BIG
 FROM docs d LEFT JOIN scored s ON s.doc_id = d.doc_id
 """
 
+FILTER_AUDIT = rf"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+found AS (
+    SELECT doc_id, part, list_filter([
+        CASE WHEN len(w) < 50 THEN 'A' END,
+        CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+        CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' END,
+        CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+        CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' END], lambda x: x IS NOT NULL) AS failed
+    FROM docs
+),
+said AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+classes AS (
+    SELECT part, failed, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+    FROM found LEFT JOIN said USING (doc_id) GROUP BY part, failed
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+fates AS (
+    SELECT *, coalesce(list_min(list_transform(failed, lambda x: strpos(filter_order, x))), 9) AS fell
+    FROM classes CROSS JOIN orders
+),
+steps AS (
+    SELECT part, filter_order, step, substr(filter_order, step, 1) AS own,
+           sum(n) FILTER (WHERE fell > step) AS kept, sum(n) FILTER (WHERE fell = step) AS removed,
+           sum(n) FILTER (WHERE fell < step AND list_contains(failed, substr(filter_order, step, 1))) AS redundant,
+           sum(n) FILTER (WHERE failed = [substr(filter_order, step, 1)]) AS unique_fails,
+           sum(n_good) FILTER (WHERE fell = step) AS good_lost, sum(n_toxic) FILTER (WHERE fell = step) AS toxic_lost
+    FROM fates CROSS JOIN (SELECT unnest(range(1, 6)) AS step) GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM steps
+"""
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -195,4 +236,5 @@ ORACLES: dict[str, str] = {
     "op8_licenses": LICENSES,
     "op10_trigram_model": TRIGRAM_MODEL,
     "op10_language_model": LANGUAGE_MODEL,
+    "op13_filter_audit": FILTER_AUDIT,
 }

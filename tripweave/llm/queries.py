@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripweave.llm.contamination import find_contamination
+from tripweave.llm.filter_audit import audit_filters
 from tripweave.llm.language import fit_language_filters, held_out, predict_language
 from tripweave.llm.language_model import score_documents
 from tripweave.llm.licenses import known_licenses, scan_licenses
@@ -114,6 +115,11 @@ def _model_scores(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
     return scored.select("doc_id", "n_words", "n_backed_off", *rounded)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in every order: what each removes at each step, per source."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -126,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_trigram_model": op10_trigram_model,
     "op10_language_model": op10_language_model,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
