@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def with_columns(
-    docs: DataFrame, added: dict[str, str], step: Callable[[pa.Array], list[pa.Array]]
+    docs: DataFrame, added: dict[str, str | T.DataType], step: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:
     """Add columns that `step` makes of each batch's texts, one array a column.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripweave.llm.contamination import find_contamination
 from tripweave.llm.filter_audit import audit_filters
@@ -15,6 +15,7 @@ from tripweave.llm.near_duplicates import near_duplicates
 from tripweave.llm.neighbors import nearest
 from tripweave.llm.oracles import ORACLES
 from tripweave.llm.packing import pack_documents
+from tripweave.llm.runs import find_runs
 from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.token_files import read_token_files, write_token_files
 from tripweave.llm.tokens import default_path
@@ -115,6 +116,53 @@ def _model_scores(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
     return scored.select("doc_id", "n_words", "n_backed_off", *rounded)
 
 
+def plant_repeats(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten, by its id, goes on repeating itself from some word on.
+
+    With h = crc32(doc_id), g = h div 10 and n words, where h % 10 is 0 every
+    word from a = g % n on is replaced by that of a period of
+    p = 1 + (n - a) div (3 + g % 8) words. Other texts stay as they are.
+    """
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words)
+        start = (g % n).cast("int")
+        period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+        times = F.ceil((n - start) / period).cast("int")
+        again = F.flatten(F.array_repeat(F.slice(words, start + 1, period), times))
+        planted = F.slice(F.concat(F.slice(words, F.lit(1), start), again), F.lit(1), n)
+        return F.when(n > 0, F.array_join(planted, " ")).otherwise("")
+
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    # A list of one, so that the words are taken out of the text once.
+    words = F.array(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1))
+    return docs.withColumn("text", F.when(h % 10 == 0, F.transform(words, repeat)[0]).otherwise(F.col("text")))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, of which one in ten is made to repeat."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_runs(plant_repeats(docs))
+    best = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r.getField("length")).alias("n"), r.getField("start"), r.getField("period")))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.getField("start"), r.getField("length"), r.getField("period")))
+    said = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    shown = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), said.alias("said"), "collapsed")
+    length = -F.col("best.n")
+    return shown.select(
+        "doc_id",
+        "n_runs",
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * length / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("said", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in every order: what each removes at each step, per source."""
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -132,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_trigram_model": op10_trigram_model,
     "op10_language_model": op10_language_model,
+    "op11_runs": op11_runs,
     "op13_filter_audit": op13_filter_audit,
 }
 
