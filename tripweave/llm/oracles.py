@@ -195,6 +195,46 @@ SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS k
 FROM steps
 """
 
+# crc32 byte by byte and bit by bit, as there is no function for it.
+_CRC = """xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, xor(c, b)),
+    4294967295::BIGINT), 4294967295)"""
+
+RUNS = f"""
+WITH given AS (SELECT doc_id, {WORDS} AS w, {_CRC} AS h FROM documents),
+ways AS (SELECT *, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM given),
+periods AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM ways),
+docs AS (
+    SELECT doc_id, CASE WHEN planted
+        THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+    FROM periods
+),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM docs),
+equal AS (
+    SELECT a.doc_id, a.i, b.i - a.i AS q FROM words a JOIN words b
+    ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i AND 2 * (b.i - a.i) <= a.n
+),
+numbered AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+stretches AS (
+    SELECT doc_id, min(i) AS start, count(*) + q AS length, q FROM numbered GROUP BY doc_id, q, island
+    HAVING count(*) >= q AND count(*) + q >= 12
+),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+said AS (
+    SELECT doc_id, count(*) AS n_runs, min((-length, start, period)) AS best,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text
+    FROM runs GROUP BY doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[2]::BIGINT AS start, (-best[1])::BIGINT AS length,
+       best[3]::BIGINT AS period, (1000 * -best[1] // best[3])::BIGINT AS exponent_milli,
+       sha256(coalesce(s.text, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN said s ON s.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -236,5 +276,6 @@ ORACLES: dict[str, str] = {
     "op8_licenses": LICENSES,
     "op10_trigram_model": TRIGRAM_MODEL,
     "op10_language_model": LANGUAGE_MODEL,
+    "op11_runs": RUNS,
     "op13_filter_audit": FILTER_AUDIT,
 }
