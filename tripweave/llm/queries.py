@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripweave.llm.contamination import find_contamination
+from tripweave.llm.edit_prints import compare_with_next
 from tripweave.llm.filter_audit import audit_filters
 from tripweave.llm.language import fit_language_filters, held_out, predict_language
 from tripweave.llm.language_model import score_documents
@@ -163,6 +164,13 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    found = compare_with_next(table(spark, sf_dir, "documents"))
+    texts = {name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(texts)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in every order: what each removes at each step, per source."""
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -181,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_trigram_model": op10_trigram_model,
     "op10_language_model": op10_language_model,
     "op11_runs": op11_runs,
+    "op12_edit_prints": op12_edit_prints,
     "op13_filter_audit": op13_filter_audit,
 }
 
