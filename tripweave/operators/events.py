@@ -113,15 +113,9 @@ def trip_statistics(trips: DataFrame, step_us: int = STEP_US) -> DataFrame:
     )
 
 
-def has_long_trips(
-    trips: DataFrame,
-    step_us: int = STEP_US,
-    pickup_us: str = "pickup_us",
-    dropoff_us: str = "dropoff_us",
-) -> bool:
-    """Whether a wrong time, most likely, makes some trip very long; reads two columns."""
-    ticks = tick_count(F.col(pickup_us), F.col(dropoff_us), step_us)
-    return (trips.agg(F.max(ticks)).first()[0] or 0) > LONG_TRIP
+def event_times(seq: Column, final: Column, step_us: int, pickup_us: str, dropoff_us: str) -> Column:
+    """Time of the event at a position in its trip; `final` is the drop-off's."""
+    return F.when(seq == final, F.col(dropoff_us)).otherwise(F.col(pickup_us) + seq * step_us)
 
 
 def expand_events(
@@ -148,7 +142,7 @@ def expand_events(
     def unfold(chunked: DataFrame) -> DataFrame:
         numbers = F.sequence(start, F.least(start + (chunk - 1), final))
         kind = F.when(seq == 0, "PICKUP").when(seq == final, "DROPOFF").otherwise("IN_TRANSIT")
-        time = F.when(seq == final, F.col(dropoff_us)).otherwise(F.col(pickup_us) + seq * step_us)
+        time = event_times(seq, final, step_us, pickup_us, dropoff_us)
         events = chunked.withColumn("event_seq", F.explode(numbers))
         return events.withColumns({"event": kind, "event_time_us": time}).drop("_final", "_chunk")
 
@@ -184,7 +178,10 @@ def with_positions(events: DataFrame) -> DataFrame:
 
 
 def in_time_order(events: DataFrame) -> DataFrame:
-    """Global event-time order; ties by trip, then by position in the trip."""
+    """Global event-time order of unfolded events; ties by trip, then by position in the trip.
+
+    Moves every event: from trips, `events_in_time_order` does not.
+    """
     return events.orderBy("event_time_us", TRIP_ID, "event_seq")
 
 

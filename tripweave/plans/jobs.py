@@ -21,6 +21,7 @@ from tripweave.functions.times import epoch_micros, period_number
 from tripweave.operators import counts, drift, events, zones
 from tripweave.operators.clean import clean
 from tripweave.operators.identify import add_trip_id
+from tripweave.operators.ordering import events_in_time_order
 from tripweave.schema import (
     CLEAN_END,
     CLEAN_START,
@@ -105,8 +106,8 @@ def expand_job(
 ) -> DataFrame:
     """Unfold the trips of a period into events; returns the events written, per kind.
 
-    `ordered` sorts all events by time, which moves every one of them; leave it
-    off for readers that go by `replay_offset_us` or by key. `report` names a
+    `ordered` puts all events in the order of time: trips go to the slices of
+    time that they have events in, and unfold there. `report` names a
     folder for the rows that each file has, that were taken from it and that
     were lost with unreadable parts of it. Both counts are of what was written.
     A trip whose times lie too far apart to count steps between is reported
@@ -118,15 +119,16 @@ def expand_job(
     long_trip = events.LONG_TRIP if seen.most_ticks > events.LONG_TRIP else None
     amounts = events.wire_amounts(spread(trips))
     located = zones.locate_trips(amounts, read_zones(spark, zone_file))
-    unfolded = events.expand_events(located, step_us, long_trip=long_trip)
+    if ordered:
+        unfolded = events_in_time_order(located, step_us)
+    else:
+        unfolded = events.expand_events(located, step_us, long_trip=long_trip)
     timeline = events.with_positions(unfolded)
     scheduled = events.replay_schedule(timeline, seen.first_event_us, speed, slice_us)
     times = [c for c in ("replay_offset_us", "replay_slice") if c in scheduled.columns]
     messages = events.event_payload(
         scheduled, keep=(TRIP_ID, "event", "event_seq", "event_time_us", *times, SOURCE_FILE)
     )
-    if ordered:
-        messages = events.in_time_order(messages)
     messages.write.mode("overwrite").option("compression", "zstd").parquet(target)
     written = spark.read.schema(messages.schema).parquet(target)
     if report:

@@ -445,6 +445,9 @@ ORACLES: dict[str, str] = {
     "event_order": f"""WITH {LEGS},{timeline("legs")}
         SELECT trip_id, event_seq, event, event_time_us FROM timeline
         ORDER BY event_time_us, trip_id, event_seq""",
+    "event_order_split": f"""WITH {LEGS},{timeline("legs")}
+        SELECT trip_id, event_seq, event, event_time_us FROM timeline
+        ORDER BY event_time_us, trip_id, event_seq""",
     "event_counts": f"""WITH {LEGS},{timeline("legs")}
         SELECT event, count(*) AS n_events FROM timeline GROUP BY 1
         UNION ALL SELECT 'sent', count(*) FROM timeline""",

@@ -13,6 +13,7 @@ from tripweave.functions.times import normalize_epoch_us, period_from_name, peri
 from tripweave.operators import clean as cl
 from tripweave.operators import counts, drift, events, zones
 from tripweave.operators.identify import add_trip_id
+from tripweave.operators.ordering import events_in_time_order
 from tripweave.plans import standins as st
 from tripweave.schema import EVENT_SCHEMA, MAX_SEQUENCE, SOURCE_FILE, SOURCE_ROW
 from tripweave.session import apply_settings, new_folder
@@ -405,7 +406,14 @@ def event_timeline_split(spark, sf_dir):
 
 
 def event_order(spark, sf_dir):
-    return events.in_time_order(event_timeline(spark, sf_dir))
+    ordered = events_in_time_order(narrow_legs(spark, sf_dir))
+    return ordered.select("trip_id", "event_seq", "event", "event_time_us")
+
+
+def event_order_split(spark, sf_dir):
+    """The same order with every slice of more than fifty events spread by time and trip."""
+    ordered = events_in_time_order(narrow_legs(spark, sf_dir), slice_events=50)
+    return ordered.select("trip_id", "event_seq", "event", "event_time_us")
 
 
 def event_counts(spark, sf_dir):
@@ -541,7 +549,7 @@ QUERIES: dict[str, Query] = {
         trip_ids, trip_ids_by_file, trip_ids_split,
         zone_file, zone_last_wins, zone_lookup_default, zone_lookup_salted, zone_medians,
         zone_medians_split, reproject,
-        typed_defaults, event_timeline, event_timeline_split, event_order, event_counts, first_event,
+        typed_defaults, event_timeline, event_timeline_split, event_order, event_order_split, event_counts, first_event,
         event_positions, replay_schedule, event_payloads, event_messages, clean_to_events,
         decode_events, dead_letters, feed_metrics, feed_history, feed_stream,
         feed_stream_metrics,
