@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tripweave.operators.identify import add_trip_id
-from tripweave.operators.numbering import number_rows_by_range, running_totals
+from tripweave.operators.numbering import number_in_buckets, running_totals
 
 PATHS = [10_000_000, 2, 0]
 
@@ -82,14 +82,16 @@ def test_ids_are_unique_and_dense_with_one_hot_day(spark):
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per_day.values())
 
 
-def test_numbering_by_range_matches_a_window_with_null_keys(spark):
+@pytest.mark.parametrize("bucket_rows", [0, 10**6])
+def test_numbering_in_buckets_matches_a_window_with_null_keys(spark, bucket_rows):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 2).alias("k"),
         (F.col("id") * 7919 % 3001).alias("v"),
     )
     window = Window.partitionBy("k").orderBy("v")
     expected = df.withColumn("n", F.row_number().over(window).cast("bigint"))
-    out = number_rows_by_range(df, ["k"], [F.col("v").asc()], "n", groups=3, partitions=5)
+    at = F.timestamp_micros("v").cast("timestamp_ntz")
+    out = number_in_buckets(df, ["k"], F.floor(F.col("v") / 100), at, ["v"], "n", bucket_rows)
     assert out.columns == expected.columns
     assert sorted(map(str, out.collect())) == sorted(map(str, expected.collect()))
 

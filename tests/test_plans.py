@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tripweave.functions.geo import LATITUDE_STEPS
 from tripweave.operators import clean, counts, events, zones
 from tripweave.plans import queries
 from tripweave.plans import standins as st
@@ -73,6 +74,16 @@ def test_statistics_take_one_narrow_pass(fixed_plans, folder):
     assert re.search(r"ReadSchema: struct<tpep_pickup\w+:timestamp_ntz,tpep_dropoff\w+:timestamp_ntz>", plan(df))
 
 
+def test_medians_project_a_point_once_a_round(fixed_plans, folder):
+    st.vertices(fixed_plans, SF_DIR).write.parquet(f"{folder}/vertices")
+    df = zones.zone_medians(fixed_plans.read.parquet(f"{folder}/vertices"), cell=1000.0)
+    text = plan(df)
+    # Latitude takes one inverse tangent at first and one a step.
+    assert 0 < text.count("ATAN(") / text.count("FileScan") <= 1 + LATITUDE_STEPS
+    assert "IsNotNull(x)" in text and "IsNotNull(y)" in text
+    assert "percentile" not in text and "median(" not in text
+
+
 def test_counting_events_does_not_unfold_them(fixed_plans, folder):
     df = events.event_counts(events.with_defaults(stored_legs(fixed_plans, folder)))
     text = plan(df)

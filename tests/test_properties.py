@@ -1,14 +1,16 @@
 """Random inputs against plain Python statements of the rules."""
 
 import json
+import statistics
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripweave.functions.times import normalize_epoch_us
+from tripweave.functions.times import from_micros, normalize_epoch_us
 from tripweave.operators import events
-from tripweave.operators.numbering import number_rows
+from tripweave.operators.medians import exact_medians
+from tripweave.operators.numbering import number_in_buckets
 from tripweave.streaming import feed
 
 few = settings(
@@ -58,11 +60,12 @@ def test_ticks(spark, durations, step):
 
 
 @few
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), min_size=1, max_size=300))
-def test_positions(spark, pairs):
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), min_size=1, max_size=300), st.sampled_from([0, 3, 10**6]))
+def test_positions(spark, pairs, bucket_rows):
     rows = [(k, v, i) for i, (k, v) in enumerate(pairs)]
-    df = spark.createDataFrame(rows, "k bigint, v bigint, i bigint")
-    out = number_rows(df, ["k"], [F.col("v").asc(), F.col("i").asc()], "n", group_rows=0)
+    df = spark.createDataFrame(rows, "k bigint, v bigint, i bigint").withColumn("at", from_micros(F.col("v")))
+    coarse = F.floor(F.col("v") / 2)
+    out = number_in_buckets(df, ["k"], coarse, F.col("at"), ["i"], "n", bucket_rows).drop("at")
     expected = []
     for key in {k for k, _, _ in rows}:
         group = sorted((v, i) for k, v, i in rows if k == key)
@@ -70,6 +73,27 @@ def test_positions(spark, pairs):
     assert sorted(map(tuple, out.collect())) == sorted(expected)
 
 
+floats = st.one_of(st.none(), st.floats(-1e3, 1e3), st.sampled_from([0.0, -0.0, 1.5, 1e308, -1e308]), st.floats(0, 1e-9))
+
+
+@few
+@given(
+    st.lists(st.tuples(st.sampled_from([None, 1, 2]), floats, floats), max_size=80),
+    st.sampled_from([(1 / 1024, 65536), (1e6, 4), (1e9, 2)]),
+    st.booleans(),
+)
+def test_medians(spark, rows, sizes, small):
+    df = spark.createDataFrame(rows, "k bigint, a double, b double")
+    got = exact_medians(df, ["k"], {"a": "mid_a", "b": "mid_b"}, small, *sizes).collect()
+    groups = {}
+    for k, *values in rows:
+        for i, value in enumerate(values):
+            if value is not None:
+                groups.setdefault(k, ([], []))[i].append(value)
+    expected = {k: tuple(statistics.median(own) if own else None for own in lists) for k, lists in groups.items()}
+    assert {r.k: (r.mid_a, r.mid_b) for r in got} == expected and len(got) == len(expected)
+
+
 numbers = st.one_of(
     st.none(), st.integers(-(10**12), 10**12), st.floats(-1e6, 1e6).map(lambda x: round(x, 3))
 )

@@ -68,20 +68,20 @@ def lon_lat(spark, points):
     return [tuple(r) for r in df.select(*lcc_inverse(F.col("x"), F.col("y"))).collect()]
 
 
-@pytest.mark.parametrize("group_rows", [1_000_000, 0])
-def test_medians_per_outline(spark, group_rows):
+@pytest.mark.parametrize("sizes", [{}, {"cell": 1000.0, "parts": 2}])
+def test_medians_per_outline(spark, sizes):
     odd = [(990000.0, 180000.0), (991000.0, 190000.0), (999000.0, 185000.0)]
     even = [(980000.0, 100.0), (981000.0, 900.0), (981000.0, 500.0), (989000.0, 300.0)]
     rows = [(0, "7", x, y) for x, y in odd] + [(1, "7", x, y) for x, y in even]
     rows += [(2, "", 1.0, 1.0), (3, "abc", 1.0, 1.0), (4, None, 1.0, 1.0)]
     rows += [(5, "264", 985000.0, 1.0), (6, "3", 985000.0, 1.0)]
-    out = zones.zone_medians(outline(spark, rows), group_rows=group_rows).collect()
+    out = zones.zone_medians(outline(spark, rows), **sizes).collect()
     assert [(r.LocationID, r.shape_seq) for r in out] == [(3, 6), (7, 0), (7, 1)]
     for row, points in zip(out[1:], (odd, even), strict=True):
         lons, lats = zip(*lon_lat(spark, points), strict=True)
         assert row.longitude == pytest.approx(statistics.median(lons), abs=1e-13)
         assert row.latitude == pytest.approx(statistics.median(lats), abs=1e-13)
-    known = zones.zone_medians(outline(spark, rows), include_unknown=True, group_rows=group_rows)
+    known = zones.zone_medians(outline(spark, rows), include_unknown=True, **sizes)
     assert [r.LocationID for r in known.collect()] == [3, 7, 7, 264]
 
 

@@ -4,75 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import and_
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.session import store
-
-# A group up to this size is sorted by one task.
-GROUP_ROWS = 5_000_000
-
 # Rows a task should get when a large input is shuffled for numbering.
 TASK_ROWS = 2_000_000
 
 # Group pieces up to this number, about 100 bytes each, are copied to every executor.
 BROADCAST_PIECES = 500_000
 
-# Bits below the partition number in monotonically_increasing_id().
-LOCAL_BITS = 33
-
 # Rows that share one task while summing up.
 BLOCK = 10_000
 
 
-class GroupSizes(NamedTuple):
-    largest: int
-    total: int
-    groups: int
-
-
-def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
-    """Rows of the biggest group, rows in all and groups, counted before any row is moved."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("rows"))
-    row = sizes.agg(F.max("rows"), F.sum("rows"), F.count("*")).first()
-    return GroupSizes(row[0] or 0, row[1] or 0, row[2])
-
-
 def partitions_for(rows: int, at_least: int) -> int:
     """How many partitions a shuffle of `rows` rows needs."""
     return max(-(-rows // TASK_ROWS), at_least)
 
 
-def number_rows(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    name: str,
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Add the 1-based position of each row in its group as `name`.
-
-    Counts the groups first. One shuffle and a window while every group fits a
-    task. If one does not, all rows are spread by range over keys and order
-    together, so that a large group falls into many partitions, and local
-    positions are shifted by what precedes. `order` should be total: rows equal
-    in all of it can only be kept together.
-    """
-    sizes = group_sizes(df, keys)
-    spark = df.sparkSession
-    if sizes.largest > group_rows:
-        partitions = partitions_for(sizes.total, spark.sparkContext.defaultParallelism)
-        return number_rows_by_range(df, keys, order, name, sizes.groups, partitions)
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    enough = partitions_for(sizes.total, usual)
-    if enough > usual and keys:
-        df = df.repartition(enough, *keys)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-
 def number_in_buckets(
     df: DataFrame,
     keys: list[str],
@@ -143,49 +93,6 @@ def join_pieces(rows: DataFrame, pieces: DataFrame, on: list[str], mark: str | N
     return joined.drop(*[f"_of_{column}" for column in on])
 
 
-def number_rows_by_range(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    name: str,
-    groups: int,
-    partitions: int,
-) -> DataFrame:
-    """Number rows that are spread by range; `groups` says how many groups there are."""
-    full_order = [F.col(k).asc_nulls_last() for k in keys] + order
-    placed = store(
-        df.repartitionByRange(partitions, *full_order)
-        .sortWithinPartitions(*full_order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_at", LOCAL_BITS)),
-        "numbered",
-    )
-    # One row per group and partition, so at most groups + partitions rows.
-    pieces = placed.groupBy(*keys, "_part").agg(
-        F.min("_at").alias("_first"), F.count("*").alias("_rows")
-    )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    pieces = pieces.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.col("_part").alias("_key_part"),
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
-    if groups + partitions <= BROADCAST_PIECES:
-        pieces = F.broadcast(pieces)
-    match = placed["_part"] == pieces["_key_part"]
-    for key in keys:
-        match = match & placed[key].eqNullSafe(pieces[f"_key_{key}"])
-    return (
-        placed.join(pieces, match)
-        .withColumn(name, F.col("_at") + F.col("_shift"))
-        .select(*df.columns, name)
-    )
-
-
 def running_totals(
     df: DataFrame, order: str, columns: dict[str, str], block: int = BLOCK
 ) -> DataFrame:

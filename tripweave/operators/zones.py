@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.geo import lcc_inverse
-from tripweave.operators.joins import BROADCAST_ROWS, KEY_ROWS, is_small, lookup
-from tripweave.operators.numbering import group_sizes, number_rows
+from tripweave.operators.joins import KEY_ROWS, is_small, lookup
+from tripweave.operators.medians import exact_medians
 from tripweave.schema import (
     DEFAULT_LATITUDE,
     DEFAULT_LONGITUDE,
@@ -22,9 +19,6 @@ from tripweave.schema import (
 
 LOCATION_NAMES = ["locationid", "location_id", "loc_id"]
 
-# An exact median keeps the distinct values of a group in memory up to this many points.
-MEDIAN_ROWS = 1_000_000
-
 
 def find_location_column(df: DataFrame) -> str:
     for name in df.columns:
@@ -41,66 +35,42 @@ def zone_points(
     Unusable ids are left out, and so are vertices that lack a coordinate. A null
     `shape_seq` is an outline like any other.
     """
-    location = F.col(find_location_column(vertices)).try_cast("bigint")
+    named = usable_vertices(vertices, include_unknown, sentinels)
     lon, lat = lcc_inverse(F.col("x"), F.col("y"))
-    named = vertices.withColumn("LocationID", location).where(F.col("LocationID").isNotNull())
+    return named.select("shape_seq", "LocationID", lon.alias("lon"), lat.alias("lat"))
+
+
+def usable_vertices(vertices: DataFrame, include_unknown: bool, sentinels: list[int]) -> DataFrame:
+    """Vertices with both coordinates and a usable id; told before anything is computed of them."""
+    location = F.col(find_location_column(vertices)).try_cast("bigint")
+    given = vertices.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    named = given.withColumn("LocationID", location).where(F.col("LocationID").isNotNull())
     if not include_unknown:
         named = named.where(~F.col("LocationID").isin(sentinels))
-    points = named.select("shape_seq", "LocationID", lon.alias("lon"), lat.alias("lat"))
-    return points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    return named
 
 
 def zone_medians(
     vertices: DataFrame,
     include_unknown: bool = False,
     sentinels: list[int] = SENTINEL_ZONES,
-    group_rows: int = MEDIAN_ROWS,
+    **options: float,
 ) -> DataFrame:
     """Exact median longitude and latitude of each outline, ordered by zone id.
 
-    One row per outline, not per id: an id may own several outlines.
+    One row per outline, not per id: an id may own several outlines. `options`
+    are the cell sizes of `exact_medians`.
     """
-    points = zone_points(vertices, include_unknown, sentinels)
     keys = ["shape_seq", "LocationID"]
-    sizes = group_sizes(points, keys)
-    if sizes.largest <= group_rows:
-        medians = points.groupBy(*keys).agg(
-            F.median("lon").alias("longitude"), F.median("lat").alias("latitude")
-        )
-    else:
-        few = sizes.groups <= BROADCAST_ROWS
-        lon = middle_value(points, keys, "lon", "longitude", group_rows, few)
-        lat = middle_value(points, keys, "lat", "latitude", group_rows, few)
-        medians = join_groups(lon, lat, keys)
+    outlines = usable_vertices(vertices, include_unknown, sentinels).select(*keys).distinct()
+    points = zone_points(vertices, include_unknown, sentinels)
+    names = {"lon": "longitude", "lat": "latitude"}
+    medians = exact_medians(points, keys, names, is_small(outlines), **options)
     return medians.orderBy("LocationID", "shape_seq").select(
         "LocationID", "longitude", "latitude", "shape_seq"
     )
 
 
-def middle_value(
-    df: DataFrame, keys: list[str], value: str, name: str, group_rows: int, few_groups: bool
-) -> DataFrame:
-    """The median by position: the middle row, or the mean of the two middle rows."""
-    # A running number tells equal values apart, so that many of them can be split up.
-    values = df.select(*keys, value).withColumn("_tie", F.monotonically_increasing_id())
-    order = [F.col(value).asc(), F.col("_tie").asc()]
-    numbered = number_rows(values, keys, order, "_seq", group_rows)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    if few_groups:
-        sizes = F.broadcast(sizes)
-    low = F.expr("(_rows + 1) div 2")
-    high = F.expr("_rows div 2 + 1")
-    middle = join_groups(numbered, sizes, keys).where(F.col("_seq").between(low, high))
-    return middle.groupBy(*keys).agg(F.avg(value).alias(name))
-
-
-def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join in which a null key equals a null key."""
-    other = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
-    match = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys))
-    return left.join(other, match).drop(*[f"_right_{key}" for key in keys])
-
-
 def last_per_zone(zones: DataFrame, order: list[str]) -> DataFrame:
     """The last row of each zone id along `order`, found by a combining aggregate."""
     columns = [c for c in zones.columns if c != "LocationID" and c not in order]

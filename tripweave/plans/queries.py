@@ -298,8 +298,12 @@ def zone_medians(spark, sf_dir):
     return rounded_medians(spark, sf_dir)
 
 
+# Cells so wide that the counts of the first round settle no median.
+WIDE_CELLS = {"cell": 1000.0, "parts": 4}
+
+
 def zone_medians_split(spark, sf_dir):
-    return rounded_medians(spark, sf_dir, group_rows=ALWAYS_SPLIT)
+    return rounded_medians(spark, sf_dir, **WIDE_CELLS)
 
 
 def zone_medians_nulls(spark, sf_dir, **options):
@@ -322,7 +326,7 @@ def zone_medians_nulls(spark, sf_dir, **options):
 
 
 def zone_medians_nulls_split(spark, sf_dir):
-    return zone_medians_nulls(spark, sf_dir, group_rows=ALWAYS_SPLIT)
+    return zone_medians_nulls(spark, sf_dir, **WIDE_CELLS)
 
 
 def vertices_csv(spark, sf_dir):
