@@ -106,8 +106,14 @@ def test_unreadable_file(spark, raw):
 
 
 def test_whole_pipeline(spark, raw, folder):
-    status = {r.status: r.n_files for r in jobs.clean_job(spark, raw, f"{folder}/clean").collect()}
+    result = jobs.clean_job(spark, raw, f"{folder}/clean", report=f"{folder}/clean-report").collect()
+    status = {r.status: r.n_files for r in result}
     assert status == {"processed": 4, "skipped_empty": 1, "skipped_out_of_range": 3}
+    assert {r.status: (r.rows_in, r.rows_kept) for r in result} == {
+        "processed": (11, 6), "skipped_empty": (None, None), "skipped_out_of_range": (None, None)}
+    report = spark.read.option("header", True).csv(f"{folder}/clean-report").collect()
+    assert {r.path[-15:-8]: (r.rows_in, r.rows_kept) for r in report} == {
+        "2011-05": ("6", "3"), "2019-02": ("3", "1"), "2023-03": ("1", "1"), "2025-01": ("1", "1")}
 
     cleaned = spark.read.parquet(f"{folder}/clean")
     assert [f.name for f in TRIP_SCHEMA.fields] == cleaned.columns[:19]
@@ -189,6 +195,33 @@ def test_expand_counts_what_it_wrote(spark, folder):
     assert (broken.n_rows, broken.n_ingested) == (None, "0")
 
 
+@pytest.mark.parametrize("ordered", [False, True])
+def test_a_bad_row_group_takes_no_other_with_it(spark, folder, ordered):
+    """Of five row groups the second and fourth are broken; another file is sound."""
+    n, groups = 5_000, 5
+    times = pa.array([1_580_702_706_000_000 + i for i in range(n * groups)], pa.timestamp("us"))
+    columns = {PICKUP: times, DROPOFF: times, "PULocationID": longs(*[4] * n * groups), "DOLocationID": longs(*[5] * n * groups),
+               "trip_id": longs(*range(n * groups)), "total_amount": pa.array([i * 1.1 for i in range(n * groups)])}
+    path = f"{folder}/ids/trips_2020-02.parquet"
+    os.makedirs(f"{folder}/ids")
+    pq.write_table(pa.table(columns), path, row_group_size=n, compression="zstd", use_dictionary=False)
+    with open(path, "r+b") as handle:
+        for group in (1, 3):
+            chunk = pq.ParquetFile(path).metadata.row_group(group).column(5)
+            handle.seek(chunk.data_page_offset)
+            handle.write(b"\xff" * 200)
+    put(f"{folder}/ids", "trips_2020-03.parquet", {name: column[:7] for name, column in columns.items()})
+    footers = jobs.identified_footers(spark, f"{folder}/ids", (2020, 1), (2024, 4))
+    assert jobs.read_identified(footers).where("trip_id >= 7 and total_amount >= 0").count() <= n
+    counted = jobs.expand_job(spark, f"{folder}/ids", write_zones(folder), f"{folder}/events", ordered=ordered, report=f"{folder}/report")
+    assert {r.event: r.n_events for r in counted.collect()} == {
+        "PICKUP": 3 * n + 7, "IN_TRANSIT": 0, "DROPOFF": 3 * n + 7, "sent": 6 * n + 14}
+    trips = sorted(r.trip_id for r in spark.read.parquet(f"{folder}/events").where("event = 'PICKUP'").select("trip_id").collect())
+    assert trips == sorted([*range(7), *range(n), *range(2 * n, 3 * n), *range(4 * n, 5 * n)])
+    report = spark.read.option("header", True).csv(f"{folder}/report").orderBy("path").collect()
+    assert [(r.n_ingested, r.n_lost) for r in report] == [(str(3 * n), str(2 * n)), ("7", "0")]
+
+
 def test_expand_reports_times_it_cannot_count(spark, folder):
     put(f"{folder}/ids", "trips_2020-02.parquet", {
         PICKUP: longs(-9_000_000_000_000_000_000), DROPOFF: longs(9_000_000_000_000_000_000),
@@ -196,8 +229,8 @@ def test_expand_reports_times_it_cannot_count(spark, folder):
     trips = spark.createDataFrame([(-(2**62), 2**62), (0, 31_000_000)], "pickup_us long, dropoff_us long")
     seen = jobs.events.trip_statistics(trips).first()
     assert (seen.most_ticks, seen.first_event_us, seen.n_uncountable) == (1, -(2**62), 1)
-    rows = {r.event: r.n_events for r in jobs.written_counts(
-        spark.createDataFrame([("PICKUP",), ("DROPOFF",)], "event string"), 1).collect()}
+    counted = {"PICKUP": 1, "IN_TRANSIT": 0, "DROPOFF": 1, "sent": 2}
+    rows = {r.event: r.n_events for r in jobs.written_counts(spark, counted, 1).collect()}
     assert rows == {"PICKUP": 1, "IN_TRANSIT": 0, "DROPOFF": 1, "sent": 2, "UNCOUNTABLE": 1}
 
 
@@ -219,7 +252,8 @@ def test_identify_takes_files_as_they_come(spark, folder):
 def test_clean_with_nothing_in_the_period(spark, folder):
     put(f"{folder}/raw", "trips_2009-01.parquet", {"a": [1]})
     status = jobs.clean_job(spark, f"{folder}/raw", f"{folder}/clean").collect()
-    assert [tuple(r) for r in status] == [("skipped_out_of_range", 1)]
+    assert [(r.status, r.n_files) for r in status] == [("skipped_out_of_range", 1)]
+    assert (status[0].rows_in, status[0].rows_kept) == (None, None)
 
 
 def test_files_as_spark_writes_them(spark, folder):

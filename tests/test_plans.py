@@ -1,5 +1,6 @@
 """The shape of physical plans: what is read, what is shuffled, what gets compiled."""
 
+import os
 import re
 
 import pytest
@@ -9,6 +10,9 @@ from tripweave.functions.geo import LATITUDE_STEPS
 from tripweave.operators import clean, counts, events, zones
 from tripweave.plans import queries
 from tripweave.plans import standins as st
+from tripweave.schema import PICKUP
+from tripweave.sources.files import list_files, read_footers
+from tripweave.sources.trips import read_trips
 from tripweave.streaming import feed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -60,6 +64,22 @@ def test_cleaning_does_not_shuffle_and_filters_at_the_scan(fixed_plans, folder):
     assert "IsNotNull(tpep_dropoff_datetime)" in plan(df)
 
 
+def test_a_months_files_are_filtered_by_a_range_of_times(fixed_plans, folder):
+    rows = stored_legs(fixed_plans, folder).withColumnRenamed("tpep_pickup_datetime", PICKUP)
+    for name in ("trips_2020-01.parquet", "trips_2020-12.parquet", "other.parquet"):
+        rows.coalesce(1).write.parquet(f"{folder}/raw/{name}")
+        (part,) = [f for f in os.listdir(f"{folder}/raw/{name}") if f.endswith(".parquet")]
+        os.rename(f"{folder}/raw/{name}/{part}", f"{folder}/raw/x-{name}")
+    footers = read_footers(list_files(fixed_plans, f"{folder}/raw"))
+    fixed_plans.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    text = plan(clean.clean(read_trips(footers, pickup=PICKUP)))
+    fixed_plans.conf.unset("spark.sql.maxMetadataStringLength")
+    assert text.count("FileScan") == 3 and "regexp" not in text and "RLIKE" not in text
+    for low, high in (("2020-01-01T00:00", "2020-02-01T00:00"), ("2020-12-01T00:00", "2021-01-01T00:00")):
+        pushed = [line for line in text.split("\n") if f"GreaterThanOrEqual({PICKUP},{low})" in line]
+        assert len(pushed) == 1 and f"LessThan({PICKUP},{high})" in pushed[0].partition("PushedFilters: ")[2]
+
+
 def test_events_are_built_without_a_shuffle(fixed_plans, folder):
     trips = events.wire_amounts(events.with_defaults(stored_legs(fixed_plans, folder)))
     located = zones.locate_trips(trips, st.nation_zones(fixed_plans, SF_DIR))

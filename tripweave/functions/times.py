@@ -83,6 +83,14 @@ def period_number(name: Column) -> Column:
     return F.replace(found, F.lit("-"), F.lit("")).try_cast("int")
 
 
+def in_period(ts: Column, period: int) -> Column:
+    """The wall-clock time falls into the month yyyymm; a range of literals, which scans can use."""
+    year, month = divmod(period, 100)
+    after = (year + month // 12, month % 12 + 1)
+    low, high = (F.expr(f"timestamp_ntz'{y:04d}-{m:02d}-01 00:00:00'") for y, m in ((year, month), after))
+    return (ts >= low) & (ts < high)
+
+
 def period_label(name: Column) -> Column:
     """`YYYY-MM`, or the name without its ending."""
     found = F.regexp_extract(name, PERIOD_PATTERN, 0)

@@ -118,6 +118,18 @@ def event_times(seq: Column, final: Column, step_us: int, pickup_us: str, dropof
     return F.when(seq == final, F.col(dropoff_us)).otherwise(F.col(pickup_us) + seq * step_us)
 
 
+def read_statistics(trips: DataFrame, source: str, step_us: int = STEP_US) -> DataFrame:
+    """A row per source: path, n_read and what `trip_statistics` has; reads every column of `trips`."""
+    pickup_us, dropoff_us = F.col("pickup_us"), F.col("dropoff_us")
+    return trips.groupBy(F.col(source).alias("path")).agg(
+        F.count("*").alias("n_read"),
+        F.max(tick_count(pickup_us, dropoff_us, step_us)).alias("most_ticks"),
+        F.min(F.least(pickup_us, dropoff_us)).alias("first_event_us"),
+        F.count_if(uncountable(pickup_us, dropoff_us)).alias("n_uncountable"),
+        F.bit_xor(F.xxhash64(*[name for name in trips.columns if name != source])).alias("seen"),
+    )
+
+
 def expand_events(
     trips: DataFrame,
     step_us: int = STEP_US,

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripweave.functions.times import epoch_micros, period_number
+from tripweave.functions.times import epoch_micros
 from tripweave.operators import counts, drift, events, zones
 from tripweave.operators.clean import clean
 from tripweave.operators.identify import add_trip_id
@@ -44,6 +44,7 @@ EXPAND_NEEDS = [PICKUP, DROPOFF, TRIP_ID]
 EXPAND_START = (2020, 1)
 EXPAND_END = (2024, 4)
 PLAYBACK_SPEED = 100.0
+KINDS = ("PICKUP", "IN_TRANSIT", "DROPOFF")
 
 # Rows of a job's result that are printed; the rest is counted, and in what the job wrote.
 SHOWN_ROWS = 200
@@ -55,19 +56,38 @@ def clean_job(
     target: str,
     start: tuple[int, int] = CLEAN_START,
     end: tuple[int, int] = CLEAN_END,
+    report: str | None = None,
 ) -> DataFrame:
-    """Conform and filter the monthly files of a period; returns files per status.
+    """Conform and filter the monthly files of a period.
 
-    With no file in the period nothing is written.
+    Returns files per status: status, n_files and, of those processed, rows_in
+    and rows_kept. Rows in are what the footers say; rows kept are counted as
+    they are written. `report` names a folder for the same per file, for which
+    what was written is read once more. With no file in the period nothing is
+    written.
     """
     files = fl.with_status(fl.list_files(spark, source), start, end)
     footers = store(fl.read_footers(files.where(F.col("status") == "processed")), "footers")
-    if footers.isEmpty():
-        return fl.status_counts(files)
-    trips = read_trips(footers)
-    name = F.substring_index(SOURCE_FILE, "/", -1)
-    write_by_month(clean(trips, period=period_number(name)), target)
-    return fl.status_counts(files)
+    per_file = footers.groupBy("path").agg(F.max("n_rows").alias("rows_in"))
+    rows_in = per_file.agg(F.sum("rows_in")).first()[0]
+    rows_kept = None
+    if rows_in is not None:
+        written = Observation()
+        kept = clean(read_trips(footers, pickup=PICKUP))
+        write_by_month(kept.observe(written, F.count("*").alias("rows_kept")), target)
+        rows_kept = written.get["rows_kept"]
+        if report:
+            stored = spark.read.parquet(target).groupBy(F.col(SOURCE_FILE).alias("path"))
+            stored = stored.agg(F.count("*").alias("rows_kept")).withColumn("path", fl.listed_path(F.col("path")))
+            counted = per_file.join(stored, "path", "left")
+            write_csv(counted.select("path", "rows_in", F.coalesce("rows_kept", F.lit(0)).alias("rows_kept")).orderBy("path"), report)
+    taken = F.col("status") == "processed"
+    return fl.status_counts(files).withColumns(
+        {
+            "rows_in": F.when(taken, F.lit(rows_in).cast("bigint")),
+            "rows_kept": F.when(taken, F.lit(rows_kept).cast("bigint")),
+        }
+    )
 
 
 def identify_job(spark: SparkSession, source: str, target: str) -> None:
@@ -109,13 +129,14 @@ def expand_job(
     `ordered` puts all events in the order of time: trips go to the slices of
     time that they have events in, and unfold there. `report` names a
     folder for the rows that each file has, that were taken from it and that
-    were lost with unreadable parts of it. Both counts are of what was written.
+    were lost with unreadable parts of it. Events are counted as they are
+    written; for `report`, what was written is read once more. Of a file that
+    cannot be decoded in parts, the row groups that can be are taken.
     A trip whose times lie too far apart to count steps between is reported
     as UNCOUNTABLE; it has no events on the way.
     """
     footers = identified_footers(spark, source, start, end)
-    trips = read_identified(footers)
-    seen = events.trip_statistics(trips, step_us).first()
+    trips, seen = read_whole_groups(footers, step_us)
     long_trip = events.LONG_TRIP if seen.most_ticks > events.LONG_TRIP else None
     amounts = events.wire_amounts(spread(trips))
     located = zones.locate_trips(amounts, read_zones(spark, zone_file))
@@ -129,59 +150,86 @@ def expand_job(
     messages = events.event_payload(
         scheduled, keep=(TRIP_ID, "event", "event_seq", "event_time_us", *times, SOURCE_FILE)
     )
-    messages.write.mode("overwrite").option("compression", "zstd").parquet(target)
-    written = spark.read.schema(messages.schema).parquet(target)
+    counted = Observation()
+    kinds = [F.count_if(F.col("event") == kind).alias(kind) for kind in KINDS]
+    observed = messages.observe(counted, F.count("*").alias("sent"), *kinds)
+    observed.write.mode("overwrite").option("compression", "zstd").parquet(target)
     if report:
+        written = spark.read.schema(messages.schema).parquet(target)
         write_csv(fl.ingested_rows(footers, EXPAND_NEEDS, taken_rows(written)).orderBy("path"), report)
-    return written_counts(written, seen.n_uncountable)
+    return written_counts(spark, counted.get, seen.n_uncountable)
+
+
+def read_whole_groups(footers: DataFrame, step_us: int = STEP_US) -> tuple[DataFrame, Row]:
+    """Typed trips of all row groups that can be decoded, and their `trip_statistics`.
+
+    One pass over the wanted columns says of which files rows are missing. These
+    are read in splits no larger than their smallest row group, so that a bad
+    one takes no other with it.
+    """
+
+    def read(split_bytes: int | None = None, paths: DataFrame | None = None, but: DataFrame | None = None) -> DataFrame:
+        own = footers if paths is None else footers.join(paths, "path", "left_semi")
+        own = own if but is None else own.join(but, "path", "left_anti")
+        return read_identified(own, split_bytes)
+
+    trips = read()
+
+    def counted(rows: DataFrame) -> DataFrame:
+        found = events.read_statistics(rows, SOURCE_FILE, step_us)
+        return found.withColumn("path", fl.listed_path(F.col("path")))
+
+    per_file = store(counted(trips), "read-files")
+    usable = footers.join(fl.missing_columns(footers, EXPAND_NEEDS), "path", "left_anti")
+    short = store(fl.short_files(usable, per_file), "short-files")
+    few = short.agg(F.count("*").alias("n"), F.min("group_bytes").alias("bytes")).first()
+    if few.n:
+        again = read(few.bytes, paths=short)
+        rest = store(usable.join(short, "path", "left_anti"), "whole-files")
+        trips = again if rest.isEmpty() else read(but=short).unionByName(again)
+        sound = per_file.join(short, "path", "left_anti")
+        per_file = sound.unionByName(counted(again))
+    seen = per_file.agg(
+        F.coalesce(F.max("most_ticks"), F.lit(0)).alias("most_ticks"),
+        F.min("first_event_us").alias("first_event_us"),
+        F.coalesce(F.sum("n_uncountable"), F.lit(0)).alias("n_uncountable"),
+    )
+    return trips, seen.first()
 
 
 def taken_rows(written: DataFrame) -> DataFrame:
     """Trips per source file among written events: path, n_taken."""
     trips = written.where(F.col("event") == "PICKUP")
-    return trips.groupBy(F.col(SOURCE_FILE).alias("path")).agg(F.count("*").alias("n_taken"))
+    counted = trips.groupBy(F.col(SOURCE_FILE).alias("path")).agg(F.count("*").alias("n_taken"))
+    return counted.withColumn("path", fl.listed_path(F.col("path")))
 
 
-def written_counts(written: DataFrame, n_uncountable: int = 0) -> DataFrame:
+def written_counts(spark: SparkSession, counted: dict[str, int], n_uncountable: int = 0) -> DataFrame:
     """Written events of each kind and, as `sent`, of all kinds; and trips that couldn't be counted."""
-    kinds = ("PICKUP", "IN_TRANSIT", "DROPOFF")
-    counted = written.agg(
-        *[F.count_if(F.col("event") == kind).alias(kind) for kind in kinds], F.count("*").alias("sent")
-    )
-    rows = [F.struct(F.lit(name).alias("event"), F.col(name).alias("n_events")) for name in (*kinds, "sent")]
+    rows = [(kind, counted[kind]) for kind in (*KINDS, "sent")]
     if n_uncountable:
-        lost = F.lit(n_uncountable).cast("bigint")
-        rows.append(F.struct(F.lit("UNCOUNTABLE").alias("event"), lost.alias("n_events")))
-    return counted.select(F.inline(F.array(*rows)))
+        rows.append(("UNCOUNTABLE", n_uncountable))
+    return spark.createDataFrame(rows, "event string, n_events bigint")
 
 
 def identified_footers(
     spark: SparkSession, source: str, start: tuple[int, int], end: tuple[int, int]
 ) -> DataFrame:
     """Footers of the files of a period, in `year=`/`month=` folders or labelled by name."""
-    files = fl.list_files(spark, source)
-    folder_year = F.regexp_extract("path", r"/year=(\d+)/month=\d+/", 1).try_cast("int")
-    folder_month = F.regexp_extract("path", r"/year=\d+/month=(\d+)/", 1).try_cast("int")
-    files = files.withColumns(
-        {
-            "year": F.coalesce(folder_year, "year"),
-            "month": F.coalesce(folder_month, "month"),
-        }
-    )
+    files = fl.with_folder_period(fl.list_files(spark, source))
     within = fl.in_period_range(files, start, end)
     return store(fl.read_footers(within, skip_unreadable=True), "footers")
 
 
-def read_identified(footers: DataFrame) -> DataFrame:
+def read_identified(footers: DataFrame, split_bytes: int | None = None) -> DataFrame:
     """Typed trips; files that lack an id or a time, or cannot be read, are left out."""
     usable = footers.join(fl.missing_columns(footers, EXPAND_NEEDS), "path", "left_anti")
     columns = [f.name for f in TRIP_SCHEMA.fields] + [TRIP_ID]
 
-
     def typed(raw: DataFrame) -> DataFrame:
         return events.with_defaults(raw, keep=(SOURCE_FILE,))
 
-    return read_files(usable, columns, typed, skip_unreadable=True)
+    return read_files(usable, columns, typed, skip_unreadable=True, split_bytes=split_bytes)
 
 
 def check_times_job(
@@ -289,6 +337,7 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     sub = job("clean", "source", "target")
     sub.add_argument("--start", type=year_month, default=CLEAN_START)
     sub.add_argument("--end", type=year_month, default=CLEAN_END)
+    sub.add_argument("--report")
     job("identify", "source", "target")
     job("locate", "source", "target").add_argument("--include-unknown", action="store_true")
     sub = job("expand", "source", "zone_file", "target")

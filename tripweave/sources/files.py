@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.functions.times import month_index, period_from_name, period_label
 
-FOOTER_SCHEMA = "path string, n_rows bigint, pos int, column string, type string, physical string"
+FOOTER_SCHEMA = (
+    "path string, n_rows bigint, group_bytes bigint, pos int, column string, type string, physical string"
+)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -39,6 +41,11 @@ def plain_path(uri: str) -> str:
     return f"{scheme}:/{rest}" if rest else uri
 
 
+def listed_path(scanned: Column) -> Column:
+    """The listed path of a file that a scan names in encoded form."""
+    return F.url_decode(F.replace(scanned, F.lit("+"), F.lit("%2B")))
+
+
 def with_period(files: DataFrame) -> DataFrame:
     """Add the file name, its label and its (year, month)."""
     year, month = period_from_name(F.col("name"))
@@ -76,6 +83,7 @@ def status_counts(files: DataFrame) -> DataFrame:
 def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
     """One row per file and column, with the file's row count, from footers alone.
 
+    `group_bytes` is the stored size of the smallest row group, null without any;
     `type` is the type the file was written with, `physical` how it is stored
     (null for a nested column). A file without columns yields one row with a
     null column, and one whose footer cannot be decoded, if those are to be
@@ -94,6 +102,11 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
 
         systems = {}
 
+        def smallest_group(metadata):
+            groups = [metadata.row_group(i) for i in range(metadata.num_row_groups)]
+            sizes = [sum(g.column(j).total_compressed_size for j in range(g.num_columns)) for g in groups]
+            return min(sizes, default=None)
+
         def open_file(path):
             if path.startswith("file:/"):
                 path = "/" + path[len("file:/") :].lstrip("/")
@@ -119,27 +132,47 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
                     with open_file(path) as handle:
                         parquet = pq.ParquetFile(handle)
                         n_rows, schema = parquet.metadata.num_rows, parquet.schema_arrow
+                        group_bytes = smallest_group(parquet.metadata)
                         leaves = [parquet.schema.column(i) for i in range(len(parquet.schema))]
                         stored = {leaf.path: leaf.physical_type for leaf in leaves}
                 except (pa.ArrowException, OSError) as error:
                     gone = isinstance(error, (FileNotFoundError, PermissionError))
                     if gone or not skip_unreadable:
                         raise
-                    n_rows, schema, stored = None, [], {}
+                    n_rows, group_bytes, schema, stored = None, None, [], {}
                 if len(schema) == 0:
-                    rows.append((path, n_rows, None, None, None, None))
+                    rows.append((path, n_rows, group_bytes, None, None, None, None))
                 for pos, field in enumerate(schema):
                     kind = stored.get(field.name)
-                    rows.append((path, n_rows, pos, field.name, str(field.type), kind))
-            names = ["path", "n_rows", "pos", "column", "type", "physical"]
+                    rows.append((path, n_rows, group_bytes, pos, field.name, str(field.type), kind))
+            names = ["path", "n_rows", "group_bytes", "pos", "column", "type", "physical"]
             frame = pd.DataFrame(rows, columns=names)
-            yield frame.astype({"n_rows": "Int64", "pos": "Int32"})
+            yield frame.astype({"n_rows": "Int64", "group_bytes": "Int64", "pos": "Int32"})
 
     slots = files.sparkSession.sparkContext.defaultParallelism
     spread_out = files.where(F.col("length") > 0).select("path").repartition(slots, "path")
     return spread_out.mapInPandas(footers, FOOTER_SCHEMA)
 
 
+def with_folder_period(files: DataFrame) -> DataFrame:
+    """Files in `year=`/`month=` folders take those as their period instead of one in their name."""
+    folders = r"/year=(\d+)/month=(\d+)/"
+    of_folder = [F.regexp_extract("path", folders, i).try_cast("int") for i in (1, 2)]
+    return files.withColumns({"year": F.coalesce(of_folder[0], "year"), "month": F.coalesce(of_folder[1], "month")})
+
+
+def short_files(footers: DataFrame, read: DataFrame) -> DataFrame:
+    """Files of which fewer rows could be read than their footers say, with their smallest row group.
+
+    `read` has path and n_read.
+    """
+    files = footers.where(F.col("n_rows") > 0).groupBy("path").agg(
+        F.max("n_rows").alias("n_rows"), F.max("group_bytes").alias("group_bytes")
+    )
+    counted = files.join(read, "path", "left")
+    return counted.where(F.coalesce("n_read", F.lit(0)) < F.col("n_rows")).select("path", "group_bytes")
+
+
 def file_schemas(footers: DataFrame) -> DataFrame:
     """(path, label, pos, column, type) of every column of every file."""
     name = F.substring_index("path", "/", -1)

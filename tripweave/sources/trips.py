@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.functions.times import from_micros, period_from_name, whole_div
+from tripweave.functions.times import from_micros, in_period, period_from_name, period_number, whole_div
 from tripweave.operators.clean import conform
 from tripweave.schema import PICKUP, SOURCE_FILE, SOURCE_ROW, TRIP_ALIASES, TRIP_SCHEMA
 
@@ -58,17 +58,21 @@ def is_nanos(name: str) -> bool:
     return name.startswith("timestamp[ns")
 
 
-def layouts(footers: DataFrame, columns: list[str]) -> dict[tuple, list[str]]:
+def layouts(footers: DataFrame, columns: list[str], by_period: bool = False) -> dict[tuple, list[str]]:
     """Files by how they store the wanted columns: ((column, type), ...) -> paths.
 
-    The driver gets one row per file, as it does when it lists files for a scan.
+    With `by_period` also by the month that their names are labelled with:
+    (layout, yyyymm or None) -> paths. The driver gets one row per file, as it
+    does when it lists files for a scan.
     """
     kind = F.when(F.col("physical") == "INT96", INT96).otherwise(F.col("type")).alias("type")
     pair = F.when(F.col("column").isin(columns), F.struct("column", kind))
     per_file = footers.groupBy("path").agg(F.array_sort(F.collect_set(pair)).alias("layout"))
+    per_file = per_file.withColumn("period", period_number(F.substring_index("path", "/", -1)))
     groups: dict[tuple, list[str]] = {}
     for row in per_file.orderBy("path").toLocalIterator():
-        groups.setdefault(tuple((c.column, c.type) for c in row.layout), []).append(row.path)
+        layout = tuple((c.column, c.type) for c in row.layout)
+        groups.setdefault((layout, row.period) if by_period else layout, []).append(row.path)
     return groups
 
 
@@ -109,9 +113,14 @@ def read_files(
     columns: list[str],
     shape: Callable[[DataFrame], DataFrame],
     skip_unreadable: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
-    """All rows of files whose schemas differ, each layout brought to one shape first."""
-    spark = footers.sparkSession
+    """All rows of files whose schemas differ, each layout brought to one shape first.
+
+    With `skip_unreadable`, what cannot be decoded costs the rest of its split;
+    `split_bytes` makes splits smaller than the session would.
+    """
+    spark = footers.sparkSession if split_bytes is None else with_splits(footers.sparkSession, split_bytes)
     groups = layouts(footers, columns)
     if not groups:
         raise ValueError("no files to read")
@@ -119,6 +128,16 @@ def read_files(
     return reduce(DataFrame.unionByName, parts)
 
 
+def with_splits(spark: SparkSession, split_bytes: int) -> SparkSession:
+    """A session that differs from `spark` in the size of its splits only; what it reads is joined to others' as usual."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    return session
+
+
 def read_as_stored(footers: DataFrame) -> DataFrame:
     """All rows with every column that any file has, null where a file has none.
 
@@ -141,12 +160,30 @@ def read_trips(
     footers: DataFrame,
     target: T.StructType = TRIP_SCHEMA,
     aliases: dict[str, list[str]] = TRIP_ALIASES,
+    pickup: str | None = None,
 ) -> DataFrame:
-    """All rows in the target schema, with the file and row they came from."""
+    """All rows in the target schema, with the file and row they came from.
+
+    With `pickup`, only those whose time of this name lies in the month that
+    their file's name is labelled with, if it is: files of one month are one
+    scan, filtered by a range of literal times, so that row groups beyond it
+    are skipped by their statistics.
+    """
     wanted = [name for f in target.fields for name in [f.name, *aliases.get(f.name, [])]]
-    return read_files(
-        footers, wanted, lambda raw: conform(raw, target, aliases, (SOURCE_FILE, SOURCE_ROW))
-    )
+
+    def shape(raw: DataFrame) -> DataFrame:
+        return conform(raw, target, aliases, (SOURCE_FILE, SOURCE_ROW))
+
+    if pickup is None:
+        return read_files(footers, wanted, shape)
+    groups = layouts(footers, wanted, by_period=True)
+    if not groups:
+        raise ValueError("no files to read")
+    parts = []
+    for (layout, period), paths in groups.items():
+        rows = shape(read_layout(footers.sparkSession, layout, paths))
+        parts.append(rows if period is None else rows.where(in_period(F.col(pickup), period)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_by_month(df: DataFrame, path: str, ts: str = PICKUP) -> None:
