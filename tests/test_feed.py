@@ -47,6 +47,26 @@ def test_bad_messages_are_set_aside_with_the_reason(spark):
     assert got == BAD
 
 
+def test_fields_written_in_other_ways(spark):
+    """(field as it is written, event as text, trip_id, lat); a problem's fields in place of the last three."""
+    cases = [
+        ("1", "1", 1, 1.0), ("1.9", "1.9", 1, 1.9), ("-1.9", "-1.9", -1, -1.9), ("1e3", "1000.0", 1000, 1000.0),
+        ('" 7 "', " 7 ", 7, 7.0), ('"1e2"', "1e2", 100, 100.0), ('""', "", None, None), ("null", None, None, None),
+        ("0.1", "0.1", 0, 0.1), ("9223372036854775807", "9223372036854775807", 2**63 - 1, 9223372036854775807.0),
+    ]
+    texts = [f'{{"event": {v}, "trip_id": {v}, "lat": {v}}}' for v, *_ in cases]
+    got = [(r.event, r.trip_id, r.lat, r.problem) for r in decoded(spark, texts).collect()]
+    assert got == [(*rest, None) for _, *rest in cases]
+    problems = {
+        '{"trip_id": 92233720368547758080}': "wrong type: trip_id", '{"trip_id": [1], "lat": {"a": 1}}': "wrong type: trip_id,lat",
+        '{"trip_id": 1, "trip_id": 2}': None, ' {"trip_id": 3} ': None, "null": "not JSON", '"x"': "not JSON", '[{"trip_id": 1}]': "not JSON",
+        '{"trip_id": 01}': "not JSON", '{"lat": true}': "wrong type: lat", '{"event": {"a": [1]}}': None,
+    }
+    rows = {r.value: r for r in decoded(spark, list(problems)).collect()}
+    assert {text: row.problem for text, row in rows.items()} == problems
+    assert rows['{"trip_id": 1, "trip_id": 2}'].trip_id == 2 and rows['{"event": {"a": [1]}}'].event == '{"a":[1]}'
+
+
 def test_messages_are_keyed_and_keep_nulls(spark):
     rows = feed.to_messages(feed.good_events(decoded(spark, GOOD))).collect()
     assert [r.key for r in rows] == ["1", "1", "12", "null", "null"]
@@ -178,3 +198,40 @@ def test_feed_job_keeps_every_message_in_limited_batches(spark, folder, preview)
     assert spark.read.parquet(f"{folder}/out/messages").count() == 60 * len(GOOD)
     total = feed.feed_metrics(feed.read_metrics(spark, f"{folder}/out")).first()
     assert (total.batches, total.failed) == (3, 3)
+
+
+def test_a_restarted_feed_goes_on_counting(spark, folder, capfd):
+    drop_file(folder, "a.txt", GOOD + ["[1]"])
+    run(spark, folder)
+    drop_file(folder, "b.txt", GOOD)
+    run(spark, folder)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    for _ in range(100):
+        out = capfd.readouterr().out
+        if "batches 2" in out:
+            break
+        feed.time.sleep(0.1)
+    assert f"received {2 * len(GOOD) + 1}, processed {2 * len(GOOD)}, failed 1, batches 2" in out
+
+
+def test_a_batch_that_was_recorded_is_not_counted_again():
+    totals = feed.FeedTotals(1e9, Row(received=10, processed=9, failed=1, batches=2), last_batch=4)
+    totals.add(Row(received=5, processed=5, failed=0), 4)
+    totals.add(Row(received=2, processed=2, failed=0), 5)
+    assert totals.text().startswith("received 12, processed 11, failed 1, batches 3")
+
+
+def test_few_large_files_make_several_batches(spark, folder):
+    for name in "abcd":
+        drop_file(folder, f"{name}.txt", GOOD * 500)
+    size = os.path.getsize(f"{folder}/in/a.txt")
+    query = jobs.feed_job(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", once=True, batch_bytes=2 * size)
+    query.awaitTermination()
+    assert feed.feed_metrics(feed.read_metrics(spark, f"{folder}/out")).first().batches == 2
+    assert spark.read.parquet(f"{folder}/out/messages").count() == 2000 * len(GOOD)
+
+
+def test_a_topic_batch_waits_for_messages_but_not_long():
+    assert feed.topic_options(1000) == {
+        "maxOffsetsPerTrigger": "1000", "minOffsetsPerTrigger": "500", "maxTriggerDelay": "50ms"}
+    assert feed.topic_options(least_messages=None) == {}

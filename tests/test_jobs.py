@@ -429,3 +429,24 @@ def test_arguments():
     assert (options.start, options.end, options.ordered) == ((2021, 3), (2024, 4), True)
     with pytest.raises(SystemExit):
         jobs.parse_arguments(["clean", "a", "b", "--start", "2021-13"])
+
+
+def test_a_second_profile_opens_no_footer_of_an_unchanged_file(spark, folder):
+    root, kept = f"{folder}/raw", f"{folder}/manifest"
+    for month, rows in (("01", 3), ("02", 5)):
+        put(root, f"trips_2020-{month}.parquet", {"a": longs(*range(rows))})
+    first = jobs.profile_job(spark, root, f"{folder}/reports", kept).first()
+    # The same length and time, and nothing to read: opened, it would fail.
+    path = f"{root}/trips_2020-01.parquet"
+    seen = os.stat(path)
+    with open(path, "wb") as handle:
+        handle.write(b"x" * seen.st_size)
+    os.utime(path, ns=(seen.st_atime_ns, seen.st_mtime_ns))
+    assert jobs.profile_job(spark, root, f"{folder}/again", kept).first() == first
+    put(root, "trips_2020-02.parquet", {"a": longs(*range(50))})
+    put(root, "trips_2020-03.parquet", {"b": longs(1)})
+    after = jobs.profile_job(spark, root, f"{folder}/third", kept).first()
+    assert (first.total_rows, after.total_rows, after.n_files) == (8, 54, 3)
+    assert jobs.profile_job(spark, root, f"{folder}/fourth", kept).first() == after
+    os.remove(f"{root}/trips_2020-03.parquet")
+    assert jobs.profile_job(spark, root, f"{folder}/fifth", kept).first().total_rows == 53

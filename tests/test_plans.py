@@ -114,7 +114,8 @@ def test_counting_events_does_not_unfold_them(fixed_plans, folder):
 def test_a_message_is_parsed_below_the_filter(fixed_plans):
     text = plan(feed.good_events(queries.decoded_messages(fixed_plans, SF_DIR)))
     before_generator = text[: text.index("Generate")]
-    assert "from_json" not in before_generator
+    assert "parseJson" not in before_generator and "from_json" not in text
+    assert text.count("parseJson") == 1
     assert "isnull(problem" in before_generator
 
 

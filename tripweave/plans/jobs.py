@@ -260,9 +260,14 @@ def raw_epoch(column: Column, kind: str) -> Column:
     return column.cast("bigint") if kind in ("bigint", "int") else epoch_micros(column, kind)
 
 
-def profile_job(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Write the count and schema reports of a folder of files; returns a one-row summary."""
-    footers = store(fl.read_footers(fl.list_files(spark, source)), "footers")
+def profile_job(spark: SparkSession, source: str, target: str, manifest: str | None = None) -> DataFrame:
+    """Write the count and schema reports of a folder of files; returns a one-row summary.
+
+    `manifest` names a folder that keeps what footers say, so that the next
+    profile opens only files that are new or have changed.
+    """
+    files = fl.list_files(spark, source)
+    footers = store(fl.read_footers(files) if manifest is None else fl.known_footers(files, manifest), "footers")
     monthly = fl.file_counts(footers)
     schemas = fl.file_schemas(footers)
     n_files = footers.select("path").distinct().count()
@@ -294,7 +299,8 @@ def feed_job(
     event_files: bool = False,
     once: bool = False,
     from_topic: str | None = None,
-    batch_files: int = feed.BATCH_FILES,
+    batch_files: int | None = None,
+    batch_bytes: int = feed.BATCH_BYTES,
     batch_messages: int = feed.BATCH_MESSAGES,
     preview: bool = False,
 ) -> StreamingQuery:
@@ -302,14 +308,15 @@ def feed_job(
 
     They come as lines of text files or, with `event_files`, as files of the
     expand job; with `from_topic`, from that topic of the servers that `source`
-    names. A batch takes at most `batch_files` files or `batch_messages`
-    messages. `preview` also prints a few messages of each batch.
+    names. A batch takes at most `batch_bytes` of files, or `batch_files` of them
+    if that is given, and one file at least; from a topic at most
+    `batch_messages` messages. `preview` also prints a few messages of each batch.
     """
     if from_topic:
         stream = feed.read_kafka_feed(spark, source, from_topic, batch_messages)
     else:
         read = feed.read_event_feed if event_files else feed.read_text_feed
-        stream = read(spark, source, batch_files)
+        stream = read(spark, source, batch_files, batch_bytes)
     sink = feed.kafka_sink(servers) if servers else feed.parquet_sink(f"{output}/messages")
     if preview:
         sink = feed.both_sinks(sink, feed.console_preview())
@@ -351,13 +358,14 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     sub = job("check-times", "source", "target")
     sub.add_argument("--start", type=year_month, default=EXPAND_START)
     sub.add_argument("--end", type=year_month, default=EXPAND_END)
-    job("profile", "source", "target")
+    job("profile", "source", "target").add_argument("--manifest")
     sub = job("feed", "source", "output", "checkpoint")
     sub.add_argument("--servers")
     sub.add_argument("--event-files", action="store_true")
     sub.add_argument("--once", action="store_true")
     sub.add_argument("--from-topic")
-    sub.add_argument("--batch-files", type=int, default=feed.BATCH_FILES)
+    sub.add_argument("--batch-files", type=int)
+    sub.add_argument("--batch-bytes", type=int, default=feed.BATCH_BYTES)
     sub.add_argument("--batch-messages", type=int, default=feed.BATCH_MESSAGES)
     sub.add_argument("--preview", action="store_true")
     return parser.parse_args(arguments)

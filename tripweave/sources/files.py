@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.functions.times import month_index, period_from_name, period_label
+from tripweave.session import store
 
 FOOTER_SCHEMA = (
     "path string, n_rows bigint, group_bytes bigint, pos int, column string, type string, physical string"
@@ -15,7 +16,7 @@ FOOTER_SCHEMA = (
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every `*.parquet` below `root`: path, name, length, label, year, month.
+    """Every `*.parquet` below `root`: path, name, length, modified, label, year, month.
 
     The scan of binary files leaves out empty ones, yet its index names them, so
     they come back with length 0.
@@ -25,7 +26,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(root)
-        .select("path", "length")
+        .select("path", "length", F.col("modificationTime").alias("modified"))
     )
     names = [(plain_path(unquote(p)),) for p in listing.inputFiles()]
     every = spark.createDataFrame(names, "path string")
@@ -173,6 +174,33 @@ def short_files(footers: DataFrame, read: DataFrame) -> DataFrame:
     return counted.where(F.coalesce("n_read", F.lit(0)) < F.col("n_rows")).select("path", "group_bytes")
 
 
+STATE = ["path", "length", "modified"]
+
+
+def known_footers(files: DataFrame, manifest: str, skip_unreadable: bool = False) -> DataFrame:
+    """What `read_footers` returns, from a folder that keeps it for files that haven't changed.
+
+    A file is the same if its path, length and time of change are. Of others
+    the footers are read, and added to the folder; what is there is never
+    rewritten, so that a job that fails or runs twice leaves it right. Files
+    whose footers could not be decoded are tried again unless they may be skipped.
+    """
+    spark = files.sparkSession
+    schema = f"{FOOTER_SCHEMA}, length bigint, modified timestamp"
+    # An empty part, so that there is a folder to read.
+    spark.createDataFrame([], schema).write.mode("append").parquet(manifest)
+    kept = spark.read.schema(schema).parquet(manifest).dropDuplicates([*STATE, "pos"])
+    if not skip_unreadable:
+        kept = kept.where(F.col("n_rows").isNotNull())
+    present = files.where(F.col("length") > 0)
+    fresh = store(present.join(kept, STATE, "left_anti").select(*STATE), "fresh-files")
+    if not fresh.isEmpty():
+        read = read_footers(fresh, skip_unreadable).join(fresh, "path")
+        read.select(*kept.columns).write.mode("append").parquet(manifest)
+        return known_footers(files, manifest, skip_unreadable)
+    return kept.join(present.select(*STATE), STATE, "left_semi").drop("length", "modified")
+
+
 def file_schemas(footers: DataFrame) -> DataFrame:
     """(path, label, pos, column, type) of every column of every file."""
     name = F.substring_index("path", "/", -1)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery, StreamingQueryListener
 
 from tripweave.functions.text import message_key
 from tripweave.operators.numbering import running_totals
@@ -35,9 +36,14 @@ LONGEST_WAIT_SECONDS = 2.0
 TRIGGER = "50 milliseconds"
 
 # What one batch takes at most, so that a backlog comes in many batches.
-BATCH_FILES = 100
+BATCH_BYTES = 256 << 20
 BATCH_MESSAGES = 1_000_000
 
+# Fixed values of the publishing side: a batch from a topic waits for so many
+# messages, but no longer than so.
+LEAST_MESSAGES = 500
+LONGEST_DELAY = "50ms"
+
 # Messages of a batch that a preview prints.
 PREVIEW_MESSAGES = 20
 
@@ -47,7 +53,8 @@ REPORT_SECONDS = 10.0
 # Batches whose counters share a folder.
 BATCHES_A_FOLDER = 1000
 
-CORRUPT = "_corrupt"
+# Name of what a running feed observes of its batches.
+OBSERVED = "feed"
 METRICS_SCHEMA = "batch_id bigint, received bigint, processed bigint, failed bigint"
 
 Sink = Callable[[DataFrame, int], None]
@@ -56,51 +63,34 @@ Sink = Callable[[DataFrame, int], None]
 def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the event's 21 fields and `problem`, which is null for a good message.
 
-    A message that does not fit the types is read again as text, so that a number
-    in quotes or a fraction where a whole number belongs is converted and not
-    lost. Unknown fields are ignored.
+    A message is parsed once. A number in quotes or a fraction where a whole
+    number belongs is converted and not lost; a number where text belongs is
+    written in plain form. Unknown fields are ignored. Of a field that comes
+    twice the last counts in a session with the library's settings; elsewhere
+    such a message is not JSON.
     """
     kinds = {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA.fields}
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-
-    def parse(all_text: bool) -> Column:
-        fields = [f"`{n}` {'string' if all_text else k}" for n, k in kinds.items()]
-        return F.from_json(value, ", ".join([*fields, f"{CORRUPT} string"]), options)
-
-    def unparsed(column: str) -> Column:
-        return F.col(column).isNull() | F.col(f"{column}.{CORRUPT}").isNotNull()
-
-    fits = ~unparsed("_typed")
-    parsed = df.withColumn("_typed", parse(all_text=False)).withColumn(
-        "_text", F.when(~fits, parse(all_text=True))
-    )
-    # Few messages get here, so the second reading works on lists: that keeps the
-    # compiled code of the usual way small.
-    second, wrong = {n: F.col(f"_text.{n}") for n in kinds}, []
+    # JSON that begins like an object is one.
+    parsed = df.withColumn("_json", F.when(F.ltrim(F.col(value)).startswith("{"), F.try_parse_json(value)))
+    fields = {n: F.try_variant_get("_json", f"$.{n}", "string") for n, k in kinds.items() if k == "string"}
+    # Numbers are worked on as lists, which keeps the compiled code small.
+    wrong = []
     for kind, to_number in (("bigint", whole_number), ("double", decimal_number)):
         names = [n for n, k in kinds.items() if k == kind]
-        texts = F.array(*[F.col(f"_text.{n}") for n in names])
-        numbers = F.when(F.col("_text").isNotNull(), F.transform(texts, to_number))
-        parsed = parsed.withColumn(f"_{kind}", numbers)
-        second.update({n: F.get(f"_{kind}", F.lit(i)) for i, n in enumerate(names)})
-        lost = F.zip_with(texts, f"_{kind}", lambda t, x: (F.trim(t) != "") & x.isNull())
+        texts, numbers = f"_text_{kind}", f"_{kind}"
+        parsed = parsed.withColumn(texts, F.array(*[F.try_variant_get("_json", f"$.{n}", "string") for n in names]))
+        parsed = parsed.withColumn(numbers, F.transform(texts, to_number))
+        fields.update({n: F.get(numbers, F.lit(i)) for i, n in enumerate(names)})
+        lost = F.zip_with(texts, numbers, lambda t, x: x.isNull() & (F.trim(t) != ""))
         labels = F.array(*[F.lit(n) for n in names])
         wrong.append(F.zip_with(labels, lost, lambda n, is_lost: F.when(is_lost, n)))
-    parsed = parsed.withColumn(
-        "_wrong", F.when(F.col("_text").isNotNull(), F.concat_ws(",", *wrong))
+    parsed = parsed.withColumn("_wrong", F.concat_ws(",", *wrong))
+    problem = F.when(F.col("_json").isNull(), "not JSON").when(
+        F.col("_wrong") != "", F.concat(F.lit("wrong type: "), F.col("_wrong"))
     )
-    problem = (
-        F.when(fits, F.lit(None))
-        .when(unparsed("_text"), "not JSON")
-        .when(F.col("_wrong") != "", F.concat(F.lit("wrong type: "), F.col("_wrong")))
-    )
-    fields = [
-        F.when(fits, F.col(f"_typed.{n}")).otherwise(again).alias(n)
-        for n, again in second.items()
-    ]
     # A filter is not moved below a generator, so a message is parsed once even
     # when only the good or only the bad ones are wanted.
-    decoded = F.struct(*fields, problem.alias("problem"))
+    decoded = F.struct(*[fields[n].alias(n) for n in kinds], problem.alias("problem"))
     return parsed.select(*df.columns, F.inline(F.array(decoded)))
 
 
@@ -134,13 +124,18 @@ def to_messages(events: DataFrame, keep: tuple[str | Column, ...] = ()) -> DataF
     )
 
 
-def batch_metrics(decoded: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Messages received, processed and failed in a set of decoded messages, or per group."""
-    return decoded.groupBy(*(by or [])).agg(
+def counters() -> list[Column]:
+    """Messages received, processed and failed."""
+    return [
         F.count("*").alias("received"),
         F.count_if(F.col("problem").isNull()).alias("processed"),
         F.count_if(F.col("problem").isNotNull()).alias("failed"),
-    )
+    ]
+
+
+def batch_metrics(decoded: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Messages received, processed and failed in a set of decoded messages, or per group."""
+    return decoded.groupBy(*(by or [])).agg(*counters())
 
 
 def success(received: Column, processed: Column) -> tuple[Column, Column]:
@@ -171,20 +166,39 @@ def feed_history(batches: DataFrame) -> DataFrame:
     return history.withColumns({"success_pct": percent, "success_rate": text})
 
 
-def read_text_feed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def read_text_feed(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int | None = BATCH_BYTES
+) -> DataFrame:
     """A stream of messages, one per line of the text files that appear in a folder."""
-    reader = spark.readStream.format("text")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return limited(spark.readStream.format("text"), files_per_batch, bytes_per_batch).load(path)
 
 
-def read_event_feed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def read_event_feed(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int | None = BATCH_BYTES
+) -> DataFrame:
     """A stream of messages from the event files the expand job writes."""
-    reader = spark.readStream.schema("value string")
+    return limited(spark.readStream.schema("value string"), files_per_batch, bytes_per_batch).parquet(path)
+
+
+def limited(reader: DataStreamReader, files_per_batch: int | None, bytes_per_batch: int | None) -> DataStreamReader:
+    """A reader of files that takes so many files a batch or else so many bytes of them, one file at least."""
     if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+        return reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.option("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else reader
+
+
+def topic_options(
+    messages_per_batch: int | None = None,
+    least_messages: int | None = LEAST_MESSAGES,
+    longest_delay: str = LONGEST_DELAY,
+) -> dict[str, str]:
+    """A batch takes at most `messages_per_batch` and waits for `least_messages`, but no longer than `longest_delay`."""
+    options = {}
+    if messages_per_batch:
+        options["maxOffsetsPerTrigger"] = str(messages_per_batch)
+    if least_messages:
+        options |= {"minOffsetsPerTrigger": str(least_messages), "maxTriggerDelay": longest_delay}
+    return options
 
 
 def read_kafka_feed(
@@ -192,9 +206,7 @@ def read_kafka_feed(
 ) -> DataFrame:
     """A stream of message values from a topic; needs Spark's Kafka package."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-    reader = reader.option("subscribe", topic)
-    if messages_per_batch:
-        reader = reader.option("maxOffsetsPerTrigger", messages_per_batch)
+    reader = reader.option("subscribe", topic).options(**topic_options(messages_per_batch))
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
@@ -274,21 +286,23 @@ def start_feed(
 
     `output` receives `dead_letters/`, a folder per batch that has any, and
     `metrics/`, a folder per thousand batches with a file for each, so a batch
-    that is run again after a failure is counted once. The totals since the
-    feed was started are printed every `report_seconds`.
+    that is run again after a failure is counted once. The totals are printed
+    every `report_seconds`; they begin with the batches that earlier runs
+    recorded in `output`.
     """
+    spark = stream.sparkSession
     publish = with_retry(sink)
     set_aside = parquet_sink(f"{output}/dead_letters")
-    totals = FeedTotals(report_seconds)
-    # So that there is a folder to read while no message is broken.
-    empty = stream.sparkSession.createDataFrame([], f"`{value}` string, problem string")
-    set_aside(empty, -1)
+    # So that there are folders to read while no message is broken, or none has come.
+    set_aside(spark.createDataFrame([], f"`{value}` string, problem string"), -1)
+    spark.createDataFrame([], METRICS_SCHEMA).write.mode("append").parquet(f"{output}/metrics/group=0")
+
+    original = F.when(F.col("problem").isNotNull(), F.col(value)).alias("original")
+    decoded = decode_events(stream, value).observe(OBSERVED, *counters())
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_events(batch, value)
-        original = F.when(F.col("problem").isNotNull(), F.col(value)).alias("original")
         # Three outputs of one decoding; only what they need is kept meanwhile.
-        ready = to_messages(decoded, keep=("problem", original)).persist()
+        ready = to_messages(batch, keep=("problem", original)).persist()
         try:
             publish(good_events(ready).select("key", "value"), batch_id)
             counted = batch_metrics(ready).first()
@@ -296,29 +310,41 @@ def start_feed(
             if counted.failed:
                 set_aside(dead_letters(broken, value), batch_id)
             record_metrics(batch.sparkSession, output, batch_id, counted)
-            totals.add(counted)
         finally:
             ready.unpersist()
 
-    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": TRIGGER})).start()
+    # What is recorded already may run once more, if its end wasn't noted down.
+    recorded = read_metrics(spark, output)
+    last = recorded.agg(F.max("batch_id")).first()[0]
+    totals = FeedTotals(report_seconds, feed_metrics(recorded).first(), -1 if last is None else last)
+    writer = decoded.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    name = f"feed-{uuid.uuid4().hex}"
+    spark.streams.addListener(FeedListener(spark, name, totals))
+    return writer.queryName(name).trigger(**(trigger or {"processingTime": TRIGGER})).start()
 
 
 class FeedTotals:
-    """Counters of the batches that this process has finished, printed now and then."""
-
-    def __init__(self, every: float = REPORT_SECONDS):
-        self.every, self.last = every, time.monotonic()
-        self.received = self.processed = self.failed = self.batches = 0
-
-    def add(self, counted: Row) -> None:
-        self.received += counted.received
-        self.processed += counted.processed
-        self.failed += counted.failed
-        self.batches += 1
+    """Counters of all batches so far, printed now and then."""
+
+    def __init__(self, every: float = REPORT_SECONDS, before: Row | None = None, last_batch: int = -1):
+        self.every, self.last, self.last_batch = every, time.monotonic(), last_batch
+        names = ("received", "processed", "failed", "batches")
+        self.received, self.processed, self.failed, self.batches = (before[n] if before else 0 for n in names)
+
+    def add(self, counted: Row, batch_id: int | None = None) -> None:
+        """Count a batch, unless it is one of those that were counted before."""
+        if batch_id is None or batch_id > self.last_batch:
+            self.received += counted["received"]
+            self.processed += counted["processed"]
+            self.failed += counted["failed"]
+            self.batches += 1
+            self.last_batch = self.last_batch if batch_id is None else batch_id
         if time.monotonic() - self.last >= self.every:
-            self.last = time.monotonic()
-            print(self.text(), flush=True)
+            self.report()
+
+    def report(self) -> None:
+        self.last = time.monotonic()
+        print(self.text(), flush=True)
 
     def text(self) -> str:
         share = f"{self.processed * 100 / self.received:.2f}%" if self.received else "N/A"
@@ -328,6 +354,31 @@ class FeedTotals:
         )
 
 
+class FeedListener(StreamingQueryListener):
+    """Adds what a query observed of each batch to the totals; reports them, also while nothing comes and at the end."""
+
+    def __init__(self, spark: SparkSession, name: str, totals: FeedTotals):
+        self.spark, self.name, self.totals, self.run = spark, name, totals, None
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(OBSERVED)
+        if event.progress.name == self.name and seen is not None:
+            self.totals.add(seen, event.progress.batchId)
+
+    def onQueryIdle(self, event) -> None:
+        if event.runId == self.run and time.monotonic() - self.totals.last >= self.totals.every:
+            self.totals.report()
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.run:
+            self.totals.report()
+            self.spark.streams.removeListener(self)
+
+
 def record_metrics(spark: SparkSession, output: str, batch_id: int, counted: Row) -> None:
     """Append a batch's counters to its folder of a thousand; a repeated batch adds an equal row."""
     row = (batch_id, counted.received, counted.processed, counted.failed)
