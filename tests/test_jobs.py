@@ -450,3 +450,9 @@ def test_a_second_profile_opens_no_footer_of_an_unchanged_file(spark, folder):
     assert jobs.profile_job(spark, root, f"{folder}/fourth", kept).first() == after
     os.remove(f"{root}/trips_2020-03.parquet")
     assert jobs.profile_job(spark, root, f"{folder}/fifth", kept).first().total_rows == 53
+
+
+def test_identify_refuses_columns_that_its_folders_are_named_by(spark, folder):
+    put(f"{folder}/clean", "trips_2020-02.parquet", {PICKUP: times("2020-02-03 10:00:00"), "year": longs(7)})
+    with pytest.raises(ValueError, match="year and month"):
+        jobs.identify_job(spark, f"{folder}/clean", f"{folder}/ids")

@@ -45,6 +45,11 @@ def trip_id(day: Column, sequence: Column) -> Column:
     return prefix.cast("bigint") * MAX_SEQUENCE + sequence
 
 
+def over_limit(sequence: Column, max_seq: int) -> Column:
+    """The position is one that no id can be made of."""
+    return sequence > max_seq
+
+
 def checked_sequence(sequence: Column, max_seq: int) -> Column:
     problem = F.concat(F.lit("more trips in a day than "), F.lit(str(max_seq)))
-    return F.when(sequence > max_seq, F.raise_error(problem)).otherwise(sequence)
+    return F.when(over_limit(sequence, max_seq), F.raise_error(problem)).otherwise(sequence)

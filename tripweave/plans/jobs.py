@@ -94,9 +94,12 @@ def identify_job(spark: SparkSession, source: str, target: str) -> None:
     """Give every trip its id; trips keep the order of the file they first came from.
 
     Files are read as they are, each with its own columns; empty ones are left
-    out. A trip without a pickup keeps a null id and its file's month.
+    out. A trip without a pickup keeps a null id and its file's month. Files
+    that hold columns named like the folders that are written are refused.
     """
     footers = store(fl.read_footers(fl.list_files(spark, source)), "footers")
+    if not footers.where(F.col("column").isin("year", "month")).isEmpty():
+        raise ValueError("columns year and month are taken by the folders of the result")
     trips = read_as_stored(footers).drop("year", "month")
     write_by_month(add_trip_id(trips), target)
 

@@ -12,7 +12,7 @@ from tripweave.functions.geo import lcc_inverse
 from tripweave.functions.times import normalize_epoch_us, period_from_name, period_number
 from tripweave.operators import clean as cl
 from tripweave.operators import counts, drift, events, zones
-from tripweave.operators.identify import add_trip_id
+from tripweave.operators.identify import add_trip_id, over_limit
 from tripweave.operators.ordering import events_in_time_order
 from tripweave.plans import standins as st
 from tripweave.schema import EVENT_SCHEMA, MAX_SEQUENCE, SOURCE_FILE, SOURCE_ROW
@@ -347,9 +347,8 @@ def fallback_zones(spark, sf_dir):
 def sequence_limit(spark, sf_dir):
     """Events beyond the hundredth of their kind and day, which a limit of 100 would stop at."""
     numbered = identify_events(spark, sf_dir)
-    sequence = F.col("trip_id") % MAX_SEQUENCE
-    over = sequence.cast("bigint")
-    return numbered.select("event_id", over.alias("seq"), (over > 100).alias("over_limit"))
+    sequence = (F.col("trip_id") % MAX_SEQUENCE).cast("bigint")
+    return numbered.select("event_id", sequence.alias("seq"), over_limit(sequence, 100).alias("over_limit"))
 
 
 def month_folders(spark, sf_dir):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import os
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,28 +19,83 @@ FOOTER_SCHEMA = (
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Every `*.parquet` below `root`: path, name, length, modified, label, year, month.
 
-    The scan of binary files leaves out empty ones, yet its index names them, so
-    they come back with length 0.
+    Empty ones have length 0; what begins with `_` or `.` is left out.
+    Executors list folders, a level at a time, so neither names nor sizes pass
+    through the driver; a level's result is stored.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-    )
-    names = [(plain_path(unquote(p)),) for p in listing.inputFiles()]
-    every = spark.createDataFrame(names, "path string")
-    files = every.join(listing, "path", "left").withColumn(
-        "length", F.coalesce("length", F.lit(0).cast("bigint"))
-    )
-    return with_period(files)
+    locate = locator()
+
+    def listed(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                system, inner = locate(path)
+                info = system.get_file_info(inner)
+                if info.type == fs.FileType.NotFound:
+                    raise FileNotFoundError(path)
+                if info.type == fs.FileType.File:
+                    rows.append((path, info.size, info.mtime, False))
+                    continue
+                for found in system.get_file_info(fs.FileSelector(inner)):
+                    if not found.base_name.startswith(("_", ".")):
+                        is_folder = found.type == fs.FileType.Directory
+                        inside = f"{path.rstrip('/')}/{found.base_name}"
+                        rows.append((inside, 0 if is_folder else found.size, found.mtime, is_folder))
+            frame = pd.DataFrame(rows, columns=["path", "length", "modified", "is_folder"])
+            frame["modified"] = pd.to_datetime(frame["modified"], utc=True).dt.tz_localize(None)
+            yield frame.astype({"length": "Int64", "is_folder": "boolean"})
+
+    slots = spark.sparkContext.defaultParallelism
+    start = qualified(root)
+    level, parts = spark.createDataFrame([(start,)], "path string"), []
+    while True:
+        found = level.mapInPandas(listed, "path string, length bigint, modified timestamp, is_folder boolean")
+        found = store(found, "listed")
+        parts.append(found.where(~F.col("is_folder") & F.col("path").endswith(".parquet")).drop("is_folder"))
+        folders = found.where("is_folder").select("path")
+        if folders.isEmpty():
+            return with_period(reduce(DataFrame.unionByName, parts))
+        level = folders.repartition(slots, "path")
+
+
+def qualified(path: str) -> str:
+    """A path the way a scan reports it: `/x` and `file:///x` as `file:/x`."""
+    if "://" not in path and not path.startswith("file:"):
+        return f"file:{os.path.abspath(path)}"
+    scheme, _, rest = path.partition(":///")
+    return (f"{scheme}:/{rest}" if rest else path).rstrip("/")
+
+
+def locator():
+    """A function for use in tasks: the file system and inner path of a path; keeps each system it has opened."""
+    systems = {}
+
+    def locate(path: str):
+        import re
+        from urllib.parse import quote
 
+        from pyarrow import fs
 
-def plain_path(uri: str) -> str:
-    """`file:///x` as `file:/x`, the way a scan reports it."""
-    scheme, _, rest = uri.partition(":///")
-    return f"{scheme}:/{rest}" if rest else uri
+        if path.startswith("file:/"):
+            path = "/" + path[len("file:/") :].lstrip("/")
+        if "://" not in path:
+            return fs.LocalFileSystem(), path
+        # Spark's names for the S3 scheme are not known outside it.
+        uri = quote(re.sub("^s3[an]:", "s3:", path), safe=":/@")
+        scheme, _, rest = uri.partition("://")
+        place = f"{scheme}://{rest.partition('/')[0]}"
+        if place not in systems:
+            systems[place] = fs.FileSystem.from_uri(uri)[0]
+        inner = path.partition("://")[2]
+        # Object stores name the bucket in the path, file systems with hosts don't.
+        if scheme not in ("s3", "gs", "gcs", "abfs", "abfss"):
+            inner = "/" + inner.partition("/")[2]
+        return systems[place], inner
+
+    return locate
 
 
 def listed_path(scanned: Column) -> Column:
@@ -92,16 +148,12 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
     always raises. Empty files are left out.
     """
 
-    def footers(batches):
-        import re
-        from urllib.parse import quote
+    locate = locator()
 
+    def footers(batches):
         import pandas as pd
         import pyarrow as pa
         import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        systems = {}
 
         def smallest_group(metadata):
             groups = [metadata.row_group(i) for i in range(metadata.num_row_groups)]
@@ -109,21 +161,7 @@ def read_footers(files: DataFrame, skip_unreadable: bool = False) -> DataFrame:
             return min(sizes, default=None)
 
         def open_file(path):
-            if path.startswith("file:/"):
-                path = "/" + path[len("file:/") :].lstrip("/")
-            if "://" not in path:
-                return fs.LocalFileSystem().open_input_file(path)
-            # Spark's names for the S3 scheme are not known outside it.
-            uri = quote(re.sub("^s3[an]:", "s3:", path), safe=":/@")
-            scheme, _, rest = uri.partition("://")
-            store = f"{scheme}://{rest.partition('/')[0]}"
-            if store not in systems:
-                systems[store] = fs.FileSystem.from_uri(uri)[0]
-            system = systems[store]
-            inner = path.partition("://")[2]
-            # Object stores name the bucket in the path, file systems with hosts don't.
-            if scheme not in ("s3", "gs", "gcs", "abfs", "abfss"):
-                inner = "/" + inner.partition("/")[2]
+            system, inner = locate(path)
             return system.open_input_file(inner)
 
         for batch in batches:
