@@ -172,9 +172,15 @@ def test_licenses(spark, odd_docs, no_docs):
     assert scan_licenses(no_docs, known).count() == 0
 
 
-@pytest.mark.parametrize("name", [SF, "/root/testdata/check_s"])
+@pytest.mark.parametrize("name", ["given", "clustered"])
 def test_neighbours_recall(spark, name):
-    vectors = spark.read.parquet(f"{name}/embeddings.parquet")
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    if name == "clustered":
+        random = np.random.RandomState(21)
+        middles = random.normal(size=(60, 32))
+        made = middles[random.randint(0, 60, 4000)] + random.normal(scale=0.4, size=(4000, 32))
+        vectors = spark.createDataFrame([(i, row) for i, row in enumerate(made.tolist())], "vec_id long, embedding array<float>")
+        vectors = vectors.repartition(3)
     rows = vectors.collect()
     ids = np.array([r.vec_id for r in rows])
     data = np.array([r.embedding for r in rows], np.float64)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import brute
@@ -207,6 +208,36 @@ def test_near_duplicates_of_a_large_family(spark, monkeypatch, few):
     assert got == brute.near_groups(rows, 3, 85)
 
 
+def one_document_a_row(rows, size, percent):
+    """Components when rows of one id are one document, by comparing rows under ids of their own."""
+    alone = brute.near_groups([(i, text) for i, (_, text) in enumerate(rows)], size, percent)
+    root = {doc: doc for doc, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (doc, _) in enumerate(rows):
+        low, high = sorted((find(doc), find(rows[alone[i][1]][0])))
+        root[high] = low
+    # A text without words has no links, whatever its id's other texts have.
+    return sorted((doc, alone[i][0], find(doc) if alone[i][0] else doc) for i, (doc, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_with_several_texts_under_one_id(spark, seed):
+    rng = random.Random(seed)
+    base = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(12)]
+    rows = [(1, base[0]), (1, base[1]), (2, base[0] + " more"), (3, base[1] + " more"), (4, base[2]), (9, base[2]), (9, base[3]), (8, base[3] + " x")]
+    rows += [(rng.randrange(10, 22), rng.choice(base[4:]) + rng.choice(["", "", " y", " z", " q r s t u v w"])) for _ in range(60)]
+    rows += [(30, None), (30, base[0]), (31, ""), (2, base[0] + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs, 3, 85).collect())
+    assert got == one_document_a_row(rows, 3, 85)
+    assert {r[2] for r in got if r[0] in (1, 2, 3, 30) and r[1]} == {1}
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert near_duplicates(no_docs).count() == 0
 

@@ -97,10 +97,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     Returns one row per row of `docs`: doc_id, n_shingles, component_id (the
     smallest doc_id that links reach) and kept (doc_id is component_id). Rows
-    that share a doc_id are taken as one document where links are concerned.
+    that share a doc_id are taken as one document where links are concerned,
+    but for texts without words, whose component is their own doc_id.
     A row without doc_id has no links, a null component_id, and is kept.
 
-    Equal sets are one class. Classes that share a band are compared with the
+    Equal sets are one class; classes are told apart by a 64-bit hash. Classes that share a band are compared with the
     band's smallest class, its leader, by estimate; each is compared with the
     smallest of its leaders on full sets. What that leaves apart is compared
     with further leaders and across bands, between components only.
@@ -112,7 +113,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = store(
         named.groupBy("digest").agg(
             F.min("doc_id").alias("node"), F.first("bits").alias("bits"), F.first("bands").alias("bands")
-        ),
+        ).withColumn("class_id", F.xxhash64("digest")),
         "classes",
     )
     shared = store(_shared_bands(classes, _least_estimate(percent / 100)), "bands")
@@ -121,7 +122,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     led = shared.where("alike and node <> leader").select("node", "leader").distinct()
     pairs = store(led.groupBy("node").agg(F.min("leader").alias("leader")), "pairs")
     nothing = docs.sparkSession.createDataFrame([], "node long, component long")
-    parts = _joined(nothing, _confirmed(sets, *_by_leader(pairs), percent))
+    first = _confirmed(sets, *_by_leader(pairs), percent).union(_same_documents(named, classes))
+    parts = _joined(nothing, first)
     others = _placed(led, parts).where("part <> leader_part").select("node", "leader")
     # Tried once, and in vain, if they are still apart.
     others = store(others.join(pairs, ["node", "leader"], "left_anti"), "others")
@@ -143,6 +145,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return found.unionByName(unnamed).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _same_documents(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links a, b between the classes that texts of one doc_id belong to."""
+    several = named.groupBy("doc_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+    several = several.where("least <> most").select("doc_id")
+    own = store(named.join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct(), "several")
+    placed = store(own.join(classes.select("digest", "node"), "digest").select("doc_id", "node"), "placed")
+    low = store(placed.groupBy("doc_id").agg(F.min("node").alias("a")), "lowest")
+    return placed.join(low, "doc_id").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+
+
 def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     """Components so far and further links, as components."""
     if links.isEmpty():
@@ -155,13 +167,21 @@ def _bits(prefix: str) -> list[Column]:
 
 
 def _shared_bands(classes: DataFrame, least: float) -> DataFrame:
-    """Bands of two classes and more: band, node, leader, and whether the two are alike by estimate."""
-    rows = classes.select(F.explode("bands").alias("band"), "node")
-    first = rows.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
-    shared = rows.join(first.select("band", "leader"), "band").join(classes.select("node", "bits"), "node")
-    leaders = shared.where("node = leader").select("band", F.col("bits").alias("led")).dropDuplicates(["band"])
+    """Bands of two nodes and more: band, node, class_id, leader, leads, alike.
+
+    A node with several texts has a class for each. Of a band's classes one
+    leads: the least of those of its least node, `leader`. `leads` says which
+    it is, `alike` whether a class is like it by estimate.
+    """
+    rows = classes.select(F.explode("bands").alias("band"), "node", "class_id")
+    least_class = F.min(F.struct("node", "class_id"))
+    first = rows.groupBy("band").agg(least_class.alias("first"), F.max("node").alias("last")).where("first.node < last")
+    first = first.select("band", F.col("first.node").alias("leader"), F.col("first.class_id").alias("leader_class"))
+    shared = rows.join(first, "band").join(classes.select("class_id", "bits"), "class_id")
+    shared = shared.withColumn("leads", F.col("class_id") == F.col("leader_class"))
+    leaders = shared.where("leads").select("band", F.col("bits").alias("led"))
     alike = similarity(_bits("bits"), _bits("led")) >= least
-    return shared.join(leaders, "band").select("band", "node", "leader", alike.alias("alike"))
+    return shared.join(leaders, "band").select("band", "node", "class_id", "leader", "leads", alike.alias("alike"))
 
 
 def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -180,12 +200,12 @@ def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: floa
     `FEW`; all of the band pass by each share, split themselves if they are
     many. A class comes with the list of its partners in the share, so that
     rows stay in proportion to the classes: group, share, node, partners,
-    is_member. Partners have a row of their own, without is_member. A leader
-    was compared with all of its band and needs no more partners.
+    is_member. Partners have a row of their own, without is_member. The class
+    that leads was compared with all of its band and needs no more partners.
     """
     own = parts.withColumnRenamed("component", "part")
-    rows = shared.where("node <> leader").select("band", "node").join(own, "node", "left")
-    rows = rows.select("band", "node", F.coalesce("part", "node").alias("part"))
+    rows = shared.where("not leads").select("band", "node", "class_id").join(own, "node", "left")
+    rows = rows.select("band", "node", "class_id", F.coalesce("part", "node").alias("part"))
     sizes = rows.groupBy("band", "part").count()
     bands = sizes.groupBy("band").agg(
         F.max_by("part", F.struct("count", "part")).alias("main"),
@@ -198,8 +218,8 @@ def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: floa
         F.expr(f"cast(ceil(few / {FEW}) as int)").alias("shares"),
         F.expr(f"cast(ceil(all / {4 * FEW}) as int)").alias("turns"),
     )
-    mixed = rows.join(bands, "band").join(classes.select("node", "bits", "bands"), "node")
-    share, turn = F.expr("pmod(hash(node), shares)"), F.expr("pmod(xxhash64(node), turns)").cast("int")
+    mixed = rows.join(bands, "band").join(classes.select("class_id", "bits", "bands"), "class_id")
+    share, turn = F.expr("pmod(hash(class_id), shares)"), F.expr("pmod(xxhash64(class_id), turns)").cast("int")
     roles = F.array(F.lit(False), F.lit(True))
     mixed = mixed.select("*", F.explode(roles).alias("is_member")).where("is_member or part <> main")
     shares = F.when(F.col("is_member"), F.sequence(F.lit(0), F.col("shares") - 1)).otherwise(F.array(share))
