@@ -14,7 +14,7 @@ from tripweave.llm.near_duplicates import near_duplicates
 from tripweave.llm.packing import pack_documents
 from tripweave.llm.substrings import remove_repeats
 from tripweave.llm.tokens import default_path
-from tripweave.llm.workers import find_library
+from tripweave.llm.workers import bound_batches, find_library
 from tripweave.session import store
 
 # A text of which a smaller share of n-grams belongs to its likeliest language is in none.
@@ -25,8 +25,12 @@ ROW = "_stage_row"
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones show; texts without letters go."""
-    find_library(spark)
+    """Documents in a language that the labelled ones show; texts that are null or without letters go.
+
+    Rows are judged by their own text: repeated rows and rows without an id stay
+    or go like any other. Without labelled documents no language is known and none stays.
+    """
+    bound_batches(find_library(spark))
     filters = fit_language_filters(docs.where(~held_out(F.col("doc_id"))))
     known = predict_language(docs, filters).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE))
     return known.select(*docs.columns)
@@ -39,7 +43,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stored key, so repeated ids and rows without one are compared like all
     others; a row without doc_id stays only where its group has no other.
     """
-    find_library(spark)
+    bound_batches(find_library(spark))
     keyed = store(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(keyed.select(F.col(ROW).alias("doc_id"), "text"))
     groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(keyed.select(ROW, "doc_id"), ROW)
@@ -50,7 +54,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that occur earlier; texts with none stay as they are."""
-    find_library(spark)
+    bound_batches(find_library(spark))
     cut = remove_repeats(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     changed = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
@@ -58,14 +62,22 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    find_library(spark)
+    """Documents that hold no benchmark item; null and empty texts hold none.
+
+    Repeated rows and rows without an id are judged each by its own text. Without
+    items all stay.
+    """
+    bound_batches(find_library(spark))
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 1024 ids: one row per piece of a document."""
-    find_library(spark)
+    """Sequences of 1024 ids: one row per piece of a document.
+
+    A null text is an empty one, which has its end id only. Repeated rows are
+    packed each, and a row without an id has pieces without one.
+    """
+    bound_batches(find_library(spark))
     return pack_documents(docs, default_path())
 
 
