@@ -44,7 +44,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     others; a row without doc_id stays only where its group has no other.
     """
     bound_batches(find_library(spark))
-    keyed = store(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    keyed = store(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows", "zstd")
     found = near_duplicates(keyed.select(F.col(ROW).alias("doc_id"), "text"))
     groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(keyed.select(ROW, "doc_id"), ROW)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")

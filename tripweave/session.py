@@ -57,14 +57,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` to the work folder and read it back, cutting its lineage.
 
     Row positions drawn while writing stay fixed, whatever is recomputed later.
+    `compression` is a codec other than the session's, as for whole texts.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
