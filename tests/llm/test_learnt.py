@@ -158,6 +158,11 @@ def test_licenses(spark, odd_docs, no_docs):
         7: "...",
         8: "Copyright 2021 X",
         9: "released under the mit license\nReleased under the MIT License.",
+        10: "The MIT License (MIT)\n\nCopyright The Example Project Authors\n" + mit,
+        11: "Copyright Example Holdings International, all of them, 2020\n\n" + mit,
+        12: "© Somebody\n" + mit.replace("copyright notice", "copyright\nnotice"),
+        13: "MIT License\n\n(c) Somebody 1999-2001\n" + mit,
+        14: "(c) of this list\n" + mit,
     }
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {(r.doc_id, r.unit, r.license_id): r.n_found for r in scan_licenses(docs, known).collect()}
@@ -167,6 +172,10 @@ def test_licenses(spark, odd_docs, no_docs):
         (3, "line", "MIT"): 1,
         (4, "sentence", "all-rights-reserved"): 1,
         (9, "line", "MIT"): 2,
+        (10, "text", "MIT"): 1,
+        (11, "text", "MIT"): 1,
+        (12, "text", "MIT"): 1,
+        (13, "text", "MIT"): 1,
     }
     assert scan_licenses(odd_docs, known).count() == 0
     assert scan_licenses(no_docs, known).count() == 0

@@ -102,19 +102,33 @@ THIS SOFTWARE.
 """
 TEXTS = (("MIT", MIT), ("MIT", "MIT License\n" + MIT), ("ISC", ISC), ("ISC", "ISC License\n" + ISC))
 
-# A line that names who holds the copyright, in lower case; "the above copyright
-# notice" and the like don't count.
-_HOLDER = re.compile(r"(?m)^(?:[^\w\n]|_)*(copyright\b[^\n]{0,20}?(\(c\)|©|[0-9]{4})|\(c\)\s*[0-9]{4}|©)[^\n]*$")
+# A line that names who holds the copyright, in lower case: it begins with the word,
+# but not as part of "copyright notice" and the like, or with a sign for it.
+_HOLDER = re.compile(
+    r"(?:[^\w]|_)*(?:copyright\b(?!\s+(?:notice|holder|owner|law|licen[cs]e))|\(c\).*[0-9]{4}|©)"
+)
+# Words that a title line has at most.
+TITLE_WORDS = 4
 _WORD = re.compile(r"[^\W_]+")
 _ENDS = re.compile(r"(?<=[.!?])\s+")
 
 
 def canonical_words(text: str) -> list[str]:
-    """Words of letters and digits in lower case, without holders' lines; equivalent spellings are one."""
-    low = text.lower()
-    if "copyright" in low or "(c)" in low or "©" in low:
-        low = _HOLDER.sub(" ", low)
-    return [SPELLINGS.get(word, word) for word in _WORD.findall(low)]
+    """Words of letters and digits in lower case; equivalent spellings are one.
+
+    Lines that name the holder of the copyright don't count, nor does a title:
+    the first line, if others follow, when it has at most four words and one of
+    them is licence or license.
+    """
+    lines = [_WORD.findall(line) for line in text.lower().split("\n") if not _HOLDER.match(line)]
+    lines = [words for words in lines if words]
+    if len(lines) > 1 and is_title(lines[0]):
+        lines = lines[1:]
+    return [SPELLINGS.get(word, word) for words in lines for word in words]
+
+
+def is_title(words: list[str]) -> bool:
+    return len(words) <= TITLE_WORDS and ("license" in words or "licence" in words)
 
 
 def digest(words: list[str]) -> bytes:
@@ -189,7 +203,7 @@ def _unit_rows(starts: set[str]):
             for i, text in enumerate(batch.column(1)):
                 for unit, part in units(text.as_py()):
                     low = part[:0] if unit != "text" else part.lower()
-                    held = "copyright" in low or "(c)" in low or "©" in low
+                    held = "copyright" in low or "(c)" in low or "©" in low or "licen" in low[:100]
                     if not held and begins(part) not in starts:
                         continue
                     words = canonical_words(part)

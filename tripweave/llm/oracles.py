@@ -241,9 +241,19 @@ def _quoted(text: str) -> str:
 
 
 def _canonical(text: str) -> str:
-    """SQL for the canonical form of a text expression."""
-    holder = r"(?im)^[^\p{L}\p{N}\n]*(copyright\b[^\n]{0,20}?(\(c\)|©|[0-9]{4})|\(c\)\s*[0-9]{4}|©)[^\n]*$"
-    plain = rf"trim(regexp_replace(lower(regexp_replace({text}, '{holder}', ' ', 'g')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    """SQL for the canonical form of a text expression, line by line."""
+    begin = r"^[^\p{L}\p{N}]*"
+    names_holder = (
+        rf"regexp_matches(x, '{begin}(copyright$|copyright[^\p{{L}}\p{{N}}_])') AND NOT "
+        rf"regexp_matches(x, '{begin}copyright\s+(notice|holder|owner|law|license|licence)') "
+        rf"OR regexp_matches(x, '{begin}\(c\).*[0-9][0-9][0-9][0-9]') OR regexp_matches(x, '{begin}©')"
+    )
+    lines = f"list_filter(string_split(lower({text}), chr(10)), lambda x: NOT ({names_holder}))"
+    words = rf"list_transform({lines}, lambda x: trim(regexp_replace(x, '[^\p{{L}}\p{{N}}]+', ' ', 'g')))"
+    full = f"list_filter({words}, lambda x: x <> '')"
+    first = f"string_split({full}[1], ' ')"
+    titled = f"len({full}) > 1 AND len({first}) <= 4 AND (list_contains({first}, 'license') OR list_contains({first}, 'licence'))"
+    plain = f"array_to_string(CASE WHEN {titled} THEN {full}[2:] ELSE {full} END, ' ')"
     spellings = ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in SPELLINGS.items())
     return (
         f"array_to_string(list_transform(string_split({plain}, ' '), "
