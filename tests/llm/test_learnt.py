@@ -138,6 +138,9 @@ def test_contamination_of_odd_texts(spark, odd_rows, odd_docs, no_docs):
     got = {(r.doc_id, r.item_id) for r in found.collect()}
     want = brute.contained(odd_rows, [(1, texts[11]), (4, "two words"), (5, texts[70])], 5, 80)
     assert got == set(want)
+    words = {(r.doc_id, r.item_id): (r.first_word, r.last_word) for r in found.collect()}
+    assert words[5, 4] == words[6, 4] == (0, 1)
+    assert words[11, 1] == (0, len(texts[11].split()) - 1)
     left = {r.doc_id for r in drop_contaminated(odd_docs, items).collect()}
     assert left == set(texts) - {doc for doc, _ in want}
     assert drop_contaminated(odd_docs, items).columns == odd_docs.columns

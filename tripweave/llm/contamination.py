@@ -187,8 +187,12 @@ def _search(index: ItemIndex):
         for batch in batches:
             ids, at, rows = batch.column(0).to_pylist(), 0, []
             for group in text_groups(batch.column(1).to_pylist()):
-                for text, item, common, size, first, last in index.find(*shingle_runs(group)):
-                    rows.append((ids[at + text], int(index.ids[item]), common, size, first, last + SHINGLE - 1))
+                runs, places = shingle_runs(group)
+                for text, item, common, size, first, last in index.find(runs, places):
+                    # The only run of a text may have fewer words.
+                    only = places[text + 1] - places[text] == 1
+                    words = len(Letters([group[text]], digits=True).words()[0]) if only else last + SHINGLE
+                    rows.append((ids[at + text], int(index.ids[item]), common, size, first, min(last + SHINGLE, words) - 1))
                 at += len(group)
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(

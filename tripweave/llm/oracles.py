@@ -66,14 +66,17 @@ sets AS (
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
     FROM words
 ),
-places AS (SELECT kind, id, unnest(s) AS item, generate_subscripts(s, 1) - 1 AS at FROM sets),
+places AS (
+    SELECT kind, id, unnest(s) AS item, generate_subscripts(s, 1) - 1 AS at,
+           least(generate_subscripts(s, 1) + 4, n_words) - 1 AS upto FROM sets
+),
 sizes AS (SELECT id, count(DISTINCT item) AS n_item FROM places WHERE kind = 'item' GROUP BY id),
 found AS (
-    SELECT d.id AS doc_id, i.id AS item_id, count(DISTINCT d.item) AS n_common, min(d.at) AS first_word, max(d.at) AS last
+    SELECT d.id AS doc_id, i.id AS item_id, count(DISTINCT d.item) AS n_common, min(d.at) AS first_word, max(d.upto) AS last_word
     FROM places d JOIN (SELECT DISTINCT id, item FROM places WHERE kind = 'item') i ON i.item = d.item
     WHERE d.kind = 'doc' GROUP BY 1, 2
 )
-SELECT doc_id, item_id, n_common, n_item, first_word, last + 4 AS last_word, n_common / n_item AS containment
+SELECT doc_id, item_id, n_common, n_item, first_word, last_word, n_common / n_item AS containment
 FROM found JOIN sizes ON id = item_id WHERE 100 * n_common >= 80 * n_item
 """
 
