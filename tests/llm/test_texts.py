@@ -277,12 +277,29 @@ def test_language_model_backs_off_level_by_level(spark, odd_docs, odd_rows, orde
         assert got[doc].log_score == pytest.approx(log_score, abs=1e-6)
 
 
-def test_counts_survive_packing():
-    rng = np.random.RandomState(0)
-    grams = np.unique(rng.randint(0, 1 << 62, 1000).astype(np.uint64))
-    assert (language_model._unpack(language_model._pack(grams)) == grams).all()
-    counts = rng.choice([1, 2, 254, 255, 256, 10**12], 500)
-    assert (language_model._unpack_counts(language_model._pack_counts(counts), 500) == counts).all()
+@pytest.mark.parametrize("chunk_bytes", [1, 40, 1 << 20])
+def test_language_model_is_the_same_in_any_blocks(spark, chunk_bytes):
+    rng = np.random.RandomState(3)
+    rows = [(i // 2, " ".join(rng.choice(["a", "b", "C", "c", "dd"], rng.randint(0, 30)))) for i in range(60)]
+    rows += [(None, "a b c a b c"), (None, "a b c a b c"), (None, None), (7, rows[4][1]), (7, rows[4][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_extra.backoff_scores({i: brute.words(text, lower=True) for i, (_, text) in enumerate(rows)}, 3)
+    want = sorted((-1 if doc is None else doc, n, b, round(s, 6)) for (doc, _), (n, b, s) in zip(rows, want.values(), strict=True))
+    found = score_documents(docs, order=3, chunk_bytes=chunk_bytes).collect()
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_backed_off, round(r.log_score, 6)) for r in found)
+    assert [row[:3] for row in got] == [row[:3] for row in want]
+    assert [row[3] for row in got] == pytest.approx([row[3] for row in want], abs=2e-6)
+
+
+def test_language_model_reads_one_exchange_twice(spark, odd_docs):
+    chunks = odd_docs.mapInArrow(language_model._chunks(1000), language_model.CHUNKS)
+    with language_model._counting(spark):
+        told = language_model._told(chunks, 2, 4)
+        told.collect()
+        plan = told._jdf.queryExecution().executedPlan().toString()
+    started = plan.split("== Initial Plan ==")[1]
+    assert started.count("Exchange hashpartitioning(part") == 2
+    assert "ShuffledHashJoin" in started
 
 
 def test_digest_of_ids_is_crc32(spark):

@@ -1,14 +1,19 @@
-"""Stupid-backoff scores of documents, from counts over the corpus."""
+"""Stupid-backoff scores of documents, from count tables over the corpus."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm.text import Block, blocks, count_words, run_hashes
+from tripweave.llm.text import Block, blocks, count_words, large_binary, run_hashes
+from tripweave.llm.workers import bound_batches, find_library
+from tripweave.session import store
 
 # Weight of a shorter n-gram.
 BACKOFF = 0.4
@@ -16,11 +21,28 @@ BACKOFF = 0.4
 # Words of the longest n-gram, unless the caller names another number.
 ORDER = 2
 
-COUNTS = "shard int, bucket int, grams binary, counts binary"
+# Bytes of the documents of a block; a longer document is a block of its own.
+CHUNK_BYTES = 4 << 20
+
+# Words of the corpus for each partition of a count table, and parts that meet in one.
+PARTITION_WORDS = 4_000_000
+PARTS = 4
+
+# While a count table is made: what a job shuffled goes from the disks when it ends, as its result is
+# stored, and rows that lie together by part are joined and grouped where they are.
+COUNTING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
+CHUNKS = "block long, n_words long, ids array<long>, texts array<binary>"
+ASKED = "part int, block long, grams array<long>, counts array<int>"
 SCORES = "doc_id long, n_words long, n_backed_off long, log_score double"
 
 
-def score_documents(docs: DataFrame, backoff: float = BACKOFF, order: int = ORDER) -> DataFrame:
+def score_documents(
+    docs: DataFrame, backoff: float = BACKOFF, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
     """How likely each document is by the n-grams of all others, of up to `order` words.
 
     `docs` has doc_id and text. Words are runs of characters other than ASCII
@@ -37,193 +59,202 @@ def score_documents(docs: DataFrame, backoff: float = BACKOFF, order: int = ORDE
     those without words have no words, a sum of 0 and a null mean. Rows that
     share a doc_id are documents of their own; null ids stay.
 
-    Documents are dealt to shards. Each shard's distinct n-grams go, with
-    their counts in it, to the part of the count tables that their hash names;
-    there counts are summed over shards and returned to the shards that
-    asked, where the n-grams of each document are scored and summed. Frequent
-    n-grams take a row a shard at most. Hashes of a shard and part travel
-    together, sorted, as differences.
+    Whole documents are stored in blocks of about `chunk_bytes`. For one
+    length of n-grams after the other, a block's distinct n-grams and their
+    counts in it go to the part that their hash names. There they are
+    exploded into rows, summed to that part's count table and joined with it;
+    only n-grams that several blocks hold have an answer, since a block knows
+    the rest. Each block's answers then meet its documents, whose scores are
+    summed. The commonest n-gram takes a row a block.
     """
     if order < 1:
         raise ValueError("order must be 1 or more")
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    given = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("shard"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-    ).repartition(n, "shard")
-    asked = given.groupBy("shard").applyInArrow(_ask(n, order), COUNTS)
-    told = asked.groupBy("bucket").applyInArrow(_total, COUNTS)
+    spark = bound_batches(find_library(docs.sparkSession))
+    given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    chunks = store(given.mapInArrow(_chunks(chunk_bytes), CHUNKS), "blocks", "zstd")
+    words = chunks.agg(F.sum("n_words")).first()[0] or 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // PARTITION_WORDS))
+    told = None
+    for size in range(1, order + 1):
+        with _counting(spark):
+            found = store(_told(chunks, size, partitions), f"counts-{size}").withColumn("size", F.lit(size))
+        told = found if told is None else told.unionByName(found)
     scored = (
-        given.groupBy("shard")
-        .cogroup(told.groupBy("shard"))
-        .applyInArrow(_score(n, backoff, order, _corpus_words(docs)), SCORES)
+        chunks.select("block", "ids", "texts")
+        .groupBy("block")
+        .cogroup(told.groupBy("block"))
+        .applyInArrow(_score(partitions * PARTS, backoff, order, words), SCORES)
     )
     mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
     return scored.withColumn("mean_log_score", mean)
 
 
-def _corpus_words(docs: DataFrame) -> int:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([count_words(batch.column(0))], pa.int64())], names=["n"])
-
-    return docs.select("text").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
+@contextmanager
+def _counting(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in COUNTING}
+    try:
+        for key, value in COUNTING.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
-def block_grams(block: Block, order: int) -> list[np.ndarray]:
-    """For each length up to `order`, a hash of the n-gram of its document that ends at each word.
+def _told(chunks: DataFrame, size: int, partitions: int) -> DataFrame:
+    """For each block and part, which of its n-grams there other blocks hold too, and their counts over all.
 
-    It is zero for words with too few before them.
+    Both sides of the join read one exchange, that by parts.
     """
-    place = np.arange(len(block.words)) - np.repeat(block.first[:-1], block.counts)
-    grams = []
-    for size in range(1, order + 1):
-        ending = np.zeros(len(block.words), np.uint64)
-        ending[size - 1 :] = run_hashes(block.words, size)
-        ending[place < size - 1] = 0
-        grams.append(ending)
-    return grams
-
-
-def _bucket(grams: np.ndarray, n: int) -> np.ndarray:
-    """Ascending ranges of hashes, so that sorted hashes fall into runs."""
-    return (grams >> np.uint64(32)).astype(np.int64) * n >> 32
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """Sorted hashes as differences of as many bytes as the largest takes."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([width]) + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    width = data[0]
-    steps = np.zeros(((len(data) - 1) // width, 8), np.uint8)
-    steps[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
-    return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
-
-
-def _pack_counts(counts: np.ndarray) -> bytes:
-    """Counts as bytes; 255 stands for a larger one, which follows in full."""
-    large = counts >= 255
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[large].astype("<u8").tobytes()
-
-
-def _unpack_counts(data: bytes, n: int) -> np.ndarray:
-    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(data, "<u8", offset=n).astype(np.int64)
-    return counts
-
-
-def _shard_blocks(table: pa.Table) -> Iterator[tuple[int, Block]]:
-    at = 0
-    for batch in table.to_batches():
-        for block in blocks(batch.column("text"), lower=True):
-            yield at, block
-        at += batch.num_rows
-
-
-def _shard_counts(table: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """A shard's distinct n-grams in order, and their counts."""
-    kept = []
-    for _, block in _shard_blocks(table):
-        grams = np.concatenate(block_grams(block, order))
-        kept.append(np.unique(grams[grams != 0], return_counts=True))
-    if not kept:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    grams, counts = (np.concatenate(part) for part in zip(*kept, strict=True))
-    order = np.argsort(grams, kind="stable")
-    grams, counts = grams[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, int)
-    return grams[first], np.add.reduceat(counts, first) if len(first) else counts
-
-
-def _count_table(shards, buckets, grams: list[bytes], counts: list[bytes]) -> pa.Table:
-    return pa.table(
-        {
-            "shard": pa.array(shards, pa.int32()),
-            "bucket": pa.array(buckets, pa.int32()),
-            "grams": pa.array(grams, pa.binary()),
-            "counts": pa.array(counts, pa.binary()),
-        }
+    asked = chunks.select("block", "texts").mapInArrow(_ask(size, partitions * PARTS), ASKED)
+    parts = asked.repartition(partitions, "part")
+    grams = parts.select("part", "block", "counts", F.posexplode("grams").alias("place", "gram")).select(
+        "part", "block", "place", "gram", F.col("counts")[F.col("place")].alias("n")
+    )
+    counts = grams.groupBy("part", "gram").agg(F.sum("n").alias("total"), F.count("block").alias("holders"))
+    known = counts.where("holders > 1").select("part", "gram", "total").hint("shuffle_hash")
+    return (
+        grams.join(known, ["part", "gram"])
+        .where(F.col("total") > F.col("n"))
+        .groupBy("part", "block")
+        .agg(F.collect_list("place").alias("places"), F.collect_list("total").alias("totals"))
     )
 
 
-def _ask(n: int, order: int):
-    def ask(key: tuple, table: pa.Table) -> pa.Table:
-        grams, counts = _shard_counts(table, order)
-        edges = np.searchsorted(_bucket(grams, n), np.arange(n + 1))
-        full = np.flatnonzero(np.diff(edges))
-        spans = [slice(edges[i], edges[i + 1]) for i in full]
-        return _count_table(
-            [key[0].as_py()] * len(full), full, [_pack(grams[s]) for s in spans], [_pack_counts(counts[s]) for s in spans]
-        )
+def _chunks(size: int):
+    """Rows of whole documents of about `size` bytes together."""
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            texts = large_binary(batch.column(1))
+            ends = np.cumsum(_lengths(texts))
+            row = 0
+            while row < batch.num_rows:
+                done = ends[row - 1] if row else 0
+                stop = min(max(int(np.searchsorted(ends, done + size, side="right")), row + 1), batch.num_rows)
+                own = texts.slice(row, stop - row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block], pa.int64()),
+                        pa.array([count_words(own)], pa.int64()),
+                        _lists(batch.column(0).slice(row, stop - row), [0, stop - row]),
+                        _lists(own.cast(pa.binary()), [0, stop - row]),
+                    ],
+                    names=["block", "n_words", "ids", "texts"],
+                )
+                block += 1
+                row = stop
+
+    return chunks
+
+
+def _lengths(texts: pa.Array) -> np.ndarray:
+    return np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1])
+
+
+def _lists(values: pa.Array, edges) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
+
+
+def _ask(size: int, n: int):
+    """A block's distinct n-grams of `size` words with their counts in it, by parts."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, block in enumerate(batch.column("block").to_pylist()):
+                grams = np.concatenate([gram_hashes(held, size) for held in _held(batch.column("texts"), row)])
+                grams, counts = np.unique(grams[grams != 0], return_counts=True)
+                edges = _edges(grams, n)
+                full = np.flatnonzero(np.diff(edges))
+                edges = np.append(edges[full], len(grams))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(full, pa.int32()),
+                        pa.array(np.full(len(full), block), pa.int64()),
+                        _lists(pa.array(grams.view(np.int64)), edges),
+                        _lists(pa.array(counts, pa.int32()), edges),
+                    ],
+                    names=["part", "block", "grams", "counts"],
+                )
 
     return ask
 
 
-def _total(key: tuple, table: pa.Table) -> pa.Table:
-    """Counts over all shards, for each shard's n-grams of this part."""
-    shards = table.column("shard").to_pylist()
-    grams = [_unpack(data) for data in table.column("grams").to_pylist()]
-    counts = [
-        _unpack_counts(data, len(own)) for data, own in zip(table.column("counts").to_pylist(), grams, strict=True)
-    ]
-    known, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)[inverse]
-    parts = np.split(total, np.cumsum([len(own) for own in grams])[:-1])
-    return _count_table(shards, [key[0].as_py()] * len(shards), [b""] * len(shards), [_pack_counts(p) for p in parts])
+def _held(texts: pa.Array | pa.ChunkedArray, row: int) -> Iterator[Block]:
+    return blocks(texts[row].values, lower=True)
 
 
-def _score(n: int, backoff: float, order: int, corpus_words: int):
-    def score(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
-        grams, _ = _shard_counts(docs, order)
-        edges = np.searchsorted(_bucket(grams, n), np.arange(n + 1))
-        totals = np.zeros(len(grams), np.int64)
-        for bucket, data in zip(told.column("bucket").to_pylist(), told.column("counts").to_pylist(), strict=True):
-            span = slice(edges[bucket], edges[bucket + 1])
-            totals[span] = _unpack_counts(data, span.stop - span.start)
-        out = []
-        for at, block in _shard_blocks(docs):
-            found = [np.searchsorted(grams, ending) for ending in block_grams(block, order)]
-            for i, row in enumerate(block.rows):
-                span = slice(block.first[i], block.first[i + 1])
-                ids = docs.column("doc_id")[at + row].as_py()
-                own = [rows_of[span][shorter:] for shorter, rows_of in enumerate(found)]
-                out.append((ids, *_document(totals, own, corpus_words, backoff)))
-        columns = list(zip(*out, strict=True)) or [[]] * 4
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
-        names = [field.split()[0] for field in SCORES.split(", ")]
-        return pa.table({name: pa.array(c, kind) for name, c, kind in zip(names, columns, kinds, strict=True)})
+def gram_hashes(block: Block, size: int) -> np.ndarray:
+    """A hash of the n-gram of its document that ends at each word; zero for words with too few before them."""
+    ending = np.zeros(len(block.words), np.uint64)
+    ending[size - 1 :] = run_hashes(block.words, size)
+    ending[_places(block) < size - 1] = 0
+    return ending
 
-    return score
 
+def _places(block: Block) -> np.ndarray:
+    """Each word's number within its document."""
+    return np.arange(len(block.words)) - np.repeat(block.first[:-1], block.counts)
 
-def _document(totals, grams: list[np.ndarray], corpus_words: int, backoff: float) -> tuple[int, int, float]:
-    """Words, backed-off words and log score of one document, by counts without its own.
 
-    `grams` has the rows of the document's n-grams of each length, in order of their first words.
-    """
-    n = len(grams[0])
-    if not n:
-        return 0, 0, 0.0
-    before = _less_own(totals, grams[0])
-    score = np.log(np.maximum(before, 1) / max(corpus_words - n, 1))
-    backed_off = np.zeros(n, bool)
-    for shorter in range(1, min(len(grams), n)):
-        together = _less_own(totals, grams[shorter])
-        known = together > 0
-        score[shorter:] = np.where(
-            known, np.log(np.maximum(together, 1) / np.maximum(before[:-1], 1)), np.log(backoff) + score[shorter:]
+def _edges(grams: np.ndarray, n: int) -> np.ndarray:
+    """Where each part's n-grams begin among sorted ones: parts are ascending ranges of hashes."""
+    return np.searchsorted((grams >> np.uint64(32)).astype(np.int64) * n >> 32, np.arange(n + 1))
+
+
+def _score(n: int, backoff: float, order: int, corpus_words: int):
+    def score(key: tuple, given: pa.Table, told: pa.Table) -> pa.Table:
+        ids = given.column("ids")[0].values if given.num_rows else pa.array([], pa.int64())
+        held = list(_held(given.column("texts"), 0)) if given.num_rows else []
+        counts = [_others(held, size, n, told.filter(pc.field("size") == size)) for size in range(1, order + 1)]
+        rows, at = [], 0
+        for block in held:
+            span = slice(at, at + len(block.words))
+            rows.append(_document_scores(block, [c[span] for c in counts], corpus_words, backoff))
+            at = span.stop
+        n_words, backed_off, sums = (np.concatenate(part) for part in zip(*rows, strict=True)) if rows else ([], [], [])
+        return pa.table(
+            {
+                "doc_id": ids,
+                "n_words": pa.array(n_words, pa.int64()),
+                "n_backed_off": pa.array(backed_off, pa.int64()),
+                "log_score": pa.array(sums, pa.float64()),
+            }
         )
-        backed_off[shorter:] = ~known
-        before = together
-    return n, int(np.count_nonzero(backed_off)), float(score[0] + score[1:].sum())
+
+    return score
 
 
-def _less_own(totals: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    _, inverse, counts = np.unique(rows, return_inverse=True, return_counts=True)
-    return totals[rows] - counts[inverse]
+def _others(held: list[Block], size: int, n: int, told: pa.Table) -> np.ndarray:
+    """How often the n-gram that ends at each word of a block is in other documents; zero where none ends."""
+    grams = np.concatenate([gram_hashes(block, size) for block in held]) if held else np.zeros(0, np.uint64)
+    ends = np.flatnonzero(grams)
+    known, which, totals = np.unique(grams[ends], return_inverse=True, return_counts=True)
+    edges = _edges(known, n)
+    for part, places, over_all in zip(told.column("part"), told.column("places"), told.column("totals"), strict=True):
+        totals[edges[part.as_py()] + places.values.to_numpy()] = over_all.values.to_numpy()
+    documents = np.repeat(np.arange(sum(len(block.rows) for block in held)), np.concatenate([[], *(b.counts for b in held)]).astype(np.int64))
+    _, same, own = np.unique(documents[ends] * max(len(known), 1) + which, return_inverse=True, return_counts=True)
+    others = np.zeros(len(grams), np.int64)
+    others[ends] = totals[which] - own[same]
+    return others
+
+
+def _document_scores(
+    block: Block, others: list[np.ndarray], corpus_words: int, backoff: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, backed-off words and log scores of a block's documents, by counts without their own."""
+    place, words = _places(block), block.counts
+    score = np.log(np.maximum(others[0], 1) / np.repeat(np.maximum(corpus_words - words, 1), words))
+    backed_off = np.zeros(len(score), bool)
+    for shorter in range(1, len(others)):
+        asked = place >= shorter
+        known = asked & (others[shorter] > 0)
+        before = np.roll(others[shorter - 1], 1)
+        longer = np.log(np.maximum(others[shorter], 1) / np.maximum(before, 1))
+        score = np.where(known, longer, np.where(asked, np.log(backoff) + score, score))
+        backed_off = np.where(asked, ~known, backed_off)
+    owner = np.repeat(np.arange(len(words)), words)
+    sums = np.bincount(owner, score, len(words))
+    return words, np.bincount(owner, backed_off, len(words)).astype(np.int64), sums
