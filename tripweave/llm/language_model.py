@@ -35,7 +35,7 @@ COUNTING = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
-CHUNKS = "block long, n_words long, ids array<long>, texts array<binary>"
+CHUNKS = "block long, n_words long, held binary"
 ASKED = "part int, block long, grams array<long>, counts array<int>"
 SCORES = "doc_id long, n_words long, n_backed_off long, log_score double"
 
@@ -71,7 +71,7 @@ def score_documents(
         raise ValueError("order must be 1 or more")
     spark = bound_batches(find_library(docs.sparkSession))
     given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    chunks = store(given.mapInArrow(_chunks(chunk_bytes), CHUNKS), "blocks", "zstd")
+    chunks = store(given.mapInArrow(_chunks(chunk_bytes), CHUNKS), "blocks")
     words = chunks.agg(F.sum("n_words")).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // PARTITION_WORDS))
     told = None
@@ -80,7 +80,7 @@ def score_documents(
             found = store(_told(chunks, size, partitions), f"counts-{size}").withColumn("size", F.lit(size))
         told = found if told is None else told.unionByName(found)
     scored = (
-        chunks.select("block", "ids", "texts")
+        chunks.select("block", "held")
         .groupBy("block")
         .cogroup(told.groupBy("block"))
         .applyInArrow(_score(partitions * PARTS, backoff, order, words), SCORES)
@@ -106,7 +106,7 @@ def _told(chunks: DataFrame, size: int, partitions: int) -> DataFrame:
 
     Both sides of the join read one exchange, that by parts.
     """
-    asked = chunks.select("block", "texts").mapInArrow(_ask(size, partitions * PARTS), ASKED)
+    asked = chunks.select("block", "held").mapInArrow(_ask(size, partitions * PARTS), ASKED)
     parts = asked.repartition(partitions, "part")
     grams = parts.select("part", "block", "counts", F.posexplode("grams").alias("place", "gram")).select(
         "part", "block", "place", "gram", F.col("counts")[F.col("place")].alias("n")
@@ -122,7 +122,7 @@ def _told(chunks: DataFrame, size: int, partitions: int) -> DataFrame:
 
 
 def _chunks(size: int):
-    """Rows of whole documents of about `size` bytes together."""
+    """Rows of whole documents of about `size` bytes together, which are held compressed."""
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -138,10 +138,9 @@ def _chunks(size: int):
                     [
                         pa.array([block], pa.int64()),
                         pa.array([count_words(own)], pa.int64()),
-                        _lists(batch.column(0).slice(row, stop - row), [0, stop - row]),
-                        _lists(own.cast(pa.binary()), [0, stop - row]),
+                        pa.array([_packed(batch.column(0).slice(row, stop - row), own)], pa.binary()),
                     ],
-                    names=["block", "n_words", "ids", "texts"],
+                    names=["block", "n_words", "held"],
                 )
                 block += 1
                 row = stop
@@ -149,6 +148,20 @@ def _chunks(size: int):
     return chunks
 
 
+def _packed(ids: pa.Array, texts: pa.Array) -> bytes:
+    rows = pa.RecordBatch.from_arrays([ids, texts], names=["id", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(held: bytes) -> tuple[pa.ChunkedArray, list[Block]]:
+    """The ids of a row of documents, and their texts in blocks for hashing."""
+    rows = pa.ipc.open_stream(held).read_all()
+    return rows.column("id"), list(blocks(rows.column("text"), lower=True))
+
+
 def _lengths(texts: pa.Array) -> np.ndarray:
     return np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1])
 
@@ -162,8 +175,9 @@ def _ask(size: int, n: int):
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, block in enumerate(batch.column("block").to_pylist()):
-                grams = np.concatenate([gram_hashes(held, size) for held in _held(batch.column("texts"), row)])
+            for block, held in zip(*(batch.column(name).to_pylist() for name in ("block", "held")), strict=True):
+                _, own = _unpacked(held)
+                grams = np.concatenate([gram_hashes(part, size) for part in own])
                 grams, counts = np.unique(grams[grams != 0], return_counts=True)
                 edges = _edges(grams, n)
                 full = np.flatnonzero(np.diff(edges))
@@ -181,10 +195,6 @@ def _ask(size: int, n: int):
     return ask
 
 
-def _held(texts: pa.Array | pa.ChunkedArray, row: int) -> Iterator[Block]:
-    return blocks(texts[row].values, lower=True)
-
-
 def gram_hashes(block: Block, size: int) -> np.ndarray:
     """A hash of the n-gram of its document that ends at each word; zero for words with too few before them."""
     ending = np.zeros(len(block.words), np.uint64)
@@ -205,18 +215,17 @@ def _edges(grams: np.ndarray, n: int) -> np.ndarray:
 
 def _score(n: int, backoff: float, order: int, corpus_words: int):
     def score(key: tuple, given: pa.Table, told: pa.Table) -> pa.Table:
-        ids = given.column("ids")[0].values if given.num_rows else pa.array([], pa.int64())
-        held = list(_held(given.column("texts"), 0)) if given.num_rows else []
+        ids, held = _unpacked(given.column("held")[0].as_py())
         counts = [_others(held, size, n, told.filter(pc.field("size") == size)) for size in range(1, order + 1)]
         rows, at = [], 0
         for block in held:
             span = slice(at, at + len(block.words))
             rows.append(_document_scores(block, [c[span] for c in counts], corpus_words, backoff))
             at = span.stop
-        n_words, backed_off, sums = (np.concatenate(part) for part in zip(*rows, strict=True)) if rows else ([], [], [])
+        n_words, backed_off, sums = (np.concatenate(part) for part in zip(*rows, strict=True))
         return pa.table(
             {
-                "doc_id": ids,
+                "doc_id": ids.combine_chunks(),
                 "n_words": pa.array(n_words, pa.int64()),
                 "n_backed_off": pa.array(backed_off, pa.int64()),
                 "log_score": pa.array(sums, pa.float64()),
@@ -228,13 +237,14 @@ def _score(n: int, backoff: float, order: int, corpus_words: int):
 
 def _others(held: list[Block], size: int, n: int, told: pa.Table) -> np.ndarray:
     """How often the n-gram that ends at each word of a block is in other documents; zero where none ends."""
-    grams = np.concatenate([gram_hashes(block, size) for block in held]) if held else np.zeros(0, np.uint64)
+    grams = np.concatenate([gram_hashes(block, size) for block in held])
     ends = np.flatnonzero(grams)
     known, which, totals = np.unique(grams[ends], return_inverse=True, return_counts=True)
     edges = _edges(known, n)
     for part, places, over_all in zip(told.column("part"), told.column("places"), told.column("totals"), strict=True):
         totals[edges[part.as_py()] + places.values.to_numpy()] = over_all.values.to_numpy()
-    documents = np.repeat(np.arange(sum(len(block.rows) for block in held)), np.concatenate([[], *(b.counts for b in held)]).astype(np.int64))
+    words = np.concatenate([block.counts for block in held])
+    documents = np.repeat(np.arange(len(words)), words)
     _, same, own = np.unique(documents[ends] * max(len(known), 1) + which, return_inverse=True, return_counts=True)
     others = np.zeros(len(grams), np.int64)
     others[ends] = totals[which] - own[same]
