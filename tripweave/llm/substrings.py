@@ -1,4 +1,4 @@
-"""Removal of repeated passages, by grouping sampled suffixes on keys of 20 words."""
+"""Removal of repeated passages, by suffix trees of groups of suffixes that share a prefix."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tripweave.llm.text import Block, blocks, mix, run_hashes
+from tripweave.llm.workers import find_library
 from tripweave.session import store
 
 WINDOW = 20
@@ -17,16 +18,20 @@ WINDOW = 20
 PREFIX = 8
 INNER = WINDOW - PREFIX
 
-# Suffixes with one short prefix that a task holds as one group; with more, the prefix is a whole window.
+# Suffixes of one tree, which a task holds at once. A prefix that more suffixes share is lengthened to a
+# whole window, whose suffixes are one leaf and need no tree.
 TREE_ROWS = 4096
 
-# A row without doc_id sorts before all others.
+# Length of the prefix of a row that no tree has to judge: its windows are known repeats.
+KNOWN = 0
+
+# A row without doc_id sorts as this one.
 NO_ID = -(1 << 63)
 
 ADDED = ("n_words", "n_removed", "kept")
 # Rows of one doc are told apart by text_hash throughout.
 ANCHORS = "prefix long, doc long, text_hash long, place int"
-SUFFIXES = "prefix long, known boolean, doc long, text_hash long, place int, offsets int, around binary"
+SUFFIXES = "prefix long, length int, doc long, text_hash long, place int, offsets int, around binary"
 REPEATS = "doc long, text_hash long, place int, offsets int"
 
 
@@ -74,24 +79,28 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     earlier in the same one. Windows are judged on the texts as given.
 
     Adds n_words, n_removed and kept, the remaining words joined by one space,
-    in place of any columns of these names. A null text has no words; a null doc_id counts as the smallest. Rows that
-    share a doc_id stand at the same place in the order: a window at the same
-    position of two of them repeats neither. Windows are compared by 64-bit
-    hashes of prefixes and 32-bit hashes of the words around them.
+    in place of any columns of these names. A null text has no words; a null
+    doc_id counts as the smallest, -2^63. Rows that share a doc_id stand at the
+    same place in the order: a window at the same position of two of them
+    repeats neither. Windows are compared by 64-bit hashes of prefixes and
+    32-bit hashes of the words around them.
 
     Suffixes are cut down to those that begin with the least prefix of some
-    window (one in seven). Prefixes that occur once go no further. The others'
-    suffixes are grouped by prefix: by 8 words, or, where so many suffixes
-    share those that one task shouldn't hold them, by the window's 20 words,
-    of which each task sends the earliest only. Within a group, suffixes are
-    compared on keys of 20 words for each of the 13 offsets; no tree is built.
+    window (one in seven), and prefixes that occur once go no further. The
+    others' suffixes are split into groups by prefixes of two lengths: 8 words
+    or, where more than `TREE_ROWS` suffixes share those, the 20 words of a
+    window. Each group of 8 is a suffix tree, and a second one of the words
+    before the prefix, read backwards; see `SuffixTree`. A group of 20 is a
+    leaf, however many suffixes it has: the earliest comes first, the others
+    pass by, and each block of text sends its earliest only.
     """
-    extra = [field for field in docs.schema.fields if field.name not in ("doc_id", "text", *ADDED)]
+    find_library(docs.sparkSession)
+    kept = [field.name for field in docs.schema.fields if field.name not in ("text", *ADDED)]
     given = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64("text").alias("text_hash"),
         "text",
-        F.struct(*[F.col(f"`{field.name}`") for field in extra] or [F.lit(True).alias("none")]).alias("rest"),
+        F.struct(*[F.col(f"`{name}`") for name in kept]).alias("rest"),
     )
     anchors = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), "text"
@@ -107,22 +116,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     suffixes = given.join(places, ["doc", "text_hash"]).select("doc", "text_hash", "text", "places", "rest").mapInArrow(_suffix_rows, SUFFIXES)
     repeats = (
         suffixes.repartition("prefix")
-        .sortWithinPartitions("prefix")
+        .sortWithinPartitions("prefix", "length", "doc", "place")
         .mapInArrow(_subtrees, REPEATS)
         .groupBy("doc", "text_hash")
         .agg(F.collect_set(F.struct("place", "offsets")).alias("repeats"))
     )
     joined = given.join(repeats, ["doc", "text_hash"], "left").select("doc", "text_hash", "text", "repeats", "rest")
-    result = T.StructType([given.schema["doc"], given.schema["text"]])
+    result = T.StructType([given.schema["text"]])
     result.add("n_words", "long").add("n_removed", "long").add("kept", "string").add(given.schema["rest"])
     shown = [
-        F.expr(f"nullif(doc, {NO_ID})").alias("doc_id")
-        if name == "doc_id"
-        else F.col("text")
-        if name == "text"
-        else F.col("rest").getField(name).alias(name)
-        for name in docs.columns
-        if name not in ADDED
+        F.col("text") if name == "text" else F.col("rest").getField(name).alias(name) for name in docs.columns if name not in ADDED
     ]
     return joined.mapInArrow(_cut_rows, result).select(*shown, *ADDED)
 
@@ -180,7 +183,7 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bits = (2 << (place - low)) - (1 << (place - high))
                 yield _suffix_batch(
                     found.prefix[short],
-                    np.zeros(len(short), bool),
+                    PREFIX,
                     doc_of[found.doc[short]],
                     texts[found.doc[short]],
                     inner[short],
@@ -206,7 +209,7 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = order[~gone]
                 yield _suffix_batch(
                     windows[first].view(np.int64),
-                    np.zeros(len(first), bool),
+                    WINDOW,
                     doc_of[owner[first]],
                     texts[owner[first]],
                     inside[first],
@@ -221,7 +224,7 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     spread = mix(texts[found.doc[hit]].view(np.uint64) + hit.astype(np.uint64))
                     yield _suffix_batch(
                         spread.view(np.int64),
-                        np.ones(len(hit), bool),
+                        KNOWN,
                         doc_of[found.doc[hit]],
                         texts[found.doc[hit]],
                         inner[hit],
@@ -238,7 +241,7 @@ def _around(block: Block, place: np.ndarray) -> np.ndarray:
     return np.concatenate([before[place], before[place + INNER + PREFIX]], axis=1)
 
 
-def _suffix_batch(prefix, known, doc, text_hash, place, offsets, around) -> pa.RecordBatch:
+def _suffix_batch(prefix, length, doc, text_hash, place, offsets, around) -> pa.RecordBatch:
     n = len(prefix)
     if around is None:
         data = pa.array([b""] * n, pa.binary())
@@ -249,7 +252,7 @@ def _suffix_batch(prefix, known, doc, text_hash, place, offsets, around) -> pa.R
     return pa.RecordBatch.from_arrays(
         [
             pa.array(prefix, pa.int64()),
-            pa.array(known, pa.bool_()),
+            pa.array(np.full(n, length, np.int32)),
             pa.array(doc, pa.int64()),
             pa.array(text_hash, pa.int64()),
             pa.array(place.astype(np.int32)),
@@ -261,68 +264,123 @@ def _suffix_batch(prefix, known, doc, text_hash, place, offsets, around) -> pa.R
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Find the repeats of each prefix of a sorted partition; only the last one waits for more rows."""
+    """Find the repeats of each group of a sorted partition.
+
+    Only a last group of short prefixes, of `TREE_ROWS` at most, waits for more
+    rows; of a last window, its earliest place is kept.
+    """
     waiting: pa.Table | None = None
+    earliest = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         if waiting is not None:
             rows = pa.concat_tables([waiting, rows]).combine_chunks()
-        prefixes = rows.column("prefix").to_numpy()
-        if not len(prefixes):
+            waiting = None
+        if not len(rows):
             continue
-        cut = int(np.searchsorted(prefixes, prefixes[-1]))
-        waiting = rows.slice(cut)
-        if cut:
-            yield _repeats(rows.slice(0, cut))
-    if waiting is not None and len(waiting):
-        yield _repeats(waiting)
-
-
-def _repeats(rows: pa.Table) -> pa.RecordBatch:
-    """Windows of equal keys of 20 words, but the earliest of each key.
+        prefix, length = rows.column("prefix").to_numpy(), rows.column("length").to_numpy()
+        if length[-1] == PREFIX:
+            cut = int(np.flatnonzero((prefix == prefix[-1]) & (length == PREFIX))[0])
+            waiting = rows.slice(cut)
+            rows, prefix, length = rows.slice(0, cut), prefix[:cut], length[:cut]
+        doc, place = rows.column("doc").to_numpy(), rows.column("place").to_numpy().astype(np.int64)
+        repeated = np.where(length == KNOWN, rows.column("offsets").to_numpy().astype(np.int64), 0)
+        windows = np.flatnonzero(length == WINDOW)
+        if len(windows):
+            later, earliest = _later(prefix[windows], doc[windows], place[windows], earliest)
+            repeated[windows[later]] = 1
+        yield _repeat_rows(rows, repeated | _tree_repeats(rows, np.flatnonzero(length == PREFIX)))
+    if waiting is not None:
+        yield _repeat_rows(waiting, _tree_repeats(waiting, np.arange(len(waiting))))
+
+
+def _later(prefix: np.ndarray, doc: np.ndarray, place: np.ndarray, before: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Which of the sorted windows start later than the first of their prefix, and the first of the last prefix.
+
+    `before` is that of the windows before these.
+    """
+    if before is not None:
+        prefix, doc, place = (np.concatenate([[a], b]) for a, b in zip(before, (prefix, doc, place), strict=True))
+    fresh = np.ones(len(prefix), bool)
+    fresh[1:] = prefix[1:] != prefix[:-1]
+    first = np.maximum.accumulate(np.where(fresh, np.arange(len(prefix)), 0))
+    later = (doc != doc[first]) | (place != place[first])
+    last = first[-1]
+    return later[1:] if before is not None else later, (prefix[last], doc[last], place[last])
+
+
+class SuffixTree:
+    """Suffix trees of all groups of a batch: leaves in order, and how deep neighbours part.
+
+    `words` has a row of words for each suffix, those after its prefix. An inner
+    node of depth d is a longest run of leaves in which each shares d words or
+    more with the next; words of the prefix are not counted.
+    """
 
-    For each offset, the suffixes of the windows that begin there are put
-    together that agree in all 20 words.
+    def __init__(self, prefix: np.ndarray, words: np.ndarray):
+        n, width = words.shape
+        keys = np.empty((n, width + 2), np.uint32)
+        keys[:, :2] = prefix.view(np.uint32).reshape(-1, 2)
+        keys[:, 2:] = words
+        # Any order of words will do, so that of their bytes does.
+        self.leaves = np.argsort(keys.view(f"S{4 * (width + 2)}").reshape(-1), kind="stable")
+        same = keys[self.leaves][1:] == keys[self.leaves][:-1]
+        inside = same[:, :2].all(axis=1)
+        shared = np.minimum.accumulate(same[:, 2:], axis=1).sum(axis=1)
+        # Words shared with the leaf before; -1 where another tree begins.
+        self.shared = np.concatenate([[-1], np.where(inside, shared, -1)]) if n else np.zeros(0, np.int64)
+
+    def parents(self) -> np.ndarray:
+        """For each suffix, the depth of the node that its leaf hangs from; -1 in a tree of one leaf."""
+        depth = np.empty(len(self.leaves), np.int64)
+        depth[self.leaves] = np.maximum(self.shared, np.append(self.shared[1:], -1))
+        return depth
+
+    def nodes(self, depth: int) -> np.ndarray:
+        """For each suffix, the topmost node or leaf above it that is `depth` words deep or more."""
+        node = np.empty(len(self.leaves), np.int64)
+        node[self.leaves] = np.cumsum(self.shared < depth)
+        return node
+
+
+def _tree_repeats(rows: pa.Table, own: np.ndarray) -> np.ndarray:
+    """Of each row, the windows that start later than an equal one, as bits of offsets.
+
+    A window that begins o words before a prefix ends 12 - o words behind it.
+    Equal ones lie below one node of that depth in the tree of the words behind
+    the prefix and below one of depth o in the tree of the words before it. A
+    leaf that hangs from nodes of fewer than 12 words together has no such window.
     """
-    prefix = rows.column("prefix").to_numpy()
-    doc, place = rows.column("doc").to_numpy(), rows.column("place").to_numpy().astype(np.int64)
-    offsets = rows.column("offsets").to_numpy().astype(np.int64)
-    known = rows.column("known").to_numpy()
-    around = rows.column("around").combine_chunks()
-    sizes = np.diff(np.frombuffer(around.buffers()[1], np.int32)[around.offset : around.offset + len(around) + 1])
-    words = np.zeros((len(prefix), 2 * INNER), np.uint32)
-    filled = sizes > 0
-    if filled.any():
-        first = int(np.frombuffer(around.buffers()[1], np.int32)[around.offset])
-        data = np.frombuffer(around.buffers()[2], np.uint32)[first // 4 : first // 4 + int(sizes.sum()) // 4]
-        words[filled] = data.reshape(-1, 2 * INNER)
-    repeated = np.where(known, offsets, 0)
+    repeated = np.zeros(len(rows), np.int64)
+    if len(own) < 2:
+        return repeated
+    part = rows.take(pa.array(own)).combine_chunks()
+    prefix = part.column("prefix").to_numpy()
+    around = part.column("around").chunk(0)
+    offset = np.frombuffer(around.buffers()[1], np.int32)[around.offset]
+    words = np.frombuffer(around.buffers()[2], np.uint32, len(own) * 2 * INNER, int(offset)).reshape(-1, 2 * INNER)
+    behind, before = SuffixTree(prefix, words[:, INNER:]), SuffixTree(prefix, words[:, INNER - 1 :: -1])
+    deep = np.flatnonzero(behind.parents() + before.parents() >= INNER)
+    doc, place = part.column("doc").to_numpy()[deep], part.column("place").to_numpy()[deep].astype(np.int64)
+    offsets = part.column("offsets").to_numpy()[deep]
     for offset in range(INNER + 1):
-        own = np.flatnonzero((offsets >> offset & 1 == 1) & ~known)
-        if len(own) < 2:
+        on = np.flatnonzero(offsets >> offset & 1)
+        if len(on) < 2:
             continue
-        suffix = np.zeros((len(own), 2 + INNER), np.uint32)
-        suffix[:, :2] = prefix[own].view(np.uint32).reshape(-1, 2)
-        suffix[:, 2 : 2 + offset] = words[own, INNER - offset : INNER]
-        suffix[:, 2 + offset :] = words[own, INNER : 2 * INNER - offset]
-        # A long prefix is a whole window: it must not meet a short one of equal hash.
-        whole = ~filled[own]
-        suffix[whole, 2:] = 0xFFFFFFFF
-        leaves = suffix.view([("", np.uint32)] * (2 + INNER)).reshape(-1)
-        node = np.unique(leaves, return_inverse=True)[1].reshape(-1)
-        begin = place[own] - offset
-        order = np.lexsort((begin, doc[own], node))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = node[order][1:] != node[order][:-1]
-        first = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
-        later = (doc[own][order] != doc[own][order][first]) | (begin[order] != begin[order][first])
-        repeated[own[order[later]]] |= 1 << offset
+        passage = (behind.nodes(INNER - offset) * (len(own) + 1) + before.nodes(offset))[deep[on]]
+        order = on[np.lexsort((place[on], doc[on], passage))]
+        later, _ = _later(np.sort(passage), doc[order], place[order], None)
+        repeated[own[deep[order[later]]]] |= 1 << offset
+    return repeated
+
+
+def _repeat_rows(rows: pa.Table, repeated: np.ndarray) -> pa.RecordBatch:
     hit = np.flatnonzero(repeated)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(doc[hit]),
+            pa.array(rows.column("doc").to_numpy()[hit]),
             pa.array(rows.column("text_hash").to_numpy()[hit]),
-            pa.array(place[hit].astype(np.int32)),
+            pa.array(rows.column("place").to_numpy()[hit]),
             pa.array(repeated[hit].astype(np.int32)),
         ],
         names=["doc", "text_hash", "place", "offsets"],
@@ -352,12 +410,11 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts.append(b" ".join([data[a:b] for a, b in places]).decode())
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0),
                     part.column(2),
                     pa.array(counts.astype(np.int64)),
                     pa.array(removed, pa.int64()),
                     pa.array(texts, pa.string()),
                     part.column(4),
                 ],
-                names=["doc", "text", "n_words", "n_removed", "kept", "rest"],
+                names=["text", "n_words", "n_removed", "kept", "rest"],
             )
