@@ -9,24 +9,35 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tripweave.session import new_folder
+from tripweave.llm.workers import bound_batches, find_library
+from tripweave.session import new_folder, store
 
-# Pivots, and how many of the nearest make up a vector's permutation.
+# Pivots; a place in an order of them fits a byte.
 PIVOTS = 256
-PERMUTATION = 32
 
 # Files that a vector is posted in, and that a query reads: those of its nearest pivots.
 POSTED = 16
 READ = 24
 
-# Share of a shard that is reranked for a query: the candidates of least footrule distance.
-RERANKED = 0.35
+# Share of a shard that is measured for a query, the candidates of least footrule distance,
+# and the fewest, as a multiple of k, where a shard is small.
+RERANKED = 0.05
+LEAST_RERANKED = 20
 
-# Queries that are searched for in one pass over the vectors.
+# Vectors of a shard, which has its own files.
+SHARD_ROWS = 8192
+
+# Queries that are searched for in one pass over the index.
 PASS_QUERIES = 4096
 
 FOUND = "query_id long, vec_id long, score double"
 
+# A pivot that isn't there: it never moves and nothing is posted for it.
+NO_PLACE = 255
+
+_BYTES = np.uint64(0x00FF00FF00FF00FF)
+_ONES = np.uint64(0x0001000100010001)
+
 
 def usable(vector: str = "embedding") -> Column:
     """Neither null, empty nor zero, and without null or non-finite components."""
@@ -44,48 +55,60 @@ class PermutationIndex:
 
     pivots: np.ndarray
 
-    def permute(self, vectors: np.ndarray) -> np.ndarray:
-        """Each vector's nearest pivots, nearest first; of equal ones the earlier."""
+    def orders(self, vectors: np.ndarray) -> np.ndarray:
+        """All pivots for each vector, nearest first; of equal ones the earlier."""
         square = (vectors**2).sum(axis=1)[:, None] + (self.pivots**2).sum(axis=1)
-        order = np.argsort(square - 2 * vectors @ self.pivots.T, axis=1, kind="stable")
-        return order[:, :PERMUTATION]
-
-    def search(self, ids: np.ndarray, vectors: np.ndarray, query_ids, queries, query_orders, k: int, reranked: float):
-        """The k nearest found in one shard for each query: (query, row, distance)."""
-        orders = self.permute(vectors)
-        length = orders.shape[1]
-        posted = orders[:, :POSTED]
-        rows = np.argsort(posted.reshape(-1), kind="stable")
-        files = np.split(rows // posted.shape[1], np.cumsum(np.bincount(posted.reshape(-1), minlength=len(self.pivots)))[:-1])
-        most = max(k, int(np.ceil(reranked * len(ids))))
-        rank = np.arange(length)
-        out = []
-        for i, order in enumerate(query_orders):
-            seen = np.zeros(len(ids), bool)
-            for pivot in order[:READ]:
-                seen[files[pivot]] = True
-            seen &= ids != query_ids[i]
-            rows = np.flatnonzero(seen)
-            if len(rows) > most:
-                # Footrule: how far each pivot moves; one that is in one permutation only moves to the end.
-                place = np.full(len(self.pivots), length)
-                place[order] = rank
-                there = place[orders[rows]]
-                moved = np.abs(there - rank).sum(axis=1) - (length - there).sum(axis=1)
-                rows = rows[np.lexsort((ids[rows], moved))[:most]]
-            distance = np.sqrt(((vectors[rows] - queries[i]) ** 2).sum(axis=1))
-            best = np.lexsort((ids[rows], distance))[:k]
-            out.append((np.full(len(best), i), rows[best], distance[best]))
-        return [np.concatenate(part) for part in zip(*out, strict=True)]
+        return np.argsort(square - 2 * vectors @ self.pivots.T, axis=1, kind="stable")
+
+    def places(self, orders: np.ndarray) -> np.ndarray:
+        """Each pivot's place in each order, 0 for the nearest."""
+        found = np.full((len(orders), PIVOTS), NO_PLACE, np.uint8)
+        ranks = np.broadcast_to(np.arange(orders.shape[1], dtype=np.uint8), orders.shape)
+        np.put_along_axis(found, orders, ranks, axis=1)
+        return found
+
+
+def footrule(places: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """How far all pivots together move between each row of places and `one`.
+
+    Bytes are summed in four lanes of a 64-bit word; 256 moves of at most 255 fit a lane.
+    """
+    moved = (np.maximum(places, one) - np.minimum(places, one)).view(np.uint64)
+    lanes = ((moved & _BYTES) + (moved >> np.uint64(8) & _BYTES)).sum(axis=1)
+    return lanes * _ONES >> np.uint64(48)
+
+
+class Shard:
+    """Some vectors and their inverted files: of each pivot, the rows that it is among the nearest pivots of."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, places: np.ndarray):
+        self.ids, self.vectors, self.places = ids, vectors, places
+        pivot, row = np.nonzero((places < POSTED).T)
+        self.files = np.split(row, np.searchsorted(pivot, np.arange(1, PIVOTS)))
+
+    def search(self, query_id: int, query: np.ndarray, order: np.ndarray, places: np.ndarray, k: int, reranked: float):
+        """The k nearest rows found, and their distances."""
+        seen = np.zeros(len(self.ids), bool)
+        for pivot in order[:READ]:
+            seen[self.files[pivot]] = True
+        seen &= self.ids != query_id
+        rows = np.flatnonzero(seen)
+        most = max(LEAST_RERANKED * k, int(np.ceil(reranked * len(self.ids))))
+        if len(rows) > most:
+            moved = footrule(self.places[rows], places)
+            rows = rows[moved <= np.partition(moved, most - 1)[most - 1]]
+        distance = np.sqrt(((self.vectors[rows] - query) ** 2).sum(axis=1))
+        best = np.lexsort((self.ids[rows], distance))[:k]
+        return rows[best], distance[best]
 
 
 def fit_index(vectors: DataFrame, pivots: int = PIVOTS) -> PermutationIndex | None:
-    """Pivots drawn from distinct vectors by a hash of their ids; a bounded sample of 4 a pivot is looked at."""
+    """Pivots drawn from distinct vectors by a hash of their ids; a bounded sample of 4 a pivot, 256 pivots at most."""
     drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(4 * pivots).select("embedding").collect()
     if not drawn:
         return None
     distinct = np.array(list(dict.fromkeys(tuple(row.embedding) for row in drawn)), np.float64)
-    return PermutationIndex(distinct[:pivots])
+    return PermutationIndex(distinct[: min(pivots, PIVOTS)])
 
 
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, reranked: float = RERANKED) -> DataFrame:
@@ -99,51 +122,90 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, reranked: floa
     no candidate. Returns query_id, rank (from 1; equal distances by vec_id),
     vec_id and score, the distance in double precision.
 
-    Each partition of the vectors is a shard with its own files: one per
-    pivot, of the vectors that it is among the nearest pivots of. A query
-    reads the files of its own nearest pivots; what it finds there is ranked
-    by footrule distance of permutations and the best are measured. So no
-    vector moves, whatever pivot is common; queries come in blocks of 4,096,
-    each a pass whose few results are written to the work folder.
+    A permutation index: each vector's order of the pivots is found once and
+    stored beside it. Up to 8,192 rows of a partition in turn are a shard, whatever
+    the batches they come in, with files of their own: one per pivot, of the
+    vectors that it is among the 16 nearest pivots of. A query reads the files
+    of its 24 nearest pivots; what it finds there is ranked by footrule distance
+    of the whole orders, and the best `reranked` of the shard, or 20 k if that
+    is more, are measured, those tied with the last one included. So no vector
+    moves, whatever pivot is common; queries come in blocks of 4,096, each a
+    pass over the stored index whose few results are written to the work folder.
     """
-    spark = embeddings.sparkSession
+    spark = bound_batches(find_library(embeddings.sparkSession))
+    single = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
     sound = embeddings.where(usable() & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), is_query.alias("is_query")
+        F.col("vec_id").cast("long"),
+        F.col("embedding") if single else F.col("embedding").cast("array<double>"),
+        is_query.alias("is_query"),
     )
     sizes = sound.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    length = sizes.n if sizes else 0
-    sound = sound.where(F.size("embedding") == length)
-    index = fit_index(sound)
+    sound = sound.where(F.size("embedding") == (sizes.n if sizes else 0))
+    pivots = fit_index(sound)
     queries = sound.where("is_query").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     passes = -(-queries.count() // PASS_QUERIES)
-    if index is None or not passes:
+    if pivots is None or not passes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    index = store_index(sound, pivots)
     path = new_folder(spark, "nearest")
     for i in range(passes):
         block = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(passes)) == i).collect()
-        found = sound.select("vec_id", "embedding").mapInArrow(_shards(index, block, k, reranked), FOUND)
-        found.write.mode("append").parquet(path)
+        index.mapInArrow(_searched(pivots, block, k, reranked), FOUND).write.mode("append").parquet(path)
     best = spark.read.schema(FOUND).parquet(path).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _shards(index: PermutationIndex, block: list, k: int, reranked: float):
+def store_index(vectors: DataFrame, pivots: PermutationIndex) -> DataFrame:
+    """`vectors` (vec_id, embedding) with the places of the pivots in each one's order, written to the work folder."""
+
+    def permuted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SHARD_ROWS):
+                part = batch.slice(start, SHARD_ROWS)
+                places = pivots.places(pivots.orders(as_matrix(part.column(1))))
+                held = pa.array([row.tobytes() for row in places], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), held], names=["vec_id", "embedding", "places"])
+
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    rows = vectors.select("vec_id", "embedding").mapInArrow(permuted, f"vec_id long, embedding {kind}, places binary")
+    return store(rows, "permutations")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of a partition, `SHARD_ROWS` at a time."""
+    held, n = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, SHARD_ROWS - n)
+            held.append(part)
+            n += part.num_rows
+            batch = batch.slice(part.num_rows)
+            if n == SHARD_ROWS:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _searched(index: PermutationIndex, block: list, k: int, reranked: float):
     query_ids = np.array([row.vec_id for row in block], np.int64)
     queries = np.array([row.embedding for row in block], np.float64)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(query_ids):
             return
-        orders = index.permute(queries)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column(0).to_numpy()
-            query, row, score = index.search(ids, as_matrix(batch.column(1)), query_ids, queries, orders, k, reranked)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[query]), pa.array(ids[row]), pa.array(score)], names=["query_id", "vec_id", "score"]
-            )
+        orders = index.orders(queries)
+        places = index.places(orders)
+        for rows in _chunks(batches):
+            ids = rows.column(0).to_numpy()
+            posted = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint8).reshape(-1, PIVOTS)
+            shard = Shard(ids, as_matrix(rows.column(1).chunk(0)), posted)
+            for i, query in enumerate(query_ids.tolist()):
+                row, score = shard.search(query, queries[i], orders[i], places[i], k, reranked)
+                if len(row):
+                    found = [pa.array(np.full(len(row), query)), pa.array(ids[row]), pa.array(score)]
+                    yield pa.RecordBatch.from_arrays(found, names=["query_id", "vec_id", "score"])
 
     return shards
