@@ -13,6 +13,7 @@ from tripweave.llm.columns import with_columns
 from tripweave.llm.letters import Letters
 from tripweave.llm.text import mix, run_hashes
 from tripweave.llm.tokens import text_groups
+from tripweave.llm.workers import find_library
 
 SHINGLE = 5
 LEAST_PERCENT = 80
@@ -59,19 +60,30 @@ class ItemIndex:
     A partition holds items of 2^k to 2^(k+1) - 1 shingles. Each item's
     minimum under a hash function is a shingle of its own, so a document holds
     about as large a share of the minima as of the item, however long it is.
+    With `inside`, items of fewer than five words are no sketches but runs of
+    their own length, which `find_short` looks for.
     """
 
     ids: np.ndarray
     sets: list[np.ndarray]
     partitions: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @classmethod
-    def of(cls, ids: list[int], texts: list[str]) -> ItemIndex:
+    def of(cls, ids: list[int], texts: list[str], inside: bool = True) -> ItemIndex:
         runs, places = shingle_runs(texts)
+        lengths = np.diff(Letters(texts, digits=True).words()[3])
+        short = {}
+        for length in range(1, SHINGLE) if inside else ():
+            items = np.flatnonzero(lengths == length)
+            if len(items):
+                values = runs[places[items]]
+                order = np.argsort(values, kind="stable")
+                short[length] = values[order], items[order]
         sets = [np.unique(runs[a:b]) for a, b in zip(places[:-1], places[1:], strict=True)]
         classes: dict[int, list[tuple[int, int, int]]] = {}
         for item, own in enumerate(sets):
-            if not len(own):
+            if not len(own) or (inside and lengths[item] < SHINGLE):
                 continue
             least = [own[np.argmin(mix(own * factor))] for factor in _FACTORS]
             values, times = np.unique(np.array(least, np.uint64), return_counts=True)
@@ -84,7 +96,7 @@ class ItemIndex:
             partitions.append(
                 (1 << size, np.array(columns[0], np.uint64), np.array(columns[1]), np.array(columns[2]))
             )
-        return cls(np.array(ids, np.int64), sets, partitions)
+        return cls(np.array(ids, np.int64), sets, partitions, short)
 
     def find(self, runs: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, common, size, first, last run that is common) of each text's items."""
@@ -120,6 +132,27 @@ class ItemIndex:
                     out.append((text, item, common, len(own), int(inside[0]), int(inside[-1])))
         return out
 
+    def find_short(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(texts, items, first words, last words) of the items that are runs of fewer than five words."""
+        if not self.short:
+            return
+        hashes, _, _, first = Letters(texts, digits=True).words()
+        ends = np.repeat(first[1:], np.diff(first))
+        for length, (values, items) in self.short.items():
+            runs = run_hashes(hashes, length)
+            at = np.flatnonzero(np.arange(len(runs)) + length <= ends[: len(runs)])
+            low = np.searchsorted(values, runs[at], side="left")
+            many = np.searchsorted(values, runs[at], side="right") - low
+            row = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            at = np.repeat(at, many)
+            text = np.searchsorted(first, at, side="right") - 1
+            # Occurrences come in the order of the texts, so the first and the last of a pair are its bounds.
+            pair = text.astype(np.int64) * len(self.ids) + items[row]
+            found, start = np.unique(pair, return_index=True)
+            stop = len(pair) - 1 - np.unique(pair[::-1], return_index=True)[1]
+            text = found // len(self.ids)
+            yield text, found % len(self.ids), at[start] - first[text], at[stop] - first[text] + length - 1
+
     def _marks(self) -> np.ndarray:
         """The leading 20 bits of all minima, to pass over most shingles at once."""
         if not hasattr(self, "_marked"):
@@ -133,7 +166,8 @@ def find_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that hold at least 80 % of a test item's shingles.
 
     `docs` has doc_id and text, `items` item_id and text. A shingle is five
-    words, or a whole text of fewer. Returns one row per pair: doc_id,
+    words; an item of fewer words is one shingle of its own length, which is
+    found wherever it stands in a text. Returns one row per pair: doc_id,
     item_id, n_common and n_item (distinct shingles), containment, and the
     first and last word of the document's part. Texts that are null or have
     no words hold nothing and are held by nothing; items without an id are
@@ -145,30 +179,36 @@ def find_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     aren't shuffled. The number of blocks grows with the items, the size of
     one doesn't.
     """
+    find_library(docs.sparkSession)
     found = None
-    for index in _indexes(items):
+    for index in _indexes(items, True):
         hits = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_search(index), HITS)
         found = hits if found is None else found.unionByName(hits)
     return found.withColumn("containment", F.col("n_common") / F.col("n_item"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of `docs` that `find_contamination` finds no item in, with all their columns.
+def drop_contaminated(docs: DataFrame, items: DataFrame, short_inside: bool = False) -> DataFrame:
+    """The rows of `docs` that hold no test item, with all their columns.
 
-    Documents are judged where they are read and don't move.
+    As `find_contamination` finds them, but an item of fewer than five words
+    drops only a text that has no other words, as it would be in many clean
+    ones; with `short_inside` it drops all that hold it. Documents are judged
+    where they are read and don't move; null and empty texts stay, and a
+    repeated row stays or goes like the first.
     """
-    for index in _indexes(items):
+    find_library(docs.sparkSession)
+    for index in _indexes(items, short_inside):
         docs = with_columns(docs, {MARK: "boolean"}, _holds(index)).where(~F.col(MARK)).drop(MARK)
     return docs
 
 
-def _indexes(items: DataFrame) -> Iterator[ItemIndex]:
+def _indexes(items: DataFrame, inside: bool) -> Iterator[ItemIndex]:
     given = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").distinct()
     letters = given.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-int(letters) // (PASS_SHINGLES * 5)))
     for i in range(blocks):
         block = given.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
-        yield ItemIndex.of([row.item_id for row in block], [row.text for row in block])
+        yield ItemIndex.of([row.item_id for row in block], [row.text for row in block], inside)
 
 
 def _holds(index: ItemIndex):
@@ -176,6 +216,8 @@ def _holds(index: ItemIndex):
         marks = []
         for group in text_groups(texts.to_pylist()):
             found = {row[0] for row in index.find(*shingle_runs(group))}
+            for texts_held, *_ in index.find_short(group):
+                found.update(texts_held.tolist())
             marks += [i in found for i in range(len(group))]
         return [pa.array(marks, pa.bool_())]
 
@@ -189,10 +231,10 @@ def _search(index: ItemIndex):
             for group in text_groups(batch.column(1).to_pylist()):
                 runs, places = shingle_runs(group)
                 for text, item, common, size, first, last in index.find(runs, places):
-                    # The only run of a text may have fewer words.
-                    only = places[text + 1] - places[text] == 1
-                    words = len(Letters([group[text]], digits=True).words()[0]) if only else last + SHINGLE
-                    rows.append((ids[at + text], int(index.ids[item]), common, size, first, min(last + SHINGLE, words) - 1))
+                    rows.append((ids[at + text], int(index.ids[item]), common, size, first, last + SHINGLE - 1))
+                for found in index.find_short(group):
+                    for text, item, first, last in zip(*(part.tolist() for part in found), strict=True):
+                        rows.append((ids[at + text], int(index.ids[item]), 1, 1, first, last))
                 at += len(group)
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(

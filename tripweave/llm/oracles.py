@@ -61,23 +61,28 @@ WITH given AS (
 ),
 words AS (SELECT kind, id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM given),
 sets AS (
-    SELECT kind, id, len(w) AS n_words, CASE
-        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
-    FROM words
-),
-places AS (
-    SELECT kind, id, unnest(s) AS item, generate_subscripts(s, 1) - 1 AS at,
-           least(generate_subscripts(s, 1) + 4, n_words) - 1 AS upto FROM sets
+    SELECT kind, id, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS s
+    FROM words WHERE len(w) >= 5
 ),
+places AS (SELECT kind, id, unnest(s) AS item, generate_subscripts(s, 1) - 1 AS at FROM sets),
 sizes AS (SELECT id, count(DISTINCT item) AS n_item FROM places WHERE kind = 'item' GROUP BY id),
 found AS (
-    SELECT d.id AS doc_id, i.id AS item_id, count(DISTINCT d.item) AS n_common, min(d.at) AS first_word, max(d.upto) AS last_word
+    SELECT d.id AS doc_id, i.id AS item_id, count(DISTINCT d.item) AS n_common, min(d.at) AS first_word, max(d.at) + 4 AS last_word
     FROM places d JOIN (SELECT DISTINCT id, item FROM places WHERE kind = 'item') i ON i.item = d.item
     WHERE d.kind = 'doc' GROUP BY 1, 2
+),
+short AS (SELECT id, len(w) AS n, array_to_string(w, ' ') AS item FROM words WHERE kind = 'item' AND len(w) BETWEEN 1 AND 4),
+short_runs AS (
+    SELECT id, n, unnest(range(1, len(w) - n + 2)) AS at, w FROM words JOIN (SELECT DISTINCT n FROM short) ON len(w) >= n
+    WHERE kind = 'doc'
+),
+short_found AS (
+    SELECT r.id AS doc_id, s.id AS item_id, min(at) - 1 AS first_word, max(at) + s.n - 2 AS last_word
+    FROM short_runs r JOIN short s ON s.n = r.n AND s.item = array_to_string(w[at:at + r.n - 1], ' ') GROUP BY r.id, s.id, s.item, s.n
 )
 SELECT doc_id, item_id, n_common, n_item, first_word, last_word, n_common / n_item AS containment
 FROM found JOIN sizes ON id = item_id WHERE 100 * n_common >= 80 * n_item
+UNION ALL SELECT doc_id, item_id, 1, 1, first_word, last_word, 1.0 FROM short_found
 """
 
 LANGUAGE_MODEL = f"""
