@@ -77,8 +77,8 @@ short_runs AS (
     WHERE kind = 'doc'
 ),
 short_found AS (
-    SELECT r.id AS doc_id, s.id AS item_id, min(at) - 1 AS first_word, max(at) + s.n - 2 AS last_word
-    FROM short_runs r JOIN short s ON s.n = r.n AND s.item = array_to_string(w[at:at + r.n - 1], ' ') GROUP BY r.id, s.id, s.item, s.n
+    SELECT r.id AS doc_id, s.id AS item_id, min(r.at) - 1 AS first_word, max(r.at) + s.n - 2 AS last_word
+    FROM short_runs r JOIN short s ON s.n = r.n AND s.item = array_to_string(r.w[r.at:r.at + r.n - 1], ' ') GROUP BY r.id, s.id, s.item, s.n
 )
 SELECT doc_id, item_id, n_common, n_item, first_word, last_word, n_common / n_item AS containment
 FROM found JOIN sizes ON id = item_id WHERE 100 * n_common >= 80 * n_item
