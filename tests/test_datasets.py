@@ -1,0 +1,43 @@
+"""Tables that are folders of Parquet files count as one file each."""
+
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from tripweave.plans import queries as q
+from tripweave.sources import files as fl
+
+
+@pytest.fixture
+def tables(folder):
+    """A table in two files, one in an empty part and a full one, one as a single file."""
+    os.makedirs(f"{folder}/documents.parquet")
+    documents = pa.table({"doc_id": pa.array([1, 2, 3], pa.int64()), "text": ["a", None, "c"]})
+    pq.write_table(documents, f"{folder}/documents.parquet/part-0 + 1.parquet")
+    pq.write_table(documents.slice(1), f"{folder}/documents.parquet/part-1.parquet")
+    os.makedirs(f"{folder}/labels.parquet")
+    labels = pa.table({"doc_id": pa.array([1], pa.int64()), "toxic": pa.array([0], pa.int32())})
+    pq.write_table(labels.slice(1), f"{folder}/labels.parquet/part-0.parquet")
+    pq.write_table(labels, f"{folder}/labels.parquet/part-1.parquet")
+    open(f"{folder}/labels.parquet/_SUCCESS", "w").close()
+    pq.write_table(pa.table({"item_id": pa.array([5], pa.int64())}), f"{folder}/benchmark.parquet")
+    return folder
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_list_files(spark, tables):
+    assert rows(q.list_files(spark, tables)) == [
+        (f"{n}.parquet", n, None, None, True) for n in ("benchmark", "documents", "labels")]
+
+
+def test_only_folders_below_the_root_are_tables(spark, folder):
+    root = f"{folder}/all.parquet/in"
+    paths = ["x.parquet", "y.parquet/part.parquet", "z.parquets/w.parquet", "v/u.parquet/k=1/t.parquet"]
+    listed = spark.createDataFrame([(f"file:{root}/{p}",) for p in paths], "path string")
+    found = listed.select(fl.dataset_path(listed.path, root)).collect()
+    assert [r[0].removeprefix(f"file:{root}/") for r in found] == ["x.parquet", "y.parquet", "z.parquets/w.parquet", "v/u.parquet"]
