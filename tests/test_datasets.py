@@ -35,6 +35,11 @@ def test_list_files(spark, tables):
         (f"{n}.parquet", n, None, None, True) for n in ("benchmark", "documents", "labels")]
 
 
+def test_file_row_counts(spark, tables):
+    assert rows(q.file_row_counts(spark, tables)) == [
+        ("benchmark.parquet", 1), ("documents.parquet", 5), ("labels.parquet", 1)]
+
+
 def test_only_folders_below_the_root_are_tables(spark, folder):
     root = f"{folder}/all.parquet/in"
     paths = ["x.parquet", "y.parquet/part.parquet", "z.parquets/w.parquet", "v/u.parquet/k=1/t.parquet"]
