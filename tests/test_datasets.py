@@ -40,6 +40,14 @@ def test_file_row_counts(spark, tables):
         ("benchmark.parquet", 1), ("documents.parquet", 5), ("labels.parquet", 1)]
 
 
+def test_column_presence(spark, tables):
+    found = {r.column: r for r in q.column_presence(spark, tables).collect()}
+    assert sorted(found) == ["doc_id", "item_id", "text", "toxic"]
+    of_ids = found["doc_id"]
+    assert (of_ids.types_seen, of_ids.files_with_column, of_ids.files_missing_column) == ("int64", 2, 1)
+    assert of_ids.files_with_column_list == "documents|labels"
+
+
 def test_only_folders_below_the_root_are_tables(spark, folder):
     root = f"{folder}/all.parquet/in"
     paths = ["x.parquet", "y.parquet/part.parquet", "z.parquets/w.parquet", "v/u.parquet/k=1/t.parquet"]
