@@ -48,6 +48,12 @@ def test_column_presence(spark, tables):
     assert of_ids.files_with_column_list == "documents|labels"
 
 
+def test_schema_diff(spark, tables):
+    assert rows(q.schema_diff(spark, tables)) == [
+        ("documents.parquet", "item_id: int64", "doc_id: int64|text: string"),
+        ("labels.parquet", "item_id: int64", "doc_id: int64|toxic: int32")]
+
+
 def test_only_folders_below_the_root_are_tables(spark, folder):
     root = f"{folder}/all.parquet/in"
     paths = ["x.parquet", "y.parquet/part.parquet", "z.parquets/w.parquet", "v/u.parquet/k=1/t.parquet"]
