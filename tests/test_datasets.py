@@ -54,6 +54,10 @@ def test_schema_diff(spark, tables):
         ("labels.parquet", "item_id: int64", "doc_id: int64|toxic: int32")]
 
 
+def test_schema_mismatches(spark, tables):
+    assert rows(q.schema_mismatches(spark, tables)) == [(2,)]
+
+
 def test_only_folders_below_the_root_are_tables(spark, folder):
     root = f"{folder}/all.parquet/in"
     paths = ["x.parquet", "y.parquet/part.parquet", "z.parquets/w.parquet", "v/u.parquet/k=1/t.parquet"]
