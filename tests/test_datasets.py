@@ -58,6 +58,12 @@ def test_schema_mismatches(spark, tables):
     assert rows(q.schema_mismatches(spark, tables)) == [(2,)]
 
 
+def test_source_guard(spark, tables):
+    assert rows(q.source_guard(spark, tables)) == [
+        ("benchmark.parquet", "doc_id|label|text"), ("documents.parquet", "label"),
+        ("labels.parquet", "label|text")]
+
+
 def test_only_folders_below_the_root_are_tables(spark, folder):
     root = f"{folder}/all.parquet/in"
     paths = ["x.parquet", "y.parquet/part.parquet", "z.parquets/w.parquet", "v/u.parquet/k=1/t.parquet"]
