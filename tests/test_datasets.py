@@ -64,6 +64,12 @@ def test_source_guard(spark, tables):
         ("labels.parquet", "label|text")]
 
 
+def test_ingested_rows(spark, tables):
+    assert rows(q.ingested_rows(spark, tables)) == [
+        ("benchmark.parquet", 1, "doc_id|text", 0, 1), ("documents.parquet", 5, "", 5, 0),
+        ("labels.parquet", 1, "text", 0, 1)]
+
+
 def test_only_folders_below_the_root_are_tables(spark, folder):
     root = f"{folder}/all.parquet/in"
     paths = ["x.parquet", "y.parquet/part.parquet", "z.parquets/w.parquet", "v/u.parquet/k=1/t.parquet"]
