@@ -64,6 +64,11 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_events(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    """Rows of the events table, also as a stream, dealt by their number, which the footers say."""
+    return spread(events, "event_id", rows=table(spark, sf_dir, "events").count())
+
+
 def event_k(props: str = "props") -> Column:
     return F.get_json_object(props, "$.k").cast("bigint")
 
@@ -74,7 +79,7 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Values below 20 give a drop-off before the pickup, 20 itself one of no length.
     """
     duration = "ts + (cast(round(value * 100) as bigint) - 2000) * interval '0.1' second"
-    events = spread(table(spark, sf_dir, "events"), "event_id")
+    events = spread_events(spark, sf_dir, table(spark, sf_dir, "events"))
     return events.select(
         F.col("event_id").alias("trip_id"),
         F.col("user_id").alias("VendorID"),
@@ -171,7 +176,7 @@ DECIMAL_FIELDS = [
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_messages(spread(table(spark, sf_dir, "events"), "event_id"))
+    return as_messages(spread_events(spark, sf_dir, table(spark, sf_dir, "events")))
 
 
 def as_messages(events: DataFrame) -> DataFrame:

@@ -72,18 +72,19 @@ def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA.fields}
     # JSON that begins like an object is one.
     parsed = df.withColumn("_json", F.when(F.ltrim(F.col(value)).startswith("{"), F.try_parse_json(value)))
-    fields = {n: F.try_variant_get("_json", f"$.{n}", "string") for n, k in kinds.items() if k == "string"}
+    # All fields are taken in one walk over the object; one by one, each would look through its keys.
+    texts_of = "struct<" + ", ".join(f"{n}: string" for n in kinds) + ">"
+    parsed = parsed.withColumn("_fields", F.try_variant_get("_json", "$", texts_of))
+    fields = {n: F.col(f"_fields.{n}") for n, k in kinds.items() if k == "string"}
     # Numbers are worked on as lists, which keeps the compiled code small.
     wrong = []
-    for kind, to_number in (("bigint", whole_number), ("double", decimal_number)):
+    for kind, to_numbers in (("bigint", whole_numbers), ("double", decimal_numbers)):
         names = [n for n, k in kinds.items() if k == kind]
         texts, numbers = f"_text_{kind}", f"_{kind}"
-        parsed = parsed.withColumn(texts, F.array(*[F.try_variant_get("_json", f"$.{n}", "string") for n in names]))
-        parsed = parsed.withColumn(numbers, F.transform(texts, to_number))
+        parsed = parsed.withColumn(texts, F.array(*[F.col(f"_fields.{n}") for n in names]))
+        parsed = parsed.withColumn(numbers, to_numbers(F.col(texts)))
         fields.update({n: F.get(numbers, F.lit(i)) for i, n in enumerate(names)})
-        lost = F.zip_with(texts, numbers, lambda t, x: x.isNull() & (F.trim(t) != ""))
-        labels = F.array(*[F.lit(n) for n in names])
-        wrong.append(F.zip_with(labels, lost, lambda n, is_lost: F.when(is_lost, n)))
+        wrong.append(F.filter(F.array(*[F.lit(n) for n in names]), is_lost(F.col(texts), F.col(numbers))))
     parsed = parsed.withColumn("_wrong", F.concat_ws(",", *wrong))
     problem = F.when(F.col("_json").isNull(), "not JSON").when(
         F.col("_wrong") != "", F.concat(F.lit("wrong type: "), F.col("_wrong"))
@@ -94,12 +95,21 @@ def decode_events(df: DataFrame, value: str = "value") -> DataFrame:
     return parsed.select(*df.columns, F.inline(F.array(decoded)))
 
 
-def whole_number(text: Column) -> Column:
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+def whole_numbers(texts: Column) -> Column:
+    return F.transform(texts, lambda text: F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")))
 
 
-def decimal_number(text: Column) -> Column:
-    return text.try_cast("double")
+def decimal_numbers(texts: Column) -> Column:
+    return texts.try_cast("array<double>")
+
+
+def is_lost(texts: Column, numbers: Column) -> Callable[[Column, Column], Column]:
+    """Whether the text at a place of one list is not blank and has no number in the other."""
+
+    def lost(_: Column, at: Column) -> Column:
+        return F.get(numbers, at).isNull() & F.coalesce(F.trim(F.get(texts, at)) != "", F.lit(False))
+
+    return lost
 
 
 def good_events(decoded: DataFrame) -> DataFrame:
