@@ -49,6 +49,10 @@ def test_legs_and_messages_are_dealt_by_rows(spark, tables, small_tasks):
         assert df.count() == 400
 
 
+def test_event_payloads_stay_in_the_tasks_of_their_trips(spark, tables, small_tasks):
+    assert q.event_payloads(spark, tables).rdd.getNumPartitions() == 20
+
+
 def test_a_message_is_walked_once(spark):
     decoded = feed.decode_events(spark.createDataFrame([('{"lat": 1}',)], "value string"))
     assert plan(decoded).count("variant_get(") == 1
