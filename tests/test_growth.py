@@ -57,3 +57,10 @@ def test_a_message_is_walked_once(spark):
     decoded = feed.decode_events(spark.createDataFrame([('{"lat": 1}',)], "value string"))
     assert plan(decoded).count("variant_get(") == 1
     assert decoded.columns == ["value", *EVENT_SCHEMA.fieldNames(), "problem"]
+
+
+def test_history_decodes_once(spark, tables):
+    history = q.feed_history(spark, tables)
+    assert "parse_json" not in plan(history)
+    (row,) = history.collect()
+    assert (row.batch_id, row.total_received, row.total_failed) == (1, 400, 0)
