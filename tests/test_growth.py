@@ -64,3 +64,10 @@ def test_history_decodes_once(spark, tables):
     assert "parse_json" not in plan(history)
     (row,) = history.collect()
     assert (row.batch_id, row.total_received, row.total_failed) == (1, 400, 0)
+
+
+def test_trips_are_joined_once(spark, tables):
+    unfolded = q.clean_to_events(spark, tables)
+    assert "o_custkey" not in plan(unfolded)
+    rows = sorted((r.trip_id, r.event_seq, r.event) for r in unfolded.collect())
+    assert rows == [(240101000000001, 0, "PICKUP"), (240101000000001, 1, "IN_TRANSIT"), (240101000000001, 2, "DROPOFF")]
