@@ -71,3 +71,10 @@ def test_trips_are_joined_once(spark, tables):
     assert "o_custkey" not in plan(unfolded)
     rows = sorted((r.trip_id, r.event_seq, r.event) for r in unfolded.collect())
     assert rows == [(240101000000001, 0, "PICKUP"), (240101000000001, 1, "IN_TRANSIT"), (240101000000001, 2, "DROPOFF")]
+
+
+def test_a_batch_of_the_feed_is_dealt_by_rows(spark, tables, small_tasks):
+    """The table is a folder here."""
+    sent = spark.read.parquet(f"{q.run_feed(spark, tables)}/messages")
+    assert sent.count() == 400
+    assert len(sent.inputFiles()) == 20
