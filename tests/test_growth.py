@@ -78,3 +78,8 @@ def test_a_batch_of_the_feed_is_dealt_by_rows(spark, tables, small_tasks):
     sent = spark.read.parquet(f"{q.run_feed(spark, tables)}/messages")
     assert sent.count() == 400
     assert len(sent.inputFiles()) == 20
+
+
+def test_the_feed_counts_a_table_that_is_a_folder(spark, tables):
+    (row,) = q.feed_stream_metrics(spark, tables).collect()
+    assert (row.received, row.processed, row.batches) == (400, 400, 1)
