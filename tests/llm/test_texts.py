@@ -306,3 +306,16 @@ def test_digest_of_ids_is_crc32(spark):
     ids = np.array([1, 2, 50_000], "<u4").tobytes()
     found = spark.createDataFrame([(ids,)], "ids binary").select(F.crc32("ids").alias("c")).first().c
     assert found == zlib.crc32(ids)
+
+
+def test_language_model_deals_parts_evenly(spark):
+    rng = np.random.RandomState(8)
+    rows = [(i, " ".join(f"w{k}" for k in rng.randint(0, 6000, 4000))) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    chunks = docs.mapInArrow(language_model._chunks(20_000), language_model.CHUNKS)
+    with language_model._counting(spark):
+        told = language_model._told(chunks, 1, 12)
+        sizes = told.groupBy(F.spark_partition_id()).agg(F.sum(F.size("places")).alias("n")).collect()
+    counts = [r.n for r in sizes]
+    assert len(counts) == 12
+    assert max(counts) < 1.5 * sum(counts) / 12
