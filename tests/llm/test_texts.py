@@ -319,3 +319,40 @@ def test_language_model_deals_parts_evenly(spark):
     counts = [r.n for r in sizes]
     assert len(counts) == 12
     assert max(counts) < 1.5 * sum(counts) / 12
+
+
+def test_language_model_sums_in_one_map(spark, odd_docs, capsys):
+    chunks = odd_docs.mapInArrow(language_model._chunks(1000), language_model.CHUNKS)
+    with language_model._counting(spark):
+        told = language_model._told(chunks, 3, 4)
+        told.collect()
+        told.explain("codegen")
+    code = capsys.readouterr().out
+    assert "HashAggregate" in code
+    assert "FastHashMap" not in code
+
+
+def test_hashes_are_sorted_whatever_their_lower_bits():
+    rng = np.random.RandomState(4)
+    for high, low in ((1 << 62, 1), (1 << 62, 1 << 20), (3, 1 << 20), (1, 5)):
+        for n in (1, 2, 1000):
+            upper = rng.randint(0, high, n).astype(np.uint64) << np.uint64(1)
+            grams = np.concatenate([upper, upper[: n // 2]]) ^ rng.randint(0, low, n + n // 2).astype(np.uint64)
+            order, ordered = language_model._sorted(grams)
+            assert order.tolist() == sorted(range(len(grams)), key=lambda i: (int(grams[i]), i))
+            assert (ordered == grams[order]).all()
+
+
+@pytest.mark.parametrize("texts", [[""], ["", "a"], ["a a a b", "a a b b a"]])
+def test_counts_of_others_leave_out_the_own(texts):
+    held = list(blocks(pa.array(texts), lower=True))
+    none = pa.table({"part": pa.array([], pa.int32()), "places": pa.array([], pa.list_(pa.int32())), "totals": pa.array([], pa.list_(pa.int64()))})
+    split = [text.split() for text in texts]
+    for size in (1, 2, 3):
+        grams = [[tuple(words[i - size + 1 : i + 1]) if i >= size - 1 else None for i in range(len(words))] for words in split]
+        want = [
+            sum(other.count(gram) for k, other in enumerate(grams) if k != at) if gram else 0
+            for at, own in enumerate(grams)
+            for gram in own
+        ]
+        assert language_model._others(held, size, np.arange(4, dtype=np.int32), none).tolist() == want
