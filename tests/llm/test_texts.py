@@ -208,6 +208,49 @@ def test_near_duplicates_of_a_large_family(spark, monkeypatch, few):
     assert got == brute.near_groups(rows, 3, 85)
 
 
+@pytest.mark.parametrize("few", [4096, 20])
+def test_links_of_a_family_whose_leader_is_far_from_most(spark, monkeypatch, few):
+    """Most are linked with one another, few with the leader: links must not grow with the square of the family."""
+    monkeypatch.setattr(near, "FEW", few)
+    made = []
+
+    def confirmed(sets, members, leaders, percent, confirm=near._confirmed):
+        links = confirm(sets, members, leaders, percent)
+        made.append((links.count(), members.count() + leaders.count()))
+        return links
+
+    monkeypatch.setattr(near, "_confirmed", confirmed)
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        words = [f"w{k}" for k in range(200)]
+        for at in rng.sample(range(200), 5 if i == 0 else rng.randint(1, 3)):
+            words[at] = f"v{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()}
+    assert got == brute.near_groups(rows, 5, 80)
+    assert all(links <= members for links, members in made)
+    # As many as rows of a few bands, not the 3,000 pairs and more.
+    assert 100 < sum(links for links, _ in made) < 1200
+
+
+def test_links_that_others_make_needless_are_left_out():
+    """In a share each next link joins two that were apart; members with several texts count once."""
+    own = np.arange(40, dtype=np.uint64)
+    far = own + np.uint64(1000)
+    rows = [(7, 0, False, k, None, own) for k in range(5)] + [(7, 0, False, 9, None, far)]
+    rows += [(7, 0, True, k, [0, 1, 2, 3, 4, 9], own) for k in (3, 10, 11)] + [(7, 0, True, 10, [4, 9], far)]
+    rows += [(7, 1, False, 0, None, own), (7, 1, True, 3, [0], own), (8, 1, False, 0, None, far), (8, 1, True, 3, [0], own)]
+    columns = [pa.array(column) for column in zip(*[(*row[:5], row[5].tobytes()) for row in rows], strict=True)]
+    names = ["group", "share", "is_member", "node", "partners", "members"]
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    for batches in ([batch], [batch.slice(i, 1) for i in range(len(rows))]):
+        found = [(x, y) for out in near._compared(85)(iter(batches)) for x, y in zip(out[0].to_pylist(), out[1].to_pylist())]
+        assert found[:4] == [(3, 0), (3, 1), (3, 2), (3, 4)]
+        assert sorted(found[4:]) == [(3, 0), (10, 0), (10, 9), (11, 0)]
+
+
 def one_document_a_row(rows, size, percent):
     """Components when rows of one id are one document, by comparing rows under ids of their own."""
     alone = brute.near_groups([(i, text) for i, (_, text) in enumerate(rows)], size, percent)

@@ -104,9 +104,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     Equal sets are one class; classes are told apart by a 64-bit hash. Classes that share a band are compared with the
     band's smallest class, its leader, by estimate; each is compared with the
     smallest of its leaders on full sets. What that leaves apart is compared
-    with further leaders and across bands, between components only.
-    So the work stays in proportion to the rows of a group of copies, and no
-    pair of different components that shares a band is left out.
+    with further leaders and with its nearest in other components, and at last
+    with all that still is in another component. So the work stays in
+    proportion to the rows of a group of copies, links to the classes that they
+    join, and no pair of different components that shares a band is left out.
     """
     sketches = store(_sketches(docs, shingle), "sketches")
     named = sketches.where("doc_id is not null and digest is not null")
@@ -127,10 +128,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     others = _placed(led, parts).where("part <> leader_part").select("node", "leader")
     # Tried once, and in vain, if they are still apart.
     others = store(others.join(pairs, ["node", "leader"], "left_anti"), "others")
-    across = store(_across(shared, classes, parts, _least_estimate(percent / 100)), "across")
-    by_band = across.where("is_member").drop("is_member"), across.where("not is_member").select(*SHARE, "node").distinct()
-    more = _confirmed(sets, *by_band, percent).union(_confirmed(sets, *_by_leader(others), percent))
-    parts = _joined(parts, more)
+    least = _least_estimate(percent / 100)
+    near = _confirmed(sets, *_by_band(_across(shared, classes, parts, least, nearest=True)), percent)
+    parts = _joined(parts, near.union(_confirmed(sets, *_by_leader(others), percent)))
+    parts = _joined(parts, _confirmed(sets, *_by_band(_across(shared, classes, parts, least)), percent))
 
     nodes = classes.select("digest", "node")
     found = sketches.where("doc_id is not null").select("doc_id", "n_shingles", "digest")
@@ -193,7 +194,9 @@ def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: float) -> DataFrame:
+def _across(
+    shared: DataFrame, classes: DataFrame, parts: DataFrame, least: float, nearest: bool = False
+) -> DataFrame:
     """Classes of a band that are alike by estimate and lie in different components.
 
     One side are the classes outside the band's largest part, in shares of
@@ -202,6 +205,10 @@ def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: floa
     rows stay in proportion to the classes: group, share, node, partners,
     is_member. Partners have a row of their own, without is_member. The class
     that leads was compared with all of its band and needs no more partners.
+
+    With `nearest`, each of the classes outside gets the one of each batch that
+    passes by which is most like it. Links to these join most of a family, so
+    that the lists of a second pass hold only what no link has joined.
     """
     own = parts.withColumnRenamed("component", "part")
     rows = shared.where("not leads").select("band", "node", "class_id").join(own, "node", "left")
@@ -230,11 +237,11 @@ def _across(shared: DataFrame, classes: DataFrame, parts: DataFrame, least: floa
         mixed.select(*key, "is_member", "node", "part", "main", "bits", "bands")
         .repartition(*key)
         .sortWithinPartitions(*key, "is_member")
-        .mapInArrow(_partners(least), PARTNERS)
+        .mapInArrow(_partners(least, nearest), PARTNERS)
     )
 
 
-def _partners(least: float):
+def _partners(least: float, nearest: bool):
     """Estimate each class of a sorted partition against its share's few."""
 
     def matrix(column: pa.Array) -> np.ndarray:
@@ -259,18 +266,22 @@ def _partners(least: float):
                 if len(few) > 1:
                     few = [[np.concatenate(column) for column in zip(*few, strict=True)]]
                 if few:
-                    yield _estimated(int(key[0]), int(key[1]), rows, few[0], least)
+                    pairs = _estimated(int(key[0]), rows, few[0], least, nearest)
+                    yield _listed(int(key[0]), int(key[1]), rows[0], few[0][0], pairs)
 
     return partners
 
 
-def _estimated(band: int, share: int, rows: list, few: list, least: float) -> pa.RecordBatch:
+def _estimated(
+    band: int, rows: list, few: list, least: float, nearest: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places in `rows` and in `few`, block by block; with `nearest`, one for each of the few at most."""
     node, part, main, bits, bands = rows
     x_node, x_part, _, x_bits, x_bands = few
     chance = 2.0**-BITS
     most = int(HASHES * (1 - (least * (1 - chance) + chance)))
     low = np.int64(0x5555555555555555)
-    nodes, lists, found = [], [], set()
+    best, best_at = np.full(len(x_node), HASHES + 1, np.int32), np.zeros(len(x_node), np.int64)
     # So many at a time that their comparison takes some 16 MB.
     step = max(1, (1 << 21) // (LONGS * len(x_node)))
     for i in range(0, len(node), step):
@@ -279,8 +290,8 @@ def _estimated(band: int, share: int, rows: list, few: list, least: float) -> pa
         for word in range(LONGS):
             differ = bits[own, word][:, None] ^ x_bits[:, word]
             unequal += np.bitwise_count((differ | differ >> 1) & low)
-        # Two classes outside the largest part meet twice: once is enough.
-        once = (part[own] == main[own])[:, None] | (node[own][:, None] < x_node)
+        # Two classes outside the largest part meet twice: once is enough, unless each looks for its nearest.
+        once = nearest | (part[own] == main[own])[:, None] | (node[own][:, None] < x_node)
         at, x = np.nonzero((unequal <= most) & (part[own][:, None] != x_part) & once)
         # A pair is taken up in the first of the bands it shares only. If one of the
         # two leads that band, they have been compared.
@@ -291,9 +302,27 @@ def _estimated(band: int, share: int, rows: list, few: list, least: float) -> pa
             common = (mine[:, :, None] == theirs[:, None, :]).any(axis=2)
             first[pair] = np.where(common, mine, np.iinfo(np.int64).max).min(axis=1) == band
         at, x = at[first], x[first]
+        if not nearest:
+            yield at + i, x
+            continue
+        far = np.full(unequal.shape, HASHES + 1, np.int32)
+        far[at, x] = unequal[at, x]
+        nearer = far.min(axis=0) < best
+        best_at[nearer] = far.argmin(axis=0)[nearer] + i
+        best[nearer] = far.min(axis=0)[nearer]
+    if nearest:
+        x = np.flatnonzero(best <= most)
+        yield best_at[x], x
+
+
+def _listed(
+    band: int, share: int, node: np.ndarray, x_node: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]
+) -> pa.RecordBatch:
+    nodes, lists, found = [], [], set()
+    for at, x in pairs:
         for k in np.unique(at):
             partners = x_node[x[at == k]]
-            nodes.append(int(node[own][k]))
+            nodes.append(int(node[k]))
             lists.append(partners)
             found.update(partners.tolist())
     rows = nodes + sorted(found)
@@ -371,12 +400,20 @@ def _by_leader(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, shares.select(F.col("leader").alias("group"), every, F.col("leader").alias("node"))
 
 
+def _by_band(across: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What `_across` found, stored, as members and leaders."""
+    across = store(across, "across")
+    return across.where("is_member").drop("is_member"), across.where("not is_member").select(*SHARE, "node").distinct()
+
+
 def _confirmed(sets: DataFrame, members: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
-    """Those of the members' partners that full sets confirm, as links a, b.
+    """Members and partners that full sets confirm, as links a, b.
 
     `members` has group, share, node and partners; the partners' sets are
     those of `leaders` (group, share, node), which wait in a task while the
-    members pass by.
+    members pass by. A link between two that links of the same share hold
+    together already is left out, so that a share of n members and k partners
+    gives less than n + k links, with the components that all would have.
     """
     rows = members.withColumn("is_member", F.lit(True)).unionByName(
         leaders.withColumns({"partners": F.lit(None).cast("array<long>"), "is_member": F.lit(False)})
@@ -392,20 +429,25 @@ def _confirmed(sets: DataFrame, members: DataFrame, leaders: DataFrame, percent:
 
 def _compared(percent: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, kept = None, {}
+        group, kept, roots = None, {}, {}
         for batch in batches:
             found = []
             columns = [batch.column(i).to_pylist() for i in range(5)]
             for key, share, is_member, node, partners, members in zip(*columns, batch.column(5), strict=True):
                 if (key, share) != group:
-                    group, kept = (key, share), {}
+                    group, kept, roots = (key, share), {}, {}
                 own = np.frombuffer(members.as_buffer(), np.uint64)
                 if not is_member:
                     kept.setdefault(node, []).append(own)
                     continue
                 for partner in partners:
-                    if any(alike(own, other, percent) for other in kept[partner]):
+                    mine, theirs = _root(roots, node), _root(roots, partner)
+                    if mine != theirs and any(alike(own, other, percent) for other in kept[partner]):
                         found.append((node, partner))
+                        roots[mine] = theirs
+                # No root is a mere member, which only its own rows ask for.
+                if node not in kept:
+                    roots.pop(node, None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([pair[i] for pair in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
@@ -413,6 +455,14 @@ def _compared(percent: int):
     return links
 
 
+def _root(roots: dict[int, int], node: int) -> int:
+    """The node that stands for all that are joined with `node`; nodes passed on the way come nearer to it."""
+    while (up := roots.get(node, node)) != node:
+        roots[node] = roots.get(up, up)
+        node = up
+    return node
+
+
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets have 100 * common >= percent * union."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
